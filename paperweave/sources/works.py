@@ -104,16 +104,20 @@ def require_nonempty(df: DataFrame, root: str) -> DataFrame:
     return df
 
 
-def write_works(works: DataFrame, root: str, *, compression: str = "gzip") -> None:
-    """Write records as a snapshot: one JSON-lines file per partition, records in
-    ``order_key`` order (so a re-scan meets them in the same order)."""
+def write_works(works: DataFrame, root: str, *, compression: str = "gzip", rows_per_file: int = 0) -> None:
+    """Write records as a snapshot: each partition by one task, records in
+    ``order_key`` order, so file names (``...c000``, ``...c001``) and lines
+    follow that order and a re-scan meets the records the same way.
+    ``rows_per_file`` > 0 splits a partition into files of that many lines."""
     cols = [f.name for f in schemas.WORK.fields]
-    (
+    w = (
         works.repartition(PARTITION_COL)
         .sortWithinPartitions(PARTITION_COL, "order_key")
         .select(*cols, F.col(PARTITION_COL).cast("string").alias(PARTITION_COL))
         .write.mode("overwrite")
         .partitionBy(PARTITION_COL)
         .option("compression", compression)
-        .json(works_dir(root))
     )
+    if rows_per_file > 0:
+        w = w.option("maxRecordsPerFile", rows_per_file)
+    w.json(works_dir(root))
