@@ -110,10 +110,13 @@ def write_works(works: DataFrame, root: str, *, compression: str = "gzip", rows_
     follow that order and a re-scan meets the records the same way.
     ``rows_per_file`` > 0 splits a partition into files of that many lines."""
     cols = [f.name for f in schemas.WORK.fields]
+    # sort on the written (string) partition column itself: the writer then
+    # needs no sort of its own, which would not keep the order inside a date
     w = (
-        works.repartition(PARTITION_COL)
+        works.select(*cols, F.col(PARTITION_COL).cast("string").alias(PARTITION_COL), "order_key")
+        .repartition(PARTITION_COL)
         .sortWithinPartitions(PARTITION_COL, "order_key")
-        .select(*cols, F.col(PARTITION_COL).cast("string").alias(PARTITION_COL))
+        .drop("order_key")
         .write.mode("overwrite")
         .partitionBy(PARTITION_COL)
         .option("compression", compression)
