@@ -119,6 +119,8 @@ def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFra
     without edges do not appear.
     """
     e = stage(canonical(edges, src, dst), "cc_edges")
+    if e.isEmpty():
+        return e.select(F.col("lo").alias("root"), F.col("hi").alias("member"))
     for _ in range(MAX_ROUNDS):
         ls, ls_obs = _large_star(e)
         ls = stage(ls, "cc_large")
