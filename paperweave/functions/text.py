@@ -50,7 +50,7 @@ def index_entries(index: Column | str) -> Column:
         F.map_entries(m),
         lambda e, i: F.struct(i.alias("k"), e["key"].alias("w"), e["value"].alias("v")),
     )
-    by_word = F.array_sort(
+    by_word = F.sort_array(
         F.transform(
             F.map_entries(m),
             lambda e, i: F.struct(e["key"].alias("w"), i.alias("k"), e["value"].alias("v")),
@@ -101,7 +101,7 @@ def abstract_text(index: Column | str) -> Column:
     def with_entries(ent: Column) -> Column:
         def with_max(mx: Column) -> Column:
             n_slots = mx + 1
-            postings = F.array_sort(
+            postings = F.sort_array(
                 F.filter(
                     F.flatten(
                         F.transform(
@@ -174,7 +174,7 @@ def inverted_index(text: Column | str) -> Column:
     of one word, and turn every run into one map entry. Words come out in
     sorted order. Empty or null text gives null.
     """
-    pairs = F.array_sort(F.transform(tokens(text), lambda t, i: F.struct(t.alias("w"), i.alias("p"))))
+    pairs = F.sort_array(F.transform(tokens(text), lambda t, i: F.struct(t.alias("w"), i.alias("p"))))
 
     def from_sorted(s: Column) -> Column:
         starts = F.filter(

@@ -275,7 +275,9 @@ def running_total(df: DataFrame, order_col: str, weight: str, out: str, num_part
     frozen = stage(part, "prefix")
     totals = frozen.groupBy("__pid").agg(F.sum(weight).alias("__t"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__pid", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"))
+    offsets = stage(
+        totals.select("__pid", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off")), "prefix_offsets"
+    )
     inside = Window.partitionBy("__pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return (
         frozen.join(F.broadcast(offsets), "__pid")

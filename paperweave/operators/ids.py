@@ -63,8 +63,11 @@ def dense_id(
     pid = (F.shiftright(F.col("__mid"), _LOCAL_BITS)).alias("__pid")
     counts = frozen.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")
+    # one row per partition; staged so every later use of the result reads a
+    # tiny file instead of re-aggregating the sorted rows
+    offsets = stage(
+        counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")),
+        name + "_offsets",
     )
     numbered = (
         frozen.withColumn("__pid", F.shiftright(F.col("__mid"), _LOCAL_BITS))

@@ -55,8 +55,8 @@ class UnfilteredBuild:
 
     @cached_property
     def indexed(self) -> DataFrame:
-        """Kept works with ``paper_id``, staged (sorted by paper_id)."""
-        return stage(extract.index_works(self.clean, num_partitions=self.num_partitions), "works_indexed")
+        """Kept works with ``paper_id``: staged sorted rows plus a broadcast offset join."""
+        return extract.index_works(self.clean, num_partitions=self.num_partitions)
 
     @cached_property
     def index(self) -> DataFrame:

@@ -137,7 +137,7 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     auths = au_rows.groupBy("k").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "a"))), lambda x: x["a"]).alias("authorships")
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "a"))), lambda x: x["a"]).alias("authorships")
     )
 
     # topics: one per line, field/subfield from the part size
@@ -165,12 +165,16 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("t"),
     )
     topics = tp_rows.groupBy("k").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias("topics")
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "t"))), lambda x: x["t"]).alias("topics")
     )
 
-    abstracts = with_inverted_index(docs, "text", "abstract_inverted_index").select(
-        "k", F.col("lang").alias("language"), "abstract_inverted_index"
-    )
+    # hash-partition the documents first so the per-row text work is spread over
+    # the shuffle partitions, not over the few scan splits of one file
+    abstracts = with_inverted_index(
+        docs.repartition("k").select("k", F.col("lang").alias("language"), "text"),
+        "text",
+        "abstract_inverted_index",
+    ).drop("text")
 
     works = (
         base.join(abstracts, "k", "left")
