@@ -207,6 +207,9 @@ _TAILS = {
     "WHERE updated_date IN (DATE '2024-01-01', DATE '2024-03-01')",
     "scan_file_cap": "SELECT id, CAST(updated_date AS VARCHAR) AS updated_date FROM scan_files "
     f"WHERE rn_in_partition <= {SCAN_ROWS_PER_FILE}",
+    "snapshot_author_table": "SELECT * FROM authors",
+    "snapshot_source_table": "SELECT * FROM sources",
+    "snapshot_paper_table": "SELECT * FROM ptab",
     "type_filter": "SELECT oa_id, type FROM kept",
     "parse_oa_id": f"""
         SELECT DISTINCT url, oa_id FROM (

@@ -18,7 +18,7 @@ from ..functions.ids import parse_oa_id
 from ..functions.text import abstract_text, index_extent, inverted_index
 from ..operators import extract, graph, validate
 from ..operators.ids import lookup_ids
-from ..session import staging_path
+from ..session import stage, staging_path
 from ..sources import tables as io
 from ..sources.fixture import works_fixture
 from ..sources.works import require_nonempty, scan_works, write_works
@@ -35,6 +35,15 @@ class FixtureContext:
         self.build = UnfilteredBuild(self.works, component_rule="exact")
         self._lcc: LccBuild | None = None
         self._snapshot: str | None = None
+        self._scanned: UnfilteredBuild | None = None
+
+    @property
+    def from_snapshot(self) -> UnfilteredBuild:
+        """The same build, fed by scanning the written snapshot (file order keys)."""
+        if self._scanned is None:
+            root = self.snapshot()
+            self._scanned = UnfilteredBuild(stage(scan_works(self.spark, root), "works_scanned"))
+        return self._scanned
 
     @property
     def lcc(self) -> LccBuild:
@@ -88,6 +97,18 @@ def q_scan_file_cap(spark, sf):
     return w.select("id", F.col("updated_date").cast("string").alias("updated_date"))
 
 
+def q_snapshot_author_table(spark, sf):
+    return context(spark, sf).from_snapshot.author_table
+
+
+def q_snapshot_source_table(spark, sf):
+    return context(spark, sf).from_snapshot.source_table
+
+
+def q_snapshot_paper_table(spark, sf):
+    return context(spark, sf).from_snapshot.paper_table
+
+
 # -- functions and extraction ----------------------------------------------------
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import graph, validate
-from ..session import get_session
+from ..session import cleanup_staging, get_session, stage
 from ..sources import tables as io
 from ..sources.works import require_nonempty, scan_works
 from .build import LccBuild, UnfilteredBuild
@@ -139,12 +139,18 @@ def main(argv=None) -> None:
     spark = get_session()
     timer = Timer()
     with timer.step("scan"):
-        works = require_nonempty(
+        # one JSON parse: every later pass reads pruned Parquet columns, and the
+        # order key (file position) is frozen with the records
+        works = stage(
             scan_works(spark, args.raw, partitions=args.partitions, files_per_partition=args.files_per_partition),
-            args.raw,
+            "works_scanned",
         )
-    build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date, timer=timer)
-    build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer)
+        require_nonempty(works, args.raw)
+    try:
+        build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date, timer=timer)
+        build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer)
+    finally:
+        cleanup_staging(spark)
     print(json.dumps({k: round(v, 3) for k, v in timer.steps.items()}))
 
 

@@ -78,9 +78,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def staging_path(spark: SparkSession, name: str) -> str:
+def staging_root(spark: SparkSession) -> str:
+    """This application's folder for staged data inside the checkpoint dir."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/staged/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/staged/{spark.sparkContext.applicationId}"
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cleanup_staging(spark: SparkSession) -> None:
+    """Delete everything this application staged (call once its outputs are written)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
 
 
 def stage(df: DataFrame, name: str, *, partition_by: str | None = None) -> DataFrame:
