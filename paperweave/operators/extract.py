@@ -141,9 +141,13 @@ def abstracts(indexed: DataFrame) -> DataFrame:
     m = F.col("abstract_inverted_index")
     max_pos = F.array_max(F.flatten(F.transform(index_entries(m), lambda e: e["v"])))
     nonempty = F.when(max_pos >= 1, F.lit(True)).otherwise(F.length(abstract_text(m)) > 0)
+    # the rebuild is CPU-bound and abstracts cluster in id ranges; an AQE
+    # rebalance of just (paper_id, index) evens the work out by size
     return (
         indexed.select("paper_id", "abstract_inverted_index")
-        .filter(m.isNotNull() & (F.size(m) > 0) & nonempty)
+        .filter(m.isNotNull() & (F.size(m) > 0))
+        .hint("rebalance")
+        .filter(nonempty)
         .select("paper_id", abstract_text(m).alias("abstract"))
     )
 
