@@ -147,3 +147,17 @@ def test_induce(spark):
     e = spark.createDataFrame([(0, 1), (1, 2), (2, 3), (3, 0)], "src bigint, dst bigint")
     m = spark.createDataFrame([(1, 0), (2, 1), (3, 2)], "old_id bigint, new_id bigint")
     assert sorted(tuple(r) for r in graph.induce(e, m).collect()) == [(0, 1), (1, 2)]
+
+
+def test_seeded_and_exact_rules_differ_at_sf01(spark):
+    """The fixture's point: at sf0.1 the 5-seed search misses the giant component."""
+    import os
+
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.1"
+    if not os.path.exists(sf):
+        pytest.skip("sf0.1 not available")
+    q = entry.queries()
+    assert q["lcc_exact"](spark, sf).count() == 36119
+    assert q["lcc_seeded"](spark, sf).count() == 35
