@@ -16,6 +16,7 @@ from ..functions.ids import parse_oa_id, valid_id
 from ..functions.nulls import blank_to_null
 from ..functions.text import abstract_text, index_entries, index_postings
 from .ids import dedupe_latest, dense_id
+from .skew import skew_join
 
 
 def type_filter(works: DataFrame, keep_types=schemas.KEEP_TYPES) -> DataFrame:
@@ -105,10 +106,13 @@ def source_occurrences(indexed: DataFrame) -> DataFrame:
     ).filter(valid_id("oa_source_id"))
 
 
-def paper_metadata(indexed: DataFrame, source_map: DataFrame) -> DataFrame:
+def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map: bool = False,
+                   hot: DataFrame | None | str = None) -> DataFrame:
     """The 11 metadata columns of a paper; ``source_id`` -1 without a known source.
 
-    ``source_map`` holds ``(oa_source_id, source_id)``.
+    ``source_map`` holds ``(oa_source_id, source_id)``. Broadcast it when its
+    size is known to be small; otherwise ``hot`` names venues holding a large
+    share of all papers, which are joined apart (``operators.skew``).
     """
     src_id = parse_oa_id(F.col("primary_location.source.id"))
     meta = indexed.select(
@@ -124,8 +128,10 @@ def paper_metadata(indexed: DataFrame, source_map: DataFrame) -> DataFrame:
         blank_to_null("language").alias("language"),
         F.when(valid_id(src_id), src_id).alias("__src"),
     )
-    sm = source_map.select(F.col("oa_source_id").alias("__src"), F.col("source_id").alias("__sid"))
-    return meta.join(sm, "__src", "left").select(
+    sm = source_map.select(F.col("oa_source_id").alias("__smap"), F.col("source_id").alias("__sid"))
+    if broadcast_map:
+        sm, hot = F.broadcast(sm), None
+    return skew_join(meta, sm, "__src", "__smap", "left", hot=hot).select(
         *[c for c in schemas.PAPER_METADATA.fieldNames() if c != "source_id"],
         F.coalesce("__sid", F.lit(-1).cast("bigint")).alias("source_id"),
     )

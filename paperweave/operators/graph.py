@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_staged, stage
 from .ids import dense_id, lookup_ids
+from .skew import hot_key_rows, skew_join
 
 # Safety net only: the star rounds need O(log^2 n) rounds; hitting this
 # bound raises instead of returning a partial answer.
@@ -33,18 +34,16 @@ MAX_ROUNDS = 500
 # ---------------------------------------------------------------------------
 
 
-def citation_net(references: DataFrame, index: DataFrame) -> DataFrame:
+def citation_net(references: DataFrame, index: DataFrame, *, min_rows: int | None = None) -> DataFrame:
     """Resolved, loop-free, distinct citation edges ``(src, dst)``: src cites dst.
 
     ``references`` holds ``(paper_id, ref_oa_id)``; ``index`` ``(oa_id, paper_id)``.
-    References outside the index drop out (inner join).
+    References outside the index drop out (inner join). A paper cited by a
+    large share of all references is a hot key: see ``operators.skew``.
     """
-    resolved = lookup_ids(
-        references.select(F.col("paper_id").alias("src"), "ref_oa_id"),
-        index,
-        "ref_oa_id",
-        out="dst",
-    )
+    refs = references.select(F.col("paper_id").alias("src"), "ref_oa_id")
+    idx = index.select(F.col("oa_id").alias("__ext"), F.col("paper_id").alias("dst"))
+    resolved = skew_join(refs, idx, "ref_oa_id", "__ext", "inner", min_rows=min_rows)
     return resolved.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 
@@ -82,66 +81,84 @@ def undirected_degree(vertices: DataFrame, edges: DataFrame, vertex: str = "pape
 # ---------------------------------------------------------------------------
 
 
-def _large_star(e: DataFrame) -> tuple[DataFrame, Observation]:
-    # m(u) = min(u, smaller neighbours of u); each edge (lo, hi) becomes (m(lo), hi)
+def _large_star(e: DataFrame, n_rows: int, min_rows: int | None) -> tuple[DataFrame, Observation, Observation]:
+    # m(u) = min(u, smaller neighbours of u); each edge (lo, hi) becomes (m(lo), hi).
+    # The join key lo is hot for the root of a big star: split on hot keys.
     mins = e.groupBy(F.col("hi").alias("v")).agg(F.min("lo").alias("m"))
-    obs = Observation("large_star")
+    changed = Observation("large_star")
+    rows = Observation("large_star_rows")
     out = (
-        e.join(mins, e["lo"] == mins["v"], "left")
-        .observe(obs, F.count(F.col("m")).alias("changed"))
+        skew_join(e, mins, "lo", "v", "left", min_rows=min_rows, total_rows=n_rows)
+        .observe(changed, F.count(F.col("m")).alias("changed"))
         .select(F.coalesce("m", "lo").alias("lo"), "hi")
         .distinct()
+        .observe(rows, F.count(F.lit(1)).alias("rows"))
     )
-    return out, obs
+    return out, changed, rows
 
 
-def _small_star(e: DataFrame) -> tuple[DataFrame, Observation]:
+def _small_star(e: DataFrame, n_rows: int, min_rows: int | None) -> tuple[DataFrame, Observation, Observation]:
     # each vertex u with smaller neighbours N: link u and every member of N to min(N)
     mins = e.groupBy(F.col("hi").alias("u")).agg(
         F.min("lo").alias("m"), F.count(F.lit(1)).alias("k")
     )
-    obs = Observation("small_star")
+    threshold = hot_key_rows(e.sparkSession, min_rows)
+    hot = None
+    if n_rows >= threshold:
+        # the per-vertex counts k are the hot-key counts of the join below
+        mins = stage(mins, "cc_mins")
+        candidates = stage(mins.filter(F.col("k") >= threshold).select(F.col("u").alias("hi")), "hot_keys")
+        hot = None if candidates.isEmpty() else candidates
+    changed = Observation("small_star")
+    rows = Observation("small_star_rows")
     leaves = (
-        e.join(mins.select("u", "m"), e["hi"] == F.col("u"))
+        skew_join(e, mins.select("u", "m"), "hi", "u", "inner", hot=hot)
         .filter(F.col("lo") != F.col("m"))
         .select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
     )
-    centre = mins.observe(obs, F.count(F.when(F.col("k") > 1, 1)).alias("changed")).select(
+    centre = mins.observe(changed, F.count(F.when(F.col("k") > 1, 1)).alias("changed")).select(
         F.col("m").alias("lo"), F.col("u").alias("hi")
     )
-    return leaves.unionByName(centre).distinct(), obs
+    out = leaves.unionByName(centre).distinct().observe(rows, F.count(F.lit(1)).alias("rows"))
+    return out, changed, rows
 
 
-def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst", *, min_rows: int | None = None) -> DataFrame:
     """Rewire an undirected graph into stars: ``(root, member)`` per non-root vertex.
 
     The root is the smallest vertex of the member's component. Vertices
-    without edges do not appear.
+    without edges do not appear. ``min_rows`` sets the hot-key threshold of
+    the joins (default: session setting, see ``operators.skew``).
     """
     e = stage(canonical(edges, src, dst), "cc_edges")
-    if e.isEmpty():
+    n_rows = e.count()
+    if n_rows == 0:
         return e.select(F.col("lo").alias("root"), F.col("hi").alias("member"))
     for _ in range(MAX_ROUNDS):
-        ls, ls_obs = _large_star(e)
+        # small-star reads the large-star result twice (minimum and join):
+        # staging it makes that two file scans rather than two recomputations
+        ls, ls_changed, ls_rows = _large_star(e, n_rows, min_rows)
         ls = stage(ls, "cc_large")
         drop_staged(e.sparkSession, e)
-        ss, ss_obs = _small_star(ls)
+        ss, ss_changed, ss_rows = _small_star(ls, ls_rows.get["rows"], min_rows)
         ss = stage(ss, "cc_small")
         drop_staged(e.sparkSession, ls)
         e = ss
-        if ls_obs.get["changed"] == 0 and ss_obs.get["changed"] == 0:
+        n_rows = ss_rows.get["rows"]
+        if ls_changed.get["changed"] == 0 and ss_changed.get["changed"] == 0:
             return e.select(F.col("lo").alias("root"), F.col("hi").alias("member"))
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
 
 
 def connected_components(
-    vertices: DataFrame, edges: DataFrame, vertex: str = "paper_id", out: str = "component"
+    vertices: DataFrame, edges: DataFrame, vertex: str = "paper_id", out: str = "component",
+    *, min_rows: int | None = None,
 ) -> DataFrame:
     """``(vertex, component)`` for every vertex; component = smallest vertex id in it.
 
     Vertices without edges are components of their own.
     """
-    stars = star_forest(edges)
+    stars = star_forest(edges, min_rows=min_rows)
     return (
         vertices.select(vertex)
         .join(stars, vertices[vertex] == stars["member"], "left")
@@ -209,29 +226,43 @@ def reachable(labels: DataFrame, seeds: DataFrame, vertex: str = "paper_id") ->
     return labels.join(seed_comps, labels["component"] == seed_comps["__c"], "left_semi").select(vertex)
 
 
-def expand(edges: DataFrame, seeds: DataFrame, vertex: str = "paper_id", max_iter: int | None = None) -> DataFrame:
+def expand(edges: DataFrame, seeds: DataFrame, vertex: str = "paper_id", max_iter: int | None = None,
+           compact_every: int = 8) -> DataFrame:
     """Breadth-first frontier expansion over undirected edges until nothing is new.
 
     ``max_iter`` bounds the number of hops (a k-hop neighbourhood); None runs
-    to the fixpoint. Each hop is one join plus one anti-join, staged.
+    to the fixpoint. One hop is a join of the frontier with the edges, a
+    distinct and an anti-join with the visited set; only the new frontier is
+    written (its size is observed during the write). The visited set is the
+    union of the staged frontiers, compacted every ``compact_every`` hops.
     """
     sym = stage(symmetrize(edges), "bfs_edges")
-    visited = stage(seeds.select(F.col(vertex).alias("v")).distinct(), "bfs_visited")
-    frontier = visited
+    frontier = stage(seeds.select(F.col(vertex).alias("v")).distinct(), "bfs_frontier")
+    parts = [frontier]
     hops = 0
     while max_iter is None or hops < max_iter:
+        visited = parts[0]
+        for p in parts[1:]:
+            visited = visited.unionByName(p)
+        obs = Observation("bfs")
         nxt = (
             frontier.join(sym, frontier["v"] == sym["src"])
             .select(F.col("dst").alias("v"))
             .distinct()
             .join(visited, "v", "left_anti")
+            .observe(obs, F.count(F.lit(1)).alias("n"))
         )
         nxt = stage(nxt, "bfs_frontier")
-        if nxt.isEmpty():
+        if (obs.get.get("n") or 0) == 0:
             break
-        visited = stage(visited.unionByName(nxt), "bfs_visited")
+        parts.append(nxt)
+        if len(parts) > compact_every:
+            parts = [stage(visited.unionByName(nxt), "bfs_visited")]
         frontier = nxt
         hops += 1
+    visited = parts[0]
+    for p in parts[1:]:
+        visited = visited.unionByName(p)
     return visited.select(F.col("v").alias(vertex))
 
 

@@ -26,40 +26,56 @@ def first_seen_ids(occurrences: DataFrame, key: str, out: str, attrs: list[str],
     ``occurrences`` has ``key``, the ``attrs`` and ``first`` (a sortable
     struct giving the position of the occurrence). The attributes of the
     first occurrence are kept. Map-side partial aggregation makes a key that
-    occurs in a third of all rows no harder than any other.
+    occurs in a third of all rows no harder than any other. ``occurrences``
+    (rows per key) comes along for hot-key detection in later joins.
     """
     firsts = occurrences.groupBy(key).agg(
         F.min("first").alias("first"),
         F.min_by(F.struct(*attrs), F.col("first")).alias("__a"),
+        F.count(F.lit(1)).alias("occurrences"),
     )
     numbered = dense_id(firsts, "first", out, name=name)
-    return numbered.select(out, key, *[F.col(f"__a.{a}").alias(a) for a in attrs])
+    return numbered.select(out, key, *[F.col(f"__a.{a}").alias(a) for a in attrs], "occurrences")
 
 
-def author_table(authorships: DataFrame) -> DataFrame:
+AUTHOR_COLUMNS = ["author_id", "openalex_author_id", "name", "orcid"]
+SOURCE_COLUMNS = ["source_id", "openalex_source_id", "display_name", "issn_l", "type"]
+
+
+def author_table(authorships: DataFrame, *, with_occurrences: bool = False) -> DataFrame:
     """``(author_id, openalex_author_id, name, orcid)``, ids by first appearance."""
     t = first_seen_ids(authorships, "oa_author_id", "author_id", ["name", "orcid"], name="authors")
-    return t.select(
-        "author_id", F.col("oa_author_id").alias("openalex_author_id"), "name", "orcid"
-    )
+    t = t.withColumnRenamed("oa_author_id", "openalex_author_id")
+    return t.select(*AUTHOR_COLUMNS, *(["occurrences"] if with_occurrences else []))
 
 
-def source_table(occurrences: DataFrame) -> DataFrame:
+def source_table(occurrences: DataFrame, *, with_occurrences: bool = False) -> DataFrame:
     """``(source_id, openalex_source_id, display_name, issn_l, type)`` by first appearance."""
     t = first_seen_ids(
         occurrences, "oa_source_id", "source_id", ["display_name", "issn_l", "type"], name="sources"
     )
-    return t.select(
-        "source_id", F.col("oa_source_id").alias("openalex_source_id"), "display_name", "issn_l", "type"
-    )
+    t = t.withColumnRenamed("oa_source_id", "openalex_source_id")
+    return t.select(*SOURCE_COLUMNS, *(["occurrences"] if with_occurrences else []))
+
+
+def hot_from_counts(table: DataFrame, key: str, as_name: str, min_rows: int | None = None) -> DataFrame | None:
+    """Hot keys from a table that already counts its rows per key (``occurrences``)."""
+    from ..session import stage
+    from .skew import hot_key_rows
+
+    threshold = hot_key_rows(table.sparkSession, min_rows)
+    hot = stage(table.filter(F.col("occurrences") >= threshold).select(F.col(key).alias(as_name)), "hot_keys")
+    return None if hot.isEmpty() else hot
+
 
+def paper_author_net(authorships: DataFrame, authors: DataFrame, *, hot: DataFrame | None | str = "auto") -> DataFrame:
+    """Distinct ``(paper_id, author_id)`` pairs (an author on a large share of
+    all papers is a hot key: see ``operators.skew``)."""
+    from .skew import skew_join
 
-def paper_author_net(authorships: DataFrame, authors: DataFrame) -> DataFrame:
-    """Distinct ``(paper_id, author_id)`` pairs."""
-    amap = authors.select(F.col("openalex_author_id").alias("oa_author_id"), "author_id")
-    return authorships.select("paper_id", "oa_author_id").join(amap, "oa_author_id").select(
-        "paper_id", "author_id"
-    ).distinct()
+    amap = authors.select(F.col("openalex_author_id").alias("__oa"), "author_id")
+    pairs = skew_join(authorships.select("paper_id", "oa_author_id"), amap, "oa_author_id", "__oa", "inner", hot=hot)
+    return pairs.select("paper_id", "author_id").distinct()
 
 
 def category_table(topics: DataFrame) -> DataFrame:

@@ -252,6 +252,8 @@ _TAILS = {
     "lcc_seeded": "SELECT paper_id FROM comp WHERE component = (SELECT component FROM lcc_s)",
     "expand_from_seed": "SELECT paper_id FROM comp WHERE component = (SELECT component FROM cseed "
     "ORDER BY max_degree DESC, seed LIMIT 1)",
+    "expand_bfs": "SELECT paper_id FROM comp WHERE component = (SELECT component FROM cseed "
+    "ORDER BY max_degree DESC, seed LIMIT 1)",
     "source_table": "SELECT * FROM sources",
     "source_first_seen": "SELECT source_id, openalex_source_id FROM sources",
     "author_table": "SELECT * FROM authors",

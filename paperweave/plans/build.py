@@ -75,24 +75,35 @@ class UnfilteredBuild:
         return extract.explode_topics(self.indexed)
 
     # -- entity tables ---------------------------------------------------
+    @cached_property
+    def _sources(self) -> DataFrame:
+        t = tables.source_table(extract.source_occurrences(self.indexed), with_occurrences=True)
+        return stage(t, "source_table")
+
     @cached_property
     def source_table(self) -> DataFrame:
-        return stage(tables.source_table(extract.source_occurrences(self.indexed)), "source_table")
+        return self._sources.select(*tables.SOURCE_COLUMNS)
 
     @cached_property
     def metadata(self) -> DataFrame:
-        smap = tables.broadcast_if_small(
-            self.source_table.select(F.col("openalex_source_id").alias("oa_source_id"), "source_id")
-        )
-        return extract.paper_metadata(self.indexed, smap)
+        smap = self.source_table.select(F.col("openalex_source_id").alias("oa_source_id"), "source_id")
+        if smap.count() <= tables.BROADCAST_ROWS:
+            return extract.paper_metadata(self.indexed, smap, broadcast_map=True)
+        hot = tables.hot_from_counts(self._sources, "openalex_source_id", "__src")
+        return extract.paper_metadata(self.indexed, smap, hot=hot)
+
+    @cached_property
+    def _authors(self) -> DataFrame:
+        return stage(tables.author_table(self.authorships, with_occurrences=True), "author_table")
 
     @cached_property
     def author_table(self) -> DataFrame:
-        return stage(tables.author_table(self.authorships), "author_table")
+        return self._authors.select(*tables.AUTHOR_COLUMNS)
 
     @cached_property
     def paper_author_net(self) -> DataFrame:
-        return tables.paper_author_net(self.authorships, self.author_table)
+        hot = tables.hot_from_counts(self._authors, "openalex_author_id", "oa_author_id")
+        return tables.paper_author_net(self.authorships, self.author_table, hot=hot)
 
     @cached_property
     def category_table(self) -> DataFrame:

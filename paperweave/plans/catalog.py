@@ -247,6 +247,12 @@ def q_expand_from_seed(spark, sf):
     return graph.reachable(b.labels, seed.select(F.col("seed").alias("paper_id")))
 
 
+def q_expand_bfs(spark, sf):
+    b = context(spark, sf).build
+    seed = b.component_summary.orderBy(F.desc("max_degree"), F.asc("seed")).limit(1)
+    return graph.expand(b.citation_net, seed.select(F.col("seed").alias("paper_id")))
+
+
 # -- entity tables -----------------------------------------------------------------
 
 
