@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import drop_staged, stage
 from .ids import dense_id, lookup_ids
-from .skew import hot_key_rows, skew_join
+from .skew import hot_key_rows, skew_join, stage_nonempty
 
 # Safety net only: the star rounds need O(log^2 n) rounds; hitting this
 # bound raises instead of returning a partial answer.
@@ -107,8 +107,7 @@ def _small_star(e: DataFrame, n_rows: int, min_rows: int | None) -> tuple[DataFr
     if n_rows >= threshold:
         # the per-vertex counts k are the hot-key counts of the join below
         mins = stage(mins, "cc_mins")
-        candidates = stage(mins.filter(F.col("k") >= threshold).select(F.col("u").alias("hi")), "hot_keys")
-        hot = None if candidates.isEmpty() else candidates
+        hot = stage_nonempty(mins.filter(F.col("k") >= threshold).select(F.col("u").alias("hi")), "hot_keys")
     changed = Observation("small_star")
     rows = Observation("small_star_rows")
     leaves = (

@@ -15,7 +15,7 @@ compress well, so it can miss exactly the partitions that matter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -37,8 +37,14 @@ def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame | None:
     At most ``rows(df) / min_rows`` keys can qualify.
     """
     hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_rows).select(key)
-    hot = stage(hot, "hot_keys")
-    return None if hot.isEmpty() else hot
+    return stage_nonempty(hot, "hot_keys")
+
+
+def stage_nonempty(df: DataFrame, name: str) -> DataFrame | None:
+    """Stage ``df``; None when it has no rows (counted while writing, no second job)."""
+    obs = Observation(name)
+    staged = stage(df.observe(obs, F.count(F.lit(1)).alias("n")), name)
+    return staged if (obs.get.get("n") or 0) > 0 else None
 
 
 def skew_join(

@@ -60,12 +60,12 @@ def source_table(occurrences: DataFrame, *, with_occurrences: bool = False) -> D
 
 def hot_from_counts(table: DataFrame, key: str, as_name: str, min_rows: int | None = None) -> DataFrame | None:
     """Hot keys from a table that already counts its rows per key (``occurrences``)."""
-    from ..session import stage
-    from .skew import hot_key_rows
+    from .skew import hot_key_rows, stage_nonempty
 
     threshold = hot_key_rows(table.sparkSession, min_rows)
-    hot = stage(table.filter(F.col("occurrences") >= threshold).select(F.col(key).alias(as_name)), "hot_keys")
-    return None if hot.isEmpty() else hot
+    if (table.agg(F.max("occurrences")).first()[0] or 0) < threshold:
+        return None
+    return stage_nonempty(table.filter(F.col("occurrences") >= threshold).select(F.col(key).alias(as_name)), "hot_keys")
 
 
 def paper_author_net(authorships: DataFrame, authors: DataFrame, *, hot: DataFrame | None | str = "auto") -> DataFrame:
