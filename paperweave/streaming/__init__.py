@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming operators: none.
+
+The reference reads its snapshot as a finite set of files, one pass, in a
+fixed order; there is no unbounded source, watermark, window or per-key state
+anywhere in it. The snapshot scan is therefore a batch source
+(``paperweave.sources.works.scan_works``), and this package holds no operator.
+"""
