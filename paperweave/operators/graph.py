@@ -297,11 +297,8 @@ def running_total(df: DataFrame, order_col: str, weight: str, out: str, num_part
     inside a partition a window keyed by the partition number adds the rest,
     so no task ever holds more than one range partition.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    part = (
-        df.repartitionByRange(n, order_col)
-        .withColumn("__pid", F.spark_partition_id())
-    )
+    ranged = df.repartitionByRange(num_partitions, order_col) if num_partitions else df.repartitionByRange(order_col)
+    part = ranged.withColumn("__pid", F.spark_partition_id())
     frozen = stage(part, "prefix")
     totals = frozen.groupBy("__pid").agg(F.sum(weight).alias("__t"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

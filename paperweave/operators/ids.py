@@ -32,12 +32,6 @@ def _cols(cols: str | Column | Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def dense_id(
     df: DataFrame,
     order_by: str | Column | Sequence[str | Column],
@@ -53,9 +47,11 @@ def dense_id(
     The result is backed by staged Parquet, ordered by ``out``.
     """
     keys = _cols(order_by)
-    n = _partitions(df, num_partitions)
+    # without an explicit count AQE may merge neighbouring range partitions
+    # (keeping their order) to its advisory size
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     sorted_df = (
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn("__mid", F.monotonically_increasing_id())
     )
