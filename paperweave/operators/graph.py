@@ -144,11 +144,26 @@ def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst", *, min_row
         drop_staged(e.sparkSession, ls)
         e = ss
         n_rows = ss_rows.get["rows"]
-        if ls_changed.get["changed"] == 0 and ss_changed.get["changed"] == 0:
+        if ls_changed.get["changed"] == 0 and ss_changed.get["changed"] == 0 and is_star_forest(e):
             return e.select(F.col("lo").alias("root"), F.col("hi").alias("member"))
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
 
 
+def is_star_forest(e: DataFrame) -> bool:
+    """Exact check that canonical edges ``(lo, hi)`` form stars: every vertex is
+    either a centre (only larger neighbours) or a leaf with exactly one,
+    smaller, neighbour that is a centre. One aggregation; it confirms the
+    observed counters, so the result never rests on metrics alone."""
+    ends = e.select(F.col("hi").alias("v"), F.lit(1).alias("leaf")).unionByName(
+        e.select(F.col("lo").alias("v"), F.lit(0).alias("leaf"))
+    )
+    per_vertex = ends.groupBy("v").agg(
+        F.sum("leaf").alias("parents"), F.min("leaf").alias("centre_side")
+    )
+    bad = per_vertex.filter((F.col("parents") > 1) | ((F.col("parents") >= 1) & (F.col("centre_side") == 0)))
+    return bad.isEmpty()
+
+
 def connected_components(
     vertices: DataFrame, edges: DataFrame, vertex: str = "paper_id", out: str = "component",
     *, min_rows: int | None = None,
@@ -252,7 +267,7 @@ def expand(edges: DataFrame, seeds: DataFrame, vertex: str = "paper_id", max_ite
             .observe(obs, F.count(F.lit(1)).alias("n"))
         )
         nxt = stage(nxt, "bfs_frontier")
-        if (obs.get.get("n") or 0) == 0:
+        if (obs.get.get("n") or 0) == 0 and nxt.isEmpty():
             break
         parts.append(nxt)
         if len(parts) > compact_every:

@@ -183,3 +183,10 @@ def test_skew_join_matches_plain_join(spark):
         plain = sorted(tuple(r) for r in left.join(right, left["k"] == right["rk"], how).collect())
         split = sorted(tuple(r) for r in skew_join(left, right, "k", "rk", how, min_rows=10).collect())
         assert split == plain
+
+
+def test_is_star_forest(spark):
+    mk = lambda rows: spark.createDataFrame(rows, "lo bigint, hi bigint")
+    assert graph.is_star_forest(mk([(0, 1), (0, 2), (5, 7)]))
+    assert not graph.is_star_forest(mk([(0, 1), (1, 2)]))  # 1 is both leaf and centre
+    assert not graph.is_star_forest(mk([(0, 2), (1, 2)]))  # 2 has two parents
