@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_staged, stage
-from .ids import dense_id, lookup_ids
+from .ids import dense_id
 from .skew import hot_key_rows, skew_join, stage_nonempty
 
 # Safety net only: the star rounds need O(log^2 n) rounds; hitting this
@@ -328,15 +328,18 @@ def running_total(df: DataFrame, order_col: str, weight: str, out: str, num_part
     )
 
 
-def induce(edges: DataFrame, id_map: DataFrame, old: str = "old_id", new: str = "new_id") -> DataFrame:
-    """Edges with both ends in ``id_map``, renumbered: two joins filter and remap at once."""
+def induce(edges: DataFrame, id_map: DataFrame, old: str = "old_id", new: str = "new_id",
+           *, total_rows: int | None = None) -> DataFrame:
+    """Edges with both ends in ``id_map``, renumbered: two joins filter and remap at once.
+
+    A paper's out-edges are bounded by its one reference list, but its
+    in-edges are not: the ``dst`` join is split on hot keys.
+    """
     m_src = id_map.select(F.col(old).alias("__s_old"), F.col(new).alias("__s_new"))
     m_dst = id_map.select(F.col(old).alias("__d_old"), F.col(new).alias("__d_new"))
-    return (
-        edges.join(m_src, edges["src"] == m_src["__s_old"])
-        .join(m_dst, F.col("dst") == m_dst["__d_old"])
-        .select(F.col("__s_new").alias("src"), F.col("__d_new").alias("dst"))
-    )
+    by_src = edges.join(m_src, edges["src"] == m_src["__s_old"]).select(F.col("__s_new").alias("src"), "dst")
+    both = skew_join(by_src, m_dst, "dst", "__d_old", "inner", total_rows=total_rows)
+    return both.select("src", F.col("__d_new").alias("dst"))
 
 
 def graph_shape(edges: DataFrame, n_rows: int, n_cols: int | None = None) -> DataFrame:

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
 from .graph import induce
 from .ids import dense_id
+from .skew import skew_join
 
 
 def paper_map(papers: DataFrame) -> DataFrame:
@@ -22,25 +22,32 @@ def paper_map(papers: DataFrame) -> DataFrame:
     return dense_id(kept, "old_id", "new_id", name="lcc_paper_map")
 
 
-def _remap(df: DataFrame, id_map: DataFrame, col: str) -> DataFrame:
+def remap_ids(df: DataFrame, id_map: DataFrame, col: str, *, hot: DataFrame | None | str = None,
+              total_rows: int | None = None) -> DataFrame:
+    """Keep rows whose ``col`` is in ``id_map`` and replace it by the new id.
+
+    Rows keyed by paper are bounded per key by one record's arrays, so those
+    remaps are plain joins; a remap whose key can be hot (an author on a
+    third of all papers) passes ``hot="auto"`` (see ``operators.skew``).
+    """
     m = id_map.select(F.col("old_id").alias("__old"), F.col("new_id").alias("__new"))
     cols = [F.col("__new").alias(col) if c == col else F.col(c) for c in df.columns]
-    return df.join(m, df[col] == m["__old"]).select(*cols)
+    return skew_join(df, m, col, "__old", "inner", hot=hot, total_rows=total_rows).select(*cols)
 
 
 def lcc_papers(papers: DataFrame, pmap: DataFrame, keep_flag: bool = False) -> DataFrame:
     """Kept papers renumbered; the flag column is dropped unless ``keep_flag``."""
-    out = _remap(papers, pmap, "paper_id")
+    out = remap_ids(papers, pmap, "paper_id")
     return out if keep_flag else out.drop("is_connected")
 
 
-def lcc_citation_net(edges: DataFrame, pmap: DataFrame) -> DataFrame:
-    return induce(edges, pmap)
+def lcc_citation_net(edges: DataFrame, pmap: DataFrame, total_rows: int | None = None) -> DataFrame:
+    return induce(edges, pmap, total_rows=total_rows)
 
 
 def lcc_paper_author_net(pa_net: DataFrame, pmap: DataFrame) -> DataFrame:
     """Rows of kept papers, paper ids renumbered, author ids still old."""
-    return _remap(pa_net, pmap, "paper_id")
+    return remap_ids(pa_net, pmap, "paper_id")
 
 
 def author_map(lcc_pa_old_authors: DataFrame) -> DataFrame:
@@ -50,11 +57,11 @@ def author_map(lcc_pa_old_authors: DataFrame) -> DataFrame:
 
 
 def lcc_author_table(authors: DataFrame, amap: DataFrame) -> DataFrame:
-    return _remap(authors, amap, "author_id")
+    return remap_ids(authors, amap, "author_id")
 
 
 def lcc_paper_category(pcat: DataFrame, pmap: DataFrame) -> DataFrame:
-    return _remap(pcat, pmap, "paper_id")
+    return remap_ids(pcat, pmap, "paper_id")
 
 
 def lcc_category_table(categories: DataFrame, lcc_pcat: DataFrame) -> DataFrame:
@@ -69,7 +76,7 @@ def lcc_category_table(categories: DataFrame, lcc_pcat: DataFrame) -> DataFrame:
 
 
 def lcc_abstracts(abstracts: DataFrame, pmap: DataFrame) -> DataFrame:
-    return _remap(abstracts, pmap, "paper_id")
+    return remap_ids(abstracts, pmap, "paper_id")
 
 
 def lcc_source_table(sources: DataFrame, lcc_paper_rows: DataFrame) -> DataFrame:
@@ -101,6 +108,3 @@ def registry_meta(papers: DataFrame, authors: DataFrame, sync_date: str | None =
     return n_p.withColumn("__k", F.lit(1)).join(n_a.withColumn("__k", F.lit(1)), "__k").select(
         "n_papers", "n_authors", run_date(sync_date).alias("sync_date")
     )
-
-
-__all__ = [name for name in dir() if not name.startswith("_") and name != "schemas"]

@@ -230,7 +230,8 @@ class LccBuild:
 
     @cached_property
     def citation_net(self) -> DataFrame:
-        return lcc.lcc_citation_net(self.t["citation_net"], self.paper_map)
+        edges = self.t["citation_net"]
+        return lcc.lcc_citation_net(edges, self.paper_map, total_rows=edges.count())
 
     @cached_property
     def _pa_old_authors(self) -> DataFrame:
@@ -242,9 +243,8 @@ class LccBuild:
 
     @cached_property
     def paper_author_net(self) -> DataFrame:
-        from ..operators.lcc import _remap
-
-        return _remap(self._pa_old_authors, self.author_map, "author_id")
+        pa = self._pa_old_authors
+        return lcc.remap_ids(pa, self.author_map, "author_id", hot="auto", total_rows=pa.count())
 
     @cached_property
     def author_table(self) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import oracle, schemas
+from .. import oracle
 from ..functions.ids import parse_oa_id
 from ..functions.text import abstract_text, index_extent, inverted_index
 from ..operators import extract, graph, validate
@@ -392,4 +392,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 assert set(QUERIES) == set(oracle.oracle_sql()), sorted(set(QUERIES) ^ set(oracle.oracle_sql()))
-_ = schemas  # fixed values used by the oracle

@@ -20,9 +20,7 @@ import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .. import schemas
 from ..operators import graph, validate
 from ..session import cleanup_staging, get_session, stage
 from ..sources import tables as io
@@ -154,7 +152,6 @@ def main(argv=None) -> None:
     print(json.dumps({k: round(v, 3) for k, v in timer.steps.items()}))
 
 
-_ = (F, schemas)
 
 if __name__ == "__main__":
     main()
