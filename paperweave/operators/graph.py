@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_staged, stage
-from .ids import dense_id
+from .ids import dense_id, partition_offsets
 from .skew import hot_key_rows, skew_join, stage_nonempty
 
 # Safety net only: the star rounds need O(log^2 n) rounds; hitting this
@@ -308,23 +308,23 @@ def adjacency_entries(edges: DataFrame) -> DataFrame:
 def running_total(df: DataFrame, order_col: str, weight: str, out: str, num_partitions: int | None = None) -> DataFrame:
     """Exclusive prefix sum of ``weight`` in ascending ``order_col`` (unique).
 
-    Range partitions are summed first (one row per partition, broadcast);
-    inside a partition a window keyed by the partition number adds the rest,
-    so no task ever holds more than one range partition.
+    Range partitions are summed first (one number per partition, turned into
+    an offsets array literal); inside a partition a window keyed by the
+    partition number adds the rest, so no task ever holds more than one range
+    partition.
     """
     ranged = df.repartitionByRange(num_partitions, order_col) if num_partitions else df.repartitionByRange(order_col)
     part = ranged.withColumn("__pid", F.spark_partition_id())
     frozen = stage(part, "prefix")
-    totals = frozen.groupBy("__pid").agg(F.sum(weight).alias("__t"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(
-        totals.select("__pid", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off")), "prefix_offsets"
-    )
+    offsets = partition_offsets(frozen.groupBy("__pid").agg(F.sum(weight).alias("__n")))
     inside = Window.partitionBy("__pid").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        frozen.join(F.broadcast(offsets), "__pid")
-        .withColumn(out, (F.col("__off") + F.coalesce(F.sum(weight).over(inside), F.lit(0))).cast("bigint"))
-        .drop("__pid", "__off")
+        frozen.withColumn(
+            out,
+            (F.element_at(F.lit(offsets), (F.col("__pid") + 1).cast("int"))
+             + F.coalesce(F.sum(weight).over(inside), F.lit(0))).cast("bigint"),
+        )
+        .drop("__pid")
     )
 
 

@@ -5,16 +5,17 @@ without funnelling rows through one task (an unpartitioned ``row_number``
 window would). Rows are range-partitioned and sorted on the key; within a
 partition ``monotonically_increasing_id`` counts rows in key order, and the
 partition index sits in its upper bits. The (key, local id) pairs are staged
-to shared storage so the numbering is frozen, per-partition counts become
-offsets (one row per partition: a proven-small table, broadcast), and
-``offset + local position`` is the global rank.
+to shared storage so the numbering is frozen; the row count of every
+partition (one number per partition, like ``RDD.zipWithIndex`` gathers) turns
+into an offsets array literal, and ``offsets[partition] + local position`` is
+the global rank: no join, no exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -56,22 +57,27 @@ def dense_id(
         .withColumn("__mid", F.monotonically_increasing_id())
     )
     frozen = stage(sorted_df, name + "_sorted")
-    pid = (F.shiftright(F.col("__mid"), _LOCAL_BITS)).alias("__pid")
-    counts = frozen.groupBy(pid).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition; staged so every later use of the result reads a
-    # tiny file instead of re-aggregating the sorted rows
-    offsets = stage(
-        counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off")),
-        name + "_offsets",
-    )
-    numbered = (
-        frozen.withColumn("__pid", F.shiftright(F.col("__mid"), _LOCAL_BITS))
-        .join(F.broadcast(offsets), "__pid")
-        .withColumn(out, (F.col("__off") + (F.col("__mid").bitwiseAND(F.lit(_LOCAL_MASK)))).cast("bigint"))
-        .drop("__pid", "__off", "__mid")
-    )
-    return numbered
+    pid = F.shiftright(F.col("__mid"), _LOCAL_BITS)
+    offsets = partition_offsets(frozen.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n")))
+    return frozen.withColumn(
+        out, (F.element_at(F.lit(offsets), (pid + 1).cast("int")) + F.col("__mid").bitwiseAND(F.lit(_LOCAL_MASK)))
+        .cast("bigint"),
+    ).drop("__mid")
+
+
+def partition_offsets(sizes: DataFrame) -> list[int]:
+    """Exclusive running totals of ``__n`` by ``__pid`` (0..max pid; missing = 0).
+
+    ``sizes`` has one row per partition, so this is a list as long as the
+    partition count, gathered the way ``RDD.zipWithIndex`` gathers its
+    partition sizes; no data rows pass through the driver.
+    """
+    per = {int(r["__pid"]): int(r["__n"]) for r in sizes.collect()}
+    offsets, total = [], 0
+    for p in range(max(per, default=-1) + 1):
+        offsets.append(total)
+        total += per.get(p, 0)
+    return offsets or [0]
 
 
 def dedupe_latest(df: DataFrame, key: str, order: str) -> DataFrame:
