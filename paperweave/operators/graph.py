@@ -10,9 +10,10 @@ one ``distinct``. Hot vertices are handled by partial aggregation in the
 ``groupBy`` and by AQE splitting skewed join partitions (the minimum side
 holds one row per vertex, so a hot key is only hot on the edge side, which is
 the side AQE can split). Every half-round is staged to shared storage, which
-keeps plans short and gives AQE measured sizes. Convergence is exact: a
-round in which large-star rewires no edge and no vertex has two smaller
-neighbours leaves a forest of stars whose centres are the component minima.
+keeps plans short and gives AQE measured sizes. Convergence is exact: once
+small-star rewires nothing, one aggregation checks that every vertex is a
+centre or a leaf with a single, smaller centre, i.e. a forest of stars whose
+centres are the component minima.
 """
 
 from __future__ import annotations
@@ -144,7 +145,9 @@ def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst", *, min_row
         drop_staged(e.sparkSession, ls)
         e = ss
         n_rows = ss_rows.get["rows"]
-        if ls_changed.get["changed"] == 0 and ss_changed.get["changed"] == 0 and is_star_forest(e):
+        # small-star rewiring nothing is the cheap hint that the result may
+        # already be stars; the exact check then spares a confirming round
+        if ss_changed.get["changed"] == 0 and is_star_forest(e):
             return e.select(F.col("lo").alias("root"), F.col("hi").alias("member"))
     raise RuntimeError(f"connected components did not converge in {MAX_ROUNDS} rounds")
 
