@@ -12,7 +12,7 @@ MAP = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
 
 
 def test_parse_oa_id(spark):
-    rows = [("https://openalex.org/W2741809807",), ("https://x.org/fields/17",), ("W5",), ("12",), (None,),
+    rows = [("https://x.org/W2741809807",), ("https://x.org/fields/17",), ("W5",), ("12",), (None,),
             ("https://x.org/W-5",), ("https://x.org/Wabc",), ("A5",)]
     df = spark.createDataFrame(rows, "u string")
     got = [r[0] for r in df.select(parse_oa_id("u")).collect()]
