@@ -36,13 +36,22 @@ def clean_works(works: DataFrame, *, on_bad: str = "null", keep_types=schemas.KE
     return dedupe_latest(w, "oa_id", "order_key")
 
 
-def index_works(clean: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
-    """Add ``paper_id`` = position of ``oa_id`` in ascending order (0-based).
+def build_paper_index(clean: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
+    """``(oa_id, paper_id)``: paper_id = position of oa_id in ascending order (0-based).
 
-    One range-partitioned sort carries every column, so later steps read
-    ``paper_id`` next to the record without another join.
+    Only the key column is sorted: range bounds are sampled from it and the
+    sort shuffles 8 bytes per work, never the wide records.
     """
-    return dense_id(clean, "oa_id", "paper_id", num_partitions=num_partitions, name="paper_index")
+    return dense_id(clean.select("oa_id"), "oa_id", "paper_id", num_partitions=num_partitions, name="paper_index")
+
+
+def index_works(clean: DataFrame, index: DataFrame) -> DataFrame:
+    """Records with their ``paper_id``, as a lazy equi-join on the unique oa_id.
+
+    Every consumer selects a few columns, and column pruning reaches the scan,
+    so each derived table shuffles only its own columns once.
+    """
+    return clean.join(index, "oa_id")
 
 
 def paper_index(indexed: DataFrame) -> DataFrame:

@@ -54,13 +54,14 @@ class UnfilteredBuild:
         return extract.clean_works(self.works, on_bad=self.on_bad)
 
     @cached_property
-    def indexed(self) -> DataFrame:
-        """Kept works with ``paper_id``: staged sorted rows plus a broadcast offset join."""
-        return extract.index_works(self.clean, num_partitions=self.num_partitions)
+    def index(self) -> DataFrame:
+        """``(oa_id, paper_id)`` for the kept works, staged."""
+        return extract.build_paper_index(self.clean, num_partitions=self.num_partitions)
 
     @cached_property
-    def index(self) -> DataFrame:
-        return extract.paper_index(self.indexed)
+    def indexed(self) -> DataFrame:
+        """Kept works with ``paper_id`` (lazy join; consumers prune the columns)."""
+        return extract.index_works(self.clean, self.index)
 
     @cached_property
     def references(self) -> DataFrame:

@@ -31,7 +31,7 @@ class FixtureContext:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.works = works_fixture(spark, sf_dir)
+        self.works = stage(works_fixture(spark, sf_dir), "works_fixture")
         self.build = UnfilteredBuild(self.works, component_rule="exact")
         self._lcc: LccBuild | None = None
         self._snapshot: str | None = None

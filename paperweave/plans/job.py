@@ -83,7 +83,7 @@ def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact
     spark = works.sparkSession
     b = UnfilteredBuild(works, component_rule=component_rule, sync_date=sync_date)
     with timer.step("index"):
-        b.indexed
+        b.index
     with timer.step("citation_graph"):
         b.citation_net
     with timer.step("components"):
