@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import time
 from contextlib import contextmanager
 
@@ -28,6 +29,9 @@ from ..sources.works import require_nonempty, scan_works
 from .build import LccBuild, UnfilteredBuild
 
 
+log = logging.getLogger(__name__)
+
+
 class Timer:
     """Wall-clock seconds per named step (for logs and benchmarks)."""
 
@@ -77,8 +81,13 @@ def write_dataset(spark: SparkSession, outputs: dict[str, DataFrame], out: str,
 
 
 def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact",
-                     sync_date: str | None = None, timer: Timer | None = None) -> UnfilteredBuild:
-    """Build and write the unfiltered dataset to ``<out>_unfiltered``."""
+                     sync_date: str | None = None, timer: Timer | None = None,
+                     log_counters: bool = False) -> UnfilteredBuild:
+    """Build and write the unfiltered dataset to ``<out>_unfiltered``.
+
+    ``log_counters`` logs the job counters (papers, resolved citation links,
+    authorship links, authors, sources, topic rows, abstracts, graph sizes).
+    """
     timer = timer or Timer()
     spark = works.sparkSession
     b = UnfilteredBuild(works, component_rule=component_rule, sync_date=sync_date)
@@ -99,6 +108,9 @@ def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact
                   global_abstract_sort=False, timer=timer)
     with timer.step("validation"):
         validate.log_venue_validation(b.venue_validation().first())
+    if log_counters:
+        with timer.step("counters"):
+            log.info("counters: %s", b.counters().first().asDict())
     return b
 
 
@@ -133,7 +145,9 @@ def main(argv=None) -> None:
     ap.add_argument("--files-per-partition", type=int, default=0)
     ap.add_argument("--component-rule", choices=["exact", "seeded"], default="exact")
     ap.add_argument("--sync-date", default=None)
+    ap.add_argument("--counters", action="store_true", help="log the job counters")
     args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = get_session()
     timer = Timer()
     with timer.step("scan"):
@@ -145,7 +159,8 @@ def main(argv=None) -> None:
         )
         require_nonempty(works, args.raw)
     try:
-        build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date, timer=timer)
+        build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
+                         timer=timer, log_counters=args.counters)
         build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer)
     finally:
         cleanup_staging(spark)
