@@ -35,16 +35,19 @@ MAX_ROUNDS = 500
 # ---------------------------------------------------------------------------
 
 
-def citation_net(references: DataFrame, index: DataFrame, *, min_rows: int | None = None) -> DataFrame:
+def citation_net(references: DataFrame, index: DataFrame, *, min_rows: int | None = None,
+                 total_rows: int | None = None) -> DataFrame:
     """Resolved, loop-free, distinct citation edges ``(src, dst)``: src cites dst.
 
     ``references`` holds ``(paper_id, ref_oa_id)``; ``index`` ``(oa_id, paper_id)``.
     References outside the index drop out (inner join). A paper cited by a
-    large share of all references is a hot key: see ``operators.skew``.
+    large share of all references is a hot key: see ``operators.skew``
+    (``total_rows``, an upper bound on the references, skips the hot-key
+    count when no key can reach the threshold).
     """
     refs = references.select(F.col("paper_id").alias("src"), "ref_oa_id")
     idx = index.select(F.col("oa_id").alias("__ext"), F.col("paper_id").alias("dst"))
-    resolved = skew_join(refs, idx, "ref_oa_id", "__ext", "inner", min_rows=min_rows)
+    resolved = skew_join(refs, idx, "ref_oa_id", "__ext", "inner", min_rows=min_rows, total_rows=total_rows)
     return resolved.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 

@@ -121,7 +121,10 @@ class UnfilteredBuild:
     # -- graph -----------------------------------------------------------
     @cached_property
     def citation_net(self) -> DataFrame:
-        return stage(graph.citation_net(self.references, self.index), "citation_net")
+        # upper bound on the reference rows: one column scan, no join
+        refs = F.col("referenced_works")
+        bound = self.clean.agg(F.sum(F.when(refs.isNotNull(), F.size(refs)).otherwise(0))).first()[0] or 0
+        return stage(graph.citation_net(self.references, self.index, total_rows=bound), "citation_net")
 
     @cached_property
     def vertices(self) -> DataFrame:
