@@ -6,10 +6,11 @@ form ``(lo, hi)`` with ``lo < hi``, one row per vertex pair.
 Connected components use the alternating large-star / small-star rounds of
 Kiveris et al. (SoCC 2014): every half-round is one map-side-combined
 ``groupBy`` (the per-vertex minimum), one equi-join of the edges with it and
-one ``distinct``. Hot vertices are handled by partial aggregation in the
-``groupBy`` and by AQE splitting skewed join partitions (the minimum side
-holds one row per vertex, so a hot key is only hot on the edge side, which is
-the side AQE can split). Every half-round is staged to shared storage, which
+one ``distinct``. Hot vertices (the root of a big star holds most edges as
+``lo``) are handled by partial aggregation in the ``groupBy`` and by the
+hot-key split join of ``operators.skew``: the minimum side holds one row per
+vertex, so a hot key's lookup row is broadcast and its edges stay where they
+are. Every half-round is staged to shared storage, which
 keeps plans short and gives AQE measured sizes. Convergence is exact: once
 small-star rewires nothing, one aggregation checks that every vertex is a
 centre or a leaf with a single, smaller centre, i.e. a forest of stars whose
