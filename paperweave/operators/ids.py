@@ -95,8 +95,13 @@ def dedupe_latest(df: DataFrame, key: str, order: str) -> DataFrame:
     extra = dups.agg(F.sum(F.col("__c") - 1)).first()[0] or 0
     if extra == 0:
         return df
+    # a key repeated very often is hot in this join; its count is already known
+    from .skew import hot_key_rows, skew_join, stage_nonempty
+
+    threshold = hot_key_rows(df.sparkSession)
+    hot = stage_nonempty(dups.filter(F.col("__c") >= threshold).select(key), "hot_keys")
     losers = (
-        keys.join(dups.select(key, "__keep"), key)
+        skew_join(keys, dups.select(F.col(key).alias("__dk"), "__keep"), key, "__dk", "inner", hot=hot)
         .filter(F.col(order) != F.col("__keep"))
         .select(key, order)
     )

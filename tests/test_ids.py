@@ -39,3 +39,14 @@ def test_lookup_ids(spark):
     assert inner == [(7, 200, 1)]
     left = sorted(tuple(r) for r in lookup_ids(refs, idx, "ref", out="dst", keep_missing=True).collect())
     assert left == [(7, 200, 1), (7, 999, -1)]
+
+
+def test_dedupe_latest_hot_key(spark):
+    spark.conf.set("spark.paperweave.hotKeyRows", "5")
+    try:
+        rows = [(7, i, f"v{i}") for i in range(40)] + [(8, 1, "x"), (9, 3, "a"), (9, 4, "b")]
+        df = spark.createDataFrame(rows, "k int, o int, v string")
+        got = sorted(tuple(r) for r in dedupe_latest(df, "k", "o").collect())
+        assert got == [(7, 39, "v39"), (8, 1, "x"), (9, 4, "b")]
+    finally:
+        spark.conf.unset("spark.paperweave.hotKeyRows")
