@@ -2,10 +2,11 @@
 
 ``UnfilteredBuild`` turns raw work records into the nine unfiltered outputs;
 ``LccBuild`` restricts them to the flagged component. Intermediate results
-that feed several outputs (the indexed works, the citation graph, component
-labels, id maps) are staged once in the shared checkpoint folder and read
-back with pruned columns; everything else stays a lazy DataFrame, so each
-output is one optimised plan.
+that feed several outputs (the paper index, the citation graph, component
+labels, entity tables, id maps) are staged once in the shared checkpoint
+folder and read back with pruned columns. Everything else stays a lazy
+DataFrame, so each output is one optimised plan; the works meet their
+``paper_id`` through a join that each consumer prunes to its own columns.
 """
 
 from __future__ import annotations
