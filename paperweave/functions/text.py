@@ -43,7 +43,8 @@ def index_entries(index: Column | str) -> Column:
 
     ``k`` is the key's entry number (first occurrence), ``w`` the word, ``v``
     the positions of its last occurrence, as a JSON object with a repeated
-    key behaves once parsed. Maps without repeated keys skip the extra sort.
+    key behaves once parsed. Entries come in ``k`` order. Maps without
+    repeated keys skip the extra sorts.
     """
     m = _col(index)
     plain = F.transform(
@@ -56,14 +57,14 @@ def index_entries(index: Column | str) -> Column:
             lambda e, i: F.struct(e["key"].alias("w"), i.alias("k"), e["value"].alias("v")),
         )
     )
-    merged = _let(
+    merged = F.sort_array(_let(
         by_word,
         lambda s: F.zip_with(
             F.filter(s, lambda x, i: _first_or(i == 0, s[i - 1]["w"] != x["w"])),
             F.filter(s, lambda x, i: _first_or(i == F.size(s) - 1, s[i + 1]["w"] != x["w"])),
             lambda a, b: F.struct(a["k"].alias("k"), b["w"].alias("w"), b["v"].alias("v")),
         ),
-    )
+    ))
     has_dup = F.size(F.array_distinct(F.map_keys(m))) < F.size(m)
     return F.when(has_dup, merged).otherwise(plain)
 
@@ -72,18 +73,27 @@ def _max_position(entries: Column) -> Column:
     return F.array_max(F.flatten(F.transform(entries, lambda e: e["v"])))
 
 
-def _join_slots(slots: Column) -> Column:
-    """Slots sorted by position, one per position -> words separated by spaces,
+# A posting is packed into one long: position in the high bits, entry index
+# in the low ENTRY_BITS bits. Sorting longs is a primitive sort, and equal
+# positions come out in entry order, so the last of a run is the last writer.
+ENTRY_BITS = 24
+_ENTRY_MASK = (1 << ENTRY_BITS) - 1
+
+
+def _join_slots(codes: Column, entries: Column) -> Column:
+    """Packed postings (sorted, one per position) -> words separated by spaces,
     one extra space per empty slot in between."""
     return F.array_join(
         F.transform(
-            slots,
-            lambda e, i: F.concat(
+            codes,
+            lambda c, i: F.concat(
                 F.repeat(
                     F.lit(" "),
-                    F.when(i == 0, e["p"]).otherwise(e["p"] - slots[i - 1]["p"] - 1).cast("int"),
+                    F.when(i == 0, F.shiftright(c, ENTRY_BITS)).otherwise(
+                        F.shiftright(c, ENTRY_BITS) - F.shiftright(codes[i - 1], ENTRY_BITS) - 1
+                    ).cast("int"),
                 ),
-                F.coalesce(e["w"], F.lit("")),
+                F.coalesce(entries[c.bitwiseAND(F.lit(_ENTRY_MASK)).cast("int")]["w"], F.lit("")),
             ),
         ),
         " ",
@@ -101,30 +111,33 @@ def abstract_text(index: Column | str) -> Column:
     def with_entries(ent: Column) -> Column:
         def with_max(mx: Column) -> Column:
             n_slots = mx + 1
-            postings = F.sort_array(
+            codes = F.sort_array(
                 F.filter(
                     F.flatten(
                         F.transform(
                             ent,
-                            lambda e: F.transform(
+                            lambda e, j: F.transform(
                                 e["v"],
-                                lambda p: F.struct(
-                                    F.when(p < 0, p + n_slots).otherwise(p).alias("p"),
-                                    e["k"].alias("k"),
-                                    e["w"].alias("w"),
-                                ),
+                                lambda p: F.shiftleft(
+                                    F.when(p < 0, p + n_slots).otherwise(p).cast("long"), ENTRY_BITS
+                                ) + j,
                             ),
                         )
                     ),
-                    lambda x: x["p"].isNotNull() & (x["p"] >= 0),
+                    lambda c: c.isNotNull() & (c >= 0),
                 )
             )
-            # last writer per position: the final element of each run of equal p
+            # last writer per position: the final element of each run of equal positions
             last = _let(
-                postings,
-                lambda x: F.filter(x, lambda e, i: _first_or(i == F.size(x) - 1, x[i + 1]["p"] != e["p"])),
+                codes,
+                lambda x: F.filter(
+                    x,
+                    lambda c, i: _first_or(
+                        i == F.size(x) - 1, F.shiftright(x[i + 1], ENTRY_BITS) != F.shiftright(c, ENTRY_BITS)
+                    ),
+                ),
             )
-            text = _let(last, _join_slots)
+            text = _let(last, lambda y: _join_slots(y, ent))
             return F.when(mx.isNull() | (mx < 0), F.lit("")).otherwise(F.coalesce(text, F.lit("")))
 
         return _let(_max_position(ent), with_max)
