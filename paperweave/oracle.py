@@ -200,6 +200,8 @@ scan_files AS (
 
 # Rows per file when the fixture is written as a snapshot (scan_file_cap).
 SCAN_ROWS_PER_FILE = 1000
+# Partition date of the repeated records of ``dedupe_works``.
+DEDUPE_DATE = "2024-04-01"
 
 _TAILS = {
     "scan_works": "SELECT id, type, title, CAST(updated_date AS VARCHAR) AS updated_date FROM fx_work_all",
@@ -210,6 +212,15 @@ _TAILS = {
     "snapshot_author_table": "SELECT * FROM authors",
     "snapshot_source_table": "SELECT * FROM sources",
     "snapshot_paper_table": "SELECT * FROM ptab",
+    "dedupe_works": f"""
+        SELECT oa_id, title, CAST(updated_date AS VARCHAR) AS updated_date FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY oa_id ORDER BY updated_date DESC) AS rn FROM (
+            SELECT oa_id, type, title, updated_date FROM fx_work_all
+            UNION ALL
+            SELECT oa_id, CASE WHEN k % 22 = 0 THEN 'dataset' ELSE type END, CONCAT('Revised ', title),
+              DATE '{DEDUPE_DATE}' FROM fx_work_all WHERE k % 11 = 0) d
+          WHERE type IN ({_KEEP})) r
+        WHERE rn = 1""",
     "type_filter": "SELECT oa_id, type FROM kept",
     "parse_oa_id": f"""
         SELECT DISTINCT url, oa_id FROM (

@@ -109,6 +109,25 @@ def q_snapshot_paper_table(spark, sf):
     return context(spark, sf).from_snapshot.paper_table
 
 
+def q_dedupe_works(spark, sf):
+    """Orders with key % 11 = 0 reappear in a later partition with a revised
+    title (and, for key % 22 = 0, a dropped type): the latest kept-type record
+    of every id must win."""
+    w = context(spark, sf).works
+    k = ((parse_oa_id("id") - 1000) / 3).cast("bigint")
+    later = F.lit(oracle.DEDUPE_DATE).cast("date")
+    again = (
+        w.filter(k % 11 == 0)
+        .withColumn("type", F.when(k % 22 == 0, F.lit("dataset")).otherwise(F.col("type")))
+        .withColumn("title", F.concat(F.lit("Revised "), F.col("title")))
+        .withColumn("updated_date", later)
+        .withColumn("order_key", F.struct(later.alias("updated_date"), F.lit("").alias("file"),
+                                          F.lit(0).cast("bigint").alias("block"), k.alias("line")))
+    )
+    clean = extract.clean_works(w.unionByName(again))
+    return clean.select("oa_id", "title", F.col("updated_date").cast("string").alias("updated_date"))
+
+
 # -- functions and extraction ----------------------------------------------------
 
 
