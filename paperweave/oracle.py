@@ -273,6 +273,8 @@ _TAILS = {
     "category_table": "SELECT * FROM cats",
     "paper_category_table": "SELECT * FROM pcat",
     "paper_table": "SELECT * FROM ptab",
+    "paper_table_seeded": "SELECT m.*, CAST(CASE WHEN c.component = (SELECT component FROM lcc_s) THEN 1 ELSE 0 END "
+    "AS INT) AS is_connected FROM meta m JOIN comp c ON c.paper_id = m.paper_id",
     "venue_top_cited": "SELECT paper_id, cited_by_count FROM venue_top",
     "venue_validation": f"SELECT CAST(COUNT(*) AS BIGINT) AS n_top, CAST(COALESCE(SUM(is_connected), 0) AS BIGINT) "
     f"AS n_in_lcc, COALESCE(SUM(is_connected), 0) < {schemas.VALIDATION_WARN_BELOW} AS warn FROM venue_top",

@@ -307,6 +307,14 @@ def q_paper_table(spark, sf):
     return context(spark, sf).build.paper_table
 
 
+def q_paper_table_seeded(spark, sf):
+    """Paper table flagged by the seeded (reference search) component rule."""
+    from ..operators import tables
+
+    b = context(spark, sf).build
+    return tables.paper_table(b.metadata, graph.flag_members(b.labels, b.lcc_seeded))
+
+
 def q_venue_top_cited(spark, sf):
     b = context(spark, sf).build
     return validate.venue_top_cited(b.paper_table, b.source_table).select("paper_id", "cited_by_count")
