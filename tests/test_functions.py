@@ -94,3 +94,32 @@ def test_long_text_is_not_quadratic(spark):
     out = df.select(abstract_text(inverted_index("t")).alias("a")).filter(F.length("a") > 0).collect()
     assert out[0][0] == words
     assert time.time() - t0 < 60
+
+
+def _model_text(entries):
+    """Plain-Python statement of the rebuild rule: slots 0..max position, later
+    entries overwrite earlier ones, negative positions count from the end."""
+    positions = [p for _, ps in entries for p in ps]
+    if not positions or max(positions) < 0:
+        return ""
+    slots = [""] * (max(positions) + 1)
+    for word, ps in entries:
+        for p in ps:
+            if -len(slots) <= p < len(slots):
+                slots[p] = word
+    return " ".join(slots)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abc", min_size=1, max_size=3),
+                          st.lists(st.integers(min_value=-4, max_value=12), max_size=4)),
+                max_size=6, unique_by=lambda t: t[0]))
+def test_abstract_matches_model(spark, entries):
+    df = spark.createDataFrame([(entries,)], "e array<struct<w: string, ps: array<int>>>").select(
+        F.map_from_entries(F.transform("e", lambda x: F.struct(x["w"], x["ps"]))).alias("m")
+    )
+    assert df.select(abstract_text("m")).first()[0] == _model_text(entries)
