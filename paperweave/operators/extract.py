@@ -116,12 +116,13 @@ def source_occurrences(indexed: DataFrame) -> DataFrame:
 
 
 def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map: bool = False,
-                   hot: DataFrame | None | str = None) -> DataFrame:
+                   hot: DataFrame | None | str = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """The 11 metadata columns of a paper; ``source_id`` -1 without a known source.
 
     ``source_map`` holds ``(oa_source_id, source_id)``. Broadcast it when its
     size is known to be small; otherwise ``hot`` names venues holding a large
     share of all papers, which are joined apart (``operators.skew``).
+    ``carry`` names extra columns of ``indexed`` to keep (appended).
     """
     src_id = parse_oa_id(F.col("primary_location.source.id"))
     meta = indexed.select(
@@ -136,6 +137,7 @@ def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map:
         F.col("cited_by_count").cast("bigint").alias("cited_by_count"),
         blank_to_null("language").alias("language"),
         F.when(valid_id(src_id), src_id).alias("__src"),
+        *carry,
     )
     sm = source_map.select(F.col("oa_source_id").alias("__smap"), F.col("source_id").alias("__sid"))
     if broadcast_map:
@@ -143,6 +145,7 @@ def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map:
     return skew_join(meta, sm, "__src", "__smap", "left", hot=hot).select(
         *[c for c in schemas.PAPER_METADATA.fieldNames() if c != "source_id"],
         F.coalesce("__sid", F.lit(-1).cast("bigint")).alias("source_id"),
+        *carry,
     )
 
 

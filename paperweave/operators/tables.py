@@ -132,9 +132,15 @@ def paper_category_table(topics: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def paper_table(metadata: DataFrame, flags: DataFrame) -> DataFrame:
-    """Metadata plus ``is_connected`` (0 for papers without a flag row)."""
-    return metadata.join(flags, "paper_id", "left").select(
+def paper_table(metadata: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+    """Metadata plus ``is_connected`` (0 for papers without a flag).
+
+    ``flags`` ``(paper_id, is_connected)`` is joined on paper_id; without it,
+    ``metadata`` must already carry the flag column.
+    """
+    if flags is not None:
+        metadata = metadata.join(flags, "paper_id", "left")
+    return metadata.select(
         *schemas.PAPER_METADATA.fieldNames(),
         F.coalesce("is_connected", F.lit(0)).cast("int").alias("is_connected"),
     )

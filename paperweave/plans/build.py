@@ -86,13 +86,16 @@ class UnfilteredBuild:
     def source_table(self) -> DataFrame:
         return self._sources.select(*tables.SOURCE_COLUMNS)
 
-    @cached_property
-    def metadata(self) -> DataFrame:
+    def _metadata(self, indexed: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         smap = self.source_table.select(F.col("openalex_source_id").alias("oa_source_id"), "source_id")
         if smap.count() <= tables.BROADCAST_ROWS:
-            return extract.paper_metadata(self.indexed, smap, broadcast_map=True)
+            return extract.paper_metadata(indexed, smap, broadcast_map=True, carry=carry)
         hot = tables.hot_from_counts(self._sources, "openalex_source_id", "__src")
-        return extract.paper_metadata(self.indexed, smap, hot=hot)
+        return extract.paper_metadata(indexed, smap, hot=hot, carry=carry)
+
+    @cached_property
+    def metadata(self) -> DataFrame:
+        return self._metadata(self.indexed)
 
     @cached_property
     def _authors(self) -> DataFrame:
@@ -162,7 +165,11 @@ class UnfilteredBuild:
 
     @cached_property
     def paper_table(self) -> DataFrame:
-        return tables.paper_table(self.metadata, self.flags)
+        """Metadata plus ``is_connected``. The flag joins the narrow index first,
+        so the wide records meet paper_id and flag in their one join."""
+        flagged = self.index.join(self.flags, "paper_id", "left")
+        rows = extract.index_works(self.clean, flagged)
+        return tables.paper_table(self._metadata(rows, carry=("is_connected",)))
 
     # -- checks and registry --------------------------------------------
     def venue_validation(self) -> DataFrame:
