@@ -107,28 +107,29 @@ def paper_category_table(topics: DataFrame, categories: DataFrame) -> DataFrame:
 
     Topics whose field has no main class drop out; a subfield without a class
     gives -1. The category maps hold one row per taxonomy entry and are
-    broadcast after a size check.
+    broadcast after a size check; beyond it, popular fields (a field can
+    carry a third of all topics) are split off as hot keys.
     """
-    mains = broadcast_if_small(
-        categories.filter(F.col("type") == schemas.MAIN_TYPE).select(
-            F.col("openalex_id").alias("field_id"), F.col("class_id").alias("main_class_id")
-        )
+    from .skew import skew_join
+
+    def lookup(left: DataFrame, cmap: DataFrame, key: str, how: str) -> DataFrame:
+        if cmap.count() <= BROADCAST_ROWS:
+            return left.join(F.broadcast(cmap), left[key] == cmap["__cid"], how)
+        return skew_join(left, cmap, key, "__cid", how)
+
+    mains = categories.filter(F.col("type") == schemas.MAIN_TYPE).select(
+        F.col("openalex_id").alias("__cid"), F.col("class_id").alias("main_class_id")
     )
-    subs = broadcast_if_small(
-        categories.filter(F.col("type") == schemas.SUB_TYPE).select(
-            F.col("openalex_id").alias("subfield_id"), F.col("class_id").alias("sub_class_id")
-        )
+    subs = categories.filter(F.col("type") == schemas.SUB_TYPE).select(
+        F.col("openalex_id").alias("__cid"), F.col("class_id").alias("sub_class_id")
     )
-    return (
-        topics.select("paper_id", "field_id", "subfield_id", "sequence")
-        .join(mains, "field_id")
-        .join(subs, "subfield_id", "left")
-        .select(
-            "paper_id",
-            F.col("main_class_id").cast("bigint").alias("main_class_id"),
-            F.coalesce("sub_class_id", F.lit(-1)).cast("bigint").alias("sub_class_id"),
-            F.col("sequence").cast("bigint").alias("sequence"),
-        )
+    rows = lookup(topics.select("paper_id", "field_id", "subfield_id", "sequence"), mains, "field_id", "inner")
+    rows = lookup(rows.drop("__cid"), subs, "subfield_id", "left")
+    return rows.select(
+        "paper_id",
+        F.col("main_class_id").cast("bigint").alias("main_class_id"),
+        F.coalesce("sub_class_id", F.lit(-1)).cast("bigint").alias("sub_class_id"),
+        F.col("sequence").cast("bigint").alias("sequence"),
     )
 
 

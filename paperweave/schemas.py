@@ -110,7 +110,8 @@ ORDER_KEY = T.StructType(
 )
 
 # ---------------------------------------------------------------------------
-# Output tables
+# Output tables (column names and types are fixed values too: consumers of the
+# written tables read them by these names)
 # ---------------------------------------------------------------------------
 
 

@@ -18,6 +18,8 @@ CHECKED = {
     "author_table": lambda b, lb: b.author_table,
     "paper_author_net": lambda b, lb: b.paper_author_net,
     "connected_components": lambda b, lb: b.labels,
+    "paper_category_table": lambda b, lb: b.paper_category_table,
+    "lcc_paper_category": lambda b, lb: lb.paper_category_table,
     "lcc_citation_net": lambda b, lb: lb.citation_net,
     "lcc_paper_author_net": lambda b, lb: lb.paper_author_net,
     "lcc_author_table": lambda b, lb: lb.author_table,
