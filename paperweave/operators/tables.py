@@ -10,16 +10,6 @@ from .. import schemas
 from .ids import BROADCAST_ROWS, dense_id
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its counted row number is at most ``max_rows``.
-
-    Otherwise ``df`` is returned as is and the planner shuffles (AQE may still
-    pick a broadcast from measured sizes). Meant for frames that are cheap to
-    count, such as staged lookup tables.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def first_seen_ids(occurrences: DataFrame, key: str, out: str, attrs: list[str], *, name: str) -> DataFrame:
     """Number distinct ``key`` values 0.. by their first occurrence.
 
