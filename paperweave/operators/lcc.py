@@ -108,3 +108,33 @@ def registry_meta(papers: DataFrame, authors: DataFrame, sync_date: str | None =
     return n_p.withColumn("__k", F.lit(1)).join(n_a.withColumn("__k", F.lit(1)), "__k").select(
         "n_papers", "n_authors", run_date(sync_date).alias("sync_date")
     )
+
+
+def category_map(lcc_categories: DataFrame) -> DataFrame:
+    """``(old_id, new_id)`` for the categories in use, order kept (optional renumbering)."""
+    return dense_id(lcc_categories.select(F.col("class_id").alias("old_id")), "old_id", "new_id",
+                    name="lcc_category_map")
+
+
+def renumber_categories(categories: DataFrame, pcat: DataFrame, cmap: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contiguous class ids for the kept categories and the paper-category rows;
+    a missing sub class stays -1. The map holds one row per category in use."""
+    from .ids import BROADCAST_ROWS
+
+    m = cmap.select(F.col("old_id").alias("__old"), F.col("new_id").alias("__new"))
+    small = cmap.count() <= BROADCAST_ROWS
+
+    def lookup(left: DataFrame, key: str, how: str) -> DataFrame:
+        if small:
+            return left.join(F.broadcast(m), left[key] == m["__old"], how)
+        return skew_join(left, m, key, "__old", how)  # a popular class is a hot key
+
+    cats = remap_ids(categories, cmap, "class_id")
+    main = lookup(pcat, "main_class_id", "inner").select(
+        "paper_id", F.col("__new").alias("main_class_id"), "sub_class_id", "sequence"
+    )
+    sub = lookup(main, "sub_class_id", "left").select(
+        "paper_id", "main_class_id", F.coalesce("__new", F.lit(-1).cast("bigint")).alias("sub_class_id"), "sequence"
+    )
+    return cats, sub
+

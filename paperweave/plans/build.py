@@ -227,10 +227,14 @@ class UnfilteredBuild:
 class LccBuild:
     """Restriction of unfiltered tables to papers with ``is_connected = 1``."""
 
-    def __init__(self, t: dict[str, DataFrame], *, sync_date: str | None = None, keep_flag: bool = False):
+    def __init__(self, t: dict[str, DataFrame], *, sync_date: str | None = None, keep_flag: bool = False,
+                 renumber_categories: bool = False):
+        """``keep_flag`` keeps ``is_connected`` on the papers; ``renumber_categories``
+        makes class ids contiguous (the reference code keeps the old ids)."""
         self.t = t
         self.sync_date = sync_date
         self.keep_flag = keep_flag
+        self.renumber_categories = renumber_categories
 
     @cached_property
     def paper_map(self) -> DataFrame:
@@ -263,12 +267,25 @@ class LccBuild:
         return lcc.lcc_author_table(self.t["author_table"], self.author_map)
 
     @cached_property
-    def paper_category_table(self) -> DataFrame:
+    def _pcat_old_classes(self) -> DataFrame:
         return lcc.lcc_paper_category(self.t["paper_category_table"], self.paper_map)
 
+    @cached_property
+    def _categories_old_ids(self) -> DataFrame:
+        return lcc.lcc_category_table(self.t["category_table"], self._pcat_old_classes)
+
+    @cached_property
+    def _renumbered(self) -> tuple[DataFrame, DataFrame]:
+        cmap = lcc.category_map(self._categories_old_ids)
+        return lcc.renumber_categories(self._categories_old_ids, self._pcat_old_classes, cmap)
+
+    @cached_property
+    def paper_category_table(self) -> DataFrame:
+        return self._renumbered[1] if self.renumber_categories else self._pcat_old_classes
+
     @cached_property
     def category_table(self) -> DataFrame:
-        return lcc.lcc_category_table(self.t["category_table"], self.paper_category_table)
+        return self._renumbered[0] if self.renumber_categories else self._categories_old_ids
 
     @cached_property
     def abstracts(self) -> DataFrame:

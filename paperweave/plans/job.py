@@ -126,10 +126,12 @@ def read_unfiltered(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 
 def build_lcc(spark: SparkSession, out: str, *, sync_date: str | None = None,
-              timer: Timer | None = None) -> LccBuild:
+              timer: Timer | None = None, keep_flag: bool = False,
+              renumber_categories: bool = False) -> LccBuild:
     """Restrict the written unfiltered dataset to the flagged component; write to ``out``."""
     timer = timer or Timer()
-    lb = LccBuild(read_unfiltered(spark, out), sync_date=sync_date)
+    lb = LccBuild(read_unfiltered(spark, out), sync_date=sync_date, keep_flag=keep_flag,
+                  renumber_categories=renumber_categories)
     with timer.step("lcc_maps"):
         n_papers = lb.paper_map.count()
         n_authors = lb.author_map.count()
@@ -146,6 +148,9 @@ def main(argv=None) -> None:
     ap.add_argument("--component-rule", choices=["exact", "seeded"], default="exact")
     ap.add_argument("--sync-date", default=None)
     ap.add_argument("--counters", action="store_true", help="log the job counters")
+    ap.add_argument("--keep-flag", action="store_true", help="keep is_connected in the filtered papers")
+    ap.add_argument("--renumber-categories", action="store_true",
+                    help="contiguous class ids in the filtered dataset (default: old ids kept)")
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = get_session()
@@ -161,7 +166,8 @@ def main(argv=None) -> None:
     try:
         build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
                          timer=timer, log_counters=args.counters)
-        build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer)
+        build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer, keep_flag=args.keep_flag,
+                  renumber_categories=args.renumber_categories)
     finally:
         cleanup_staging(spark)
     print(json.dumps({k: round(v, 3) for k, v in timer.steps.items()}))

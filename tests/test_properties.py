@@ -60,3 +60,24 @@ def test_dense_id_is_rank(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
     got = {r["k"]: r["rid"] for r in dense_id(df, "k", "rid", num_partitions=parts).collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_lcc_options_keep_flag_and_renumber(spark, sf_small):
+    from paperweave.plans.build import LccBuild
+
+    ctx = context(spark, sf_small)
+    plain = ctx.lcc
+    lb = LccBuild(ctx.build.outputs(), keep_flag=True, renumber_categories=True)
+    assert "is_connected" in lb.papers.columns
+    assert lb.papers.filter("is_connected != 1").count() == 0
+    n = lb.category_table.count()
+    assert n == plain.category_table.count()
+    assert _ids(lb.category_table, "class_id") == list(range(n))
+    # same assignments, expressed in the new ids: map old -> new by openalex_id and type
+    old = {(r["type"], r["openalex_id"]): r["class_id"] for r in plain.category_table.collect()}
+    new = {(r["type"], r["openalex_id"]): r["class_id"] for r in lb.category_table.collect()}
+    o2n = {old[k]: new[k] for k in old}
+    o2n[-1] = -1
+    want = sorted((r[0], o2n[r[1]], o2n[r[2]], r[3]) for r in plain.paper_category_table.collect())
+    got = sorted(tuple(r) for r in lb.paper_category_table.collect())
+    assert got == want
