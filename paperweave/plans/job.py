@@ -82,7 +82,7 @@ def write_dataset(spark: SparkSession, outputs: dict[str, DataFrame], out: str,
 
 def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact",
                      sync_date: str | None = None, timer: Timer | None = None,
-                     log_counters: bool = False) -> UnfilteredBuild:
+                     log_counters: bool = False, on_bad: str = "null") -> UnfilteredBuild:
     """Build and write the unfiltered dataset to ``<out>_unfiltered``.
 
     ``log_counters`` logs the job counters (papers, resolved citation links,
@@ -90,7 +90,7 @@ def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact
     """
     timer = timer or Timer()
     spark = works.sparkSession
-    b = UnfilteredBuild(works, component_rule=component_rule, sync_date=sync_date)
+    b = UnfilteredBuild(works, component_rule=component_rule, sync_date=sync_date, on_bad=on_bad)
     with timer.step("index"):
         b.index
     with timer.step("citation_graph"):
@@ -149,6 +149,8 @@ def main(argv=None) -> None:
     ap.add_argument("--sync-date", default=None)
     ap.add_argument("--counters", action="store_true", help="log the job counters")
     ap.add_argument("--keep-flag", action="store_true", help="keep is_connected in the filtered papers")
+    ap.add_argument("--on-bad", choices=["null", "fail"], default="null",
+                    help="a work id that is not a number: drop the work (null) or fail the job")
     ap.add_argument("--renumber-categories", action="store_true",
                     help="contiguous class ids in the filtered dataset (default: old ids kept)")
     args = ap.parse_args(argv)
@@ -165,7 +167,7 @@ def main(argv=None) -> None:
         require_nonempty(works, args.raw)
     try:
         build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
-                         timer=timer, log_counters=args.counters)
+                         timer=timer, log_counters=args.counters, on_bad=args.on_bad)
         build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer, keep_flag=args.keep_flag,
                   renumber_categories=args.renumber_categories)
     finally:
