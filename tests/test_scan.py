@@ -87,3 +87,24 @@ def test_duplicates_nulls_and_dropped_types(spark, root):
     topics = [tuple(r) for r in b.topics.select("paper_id", "field_id", "subfield_id", "sequence").collect()]
     assert topics == [(0, -1, -1, 0)]
     assert b.category_table.count() == 0
+
+
+def test_bad_work_id_dropped_or_fails(spark, root):
+    from paperweave.operators.extract import clean_works
+
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1), json.dumps({"id": "https://x.org/Wabc", "type": "article"})]}})
+    works = scan_works(spark, root)
+    assert [r["oa_id"] for r in clean_works(works).collect()] == [1]
+    with pytest.raises(Exception):
+        clean_works(works, on_bad="fail").collect()
+
+
+def test_subfield_of_field_without_id_is_still_a_category(spark, root):
+    topics = [{"field": {"display_name": "NoId"}, "subfield": {"id": "https://x.org/subfields/9", "display_name": "S9"}},
+              {"field": {"id": "https://x.org/fields/4", "display_name": "F4"}, "subfield": None}]
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1, topics=topics)]}})
+    b = UnfilteredBuild(scan_works(spark, root))
+    cats = sorted(tuple(r) for r in b.category_table.collect())
+    assert cats == [(0, "main", "F4", 4), (1, "sub", "S9", 9)]
+    # the field without id has no main class, so only the second topic is assigned
+    assert [tuple(r) for r in b.paper_category_table.collect()] == [(0, 0, -1, 1)]
