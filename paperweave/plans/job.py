@@ -8,7 +8,7 @@ Layout (one directory per table, written with ``mode("overwrite")``)::
                      registry/{papers,authors,meta}/
     <out>/...        the same nine outputs restricted to the chosen component
 
-Run with ``spark-submit -m paperweave.plans.job --raw <snapshot> --out <dir>``
+Run with ``spark-submit --py-files paperweave.zip run_job.py --raw <snapshot> --out <dir>``
 (or ``python -m paperweave.plans.job`` locally).
 """
 
