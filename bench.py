@@ -45,9 +45,9 @@ def main() -> None:
     t0 = time.perf_counter()
     with timer.step("scan"):
         works = require_nonempty(stage(scan_works(spark, raw), "works_scanned"), raw)
-    build_unfiltered(works, out, timer=timer)
+    b = build_unfiltered(works, out, timer=timer)
     lcc_timer = Timer()
-    build_lcc(spark, out, timer=lcc_timer)
+    build_lcc(spark, out, timer=lcc_timer, flags=b.flags)
     total = time.perf_counter() - t0
 
     queries = {k: round(v, 3) for k, v in timer.steps.items()}

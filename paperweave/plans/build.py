@@ -228,17 +228,20 @@ class LccBuild:
     """Restriction of unfiltered tables to papers with ``is_connected = 1``."""
 
     def __init__(self, t: dict[str, DataFrame], *, sync_date: str | None = None, keep_flag: bool = False,
-                 renumber_categories: bool = False):
+                 renumber_categories: bool = False, flags: DataFrame | None = None):
         """``keep_flag`` keeps ``is_connected`` on the papers; ``renumber_categories``
-        makes class ids contiguous (the reference code keeps the old ids)."""
+        makes class ids contiguous (the reference code keeps the old ids).
+        ``flags`` ``(paper_id, is_connected)``, when the unfiltered build is at
+        hand, spares reading the flag back from the written paper table."""
         self.t = t
         self.sync_date = sync_date
         self.keep_flag = keep_flag
         self.renumber_categories = renumber_categories
+        self.flags = flags
 
     @cached_property
     def paper_map(self) -> DataFrame:
-        return lcc.paper_map(self.t["paper_table"])
+        return lcc.paper_map(self.flags if self.flags is not None else self.t["paper_table"])
 
     @cached_property
     def papers(self) -> DataFrame:

@@ -127,11 +127,15 @@ def read_unfiltered(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 def build_lcc(spark: SparkSession, out: str, *, sync_date: str | None = None,
               timer: Timer | None = None, keep_flag: bool = False,
-              renumber_categories: bool = False) -> LccBuild:
-    """Restrict the written unfiltered dataset to the flagged component; write to ``out``."""
+              renumber_categories: bool = False, flags: DataFrame | None = None) -> LccBuild:
+    """Restrict the written unfiltered dataset to the flagged component; write to ``out``.
+
+    ``flags`` (the unfiltered build's staged flags, when run in one application)
+    replaces reading the flag back from the written paper table.
+    """
     timer = timer or Timer()
     lb = LccBuild(read_unfiltered(spark, out), sync_date=sync_date, keep_flag=keep_flag,
-                  renumber_categories=renumber_categories)
+                  renumber_categories=renumber_categories, flags=flags)
     with timer.step("lcc_maps"):
         n_papers = lb.paper_map.count()
         n_authors = lb.author_map.count()
@@ -166,10 +170,10 @@ def main(argv=None) -> None:
         )
         require_nonempty(works, args.raw)
     try:
-        build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
-                         timer=timer, log_counters=args.counters, on_bad=args.on_bad)
+        b = build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
+                             timer=timer, log_counters=args.counters, on_bad=args.on_bad)
         build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer, keep_flag=args.keep_flag,
-                  renumber_categories=args.renumber_categories)
+                  renumber_categories=args.renumber_categories, flags=b.flags)
     finally:
         cleanup_staging(spark)
     print(json.dumps({k: round(v, 3) for k, v in timer.steps.items()}))

@@ -43,7 +43,11 @@ def test_snapshot_job_properties(spark, sf_small):
     assert (shape["n_rows"], shape["n_cols"]) == (324, 324)
     labs = spark.read.parquet(f"{out}/abstracts.parquet")
     assert [r[0] for r in labs.collect()] == sorted(r[0] for r in labs.collect())
-    _ = lb
+    # the paper map from the staged flags equals the one read back from the CSV
+    from paperweave.plans.build import LccBuild
+
+    via_flags = LccBuild(read_unfiltered(spark, out), flags=b.flags).paper_map
+    assert sorted(tuple(r) for r in via_flags.collect()) == sorted(tuple(r) for r in lb.paper_map.collect())
 
 
 def test_csv_keeps_quotes_commas_newlines(spark):
