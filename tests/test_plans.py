@@ -30,3 +30,10 @@ def test_no_single_task_window(spark, sf_small):
         for line in plan.splitlines():
             if "Window [" in line:
                 assert "partitionBy" in line or "PARTITION BY" in line.upper() or re.search(r"\], \[\w", line), line
+
+
+def test_paper_table_reads_wide_records_once(spark, sf_small):
+    b = context(spark, sf_small).build
+    scans = _scans(_plan(b.paper_table))
+    wide = [s for s in scans if s.startswith("id,type,title")]
+    assert len(wide) == 1, scans
