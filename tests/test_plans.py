@@ -7,7 +7,10 @@ from paperweave.plans.catalog import context
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    # a fresh projection: an executed adaptive plan would print its initial
+    # plan a second time, after the final one
+    fresh = df.select(*df.columns)
+    return fresh._jdf.queryExecution().executedPlan().toString()
 
 
 def _scans(plan):
