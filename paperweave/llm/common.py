@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def workers_import(df: DataFrame) -> DataFrame:
+    """``df``, once Python workers also look for this package where the driver found it
+    (a checkout that is not installed; with an installed package or --py-files it changes nothing)."""
+    env = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return df
+
+
 def bound(value: Column, use) -> Column:
     """``use(x)`` with ``x`` evaluated once per row (a lambda variable, so the
     optimizer cannot copy the expression into every place that reads it)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, quality_rules, stream_dedup
+from . import host_reputation, packing, quality_rules, stream_dedup
 from .common import table
 
 
@@ -23,8 +23,20 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def tokenizer_path() -> str:
+    """The production vocabulary file, as installed on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op7_stream_dedup": op7_stream_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_packing": op9_packing,
     "op10_host_reputation": op10_host_reputation,
 }
