@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, packing, quality_rules, stream_dedup
+from . import host_reputation, mixing, packing, quality_rules, stream_dedup
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("rank")
+
+
 def tokenizer_path() -> str:
     """The production vocabulary file, as installed on every node."""
     import public_tokenizers
@@ -35,6 +39,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op7_stream_dedup": op7_stream_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
