@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, mixing, packing, quality_rules, stream_dedup
+from . import host_reputation, mixing, packing, quality_rules, stream_dedup, toxicity
 from .common import table
 
 
@@ -27,6 +27,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rank")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def tokenizer_path() -> str:
     """The production vocabulary file, as installed on every node."""
     import public_tokenizers
@@ -40,6 +45,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op4_toxicity": op4_toxicity,
     "op7_stream_dedup": op7_stream_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
