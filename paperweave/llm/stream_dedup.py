@@ -33,6 +33,9 @@ from .common import salted_join, without_space
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # many small stores: write change logs, and no space set aside in advance
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
 
