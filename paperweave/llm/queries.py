@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, mixing, packing, quality_rules, stream_dedup, toxicity
+from . import host_reputation, mixing, ngram_join, packing, quality_rules, stream_dedup, toxicity
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rank")
 
@@ -44,6 +48,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
     "op4_toxicity": op4_toxicity,
     "op7_stream_dedup": op7_stream_dedup,
