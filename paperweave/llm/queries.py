@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, mixing, ngram_join, packing, quality_rules, stream_dedup, toxicity
+from . import host_reputation, mixing, ngram_join, packing, quality_rules, stream_dedup, suffix_dedup, toxicity
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     """The production vocabulary file, as installed on every node."""
     import public_tokenizers
@@ -51,6 +55,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_stream_dedup": op7_stream_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
