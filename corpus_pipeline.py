@@ -1,30 +1,54 @@
-"""Corpus pipeline: quality rules, exact dedup, near-duplicate join, source mixing, packing.
+"""Corpus pipeline: quality rules, exact dedup, n-gram Jaccard join, mixing, packing.
 
-Each stage takes (spark, docs, sf_dir) and works on everything its predecessor kept; all but
-the last return the columns of ``documents``. Mixing and packing are randomly accessible only
-through their operators, so the whole has no SQL form: tests hold it against a brute-force
-version.
+Each stage takes (spark, docs, sf_dir) and works on everything its predecessor kept; all but the
+last return the columns of ``documents``, the last one row per packed piece. Tokens, Newton steps
+and multivariate estimates have no SQL form, so ORACLE_SQL is None and the tests hold every stage
+against a brute-force version.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperweave.llm import quality_rules, stream_dedup
+from paperweave.llm import mixing, ngram_join, packing, quality_rules, stream_dedup
+from paperweave.llm.queries import tokenizer_path
 from paperweave.session import stage
 
 ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return quality_rules.keep_good(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each set of equal texts."""
     return stream_dedup.drop_copies(docs)
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact_dedup)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of the n-gram Jaccard join."""
+    return ngram_join.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as pieces of 2048-token sequences."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("exact_dedup", exact_dedup),
+    ("ngram_jaccard", near_duplicates),
+    ("mixing", mix),
+    ("packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
