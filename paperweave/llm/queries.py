@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, mixing, ngram_join, packing, quality_rules, stream_dedup, suffix_dedup, toxicity
+from . import host_reputation, mixing, ngram_join, packing, quality_rules, sanitise, stream_dedup, suffix_dedup, toxicity
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("rank")
 
 
+def op3_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.span_report(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
+    "op3_sanitise": op3_sanitise,
     "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_stream_dedup": op7_stream_dedup,
