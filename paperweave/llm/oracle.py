@@ -95,5 +95,31 @@ FROM rules JOIN h1 USING (host)
 """
 
 
+OP6 = r"""
+WITH r AS (
+  SELECT 'pages-' || coalesce(CAST(CAST(floor(page_id / 256) AS BIGINT) AS VARCHAR), 'none') || '.warc' AS file, page_id AS record_id,
+         'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+         || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
+         || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS payload
+  FROM pages
+),
+p AS (
+  SELECT file, record_id, payload, sha256(payload) AS expected,
+         row_number() OVER w - 1 AS ordinal, row_number() OVER (PARTITION BY file ORDER BY record_id DESC, sha256(payload) DESC) = 1 AS last,
+         CAST(sum(strlen(payload)) OVER w AS BIGINT) AS finish, CAST(strlen(payload) AS BIGINT) AS size
+  FROM r WINDOW w AS (PARTITION BY file ORDER BY record_id, sha256(payload) ROWS UNBOUNDED PRECEDING)
+),
+d AS (
+  SELECT *, last AND starts_with(sha256(file), '0') AS lost, starts_with(expected, '00') AS hit,
+         sha256(left(payload, length(payload) - 1) || '#') AS spoiled
+  FROM p
+)
+SELECT file, ordinal, finish - size AS "begin", finish, record_id, expected,
+       CASE WHEN lost THEN NULL ELSE spoiled END AS found, CASE WHEN lost THEN 'missing' ELSE 'corrupt' END AS status
+FROM d WHERE lost OR hit
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_stream_dedup": OP7, "op10_host_reputation": OP10}
+    return {"op6_merkle_audit": OP6, "op7_stream_dedup": OP7, "op10_host_reputation": OP10}

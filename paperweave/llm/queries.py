@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, mixing, ngram_join, packing, quality_rules, sanitise, stream_dedup, suffix_dedup, toxicity
+from . import host_reputation, merkle_audit, mixing, ngram_join, packing, quality_rules, sanitise, stream_dedup, suffix_dedup, toxicity
 from .common import table
 
 
+def op6_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as archive files, audited against a replica with deterministic damage."""
+    records = merkle_audit.warc_records(table(spark, sf_dir, "pages"))
+    replica = merkle_audit.damaged(records)
+    height = merkle_audit.tree_height(records.select("ordinal"))
+    return merkle_audit.audit(merkle_audit.build_tree(records, height), merkle_audit.build_tree(replica, height))
+
+
 def op7_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stream_dedup.dedup_verdicts(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -61,6 +69,7 @@ QUERIES = {
     "op3_sanitise": op3_sanitise,
     "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_merkle_audit": op6_merkle_audit,
     "op7_stream_dedup": op7_stream_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
