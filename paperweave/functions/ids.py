@@ -33,6 +33,12 @@ def parse_oa_id(url: Column | str, on_bad: str = "null") -> Column:
     return F.when(u.isNull(), F.lit(ABSENT_ID).cast("bigint")).otherwise(parsed)
 
 
+def is_bad_id(url: Column | str) -> Column:
+    """True for an id that is present but not a number (what ``parse_oa_id`` drops or fails on)."""
+    u = _col(url)
+    return u.isNotNull() & parse_oa_id(u).isNull()
+
+
 def valid_id(c: Column | str) -> Column:
     """True for a parsed id that is present and non-negative."""
     x = _col(c)

@@ -9,8 +9,3 @@ from pyspark.sql import functions as F
 def blank_to_null(c: Column | str) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     return F.when(x == "", F.lit(None).cast("string")).otherwise(x)
-
-
-def null_to_blank(c: Column | str) -> Column:
-    x = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(x, F.lit(""))

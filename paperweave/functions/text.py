@@ -105,7 +105,8 @@ def abstract_text(index: Column | str) -> Column:
 
     A null or empty index, or one without positions, gives "". A negative
     position counts from the end of the slot list (as list indexing does);
-    one before the start is ignored.
+    one before the start is ignored. An index of more words than a posting
+    can number fails the query rather than give another text.
     """
 
     def with_entries(ent: Column) -> Column:
@@ -142,12 +143,11 @@ def abstract_text(index: Column | str) -> Column:
 
         return _let(_max_position(ent), with_max)
 
-    return F.coalesce(_let(index_entries(index), with_entries), F.lit(""))
-
-
-def with_abstract(df: DataFrame, index_col: str = "abstract_inverted_index", out: str = "abstract") -> DataFrame:
-    """Add ``out`` = ``abstract_text(index_col)``."""
-    return df.withColumn(out, abstract_text(index_col))
+    m = F.col(index) if isinstance(index, str) else index
+    too_many = F.raise_error(F.lit(f"an inverted index holds more than {1 << ENTRY_BITS} words")).cast("string")
+    return F.when(F.size(m) > (1 << ENTRY_BITS), too_many).otherwise(
+        F.coalesce(_let(index_entries(index), with_entries), F.lit(""))
+    )
 
 
 def index_postings(df: DataFrame, key_col: str, index_col: str = "abstract_inverted_index") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.dates import frac_year
-from ..functions.ids import parse_oa_id, valid_id
+from ..functions.ids import is_bad_id, parse_oa_id, valid_id
 from ..functions.nulls import blank_to_null
 from ..functions.text import abstract_text, index_entries, index_postings
 from .ids import dedupe_latest, dense_id
@@ -54,17 +54,13 @@ def index_works(clean: DataFrame, index: DataFrame) -> DataFrame:
     return clean.join(index, "oa_id")
 
 
-def paper_index(indexed: DataFrame) -> DataFrame:
-    return indexed.select("oa_id", "paper_id")
-
-
-def explode_references(indexed: DataFrame) -> DataFrame:
+def explode_references(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
     """``(paper_id, ref_oa_id)`` for every parsable, non-negative reference."""
     refs = indexed.select("paper_id", F.explode("referenced_works").alias("ref_url"))
-    return refs.select("paper_id", parse_oa_id("ref_url").alias("ref_oa_id")).filter(valid_id("ref_oa_id"))
+    return refs.select("paper_id", parse_oa_id("ref_url", on_bad).alias("ref_oa_id")).filter(valid_id("ref_oa_id"))
 
 
-def explode_authorships(indexed: DataFrame) -> DataFrame:
+def explode_authorships(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
     """One row per authorship with an author id, in array order.
 
     Columns: paper_id, oa_author_id, name, orcid, first (order key of the
@@ -73,19 +69,20 @@ def explode_authorships(indexed: DataFrame) -> DataFrame:
     a = indexed.select("paper_id", "order_key", F.posexplode("authorships").alias("pos", "au"))
     return a.select(
         "paper_id",
-        parse_oa_id(F.col("au.author.id")).alias("oa_author_id"),
+        parse_oa_id(F.col("au.author.id"), on_bad).alias("oa_author_id"),
         blank_to_null(F.col("au.author.display_name")).alias("name"),
         blank_to_null(F.col("au.author.orcid")).alias("orcid"),
         F.struct(F.col("order_key"), F.col("pos").cast("bigint").alias("pos")).alias("first"),
     ).filter(valid_id("oa_author_id"))
 
 
-def explode_topics(indexed: DataFrame) -> DataFrame:
+def explode_topics(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
     """Topic rows with a field; ``sequence`` is the index in the topic array,
     numbered before field-less topics are skipped.
 
     Columns: paper_id, field_id, field_name, subfield_id, subfield_name,
-    sequence, first. A missing subfield gives id -1 and an empty name.
+    sequence, first. A missing subfield, or one whose id is no number, gives id -1
+    (its name is kept); the topic stays because its field is valid.
     """
     t = indexed.select("paper_id", "order_key", F.posexplode("topics").alias("sequence", "tp"))
     field = F.col("tp.field")
@@ -94,20 +91,20 @@ def explode_topics(indexed: DataFrame) -> DataFrame:
     has_sub = sub.isNotNull() & (sub["id"].isNotNull() | sub["display_name"].isNotNull())
     return t.filter(has_field).select(
         "paper_id",
-        parse_oa_id(field["id"]).alias("field_id"),
+        parse_oa_id(field["id"], on_bad).alias("field_id"),
         field["display_name"].alias("field_name"),
-        F.when(has_sub, parse_oa_id(sub["id"])).otherwise(F.lit(-1).cast("bigint")).alias("subfield_id"),
+        F.coalesce(F.when(has_sub, parse_oa_id(sub["id"], on_bad)), F.lit(-1).cast("bigint")).alias("subfield_id"),
         F.when(has_sub, sub["display_name"]).otherwise(F.lit("")).alias("subfield_name"),
         F.col("sequence").cast("bigint").alias("sequence"),
         F.struct(F.col("order_key"), F.col("sequence").cast("bigint").alias("pos")).alias("first"),
-    ).filter(F.col("field_id").isNotNull() & F.col("subfield_id").isNotNull())
+    ).filter(F.col("field_id").isNotNull())
 
 
-def source_occurrences(indexed: DataFrame) -> DataFrame:
+def source_occurrences(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
     """``(oa_source_id, display_name, issn_l, type, first)`` per work with a source."""
     s = F.col("primary_location.source")
     return indexed.select(
-        parse_oa_id(s["id"]).alias("oa_source_id"),
+        parse_oa_id(s["id"], on_bad).alias("oa_source_id"),
         blank_to_null(s["display_name"]).alias("display_name"),
         blank_to_null(s["issn_l"]).alias("issn_l"),
         blank_to_null(s["type"]).alias("type"),
@@ -115,6 +112,24 @@ def source_occurrences(indexed: DataFrame) -> DataFrame:
     ).filter(valid_id("oa_source_id"))
 
 
+def bad_id_counts(works: DataFrame, clean: DataFrame, keep_types=schemas.KEEP_TYPES) -> DataFrame:
+    """One row: ids that are present but no number, by kind. Work ids are counted over the records
+    of kept types, all others over the kept works."""
+    def inside(array: str, id_of):
+        bad = F.size(F.filter(array, lambda x: F.coalesce(is_bad_id(id_of(x)), F.lit(False))))
+        return F.coalesce(F.sum(F.when(F.col(array).isNotNull(), bad)), F.lit(0)).cast("bigint")
+
+    counts = clean.agg(
+        inside("referenced_works", lambda x: x).alias("n_bad_references"),
+        inside("authorships", lambda x: x["author"]["id"]).alias("n_bad_authors"),
+        inside("topics", lambda x: x["field"]["id"]).alias("n_bad_fields"),
+        inside("topics", lambda x: x["subfield"]["id"]).alias("n_bad_subfields"),
+        F.count(F.when(is_bad_id("primary_location.source.id"), 1)).alias("n_bad_sources"),
+    )
+    work = type_filter(works, keep_types).agg(F.count(F.when(is_bad_id("id"), 1)).alias("n_bad_works"))
+    return counts.crossJoin(work)  # one row each
+
+
 def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map: bool = False,
                    hot: DataFrame | None | str = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """The 11 metadata columns of a paper; ``source_id`` -1 without a known source.

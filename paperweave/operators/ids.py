@@ -60,7 +60,8 @@ def dense_id(
     pid = F.shiftright(F.col("__mid"), _LOCAL_BITS)
     offsets = partition_offsets(frozen.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n")))
     return frozen.withColumn(
-        out, (F.element_at(F.lit(offsets), (pid + 1).cast("int")) + F.col("__mid").bitwiseAND(F.lit(_LOCAL_MASK)))
+        # one string literal, split and folded once: a list literal has a plan node per partition
+        out, (F.element_at(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), (pid + 1).cast("int")) + F.col("__mid").bitwiseAND(F.lit(_LOCAL_MASK)))
         .cast("bigint"),
     ).drop("__mid")
 

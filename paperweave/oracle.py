@@ -24,7 +24,8 @@ fx_work_all AS (
     CONCAT('{URL_PREFIX}W', CAST(1000 + 3*o_orderkey AS VARCHAR)) AS id,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'article' WHEN '2-HIGH' THEN 'review'
       WHEN '3-MEDIUM' THEN 'preprint' WHEN '5-LOW' THEN 'letter' ELSE 'dataset' END AS type,
-    CONCAT('Work, "', CAST(o_orderkey AS VARCHAR), '"') AS title,
+    CONCAT(CASE WHEN o_orderkey % 23 = 0 THEN chr(9) || ' ' ELSE '' END, 'Work, "', CAST(o_orderkey AS VARCHAR), '"',
+      CASE WHEN o_orderkey % 23 < 2 THEN ' ' ELSE '' END) AS title,
     CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(YEAR(o_orderdate) AS INT) END AS publication_year,
     CASE WHEN o_orderkey % 17 = 0 THEN NULL
       WHEN o_orderkey % 17 = 1 THEN SUBSTRING(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 1, 4)
@@ -33,8 +34,10 @@ fx_work_all AS (
     CAST(FLOOR(o_totalprice/1000) AS BIGINT) AS cited_by_count,
     NULLIF(d.lang, '') AS language,
     d.text AS text,
-    CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(100 + 10*c_nationkey AS BIGINT) END AS oa_source_id,
-    CASE WHEN c_acctbal < 0 THEN NULL WHEN c_nationkey = 0 THEN 'Nature' WHEN c_nationkey = 1 THEN 'SCIENCE'
+    CASE WHEN c_acctbal < 0 THEN NULL WHEN o_orderkey % 10 = 9 THEN CAST(9000 + o_orderkey % 7 AS BIGINT)
+      ELSE CAST(100 + 10*c_nationkey AS BIGINT) END AS oa_source_id,
+    CASE WHEN c_acctbal < 0 THEN NULL WHEN o_orderkey % 10 = 9 THEN CONCAT(' Rare venue ', CAST(o_orderkey % 7 AS VARCHAR))
+      WHEN c_nationkey = 0 THEN 'Nature' WHEN c_nationkey = 1 THEN 'SCIENCE'
       ELSE n_name END AS source_name,
     CAST(CASE o_orderkey % 3 WHEN 0 THEN '2024-01-01' WHEN 1 THEN '2024-02-01' ELSE '2024-03-01' END AS DATE)
       AS updated_date
@@ -46,21 +49,26 @@ fx_line AS (
     l_quantity, l_extendedprice, l_shipdate) - 1 AS pos FROM lineitem
 ),
 fx_ref AS (
-  SELECT l_orderkey AS k, CAST(1000 + 3*(CASE WHEN l_orderkey % 10 < 6 THEN l_partkey*10 + l_suppkey % 6
-     ELSE l_orderkey - l_orderkey % 100 + 10*(l_partkey % 10) + 6 + l_suppkey % 4 END) AS BIGINT) AS ref_oa_id
-  FROM lineitem WHERE l_linenumber <= 2
+  SELECT l_orderkey AS k, CAST(1000 + 3*(CASE WHEN l_linenumber = 7 THEN NULL
+     WHEN l_orderkey % 10 < 6 THEN l_partkey*10 + l_suppkey % 6
+     WHEN l_linenumber = 1 THEN l_orderkey - l_orderkey % 1000 + 6
+     ELSE l_orderkey - l_orderkey % 1000 + 6 + 10*(l_partkey % 100) + l_suppkey % 4 END) AS BIGINT) AS ref_oa_id
+  FROM lineitem
 ),
 fx_authorship AS (
-  SELECT l_orderkey AS k, pos, CAST(500 + l_partkey AS BIGINT) AS oa_author_id, p_name AS name,
+  SELECT l_orderkey AS k, pos, CASE WHEN l_partkey % 37 <> 0 THEN CAST(500 + l_partkey AS BIGINT) END AS oa_author_id, p_name AS name,
     CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE CONCAT('{ORCID_PREFIX}', CAST(l_partkey AS VARCHAR)) END AS orcid
   FROM (SELECT l_orderkey, pos, l_partkey, l_quantity FROM fx_line
         UNION ALL SELECT l_orderkey, pos + 100, l_partkey, l_quantity FROM fx_line WHERE l_orderkey % 7 = 0) x
-  JOIN part ON p_partkey = l_partkey WHERE l_quantity <= 5
+  JOIN part ON p_partkey = l_partkey
 ),
 fx_topic AS (
   SELECT l_orderkey AS k, CAST(pos AS BIGINT) AS sequence,
-    CASE WHEN p_size % 11 = 0 THEN NULL ELSE CAST(10 + p_size % 10 AS BIGINT) END AS field_id,
-    CASE WHEN p_size % 13 = 0 THEN NULL ELSE CAST(1000 + p_size AS BIGINT) END AS subfield_id
+    CASE WHEN p_size % 11 = 0 THEN NULL WHEN l_orderkey % 10 = 9 THEN CAST(60 + p_size % 3 AS BIGINT)
+      ELSE CAST(10 + p_size % 10 AS BIGINT) END AS field_id,
+    CASE WHEN p_size % 13 = 0 THEN NULL WHEN l_orderkey % 10 = 9 THEN CAST(9000 + p_size % 5 AS BIGINT)
+      ELSE CAST(1000 + p_size AS BIGINT) END AS subfield_id,
+    p_size % 13 = 1 AS subfield_bad
   FROM fx_line JOIN part ON p_partkey = l_partkey
 ),
 kept AS (SELECT * FROM fx_work_all WHERE type IN ({_KEEP})),
@@ -94,8 +102,9 @@ meta AS (
 ),
 au AS (
   SELECT p.paper_id, p.updated_date, a.k, a.oa_author_id, a.name, a.orcid,
-    CAST(ROW_NUMBER() OVER (PARTITION BY a.k ORDER BY a.pos) - 1 AS BIGINT) AS position
-  FROM fx_authorship a JOIN papers p ON p.k = a.k
+    a.position
+  FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY k ORDER BY pos) - 1 AS BIGINT) AS position FROM fx_authorship) a
+  JOIN papers p ON p.k = a.k WHERE a.oa_author_id IS NOT NULL
 ),
 au_first AS (
   SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY oa_author_id ORDER BY updated_date, k, position) AS rn
@@ -111,7 +120,7 @@ pa AS (
 ),
 tp AS (
   SELECT p.paper_id, t.k, t.sequence, t.field_id, CONCAT('Field ', CAST(t.field_id AS VARCHAR)) AS field_name,
-    COALESCE(t.subfield_id, -1) AS subfield_id,
+    CASE WHEN t.subfield_bad THEN -1 ELSE COALESCE(t.subfield_id, -1) END AS subfield_id,
     CASE WHEN t.subfield_id IS NULL THEN '' ELSE CONCAT('Subfield ', CAST(t.subfield_id AS VARCHAR)) END
       AS subfield_name
   FROM fx_topic t JOIN papers p ON p.k = t.k WHERE t.field_id IS NOT NULL
@@ -128,7 +137,7 @@ pcat AS (
   FROM tp JOIN cats m ON m.type = 'main' AND m.openalex_id = tp.field_id
   LEFT JOIN cats s ON s.type = 'sub' AND s.openalex_id = tp.subfield_id
 ),
-refs AS (SELECT p.paper_id, r.ref_oa_id FROM fx_ref r JOIN papers p ON p.k = r.k),
+refs AS (SELECT p.paper_id, r.ref_oa_id FROM fx_ref r JOIN papers p ON p.k = r.k WHERE r.ref_oa_id IS NOT NULL),
 resolved AS (SELECT r.paper_id AS src, q.paper_id AS dst FROM refs r JOIN papers q ON q.oa_id = r.ref_oa_id),
 cit AS (SELECT DISTINCT src, dst FROM resolved WHERE src <> dst),
 und AS (SELECT src AS a, dst AS b FROM cit UNION SELECT dst AS a, src AS b FROM cit),
@@ -231,8 +240,8 @@ _TAILS = {
             WHERE oa_source_id IS NOT NULL
           UNION ALL SELECT CONCAT('{URL_PREFIX}fields/', CAST(field_id AS VARCHAR)), field_id FROM fx_topic
             WHERE field_id IS NOT NULL
-          UNION ALL SELECT CONCAT('{URL_PREFIX}subfields/', CAST(subfield_id AS VARCHAR)), subfield_id FROM fx_topic
-            WHERE subfield_id IS NOT NULL) u""",
+          UNION ALL SELECT CONCAT('{URL_PREFIX}subfields/', CASE WHEN subfield_bad THEN NULL ELSE CAST(subfield_id AS VARCHAR) END),
+            CASE WHEN subfield_bad THEN NULL ELSE subfield_id END FROM fx_topic WHERE subfield_id IS NOT NULL) u""",
     "frac_year": "SELECT openalex_id AS oa_id, publication_date, year, frac_year FROM meta",
     "paper_index": "SELECT oa_id, paper_id FROM papers",
     "paper_metadata": "SELECT * FROM meta",
@@ -292,7 +301,12 @@ _TAILS = {
         (SELECT COUNT(*) FROM tp) AS n_topics,
         (SELECT COUNT(*) FROM abst) AS n_abstracts,
         (SELECT COUNT(*) FROM cit) AS n_citation_edges,
-        (SELECT COUNT(*) FROM pa) AS n_paper_author_edges""",
+        (SELECT COUNT(*) FROM pa) AS n_paper_author_edges,
+        (SELECT COUNT(*) FROM fx_ref r JOIN papers p ON p.k = r.k WHERE r.ref_oa_id IS NULL) AS n_bad_references,
+        (SELECT COUNT(*) FROM fx_authorship a JOIN papers p ON p.k = a.k WHERE a.oa_author_id IS NULL) AS n_bad_authors,
+        CAST(0 AS BIGINT) AS n_bad_fields,
+        (SELECT COUNT(*) FROM fx_topic t JOIN papers p ON p.k = t.k WHERE t.subfield_bad) AS n_bad_subfields,
+        CAST(0 AS BIGINT) AS n_bad_sources, CAST(0 AS BIGINT) AS n_bad_works""",
     "csv_roundtrip": "SELECT * FROM ptab",
     "csv_gz_roundtrip": "SELECT * FROM authors",
     "parquet_roundtrip": "SELECT * FROM pcat",

@@ -66,20 +66,20 @@ class UnfilteredBuild:
 
     @cached_property
     def references(self) -> DataFrame:
-        return extract.explode_references(self.indexed)
+        return extract.explode_references(self.indexed, on_bad=self.on_bad)
 
     @cached_property
     def authorships(self) -> DataFrame:
-        return extract.explode_authorships(self.indexed)
+        return extract.explode_authorships(self.indexed, on_bad=self.on_bad)
 
     @cached_property
     def topics(self) -> DataFrame:
-        return extract.explode_topics(self.indexed)
+        return extract.explode_topics(self.indexed, on_bad=self.on_bad)
 
     # -- entity tables ---------------------------------------------------
     @cached_property
     def _sources(self) -> DataFrame:
-        t = tables.source_table(extract.source_occurrences(self.indexed), with_occurrences=True)
+        t = tables.source_table(extract.source_occurrences(self.indexed, on_bad=self.on_bad), with_occurrences=True)
         return stage(t, "source_table")
 
     @cached_property
@@ -108,7 +108,7 @@ class UnfilteredBuild:
     @cached_property
     def paper_author_net(self) -> DataFrame:
         hot = tables.hot_from_counts(self._authors, "openalex_author_id", "oa_author_id")
-        return tables.paper_author_net(self.authorships, self.author_table, hot=hot)
+        return stage(tables.paper_author_net(self.authorships, self.author_table, hot=hot), "paper_author_net")
 
     @cached_property
     def category_table(self) -> DataFrame:
@@ -116,7 +116,7 @@ class UnfilteredBuild:
 
     @cached_property
     def paper_category_table(self) -> DataFrame:
-        return tables.paper_category_table(self.topics, self.category_table)
+        return stage(tables.paper_category_table(self.topics, self.category_table), "paper_category")
 
     @cached_property
     def abstracts(self) -> DataFrame:
@@ -163,14 +163,18 @@ class UnfilteredBuild:
     def flags(self) -> DataFrame:
         return graph.flag_members(self.labels, self.chosen_component)
 
-    @cached_property
-    def paper_table(self) -> DataFrame:
+    def paper_table_plan(self) -> DataFrame:
         """Metadata plus ``is_connected``. The flag joins the narrow index first,
         so the wide records meet paper_id and flag in their one join."""
         flagged = self.index.join(self.flags, "paper_id", "left")
         rows = extract.index_works(self.clean, flagged)
         return tables.paper_table(self._metadata(rows, carry=("is_connected",)))
 
+    @cached_property
+    def paper_table(self) -> DataFrame:
+        """``paper_table_plan``, staged: it is written, checked and handed to the component dataset."""
+        return stage(self.paper_table_plan(), "paper_table")
+
     # -- checks and registry --------------------------------------------
     def venue_validation(self) -> DataFrame:
         return validate.venue_validation(self.paper_table, self.source_table)
@@ -189,7 +193,8 @@ class UnfilteredBuild:
 
     def counters(self) -> DataFrame:
         """Job counters: kept papers, resolved citation links, authorship links,
-        authors, sources, topic rows, abstracts."""
+        authors, sources, topic rows, abstracts, and the ids that were dropped
+        because they are no number."""
         resolved = self.references.join(
             self.index.select(F.col("oa_id").alias("ref_oa_id")), "ref_oa_id", "left_semi"
         )
@@ -205,7 +210,7 @@ class UnfilteredBuild:
                 "n_citation_edges": self.citation_net,
                 "n_paper_author_edges": self.paper_author_net,
             }
-        )
+        ).crossJoin(extract.bad_id_counts(self.works, self.clean))  # one row each
 
     def outputs(self) -> dict[str, DataFrame]:
         """The unfiltered dataset: table name -> DataFrame."""
@@ -245,7 +250,8 @@ class LccBuild:
 
     @cached_property
     def papers(self) -> DataFrame:
-        return lcc.lcc_papers(self.t["paper_table"], self.paper_map, keep_flag=self.keep_flag)
+        # read by the paper, source and registry outputs: staged once
+        return stage(lcc.lcc_papers(self.t["paper_table"], self.paper_map, keep_flag=self.keep_flag), "lcc_papers")
 
     @cached_property
     def citation_net(self) -> DataFrame:
@@ -271,7 +277,7 @@ class LccBuild:
 
     @cached_property
     def _pcat_old_classes(self) -> DataFrame:
-        return lcc.lcc_paper_category(self.t["paper_category_table"], self.paper_map)
+        return stage(lcc.lcc_paper_category(self.t["paper_category_table"], self.paper_map), "lcc_pcat")
 
     @cached_property
     def _categories_old_ids(self) -> DataFrame:

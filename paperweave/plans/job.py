@@ -22,7 +22,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import graph, validate
+from ..operators import validate
 from ..session import cleanup_staging, get_session, stage
 from ..sources import tables as io
 from ..sources.works import require_nonempty, scan_works
@@ -66,11 +66,9 @@ def write_dataset(spark: SparkSession, outputs: dict[str, DataFrame], out: str,
         with timer.step(name):
             io.write_table(outputs[name], io.table_path(out, name, "csv"), "csv", sort_by=order)
     with timer.step("citation_net"):
-        io.write_graph(outputs["citation_net"], graph.graph_shape(outputs["citation_net"], n_papers),
-                       f"{out}/citation_net")
+        io.write_graph(outputs["citation_net"], f"{out}/citation_net", n_papers)
     with timer.step("paper_author_net"):
-        io.write_graph(outputs["paper_author_net"], graph.graph_shape(outputs["paper_author_net"], n_papers, n_authors),
-                       f"{out}/paper_author_net")
+        io.write_graph(outputs["paper_author_net"], f"{out}/paper_author_net", n_papers, n_authors)
     with timer.step("abstracts"):
         io.write_abstracts(outputs["abstracts"], io.table_path(out, "abstracts", "parquet"),
                            global_sort=global_abstract_sort)
@@ -82,32 +80,42 @@ def write_dataset(spark: SparkSession, outputs: dict[str, DataFrame], out: str,
 
 def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact",
                      sync_date: str | None = None, timer: Timer | None = None,
-                     log_counters: bool = False, on_bad: str = "null") -> UnfilteredBuild:
+                     log_counters: bool = False, on_bad: str = "null", source: str = "") -> UnfilteredBuild:
     """Build and write the unfiltered dataset to ``<out>_unfiltered``.
 
     ``log_counters`` logs the job counters (papers, resolved citation links,
-    authorship links, authors, sources, topic rows, abstracts, graph sizes).
+    authorship links, authors, sources, topic rows, abstracts, graph sizes,
+    dropped ids). Fails when no record passes the filters; ``source`` names
+    the input in that message.
     """
     timer = timer or Timer()
     spark = works.sparkSession
     b = UnfilteredBuild(works, component_rule=component_rule, sync_date=sync_date, on_bad=on_bad)
     with timer.step("index"):
-        b.index
+        n_papers = b.index.count()
+        if n_papers == 0:
+            raise RuntimeError("no work record is left after the id and type filters" + (f" in {source}" if source else ""))
     with timer.step("citation_graph"):
         b.citation_net
     with timer.step("components"):
         b.labels
-        b.component_summary
+        if component_rule == "seeded":
+            b.component_summary
     with timer.step("entity_tables"):
         b.source_table
         b.author_table
         b.category_table
-    n_papers = b.index.count()
-    n_authors = b.author_table.count()
-    write_dataset(spark, b.outputs(), unfiltered_dir(out), n_papers, n_authors,
-                  global_abstract_sort=False, timer=timer)
+        n_authors = b.author_table.count()
+    with timer.step("link_tables"):
+        b.paper_table
+        b.paper_author_net
+        b.paper_category_table
+    with timer.step("plan_outputs"):
+        outputs = b.outputs()
+    write_dataset(spark, outputs, unfiltered_dir(out), n_papers, n_authors, global_abstract_sort=False, timer=timer)
     with timer.step("validation"):
         validate.log_venue_validation(b.venue_validation().first())
+        log.info("completeness: %s", b.completeness().first().asDict())
     if log_counters:
         with timer.step("counters"):
             log.info("counters: %s", b.counters().first().asDict())
@@ -127,19 +135,23 @@ def read_unfiltered(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 
 def build_lcc(spark: SparkSession, out: str, *, sync_date: str | None = None,
               timer: Timer | None = None, keep_flag: bool = False,
-              renumber_categories: bool = False, flags: DataFrame | None = None) -> LccBuild:
+              renumber_categories: bool = False, flags: DataFrame | None = None,
+              tables: dict[str, DataFrame] | None = None) -> LccBuild:
     """Restrict the written unfiltered dataset to the flagged component; write to ``out``.
 
-    ``flags`` (the unfiltered build's staged flags, when run in one application)
-    replaces reading the flag back from the written paper table.
+    In one application ``flags`` and ``tables`` are the unfiltered build's staged
+    Parquet frames, so no written CSV (multi-line, not splittable) is parsed
+    again; without them the written dataset is read.
     """
     timer = timer or Timer()
-    lb = LccBuild(read_unfiltered(spark, out), sync_date=sync_date, keep_flag=keep_flag,
+    lb = LccBuild(tables or read_unfiltered(spark, out), sync_date=sync_date, keep_flag=keep_flag,
                   renumber_categories=renumber_categories, flags=flags)
-    with timer.step("lcc_maps"):
+    with timer.step("maps"):
         n_papers = lb.paper_map.count()
         n_authors = lb.author_map.count()
-    write_dataset(spark, lb.outputs(), out, n_papers, n_authors, global_abstract_sort=True, timer=timer)
+    with timer.step("plan_outputs"):
+        outputs = lb.outputs()
+    write_dataset(spark, outputs, out, n_papers, n_authors, global_abstract_sort=True, timer=timer)
     return lb
 
 
@@ -148,13 +160,12 @@ def main(argv=None) -> None:
     ap.add_argument("--raw", required=True, help="snapshot root holding data/works/updated_date=*/")
     ap.add_argument("--out", required=True, help="output directory of the component dataset")
     ap.add_argument("--partitions", nargs="*", default=None, help="updated_date=... directories to read")
-    ap.add_argument("--files-per-partition", type=int, default=0)
     ap.add_argument("--component-rule", choices=["exact", "seeded"], default="exact")
     ap.add_argument("--sync-date", default=None)
     ap.add_argument("--counters", action="store_true", help="log the job counters")
     ap.add_argument("--keep-flag", action="store_true", help="keep is_connected in the filtered papers")
     ap.add_argument("--on-bad", choices=["null", "fail"], default="null",
-                    help="a work id that is not a number: drop the work (null) or fail the job")
+                    help="an id of any kind that is not a number: drop what it names (null) or fail the job")
     ap.add_argument("--renumber-categories", action="store_true",
                     help="contiguous class ids in the filtered dataset (default: old ids kept)")
     args = ap.parse_args(argv)
@@ -165,15 +176,15 @@ def main(argv=None) -> None:
         # one JSON parse: every later pass reads pruned Parquet columns, and the
         # order key (file position) is frozen with the records
         works = stage(
-            scan_works(spark, args.raw, partitions=args.partitions, files_per_partition=args.files_per_partition),
+            scan_works(spark, args.raw, partitions=args.partitions),
             "works_scanned",
         )
         require_nonempty(works, args.raw)
     try:
         b = build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
-                             timer=timer, log_counters=args.counters, on_bad=args.on_bad)
+                             timer=timer, log_counters=args.counters, on_bad=args.on_bad, source=args.raw)
         build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer, keep_flag=args.keep_flag,
-                  renumber_categories=args.renumber_categories, flags=b.flags)
+                  renumber_categories=args.renumber_categories, flags=b.flags, tables=b.outputs())
     finally:
         cleanup_staging(spark)
     print(json.dumps({k: round(v, 3) for k, v in timer.steps.items()}))

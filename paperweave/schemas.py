@@ -98,17 +98,6 @@ WORK = T.StructType(
     ]
 )
 
-# Position of a record in the snapshot: partition, file, block, line. Used to
-# reproduce "first appearance" numbering of authors and sources.
-ORDER_KEY = T.StructType(
-    [
-        T.StructField("updated_date", T.DateType()),
-        T.StructField("file", T.StringType()),
-        T.StructField("block", T.LongType()),
-        T.StructField("line", T.LongType()),
-    ]
-)
-
 # ---------------------------------------------------------------------------
 # Output tables (column names and types are fixed values too: consumers of the
 # written tables read them by these names)

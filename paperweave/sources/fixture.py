@@ -27,7 +27,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _url(tag: str, id_col) -> F.Column:
-    return F.concat(F.lit(URL_PREFIX + tag), id_col.cast("string"))
+    # a null id gives an URL without digits: an id that is no number
+    return F.concat(F.lit(URL_PREFIX + tag), F.coalesce(id_col.cast("string"), F.lit("")))
 
 
 def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +56,16 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     oa_id = (F.lit(1000) + F.lit(3) * k).cast("bigint")
     date_str = F.col("o_orderdate").cast("date").cast("string")
-    src_id = F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(
-        (F.lit(100) + F.lit(10) * F.col("c_nationkey")).cast("bigint")
+    # keys ending in 9 lie in the small components only; they have venues of their own
+    rare = k % 10 == 9
+    src_id = (
+        F.when(F.col("c_acctbal") < 0, F.lit(None))
+        .when(rare, (F.lit(9000) + k % 7).cast("bigint"))
+        .otherwise((F.lit(100) + F.lit(10) * F.col("c_nationkey")).cast("bigint"))
     )
     src_name = (
         F.when(F.col("c_acctbal") < 0, F.lit(None))
+        .when(rare, F.concat(F.lit(" Rare venue "), (k % 7).cast("string")))
         .when(F.col("c_nationkey") == 0, F.lit("Nature"))
         .when(F.col("c_nationkey") == 1, F.lit("SCIENCE"))
         .otherwise(F.col("n_name"))
@@ -76,7 +82,9 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("o_orderpriority") == "5-LOW", "letter")
             .otherwise("dataset")
             .alias("type"),
-            F.concat(F.lit('Work, "'), k.cast("string"), F.lit('"')).alias("title"),
+            # some titles begin and end with white space
+            F.concat(F.when(k % 23 == 0, F.lit("\t ")).otherwise(F.lit("")), F.lit('Work, "'), k.cast("string"), F.lit('"'),
+                     F.when(k % 23 < 2, F.lit(" ")).otherwise(F.lit(""))).alias("title"),
             F.when(k % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit(DOI_PREFIX), k.cast("string"))).alias("doi"),
             F.when(k % 19 == 0, F.lit(None)).otherwise(F.year("o_orderdate")).cast("int").alias("publication_year"),
             F.when(k % 17 == 0, F.lit(None))
@@ -103,31 +111,35 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
 
-    # references: first two line numbers of every order
+    # references: one per line. Keys ending in 0-5 cite each other at random; the others stay inside
+    # their thousand, where the first line cites one hub. Line 7 holds an id that is no number.
     lk = F.col("l_orderkey")
-    ref_key = F.when(lk % 10 < 6, F.col("l_partkey") * 10 + F.col("l_suppkey") % 6).otherwise(
-        lk - lk % 100 + 10 * (F.col("l_partkey") % 10) + 6 + F.col("l_suppkey") % 4
+    block = lk - lk % 1000 + 6
+    ref_key = (
+        F.when(F.col("l_linenumber") == 7, F.lit(None))
+        .when(lk % 10 < 6, F.col("l_partkey") * 10 + F.col("l_suppkey") % 6)
+        .when(F.col("l_linenumber") == 1, block)
+        .otherwise(block + 10 * (F.col("l_partkey") % 100) + F.col("l_suppkey") % 4)
     )
     refs = (
-        lines.filter(F.col("l_linenumber") <= 2)
-        .select(lk.alias("k"), _url("W", (F.lit(1000) + 3 * ref_key).cast("bigint")).alias("u"))
+        lines.select(lk.alias("k"), _url("W", (F.lit(1000) + 3 * ref_key).cast("bigint")).alias("u"))
         .groupBy("k")
         .agg(F.collect_list("u").alias("referenced_works"))
     )
 
-    # authorships: small-quantity lines; orders divisible by 7 repeat them at pos + 100
+    # authorships: one per line; orders divisible by 7 repeat them at pos + 100. Parts divisible by 37
+    # give an author id that is no number.
     base_lines = lines.select(lk.alias("k"), "pos", "l_partkey", "l_quantity")
     repeated = base_lines.filter(F.col("k") % 7 == 0).withColumn("pos", F.col("pos") + 100)
     au_rows = (
         base_lines.unionByName(repeated)
-        .filter(F.col("l_quantity") <= 5)
         .join(part, F.col("l_partkey") == part["p_partkey"])
         .select(
             "k",
             "pos",
             F.struct(
                 F.struct(
-                    _url("A", (F.lit(500) + F.col("l_partkey")).cast("bigint")).alias("id"),
+                    _url("A", F.when(F.col("l_partkey") % 37 != 0, F.lit(500) + F.col("l_partkey")).cast("bigint")).alias("id"),
                     F.col("p_name").alias("display_name"),
                     F.when(F.col("l_partkey") % 3 == 0, F.lit(None))
                     .otherwise(F.concat(F.lit(ORCID_PREFIX), F.col("l_partkey").cast("string")))
@@ -140,10 +152,13 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "a"))), lambda x: x["a"]).alias("authorships")
     )
 
-    # topics: one per line, field/subfield from the part size
+    # topics: one per line, field/subfield from the part size; rare works have categories of their own,
+    # and some subfield ids are no number
     size = F.col("p_size")
-    field_id = F.when(size % 11 == 0, F.lit(None)).otherwise(F.lit(10) + size % 10).cast("bigint")
-    sub_id = F.when(size % 13 == 0, F.lit(None)).otherwise(F.lit(1000) + size).cast("bigint")
+    own = lk % 10 == 9
+    field_id = F.when(size % 11 == 0, F.lit(None)).when(own, F.lit(60) + size % 3).otherwise(F.lit(10) + size % 10).cast("bigint")
+    sub_id = F.when(own, F.lit(9000) + size % 5).otherwise(F.lit(1000) + size).cast("bigint")
+    sub_none, sub_bad = size % 13 == 0, size % 13 == 1
     tp_rows = lines.join(part, F.col("l_partkey") == part["p_partkey"]).select(
         lk.alias("k"),
         "pos",
@@ -156,9 +171,9 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ),
             ).alias("field"),
             F.when(
-                sub_id.isNotNull(),
+                ~sub_none,
                 F.struct(
-                    _url("subfields/", sub_id).alias("id"),
+                    _url("subfields/", F.when(~sub_bad, sub_id)).alias("id"),
                     F.concat(F.lit("Subfield "), sub_id.cast("string")).alias("display_name"),
                 ),
             ).alias("subfield"),

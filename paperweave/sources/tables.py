@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.graph import graph_shape
 
-_CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# white space belongs to the value: Spark trims it on write unless told not to
+_CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def table_path(out_dir: str, name: str, fmt: str) -> str:
@@ -54,10 +57,10 @@ def write_table(
 
 
 def read_table(spark: SparkSession, path: str, name: str | None = None, fmt: str = "csv", schema=None) -> DataFrame:
-    """Read a table written by ``write_table`` with its fixed schema."""
+    """Read a table written by ``write_table`` with its fixed schema; a cell that does not fit fails the read."""
     schema = schema or (schemas.TABLES[name] if name else None)
     if fmt == "csv":
-        r = spark.read.options(**_CSV_OPTIONS)
+        r = spark.read.options(**_CSV_OPTIONS).option("mode", "FAILFAST")
         r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
         return r.csv(path)
     if fmt == "parquet":
@@ -79,10 +82,11 @@ def write_abstracts(df: DataFrame, path: str, *, global_sort: bool = False,
     )
 
 
-def write_graph(edges: DataFrame, shape: DataFrame, path: str) -> None:
-    """Edge list as Parquet plus a one-row shape table next to it."""
+def write_graph(edges: DataFrame, path: str, n_rows: int, n_cols: int | None = None) -> None:
+    """Edge list as Parquet plus a one-row shape table next to it, counted from the written edges."""
     edges.write.mode("overwrite").parquet(f"{path}/edges")
-    shape.coalesce(1).write.mode("overwrite").parquet(f"{path}/shape")
+    written = edges.sparkSession.read.parquet(f"{path}/edges")
+    graph_shape(written, n_rows, n_cols).coalesce(1).write.mode("overwrite").parquet(f"{path}/shape")
 
 
 def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

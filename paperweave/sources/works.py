@@ -11,6 +11,7 @@ its lines.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from .. import schemas
 
 PARTITION_COL = "updated_date"
+_PARTITION = re.compile(rf"{PARTITION_COL}=(\d{{4}}-\d{{2}}-\d{{2}})")
 
 
 def works_dir(root: str) -> str:
@@ -49,7 +51,7 @@ def _list_files(spark: SparkSession, base: str, partitions: Iterable[str] | None
         files = sorted(
             f.getPath().toString()
             for f in fs.listStatus(st.getPath())
-            if f.isFile() and not f.getPath().getName().startswith(("_", "."))
+            if f.isFile() and f.getPath().getName().endswith(".gz") and not f.getPath().getName().startswith(("_", "."))
         )
         out[name] = files
     return out
@@ -65,13 +67,17 @@ def scan_works(
 ) -> DataFrame:
     """Raw work records with ``updated_date`` and ``order_key``.
 
-    ``partitions`` names the ``updated_date=...`` directories to read (missing
-    ones are ignored); the filter sits right on the scan so it prunes
-    directories. ``files_per_partition`` > 0 reads only the first files (by
+    Only ``*.gz`` files count; other files beside them are not read.
+    ``partitions`` names the ``updated_date=...`` directories to read: names
+    that are missing or no date are ignored, and records keep date order
+    whatever the order of the list. The filter sits right on the scan so it
+    prunes directories. ``files_per_partition`` > 0 reads only the first files (by
     name) of each partition, a sample for trial runs.
     """
     base = works_dir(root)
-    reader = spark.read.schema(_read_schema()).option("mode", mode)
+    reader = spark.read.schema(_read_schema()).option("mode", mode).option("pathGlobFilter", "*.gz")
+    if not _exists(spark, base):
+        raise _nothing_found(root)
     if files_per_partition > 0:
         listing = _list_files(spark, base, partitions)
         paths = [p for files in listing.values() for p in files[:files_per_partition]]
@@ -81,8 +87,9 @@ def scan_works(
     else:
         df = reader.json(base)
         if partitions is not None:
-            dates = [p.split("=", 1)[1] for p in partitions]
-            df = df.filter(F.col(PARTITION_COL).isin([F.lit(d).cast("date") for d in dates]))
+            named = (_PARTITION.fullmatch(p) for p in partitions)
+            dates = [F.lit(m[1]).try_cast("date") for m in named if m]
+            df = df.filter(F.col(PARTITION_COL).isin(dates) if dates else F.lit(False))
     return df.withColumn(
         "order_key",
         F.struct(
@@ -94,13 +101,19 @@ def scan_works(
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def _nothing_found(root: str) -> RuntimeError:
+    return RuntimeError(f"the snapshot holds no usable work record: looked for {works_dir(root)}/{PARTITION_COL}=<date>/*.gz")
+
+
 def require_nonempty(df: DataFrame, root: str) -> DataFrame:
-    """Fail with the expected location when ``df`` has no rows."""
+    """Fail with the place that was searched when ``df`` has no rows."""
     if df.isEmpty():
-        raise RuntimeError(
-            f"No works found in {root}. Expected JSON lines files at "
-            f"{works_dir(root)}/{PARTITION_COL}=*/*.gz"
-        )
+        raise _nothing_found(root)
     return df
 
 

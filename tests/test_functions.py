@@ -12,11 +12,19 @@ MAP = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
 
 
 def test_parse_oa_id(spark):
-    rows = [("https://x.org/W2741809807",), ("https://x.org/fields/17",), ("W5",), ("12",), (None,),
-            ("https://x.org/W-5",), ("https://x.org/Wabc",), ("A5",)]
-    df = spark.createDataFrame(rows, "u string")
-    got = [r[0] for r in df.select(parse_oa_id("u")).collect()]
-    assert got == [2741809807, 17, 5, 12, -1, -5, None, 5]
+    expected = {
+        "https://ids.test/a/b/Q9000000001": 9000000001,  # past 32 bits
+        "https://ids.test/subfields/3309": 3309,  # no letter
+        "Z80": 80,
+        "7": 7,
+        "https://ids.test/W-31": -31,
+        "https://ids.test/W": None,  # nothing after the letter
+        "https://ids.test/WW8": None,  # one letter only
+        "https://ids.test/W8/": None,
+    }
+    df = spark.createDataFrame([(u,) for u in expected] + [(None,)], "u string")
+    got = {r[0]: r[1] for r in df.select("u", parse_oa_id("u")).collect()}
+    assert got == {**expected, None: -1}
 
 
 def test_parse_oa_id_fail_mode(spark):
@@ -26,11 +34,12 @@ def test_parse_oa_id_fail_mode(spark):
 
 
 def test_frac_year(spark):
-    rows = [("2018-02-13", 2018), ("2018", 2018), ("2018-xx-01", 2018), ("2018-13-01", 2018),
-            ("2018-02-01", None), ("", 0), (None, 2000), ("2018-00-05", 2018)]
-    df = spark.createDataFrame(rows, "d string, y int")
+    # twelfths of a year before the month; anything unreadable counts as January
+    cases = [("1999-07-31", 1999, 1999.5), ("1999-10-01", 1999, 1999.75), ("1999", 1999, 1999.0), ("1999-ab-01", 1999, 1999.0),
+             ("1999-25-01", 1999, 2001.0), ("1999-04-01", None, 0.25), ("", 0, 0.0), (None, 1987, 1987.0), ("1999-00", 1999, 1999 - 1 / 12.0)]
+    df = spark.createDataFrame([c[:2] for c in cases], "d string, y int")
     got = [r[0] for r in df.select(frac_year("d", "y")).collect()]
-    assert got == [2018 + 1 / 12.0, 2018.0, 2018.0, 2019.0, 1 / 12.0, 0.0, 2000.0, 2018 - 1 / 12.0]
+    assert got == [c[2] for c in cases]
 
 
 def _abstract(spark, m):
@@ -39,11 +48,11 @@ def _abstract(spark, m):
 
 
 def test_abstract_examples(spark):
-    assert _abstract(spark, {"word": [0, 5], "other": [1]}) == "word other    word"
+    assert _abstract(spark, {"to": [0, 4], "be": [1, 5], "or": [2], "not": [3]}) == "to be or not to be"
+    assert _abstract(spark, {"end": [3]}) == "   end"  # three empty slots before it
+    assert _abstract(spark, {"none": []}) == ""
     assert _abstract(spark, {}) == ""
     assert _abstract(spark, None) == ""
-    assert _abstract(spark, {"z": []}) == ""
-    assert _abstract(spark, {"a": [2]}) == "  a"
 
 
 def test_abstract_collision_later_key_wins(spark):
@@ -97,17 +106,14 @@ def test_long_text_is_not_quadratic(spark):
 
 
 def _model_text(entries):
-    """Plain-Python statement of the rebuild rule: slots 0..max position, later
-    entries overwrite earlier ones, negative positions count from the end."""
-    positions = [p for _, ps in entries for p in ps]
-    if not positions or max(positions) < 0:
-        return ""
-    slots = [""] * (max(positions) + 1)
-    for word, ps in entries:
-        for p in ps:
-            if -len(slots) <= p < len(slots):
-                slots[p] = word
-    return " ".join(slots)
+    """The word at a place is that of the last entry which names the place, counted from either end."""
+    size = 1 + max((p for _, places in entries for p in places), default=-1)
+
+    def word_at(place):
+        named = [w for w, places in entries if place in places or place - size in places]
+        return named[-1] if named else ""
+
+    return " ".join(map(word_at, range(size)))
 
 
 from hypothesis import given, settings  # noqa: E402

@@ -60,41 +60,34 @@ def test_components_long_path_and_star(spark):
     assert got == _components_brute(n, edges)
 
 
-def _seeded_brute(n, edges, n_repeats):
-    """Reference search: seed = highest remaining degree (lowest id), expand to fixpoint."""
-    nbrs = [set() for _ in range(n)]
-    for a, b in edges:
-        if a != b:
-            nbrs[a].add(b)
-            nbrs[b].add(a)
-    remaining = set(range(n))
-    found = []
-    for _ in range(n_repeats):
-        if not remaining:
-            break
-        seed = max(sorted(remaining), key=lambda x: len(nbrs[x]))
-        seen, todo = {seed}, [seed]
-        while todo:
-            x = todo.pop()
-            for y in nbrs[x]:
-                if y not in seen:
-                    seen.add(y)
-                    todo.append(y)
-        found.append(seen)
-        remaining -= seen
-    best = max(range(len(found)), key=lambda i: len(found[i]))
-    return found[best]
-
-
-@pytest.mark.parametrize("seed,n,m", [(7, 120, 70), (8, 200, 120), (9, 30, 0)])
-def test_seeded_rule_matches_search(spark, seed, n, m):
-    edges = _random_graph(seed, n, m)
+# graphs with the members that the seeded rule must choose (worked out by hand)
+SEEDED_CASES = {
+    # a star of degree 3, a path of five: the path is larger and among the first five
+    "path_beats_star": (9, [(0, 1), (0, 2), (0, 3), (4, 5), (5, 6), (6, 7), (7, 8)], 5, {4, 5, 6, 7, 8}),
+    # with one try only the star, which holds the highest degree, is met
+    "one_try": (9, [(0, 1), (0, 2), (0, 3), (4, 5), (5, 6), (6, 7), (7, 8)], 1, {0, 1, 2, 3}),
+    # equal degrees: the component with the lowest such vertex is met first; equal sizes: the first met stays
+    "ties": (6, [(4, 5), (0, 3), (1, 2)], 2, {0, 3}),
+    # six stars of falling degree and a path of seven behind them: five tries do not reach the path
+    "out_of_reach": (
+        32 + 7,
+        [(0, i) for i in range(1, 8)] + [(8, i) for i in range(9, 15)] + [(15, i) for i in range(16, 21)]
+        + [(21, i) for i in range(22, 26)] + [(26, i) for i in range(27, 30)] + [(i, i + 1) for i in range(30, 38)],
+        5, set(range(8)),
+    ),
+    "no_edges": (4, [], 5, {0}),
+}
+
+
+@pytest.mark.parametrize("case", SEEDED_CASES)
+def test_seeded_rule(spark, case):
+    n, edges, tries, expected = SEEDED_CASES[case]
     v, e = _frames(spark, n, edges)
     labels = graph.connected_components(v, e)
     summary = graph.component_summary(labels, graph.undirected_degree(v, e))
-    chosen = graph.largest_component_seeded(summary, 5)
+    chosen = graph.largest_component_seeded(summary, tries)
     members = {r["paper_id"] for r in labels.join(chosen.select("component"), "component", "left_semi").collect()}
-    assert members == _seeded_brute(n, edges, 5)
+    assert members == expected
 
 
 def test_exact_rule_and_flags(spark):

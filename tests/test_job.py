@@ -1,48 +1,80 @@
 """Whole jobs on the works derived from sf0.001, written as a snapshot and scanned back."""
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from paperweave import oracle, schemas
 from paperweave.plans.job import build_lcc, build_unfiltered, read_unfiltered
 from paperweave.session import staging_path
 from paperweave.sources.fixture import works_fixture
 from paperweave.sources.works import scan_works, write_works
 from paperweave.sources import tables as io
 
+from .test_oracle import TABLES
+
+
+def _oracle_counts(sf_dir, *names):
+    """Row counts by the independent SQL."""
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return [len(con.execute(oracle.oracle_sql()[n]).fetchall()) for n in names]
+
 
 def test_snapshot_job_properties(spark, sf_small):
+    n_papers, n_lcc, n_edges, n_lcc_authors = _oracle_counts(sf_small, "paper_table", "lcc_papers", "citation_net", "lcc_author_table")
     raw = staging_path(spark, "test_raw")
     write_works(works_fixture(spark, sf_small), raw)
     out = staging_path(spark, "test_out") + "/ds"
     b = build_unfiltered(scan_works(spark, raw), out, sync_date="2024-05-01")
-    assert b.index.count() == 1203
+    assert b.index.count() == n_papers
     lb = build_lcc(spark, out, sync_date="2024-05-01")
 
     u = read_unfiltered(spark, out)
     papers = u["paper_table"]
-    assert papers.count() == 1203
-    assert papers.agg(F.sum("is_connected")).first()[0] == 324
+    assert papers.count() == n_papers
+    assert papers.agg(F.sum("is_connected")).first()[0] == n_lcc
     ids = [r[0] for r in papers.select("paper_id").orderBy("paper_id").collect()]
-    assert ids == list(range(1203))
+    assert ids == list(range(n_papers))
     oa = [r[0] for r in papers.orderBy("paper_id").select("openalex_id").collect()]
     assert oa == sorted(oa)
     e = u["citation_net"]
-    assert e.count() == 901
+    assert e.count() == n_edges
     assert e.filter("src = dst").count() == 0
     assert e.distinct().count() == e.count()
 
-    lp = io.read_table(spark, f"{out}/paper_table.csv", "paper_table", "csv", schema=None)
-    assert lp.count() == 324
+    lp = io.read_table(spark, f"{out}/paper_table.csv", fmt="csv", schema=schemas.PAPER_METADATA)
+    assert lp.count() == n_lcc
     le = io.read_graph(spark, f"{out}/citation_net")[0]
-    assert le.filter((F.col("src") >= 324) | (F.col("dst") >= 324)).count() == 0
+    assert le.filter((F.col("src") >= n_lcc) | (F.col("dst") >= n_lcc)).count() == 0
     la = io.read_table(spark, f"{out}/author_table.csv", "author_table", "csv")
-    assert la.count() == 98
-    assert [r[0] for r in la.orderBy("author_id").select("author_id").collect()] == list(range(98))
+    assert la.count() == n_lcc_authors
+    assert [r[0] for r in la.orderBy("author_id").select("author_id").collect()] == list(range(n_lcc_authors))
     meta = spark.read.parquet(f"{out}/registry/meta").first()
-    assert (meta["n_papers"], meta["n_authors"], meta["sync_date"]) == (324, 98, "2024-05-01")
+    assert (meta["n_papers"], meta["n_authors"], meta["sync_date"]) == (n_lcc, n_lcc_authors, "2024-05-01")
     shape = spark.read.parquet(f"{out}/citation_net/shape").first()
-    assert (shape["n_rows"], shape["n_cols"]) == (324, 324)
+    assert (shape["n_rows"], shape["n_cols"]) == (n_lcc, n_lcc)
     labs = spark.read.parquet(f"{out}/abstracts.parquet")
     assert [r[0] for r in labs.collect()] == sorted(r[0] for r in labs.collect())
+    # the written files, in file order, hold their rows in table order
+    def written(path, fmt, *keys):
+        name = path.rsplit("/", 1)[1].removesuffix(".csv")
+        # the filtered papers carry no flag column
+        schema = schemas.PAPER_METADATA if path == f"{out}/paper_table.csv" else schemas.TABLES.get(name)
+        df = io.read_table(spark, path, fmt=fmt, schema=schema) if fmt == "csv" else spark.read.parquet(path)
+        rows = df.select(F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("i"), *keys).collect()
+        return [tuple(r[2:]) for r in sorted(rows, key=lambda r: (r[0], r[1]))]
+
+    for base in (out, out + "_unfiltered"):
+        for name, keys in (("paper_table", ["paper_id"]), ("author_table", ["author_id"]), ("category_table", ["class_id"]),
+                           ("paper_category_table", ["paper_id", "sequence"]), ("source_table", ["source_id"])):
+            got = written(f"{base}/{name}.csv", "csv", *keys)
+            assert got == sorted(got), (base, name)
+        for name, keys in (("papers", ["openalex_id"]), ("authors", ["author_id"])):
+            got = written(f"{base}/registry/{name}", "parquet", *keys)
+            assert got == sorted(got), (base, name)
     # the paper map from the staged flags equals the one read back from the CSV
     from paperweave.plans.build import LccBuild
 
@@ -50,12 +82,17 @@ def test_snapshot_job_properties(spark, sf_small):
     assert sorted(tuple(r) for r in via_flags.collect()) == sorted(tuple(r) for r in lb.paper_map.collect())
 
 
-def test_csv_keeps_quotes_commas_newlines(spark):
-    df = spark.createDataFrame([(1, 'a, "b"\nc', None), (2, "", "x")], "paper_id bigint, title string, doi string")
+def test_csv_fails_on_a_cell_that_does_not_fit(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("paper_id,title\nseven,x\n")
+    with pytest.raises(Exception):
+        io.read_table(spark, str(tmp_path / "t.csv"), fmt="csv", schema=T.StructType.fromDDL("paper_id bigint, title string")).collect()
+
+
+def test_csv_keeps_quotes_commas_newlines_and_white_space(spark):
+    edge = [(3, " a ", "trail "), (4, "\tq\t", "   "), (5, " a, b ", "x")]
+    df = spark.createDataFrame([(1, 'a, "b"\nc', None), (2, "", "x"), *edge], "paper_id bigint, title string, doi string")
     path = staging_path(spark, "test_csv")
     io.write_table(df, path, "csv")
-    from pyspark.sql import types as T
-
     back = io.read_table(spark, path, fmt="csv", schema=T.StructType.fromDDL("paper_id bigint, title string, doi string"))
     rows = sorted(tuple(r) for r in back.collect())
-    assert rows == [(1, 'a, "b"\nc', None), (2, None, "x")]
+    assert rows == [(1, 'a, "b"\nc', None), (2, None, "x"), *edge]

@@ -20,7 +20,7 @@ def _scans(plan):
 def test_derived_tables_read_only_their_columns(spark, sf_small):
     b = context(spark, sf_small).build
     assert "id,type,abstract_inverted_index" in _scans(_plan(b.abstracts))
-    assert "id,type,authorships" in _scans(_plan(b.paper_author_net))
+    assert "id,type,authorships" in _scans(_plan(b.authorships.select("paper_id", "oa_author_id")))
     assert "id,type,referenced_works" in _scans(_plan(b.references))
     # the paper index is read as key + frozen position only
     assert "oa_id,__mid" in _scans(_plan(b.index))
@@ -37,6 +37,6 @@ def test_no_single_task_window(spark, sf_small):
 
 def test_paper_table_reads_wide_records_once(spark, sf_small):
     b = context(spark, sf_small).build
-    scans = _scans(_plan(b.paper_table))
+    scans = _scans(_plan(b.paper_table_plan()))
     wide = [s for s in scans if s.startswith("id,type,title")]
     assert len(wide) == 1, scans

@@ -56,11 +56,64 @@ def test_malformed_line_fails(spark, root):
 def test_empty_snapshot_names_path(spark, root):
     from paperweave.sources.works import require_nonempty
 
+    with pytest.raises(RuntimeError, match="updated_date"):  # no directory at all
+        scan_works(spark, root)
     os.makedirs(os.path.join(root, "data", "works"), exist_ok=True)
     with pytest.raises(RuntimeError, match="updated_date"):
         require_nonempty(scan_works(spark, root, files_per_partition=1), root)
 
 
+def test_only_gz_files_count(spark, root):
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1)]}})
+    d = os.path.join(root, "data", "works", "updated_date=2024-01-01")
+    for name, text in (("extra.json", _w(2)), ("notes.csv", "a,b"), ("manifest", "x")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text + "\n")
+    assert [r["id"][-2:] for r in scan_works(spark, root).collect()] == ["W1"]
+    assert [r["id"][-2:] for r in scan_works(spark, root, files_per_partition=5).collect()] == ["W1"]
+
+
+def test_odd_partition_names_are_ignored(spark, root):
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1)]}, "2024-02-01": {"a.gz": [_w(2)]}})
+    part = scan_works(spark, root, partitions=["foo", "updated_date=soon", "updated_date=2024-13-41", "updated_date=2024-02-01"])
+    assert [r["id"][-2:] for r in part.collect()] == ["W2"]
+    assert scan_works(spark, root, partitions=["foo"]).count() == 0
+
+
+def test_job_fails_when_no_kept_type_is_left(spark, root):
+    from paperweave.plans.job import build_unfiltered
+
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1, typ="dataset")]}})
+    with pytest.raises(RuntimeError, match="no work record"):
+        build_unfiltered(scan_works(spark, root), root + "/out")
+
+
+_BAD = dict(
+    referenced_works=["https://x.org/Wnope", "https://x.org/W2"],
+    authorships=[{"author": {"id": "https://x.org/A?"}}, {"author": {"id": "https://x.org/A7"}}],
+    topics=[{"field": {"id": "https://x.org/fields/17", "display_name": "F"}, "subfield": {"id": "https://x.org/subfields/x", "display_name": "S"}},
+            {"field": {"id": "https://x.org/fields/y", "display_name": "G"}, "subfield": None}],
+    primary_location={"source": {"id": "https://x.org/Sx", "display_name": "V"}},
+)
+
+
+def test_bad_ids_are_counted_and_a_bad_subfield_keeps_its_field(spark, root):
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1, **_BAD), _w(2), json.dumps({"id": "https://x.org/Wno", "type": "article"})]}})
+    b = UnfilteredBuild(scan_works(spark, root))
+    counts = b.counters().first().asDict()
+    assert {k: v for k, v in counts.items() if k.startswith("n_bad")} == {
+        "n_bad_references": 1, "n_bad_authors": 1, "n_bad_fields": 1, "n_bad_subfields": 1, "n_bad_sources": 1, "n_bad_works": 1}
+    assert [tuple(r) for r in b.topics.select("field_id", "subfield_id", "sequence").collect()] == [(17, -1, 0)]
+    assert b.authorships.count() == 1 and b.references.count() == 1
+
+
+@pytest.mark.parametrize("part", ["references", "authorships", "topics", "source_table"])
+def test_bad_ids_fail_the_job_when_asked(spark, root, part):
+    _snapshot(root, {"2024-01-01": {"a.gz": [_w(1, **_BAD), _w(2)]}})
+    with pytest.raises(Exception, match="bad id"):
+        getattr(UnfilteredBuild(scan_works(spark, root), on_bad="fail"), part).collect()
+
+
 def test_duplicates_nulls_and_dropped_types(spark, root):
     auth = [{"author": {"id": "https://x.org/A1", "display_name": "Ann"}}, {"author": {"id": None}}, {"author": None}]
     _snapshot(root, {
