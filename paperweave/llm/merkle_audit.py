@@ -55,7 +55,7 @@ def leaves(records: DataFrame) -> DataFrame:
     """Level 0 of a tree: one node per record with its digest."""
     return records.select(
         "file", F.lit(0).alias("level"), F.col("ordinal").alias("node"), "begin", "finish", "record_id",
-        F.sha2("payload", 256).alias("digest"),
+        F.sha2(F.coalesce("payload", F.lit("")), 256).alias("digest"),
     )
 
 
