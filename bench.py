@@ -38,7 +38,7 @@ def main() -> None:
     out = staging_path(spark, "bench") + "/dataset"
 
     t_prep = time.perf_counter()
-    write_works(works_fixture(spark, sf_dir), raw)
+    write_works(works_fixture(spark, sf_dir), raw, rows_per_file=8192)  # more files than cores
     prep = time.perf_counter() - t_prep
 
     timer = Timer()

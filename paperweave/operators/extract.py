@@ -1,13 +1,13 @@
 """Row-level extraction from raw work records: filters, projections, explodes.
 
 Input frames carry the raw record fields (see ``schemas.WORK``) plus
-``order_key`` (position in the snapshot) and, after indexing, ``oa_id`` and
+``order_no`` (position in the snapshot) and, after indexing, ``oa_id`` and
 ``paper_id``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -28,12 +28,12 @@ def clean_works(works: DataFrame, *, on_bad: str = "null", keep_types=schemas.KE
     """Kept works with a parsed ``oa_id``, one record per ``oa_id``.
 
     Drops records without a valid id or of another type, then keeps the
-    latest record (greatest ``order_key``) of an id that appears more than
+    latest record (greatest ``order_no``) of an id that appears more than
     once, so ids stay unique and contiguous after indexing.
     """
     w = works.withColumn("oa_id", parse_oa_id("id", on_bad=on_bad))
     w = type_filter(w.filter(valid_id("oa_id")), keep_types)
-    return dedupe_latest(w, "oa_id", "order_key")
+    return dedupe_latest(w, "oa_id", "order_no")
 
 
 def build_paper_index(clean: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
@@ -60,19 +60,25 @@ def explode_references(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame
     return refs.select("paper_id", parse_oa_id("ref_url", on_bad).alias("ref_oa_id")).filter(valid_id("ref_oa_id"))
 
 
+def _place(pos: str) -> Column:
+    """Position in the snapshot of a place inside a record: one bigint, unique per place."""
+    too_many = F.raise_error(F.lit(f"a record holds more than {1 << schemas.PLACE_BITS} entries")).cast("bigint")
+    return F.when(F.col(pos) < (1 << schemas.PLACE_BITS), F.col("order_no") + F.col(pos)).otherwise(too_many)
+
+
 def explode_authorships(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
     """One row per authorship with an author id, in array order.
 
     Columns: paper_id, oa_author_id, name, orcid, first (order key of the
     occurrence: record position, then position in the array).
     """
-    a = indexed.select("paper_id", "order_key", F.posexplode("authorships").alias("pos", "au"))
+    a = indexed.select("paper_id", "order_no", F.posexplode("authorships").alias("pos", "au"))
     return a.select(
         "paper_id",
         parse_oa_id(F.col("au.author.id"), on_bad).alias("oa_author_id"),
         blank_to_null(F.col("au.author.display_name")).alias("name"),
         blank_to_null(F.col("au.author.orcid")).alias("orcid"),
-        F.struct(F.col("order_key"), F.col("pos").cast("bigint").alias("pos")).alias("first"),
+        _place("pos").alias("first"),
     ).filter(valid_id("oa_author_id"))
 
 
@@ -84,7 +90,7 @@ def explode_topics(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
     sequence, first. A missing subfield, or one whose id is no number, gives id -1
     (its name is kept); the topic stays because its field is valid.
     """
-    t = indexed.select("paper_id", "order_key", F.posexplode("topics").alias("sequence", "tp"))
+    t = indexed.select("paper_id", "order_no", F.posexplode("topics").alias("sequence", "tp"))
     field = F.col("tp.field")
     sub = F.col("tp.subfield")
     has_field = field.isNotNull() & (field["id"].isNotNull() | field["display_name"].isNotNull())
@@ -96,7 +102,7 @@ def explode_topics(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
         F.coalesce(F.when(has_sub, parse_oa_id(sub["id"], on_bad)), F.lit(-1).cast("bigint")).alias("subfield_id"),
         F.when(has_sub, sub["display_name"]).otherwise(F.lit("")).alias("subfield_name"),
         F.col("sequence").cast("bigint").alias("sequence"),
-        F.struct(F.col("order_key"), F.col("sequence").cast("bigint").alias("pos")).alias("first"),
+        _place("sequence").alias("first"),
     ).filter(F.col("field_id").isNotNull())
 
 
@@ -108,7 +114,7 @@ def source_occurrences(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame
         blank_to_null(s["display_name"]).alias("display_name"),
         blank_to_null(s["issn_l"]).alias("issn_l"),
         blank_to_null(s["type"]).alias("type"),
-        F.struct(F.col("order_key"), F.lit(0).cast("bigint").alias("pos")).alias("first"),
+        F.col("order_no").alias("first"),
     ).filter(valid_id("oa_source_id"))
 
 
@@ -164,9 +170,12 @@ def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map:
     )
 
 
-def abstracts(indexed: DataFrame) -> DataFrame:
+def abstracts(clean: DataFrame, index: DataFrame) -> DataFrame:
     """``(paper_id, abstract)`` for works whose rebuilt abstract is not empty.
 
+    The text is rebuilt where the record is scanned; only ids and texts, which
+    are smaller than the index maps, are shuffled to meet their ``paper_id``.
+
     A text of two or more slots always holds a space, so only single-slot
     indexes need the rebuilt text to decide; the filter never rebuilds the
     text of the others (Catalyst would otherwise evaluate it twice).
@@ -174,15 +183,13 @@ def abstracts(indexed: DataFrame) -> DataFrame:
     m = F.col("abstract_inverted_index")
     max_pos = F.array_max(F.flatten(F.transform(index_entries(m), lambda e: e["v"])))
     nonempty = F.when(max_pos >= 1, F.lit(True)).otherwise(F.length(abstract_text(m)) > 0)
-    # the rebuild is CPU-bound and abstracts cluster in id ranges; an AQE
-    # rebalance of just (paper_id, index) evens the work out by size
-    return (
-        indexed.select("paper_id", "abstract_inverted_index")
+    texts = (
+        clean.select("oa_id", "abstract_inverted_index")
         .filter(m.isNotNull() & (F.size(m) > 0))
-        .hint("rebalance")
         .filter(nonempty)
-        .select("paper_id", abstract_text(m).alias("abstract"))
+        .select("oa_id", abstract_text(m).alias("abstract"))
     )
+    return texts.join(index, "oa_id").select("paper_id", "abstract")
 
 
 def inverted_index_postings(indexed: DataFrame) -> DataFrame:

@@ -13,19 +13,17 @@ from .ids import BROADCAST_ROWS, dense_id
 def first_seen_ids(occurrences: DataFrame, key: str, out: str, attrs: list[str], *, name: str) -> DataFrame:
     """Number distinct ``key`` values 0.. by their first occurrence.
 
-    ``occurrences`` has ``key``, the ``attrs`` and ``first`` (a sortable
-    struct giving the position of the occurrence). The attributes of the
-    first occurrence are kept. Map-side partial aggregation makes a key that
-    occurs in a third of all rows no harder than any other. ``occurrences``
-    (rows per key) comes along for hot-key detection in later joins.
+    ``occurrences`` has ``key``, the ``attrs`` and ``first`` (a bigint, unique
+    per row: the position of the occurrence). The attributes of the first
+    occurrence are kept: a hash aggregate finds it, and its row is fetched by
+    its position, which no other row shares. Map-side partial aggregation makes
+    a key that occurs in a third of all rows no harder than any other. The
+    count of rows per key comes along for hot-key detection in later joins.
     """
-    firsts = occurrences.groupBy(key).agg(
-        F.min("first").alias("first"),
-        F.min_by(F.struct(*attrs), F.col("first")).alias("__a"),
-        F.count(F.lit(1)).alias("occurrences"),
-    )
-    numbered = dense_id(firsts, "first", out, name=name)
-    return numbered.select(out, key, *[F.col(f"__a.{a}").alias(a) for a in attrs], "occurrences")
+    firsts = occurrences.groupBy(key).agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("occurrences"))
+    winners = occurrences.select(key, *attrs, "first").join(firsts.select("first", "occurrences"), "first")
+    numbered = dense_id(winners, "first", out, name=name)
+    return numbered.select(out, key, *attrs, "occurrences")
 
 
 AUTHOR_COLUMNS = ["author_id", "openalex_author_id", "name", "orcid"]
@@ -74,15 +72,13 @@ def category_table(topics: DataFrame) -> DataFrame:
     Only non-negative ids are listed. A name comes from the first topic row
     carrying the id.
     """
-    fields = topics.filter(F.col("field_id") >= 0).groupBy("field_id").agg(
-        F.min_by("field_name", "first").alias("title")
-    )
-    subs = topics.filter(F.col("subfield_id") >= 0).groupBy("subfield_id").agg(
-        F.min_by("subfield_name", "first").alias("title")
-    )
-    both = fields.select(
-        F.lit(0).alias("__kind"), F.col("field_id").alias("openalex_id"), "title"
-    ).unionByName(subs.select(F.lit(1).alias("__kind"), F.col("subfield_id").alias("openalex_id"), "title"))
+    def listed(kind: int, key: str, name: str) -> DataFrame:
+        firsts = topics.filter(F.col(key) >= 0).groupBy(key).agg(F.min("first").alias("first"))
+        return topics.select(F.col(name).alias("title"), "first").join(firsts, "first").select(
+            F.lit(kind).alias("__kind"), F.col(key).alias("openalex_id"), "title"
+        )
+
+    both = listed(0, "field_id", "field_name").unionByName(listed(1, "subfield_id", "subfield_name"))
     numbered = dense_id(both, ["__kind", "openalex_id"], "class_id", name="categories")
     return numbered.select(
         "class_id",

@@ -66,15 +66,18 @@ class UnfilteredBuild:
 
     @cached_property
     def references(self) -> DataFrame:
-        return extract.explode_references(self.indexed, on_bad=self.on_bad)
+        """Two bigints per reference, staged: read by the resolution and its hot-key count."""
+        return stage(extract.explode_references(self.indexed, on_bad=self.on_bad), "references")
 
     @cached_property
     def authorships(self) -> DataFrame:
-        return extract.explode_authorships(self.indexed, on_bad=self.on_bad)
+        """Staged: read by the author table (twice) and the paper-author links."""
+        return stage(extract.explode_authorships(self.indexed, on_bad=self.on_bad), "authorships")
 
     @cached_property
     def topics(self) -> DataFrame:
-        return extract.explode_topics(self.indexed, on_bad=self.on_bad)
+        """Staged: read by the categories (twice each) and the paper categories."""
+        return stage(extract.explode_topics(self.indexed, on_bad=self.on_bad), "topics")
 
     # -- entity tables ---------------------------------------------------
     @cached_property
@@ -120,15 +123,13 @@ class UnfilteredBuild:
 
     @cached_property
     def abstracts(self) -> DataFrame:
-        return extract.abstracts(self.indexed)
+        return extract.abstracts(self.clean, self.index)
 
     # -- graph -----------------------------------------------------------
     @cached_property
     def citation_net(self) -> DataFrame:
-        # upper bound on the reference rows: one column scan, no join
-        refs = F.col("referenced_works")
-        bound = self.clean.agg(F.sum(F.when(refs.isNotNull(), F.size(refs)).otherwise(0))).first()[0] or 0
-        return stage(graph.citation_net(self.references, self.index, total_rows=bound), "citation_net")
+        refs = self.references
+        return stage(graph.citation_net(refs, self.index, total_rows=refs.count()), "citation_net")
 
     @cached_property
     def vertices(self) -> DataFrame:

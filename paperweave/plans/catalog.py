@@ -21,7 +21,7 @@ from ..operators.ids import lookup_ids
 from ..session import stage, staging_path
 from ..sources import tables as io
 from ..sources.fixture import works_fixture
-from ..sources.works import require_nonempty, scan_works, write_works
+from ..sources.works import order_number, require_nonempty, scan_works, write_works
 from .build import LccBuild, UnfilteredBuild
 
 
@@ -123,6 +123,7 @@ def q_dedupe_works(spark, sf):
         .withColumn("updated_date", later)
         .withColumn("order_key", F.struct(later.alias("updated_date"), F.lit("").alias("file"),
                                           F.lit(0).cast("bigint").alias("block"), k.alias("line")))
+        .withColumn("order_no", order_number(F.lit(3), k))
     )
     clean = extract.clean_works(w.unionByName(again))
     return clean.select("oa_id", "title", F.col("updated_date").cast("string").alias("updated_date"))

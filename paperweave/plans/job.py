@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import validate
 from ..session import cleanup_staging, get_session, stage
 from ..sources import tables as io
-from ..sources.works import require_nonempty, scan_works
+from ..sources.works import require_nonempty, scan_works, works_dir
 from .build import LccBuild, UnfilteredBuild
 
 
@@ -155,6 +155,19 @@ def build_lcc(spark: SparkSession, out: str, *, sync_date: str | None = None,
     return lb
 
 
+BYTES_PER_PARTITION = 128 << 20
+UNPACKED = 6  # JSON bytes per gzip byte, roughly
+
+
+def shuffle_partitions(spark: SparkSession, root: str) -> int:
+    """Shuffle partitions for a snapshot: its unpacked bytes over the size a partition should have.
+    AQE merges what turns out small, so this only has to be large enough."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(works_dir(root))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size * UNPACKED // BYTES_PER_PARTITION))
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--raw", required=True, help="snapshot root holding data/works/updated_date=*/")
@@ -171,6 +184,7 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     spark = get_session()
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(spark, args.raw)))
     timer = Timer()
     with timer.step("scan"):
         # one JSON parse: every later pass reads pruned Parquet columns, and the

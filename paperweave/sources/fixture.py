@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import with_inverted_index
+from .works import order_number
 
 # Fixed values of the fixture (shared with the oracle SQL).
 URL_PREFIX = "https://ids.example.org/"
@@ -218,4 +219,5 @@ def works_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(0).cast("bigint").alias("block"),
             F.col("k").cast("bigint").alias("line"),
         ).alias("order_key"),
+        order_number(F.col("k") % 3, F.col("k")).alias("order_no"),  # the date follows k % 3
     )

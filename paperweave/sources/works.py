@@ -6,15 +6,18 @@ gets ``order_key`` = (partition date, file path, split start, running number
 inside the split), which orders records the way a sequential reader meets
 them: partitions by date, files by name, lines in file order. Gzip files are
 not splittable, so a file is read by one task and the running number follows
-its lines.
+its lines. ``order_no`` is the same position as one bigint (file, line, room
+for a place inside the record), so that minima and maxima over it are hash
+aggregates.
 """
 
 from __future__ import annotations
 
+import datetime
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,7 +93,7 @@ def scan_works(
             named = (_PARTITION.fullmatch(p) for p in partitions)
             dates = [F.lit(m[1]).try_cast("date") for m in named if m]
             df = df.filter(F.col(PARTITION_COL).isin(dates) if dates else F.lit(False))
-    return df.withColumn(
+    keyed = df.withColumn(
         "order_key",
         F.struct(
             F.col(PARTITION_COL).alias("updated_date"),
@@ -98,7 +101,32 @@ def scan_works(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line"),
         ),
+    ).withColumn("__name", F.col("_metadata.file_name"))
+    numbers = spark.createDataFrame(_numbered_files(spark, base), "__date date, __file string, __no long")
+    joined = keyed.join(  # one row per file of the listing that the scan itself plans from
+        F.broadcast(numbers), (keyed[PARTITION_COL] == numbers["__date"]) & (keyed["__name"] == numbers["__file"]), "left"
     )
+    line = F.col("order_key.line").bitwiseAND(F.lit((1 << 33) - 1))
+    return joined.withColumn("order_no", order_number(F.col("__no"), line)).drop("__name", "__date", "__file", "__no")
+
+
+def order_number(file_no: Column, line: Column) -> Column:
+    """Position of a record as one bigint: file, line in the file, and room for a place inside the
+    record (``schemas.PLACE_BITS``). Numbers that do not fit fail the query."""
+    most = F.lit(1 << schemas.LINE_BITS)
+    fits = file_no.isNotNull() & (file_no < (1 << schemas.FILE_BITS)) & (line < most)
+    number = F.shiftleft(F.shiftleft(file_no.cast("bigint"), schemas.LINE_BITS) + line.cast("bigint"), schemas.PLACE_BITS)
+    return F.when(fits, number).otherwise(F.raise_error(F.lit("record position out of range")).cast("bigint"))
+
+
+def _numbered_files(spark: SparkSession, base: str) -> list[tuple]:
+    """(partition date, file name, position) of every data file, by date, then name."""
+    files = []
+    for name, paths in _list_files(spark, base, None).items():
+        m = _PARTITION.fullmatch(name)
+        if m:
+            files += [(datetime.date.fromisoformat(m[1]), p.rsplit("/", 1)[1]) for p in paths]
+    return [(d, f, i) for i, (d, f) in enumerate(sorted(files))]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

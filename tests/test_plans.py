@@ -3,6 +3,9 @@ no unpartitioned window (a single task over all rows)."""
 
 import re
 
+from pyspark.sql import functions as F
+
+from paperweave.operators import extract, tables
 from paperweave.plans.catalog import context
 
 
@@ -20,8 +23,8 @@ def _scans(plan):
 def test_derived_tables_read_only_their_columns(spark, sf_small):
     b = context(spark, sf_small).build
     assert "id,type,abstract_inverted_index" in _scans(_plan(b.abstracts))
-    assert "id,type,authorships" in _scans(_plan(b.authorships.select("paper_id", "oa_author_id")))
-    assert "id,type,referenced_works" in _scans(_plan(b.references))
+    assert "id,type,authorships" in _scans(_plan(extract.explode_authorships(b.indexed).select("paper_id", "oa_author_id")))
+    assert "id,type,referenced_works" in _scans(_plan(extract.explode_references(b.indexed)))
     # the paper index is read as key + frozen position only
     assert "oa_id,__mid" in _scans(_plan(b.index))
 
@@ -40,3 +43,11 @@ def test_paper_table_reads_wide_records_once(spark, sf_small):
     scans = _scans(_plan(b.paper_table_plan()))
     wide = [s for s in scans if s.startswith("id,type,title")]
     assert len(wide) == 1, scans
+
+
+def test_first_occurrences_need_no_sort_aggregate(spark, sf_small):
+    b = context(spark, sf_small).build
+    occurrences = b.authorships.groupBy("oa_author_id").agg(F.min("first"))
+    assert "SortAggregate" not in _plan(occurrences)
+    assert "SortAggregate" not in _plan(tables.category_table(b.topics))
+    assert dict(b.authorships.dtypes)["first"] == dict(b.topics.dtypes)["first"] == "bigint"
