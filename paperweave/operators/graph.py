@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_staged, stage
-from .ids import dense_id, partition_offsets
+from .ids import dense_id, offsets_literal, partition_offsets
 from .skew import hot_key_rows, skew_join, stage_nonempty
 
 # Safety net only: the star rounds need O(log^2 n) rounds; hitting this
@@ -328,7 +328,7 @@ def running_total(df: DataFrame, order_col: str, weight: str, out: str, num_part
     return (
         frozen.withColumn(
             out,
-            (F.element_at(F.lit(offsets), (F.col("__pid") + 1).cast("int"))
+            (F.element_at(offsets_literal(offsets), (F.col("__pid") + 1).cast("int"))
              + F.coalesce(F.sum(weight).over(inside), F.lit(0))).cast("bigint"),
         )
         .drop("__pid")

@@ -60,8 +60,7 @@ def dense_id(
     pid = F.shiftright(F.col("__mid"), _LOCAL_BITS)
     offsets = partition_offsets(frozen.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__n")))
     return frozen.withColumn(
-        # one string literal, split and folded once: a list literal has a plan node per partition
-        out, (F.element_at(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), (pid + 1).cast("int")) + F.col("__mid").bitwiseAND(F.lit(_LOCAL_MASK)))
+        out, (F.element_at(offsets_literal(offsets), (pid + 1).cast("int")) + F.col("__mid").bitwiseAND(F.lit(_LOCAL_MASK)))
         .cast("bigint"),
     ).drop("__mid")
 
@@ -81,6 +80,11 @@ def partition_offsets(sizes: DataFrame) -> list[int]:
     return offsets or [0]
 
 
+def offsets_literal(offsets: list[int]) -> Column:
+    """The offsets as one string literal, split and folded once: a list literal has a plan node per partition."""
+    return F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+
+
 def dedupe_latest(df: DataFrame, key: str, order: str) -> DataFrame:
     """Keep one row per ``key``: the one with the greatest ``order`` (unique per row).
 

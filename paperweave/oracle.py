@@ -327,6 +327,23 @@ _TAILS = {
     "lcc_registry_papers": "SELECT paper_id, openalex_id FROM lcc_ptab",
     "lcc_registry_authors": "SELECT m.new_id AS author_id, a.openalex_author_id FROM authors a "
     "JOIN amap m ON m.old_id = a.author_id",
+    "written_paper_table": "SELECT *, paper_id AS place FROM ptab",
+    "written_author_table": "SELECT *, author_id AS place FROM authors",
+    "written_paper_category": "SELECT *, ROW_NUMBER() OVER (ORDER BY paper_id, sequence) - 1 AS place FROM pcat",
+    "written_registry_papers": "SELECT paper_id, oa_id AS openalex_id, ROW_NUMBER() OVER (ORDER BY oa_id) - 1 AS place FROM papers",
+    "written_lcc_papers": "SELECT *, paper_id AS place FROM lcc_ptab",
+    "written_lcc_category_table": "SELECT *, ROW_NUMBER() OVER (ORDER BY class_id) - 1 AS place FROM cats WHERE class_id IN "
+    "(SELECT main_class_id FROM lcc_pcat UNION SELECT sub_class_id FROM lcc_pcat WHERE sub_class_id <> -1)",
+    "written_lcc_source_table": "SELECT *, ROW_NUMBER() OVER (ORDER BY source_id) - 1 AS place FROM sources WHERE source_id IN "
+    "(SELECT source_id FROM lcc_ptab WHERE source_id <> -1)",
+    "written_lcc_citation_net": "SELECT a.new_id AS src, b.new_id AS dst FROM cit c JOIN pmap a ON a.old_id = c.src "
+    "JOIN pmap b ON b.old_id = c.dst",
+    "written_lcc_shapes": "SELECT 'citation_net' AS graph, (SELECT COUNT(*) FROM pmap) AS n_rows, (SELECT COUNT(*) FROM pmap) AS n_cols, "
+    "(SELECT COUNT(*) FROM cit c JOIN pmap a ON a.old_id = c.src JOIN pmap b ON b.old_id = c.dst) AS nnz UNION ALL "
+    "SELECT 'paper_author_net', (SELECT COUNT(*) FROM pmap), (SELECT COUNT(*) FROM amap), (SELECT COUNT(*) FROM lcc_pa_old)",
+    "written_lcc_registry_meta": "SELECT (SELECT COUNT(*) FROM pmap) AS n_papers, (SELECT COUNT(*) FROM amap) AS n_authors, "
+    "'2024-05-01' AS sync_date",
+    "adjacency_entries": "SELECT ROW_NUMBER() OVER (ORDER BY src, dst) - 1 AS pos, src, dst FROM cit",
     "lcc_registry_meta": "SELECT (SELECT COUNT(*) FROM pmap) AS n_papers, (SELECT COUNT(*) FROM amap) AS n_authors, "
     "strftime(current_date, '%Y-%m-%d') AS sync_date",
 }

@@ -13,16 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import oracle
+from .. import oracle, schemas
 from ..functions.ids import parse_oa_id
 from ..functions.text import abstract_text, index_extent, inverted_index
 from ..operators import extract, graph, validate
-from ..operators.ids import lookup_ids
+from ..operators.ids import dense_id, lookup_ids
 from ..session import stage, staging_path
 from ..sources import tables as io
 from ..sources.fixture import works_fixture
 from ..sources.works import order_number, require_nonempty, scan_works, write_works
 from .build import LccBuild, UnfilteredBuild
+from .job import build_lcc, build_unfiltered
+
+JOB_SYNC_DATE = "2024-05-01"
 
 
 class FixtureContext:
@@ -36,6 +39,7 @@ class FixtureContext:
         self._lcc: LccBuild | None = None
         self._snapshot: str | None = None
         self._scanned: UnfilteredBuild | None = None
+        self._written: str | None = None
 
     @property
     def from_snapshot(self) -> UnfilteredBuild:
@@ -51,6 +55,15 @@ class FixtureContext:
             self._lcc = LccBuild(self.build.outputs())
         return self._lcc
 
+    def written(self) -> str:
+        """Both datasets written once by the job's own functions; returns the component dataset's folder."""
+        if self._written is None:
+            out = staging_path(self.spark, "job") + "/dataset"
+            b = build_unfiltered(self.works, out, sync_date=JOB_SYNC_DATE)
+            build_lcc(self.spark, out, sync_date=JOB_SYNC_DATE, flags=b.flags, tables=b.outputs())
+            self._written = out
+        return self._written
+
     def snapshot(self) -> str:
         """The works written once as a gzip JSON-lines snapshot; returns its root."""
         if self._snapshot is None:
@@ -76,6 +89,13 @@ def _roundtrip(spark: SparkSession, df: DataFrame, name: str, fmt: str, compress
     return io.read_table(spark, path, name, fmt)
 
 
+def _with_place(df: DataFrame) -> DataFrame:
+    """The rows of a written table with ``place``: their position over its files, in file order."""
+    columns = df.columns
+    placed = df.select(*columns, F.col("_metadata.file_name").alias("__f"), F.monotonically_increasing_id().alias("__i"))
+    return dense_id(stage(placed, "written_rows"), ["__f", "__i"], "place", name="written_place").select(*columns, "place")
+
+
 # -- scans ---------------------------------------------------------------------
 
 
@@ -415,6 +435,56 @@ def q_lcc_registry_meta(spark, sf):
     return context(spark, sf).lcc.registry_meta()
 
 
+# -- the datasets as the job writes them (place = position in the written files) --------
+
+
+def q_written_paper_table(spark, sf):
+    return _with_place(io.read_table(spark, context(spark, sf).written() + "_unfiltered/paper_table.csv", "paper_table"))
+
+
+def q_written_author_table(spark, sf):
+    return _with_place(io.read_table(spark, context(spark, sf).written() + "_unfiltered/author_table.csv", "author_table"))
+
+
+def q_written_paper_category(spark, sf):
+    path = context(spark, sf).written() + "_unfiltered/paper_category_table.csv"
+    return _with_place(io.read_table(spark, path, "paper_category_table"))
+
+
+def q_written_registry_papers(spark, sf):
+    return _with_place(spark.read.parquet(context(spark, sf).written() + "_unfiltered/registry/papers"))
+
+
+def q_written_lcc_papers(spark, sf):
+    return _with_place(io.read_table(spark, context(spark, sf).written() + "/paper_table.csv", schema=schemas.PAPER_METADATA))
+
+
+def q_written_lcc_category_table(spark, sf):
+    return _with_place(io.read_table(spark, context(spark, sf).written() + "/category_table.csv", "category_table"))
+
+
+def q_written_lcc_source_table(spark, sf):
+    return _with_place(io.read_table(spark, context(spark, sf).written() + "/source_table.csv", "source_table"))
+
+
+def q_written_lcc_citation_net(spark, sf):
+    return io.read_graph(spark, context(spark, sf).written() + "/citation_net")[0]
+
+
+def q_written_lcc_shapes(spark, sf):
+    out = context(spark, sf).written()
+    shapes = [io.read_graph(spark, f"{out}/{g}")[1].withColumn("graph", F.lit(g)) for g in ("citation_net", "paper_author_net")]
+    return shapes[0].unionByName(shapes[1])
+
+
+def q_written_lcc_registry_meta(spark, sf):
+    return spark.read.parquet(context(spark, sf).written() + "/registry/meta")
+
+
+def q_adjacency_entries(spark, sf):
+    return graph.adjacency_entries(context(spark, sf).build.citation_net)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
