@@ -7,18 +7,19 @@ between different sets are found or implied by a path of verified links - none i
 1. Sets are computed in one pass. Equal sets form a class with one representative.
 2. All tokens have one global order: tokens seen in several documents of a batch come last
    (any fixed choice of these is exact, it only decides how long lists get), then by hash. Linked
-   sets share a token among the first n - ceil(3n/4) + 1 of the larger and the first
-   n - ceil(6n/7) + 1 of the smaller, so only these prefixes are shuffled, and only tokens that
-   occur in two sets are kept.
-3. Grouping: every set is compared with the smallest set of each of its token lists; verified
-   links give the first groups (connected sets).
-4. Token-group matrix: per (token, group) the group's smallest and largest set and the most
-   tokens that any member has from there on. Two groups that share a token can only hold a link
-   if min(rest, rest) reaches the overlap that their smallest sets need; other pairs are never
-   opened. A qualifying pair is first tried with the matrix row's own members; if that links,
-   the groups merge.
-5. Qualifying pairs that are still apart are opened: their members that share the token, within
-   size and position bounds, are verified exactly. Pairs inside a group are never formed.
+   sets share a token among the first n - ceil(3n/4) + 1 of each, so only these prefixes are
+   shuffled, and only tokens that occur in two sets are kept.
+3. Grouping: every set is compared with the few sets that lead most of its token lists (the
+   smallest, and one by each of three hashes); verified links give the first groups.
+4. Token-group matrix: per (token, group) the least and greatest size and the most tokens that any
+   member has from there on. The smaller set of a link holds its first common token among its first
+   n - ceil(6n/7) + 1, so cells pair those rows with all others, and a pair of groups qualifies
+   only if min(rest, rest) reaches the overlap that their smallest sets need. A qualifying pair is
+   first tried with one member of each; single sets are settled by that, others merge if it links.
+5. Groups of several sets that are still apart are bounded once more by the number of tokens they
+   share; pairs that can reach a link are opened, and their members verified exactly. Before any
+   verification the common prefix tokens, plus all that lies past a prefix, must reach the
+   overlap. Pairs inside a group are never formed.
 
 Defined results
 * null, empty or wordless text: n_shingles 0, linked with nothing, component_id its own doc_id.
@@ -35,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,8 +46,10 @@ from ..session import drop_staged, stage
 from .common import salted_join, workers_import
 
 SHINGLE = 5
+LEADERS = 3  # sets by hash, besides the smallest, that lead a token list
 FREQUENT = 16  # documents, counted where a batch holds two or more of them
 FREQUENT_LIMIT = 2_000_000  # most frequent tokens broadcast (8 bytes each); others are ordered by hash
+BROADCAST_REPS = 1_000_000  # sets to fetch whose numbers (8 bytes each) are broadcast; more are joined by a shuffle
 MEMO = 500_000  # words remembered per worker
 
 # odd multipliers of the shingle hash
@@ -112,7 +116,7 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(row, doc_id, n, sig, prefix) per document; of equal sets in a batch the first has the prefix."""
+    """(row, doc_id, n, sig, packed text, prefix) per document; of equal sets in a batch the first has the prefix."""
     held = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def prefix(s: np.ndarray) -> np.ndarray:
@@ -128,55 +132,58 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         nothing = np.empty(0, np.int64)
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            sizes, sigs, lists, known = [], [], [], set()
+            sizes, sigs, texts, lists, known = [], [], [], [], set()
             for t in batch.column(1):
-                s = shingle_set(t.as_py())
+                text = t.as_py() or ""
+                s = shingle_set(text)
                 sig = _signature(s)
                 sizes.append(len(s))
                 sigs.append(sig)
-                lists.append(nothing if sig in known or not len(s) else prefix(s))
+                first = sig not in known and len(s) > 0
+                texts.append(pack(text.encode("utf-8", "replace")) if first else b"")
+                lists.append(prefix(s) if first else nothing)
                 known.add(sig)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             flat = np.concatenate(lists) if lists else nothing
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.arange(row, row + len(sizes))), batch.column(0), pa.array(sizes, pa.int64()),
-                pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(offsets, flat),
-            ], ["row", "doc_id", "n", "sig", "prefix"])
+                pa.array(sigs, pa.binary()), pa.array(texts, pa.binary()), pa.ListArray.from_arrays(offsets, flat),
+            ], ["row", "doc_id", "n", "sig", "packed", "prefix"])
             row += len(sizes)
 
-    return docs.mapInArrow(run, "row long, doc_id long, n long, sig binary, prefix array<long>")
+    return docs.mapInArrow(run, "row long, doc_id long, n long, sig binary, packed binary, prefix array<long>")
 
 
-def _tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(rep, tokens): the whole sets of the wanted representatives (doc_id, sig, rep)."""
+def _tokens(packed: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(rep, tokens): the whole sets of the wanted representatives, from their packed texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            reps, sets = [], []
-            for text, sig, rep in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                s = shingle_set(text.as_py())
-                if _signature(s) == sig:
-                    reps.append(rep)
-                    sets.append(s)
-            if reps:
+            if batch.num_rows:
+                sets = [shingle_set(unpack(t).decode()) for t in batch.column(1).to_pylist()]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(reps, pa.int64()), pa.ListArray.from_arrays(offsets, np.concatenate(sets))], ["rep", "tokens"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, np.concatenate(sets))], ["rep", "tokens"])
 
-    w = wanted.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(w, docs["doc_id"].eqNullSafe(w["__id"])).select("text", "sig", "rep")
-    return joined.mapInArrow(run, "rep long, tokens array<long>")
+    if wanted.count() <= BROADCAST_REPS:
+        wanted = F.broadcast(wanted)
+    return packed.join(wanted, packed["row"] == wanted["rep"], "left_semi").select("row", "packed").mapInArrow(run, "rep long, tokens array<long>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link: exact intersection of the whole sets."""
+    reps = stage(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct(), "ngram_wanted")
+    sets = stage(_tokens(packed, reps), "ngram_sets")
     common = F.size(F.array_intersect("ta", "tb"))
     joined = (
         pairs.join(sets.select(F.col("rep").alias("a"), F.col("tokens").alias("ta")), "a")
         .join(sets.select(F.col("rep").alias("b"), F.col("tokens").alias("tb")), "b")
     )
-    return joined.filter(100 * common >= 75 * (F.size("ta") + F.size("tb") - common)).select("a", "b").distinct()
+    out = stage(joined.filter(100 * common >= 75 * (F.size("ta") + F.size("tb") - common)).select("a", "b").distinct(), "ngram_links")
+    drop_staged(pairs.sparkSession, sets)
+    return out
 
 
 def _ceil(num: Column, den: int) -> Column:
@@ -206,61 +213,119 @@ def link_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     ).select("sig", F.col("first.row").alias("rep"), F.col("first.doc_id").alias("doc_id"), "n", "copies"), "ngram_classes")
 
     # tokens of two sets or more, by representative; copies of a set in several batches fall together
-    listed = prefixes.filter(F.size("prefix") > 0).select("row", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = listed.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("df > 1").drop("df")
-    posted = stage(shared, "ngram_shared")
-    drop_staged(spark, prefixes)
-    to_rep = rows.select("row", "sig").join(classes.filter("copies > 1").select("sig", "rep"), "sig").filter("row <> rep").select("row", "rep")
-    posted = posted.join(to_rep, "row", "left").select("token", F.coalesce("rep", "row").alias("rep"), "n", "pos").distinct()
+    packed = prefixes.select("row", "packed")
+    listed = prefixes.filter(F.size("prefix") > 0).select("row", F.posexplode("prefix").alias("pos", "token"))
+    shared = stage(listed.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("df > 1").drop("df"), "ngram_shared")
+    to_rep = rows.select("row", "sig", "n").join(classes.select("sig", "rep"), "sig").select("row", "rep", "n")
     n, pos = F.col("n"), F.col("pos")
-    posted = stage(posted.withColumn("rest", n - pos).withColumn("is_index", pos <= n - _ceil(6 * n, 7)), "ngram_posted")
-
-    wanted = classes.join(posted.select("rep").distinct(), "rep", "left_semi").select("doc_id", "sig", "rep")
-    sets = stage(_tokens(docs, wanted), "ngram_sets")
+    posted = stage(shared.join(to_rep, "row").select("token", "rep", "n", "pos").distinct().withColumn("rest", n - pos), "ngram_posted")
+    drop_staged(spark, shared)
 
-    # grouping: every set against the smallest set of each of its lists
-    least = posted.filter("is_index").groupBy("token").agg(F.min(F.struct("n", "rep")).alias("l"))
-    tried = stage(
-        posted.join(least, "token").filter((F.col("rep") != F.col("l.rep")) & (4 * F.col("l.n") >= 3 * n))
-        .select(*_pair(F.col("rep"), F.col("l.rep"))).distinct(), "ngram_tried")
-    links = stage(_verified(tried, sets), "ngram_links")
+    # grouping: every set against the sets that lead most of its lists (the smallest, and some by hash)
+    tried = stage(_star_pairs(posted), "ngram_tried")
+    links = _verified(tried, packed)
     if not posted.isEmpty():
-        matrix, candidates = _matrix(posted, _groups(links))
-        fresh = stage(candidates.select(*_pair(F.col("i_rep"), F.col("p_rep"))).distinct().join(tried, ["a", "b"], "left_anti"), "ngram_fresh")
-        links = stage(links.unionByName(_verified(fresh, sets)), "ngram_links")
-        tried = tried.unionByName(fresh)
-        matrix, candidates = _matrix(posted, _groups(links))
-        opened = stage(_opened(posted, matrix, candidates).join(tried, ["a", "b"], "left_anti"), "ngram_opened")
-        links = stage(links.unionByName(_verified(opened, sets)), "ngram_links")
+        for last in (False, True):
+            members, cells, pairs = _matrix(posted, _groups(links))
+            if last:
+                chosen = _opened(members, cells, pairs.filter("multi"))
+            else:
+                chosen = pairs.select("a", "b")
+            fresh = stage(_countable(chosen.distinct().join(tried, ["a", "b"], "left_anti"), posted), "ngram_fresh")
+            links = stage(links.unionByName(_verified(fresh, packed)), "ngram_links")
+            tried = tried.unionByName(fresh)
     return _labelled(rows, classes, _groups(links))
 
 
-def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members with their group, and the qualifying (token, group, group) cells of the matrix."""
-    members = stage(
-        posted.join(groups, "rep", "left").withColumn("g", F.coalesce("g", "rep")), "ngram_members")
-    index = members.filter("is_index").groupBy("token", "g").agg(
-        F.min(F.struct("n", "rep")).alias("m"), F.max("n").alias("i_max"), F.max("rest").alias("i_rest"), F.count(F.lit(1)).alias("i_count")
-    ).select("token", F.col("g").alias("i_g"), F.col("m.n").alias("i_min"), F.col("m.rep").alias("i_rep"), "i_max", "i_rest", "i_count")
-    probe = members.groupBy("token", "g").agg(
-        F.max(F.struct("n", "rep")).alias("m"), F.min("n").alias("p_min"), F.max("rest").alias("p_rest"), F.count(F.lit(1)).alias("p_count")
-    ).select("token", F.col("g").alias("p_g"), F.col("m.n").alias("p_max"), F.col("m.rep").alias("p_rep"), "p_min", "p_rest", "p_count")
-    cells = index.join(probe, "token").filter(
-        (F.col("i_g") != F.col("p_g")) & (F.col("i_min") <= F.col("p_max")) & (4 * F.col("i_max") >= 3 * F.col("p_min"))
-        & (F.least("i_rest", "p_rest") >= _ceil(3 * (F.col("i_min") + F.col("p_min")), 7))
-    )
-    return members, stage(cells, "ngram_cells")
+def _index_rows(posted: DataFrame) -> DataFrame:
+    return posted.filter(F.col("pos") <= F.col("n") - _ceil(6 * F.col("n"), 7))
+
+
+def _star_pairs(posted: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a set with the leaders that most of its lists share: per list the smallest set and
+    one set by each of ``LEADERS`` hashes. At most LEADERS + 1 pairs a set; they only form groups."""
+    def by(order: Column) -> Column:
+        return F.min(F.struct(order.alias("o"), "n", "rep"))
+
+    orders = [F.col("n")] + [F.xxhash64("rep", F.lit(r)) for r in range(LEADERS)]
+    leaders = posted.groupBy("token").agg(*[by(o).alias(f"l{r}") for r, o in enumerate(orders)])
+    listed = leaders.select("token", F.posexplode(F.array(*[
+        F.struct(F.col(f"l{r}.n").alias("n"), F.col(f"l{r}.rep").alias("rep")) for r in range(len(orders))])).alias("kind", "l"))
+    met = posted.join(listed, "token").filter(F.col("rep") != F.col("l.rep")).groupBy(
+        "rep", "n", "kind", F.col("l.rep").alias("l_rep"), F.col("l.n").alias("l_n")
+    ).agg(F.count(F.lit(1)).alias("c"))
+    fits = (4 * F.col("l_n") >= 3 * F.col("n")) & (4 * F.col("n") >= 3 * F.col("l_n"))
+    best = met.filter(fits & _reachable(F.col("c"), "n", "l_n", "n", "l_n")).groupBy("rep", "kind").agg(
+        F.max(F.struct("c", (-F.col("l_rep")).alias("l"))).alias("b"))
+    return best.select(*_pair(F.col("rep"), -F.col("b.l"))).distinct()
 
 
-def _opened(posted: DataFrame, members: DataFrame, cells: DataFrame) -> DataFrame:
-    """Pairs of members of qualifying groups that are still apart, within the size and position bounds."""
-    left = cells.filter((F.col("i_count") > 1) | (F.col("p_count") > 1)).select("token", "i_g", "p_g")
-    i = members.filter("is_index").select("token", F.col("g").alias("i_g"), F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("rest").alias("xr"))
-    p = members.select("token", F.col("g").alias("p_g"), F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("rest").alias("yr"))
-    return left.join(i, ["token", "i_g"]).join(p, ["token", "p_g"]).filter(
+def _reachable(c: Column, a_most: str, b_most: str, a_least: str, b_least: str) -> Column:
+    """Can sets of these sizes link, with ``c`` common tokens in their prefixes? Past the prefix that
+    ends first at most ceil(3n/4) - 1 tokens are left to share."""
+    past = _ceil(3 * F.greatest(a_most, b_most), 4) - 1
+    return c + past >= _ceil(3 * (F.col(a_least) + F.col(b_least)), 7)
+
+
+def _countable(pairs: DataFrame, posted: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets whose common prefix tokens are enough for a link."""
+    lists = posted.groupBy("rep").agg(F.collect_list("token").alias("t"), F.first("n").alias("n"))
+    side = lambda p: lists.select(F.col("rep").alias(p), F.col("t").alias(f"{p}_t"), F.col("n").alias(f"{p}_n"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    fits = (4 * F.col("a_n") >= 3 * F.col("b_n")) & (4 * F.col("b_n") >= 3 * F.col("a_n"))
+    common = F.size(F.array_intersect("a_t", "b_t"))
+    return joined.filter(fits & _reachable(common, "a_n", "b_n", "a_n", "b_n")).select("a", "b")
+
+
+def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members with their group, the cells (token, index group, probe group) where a link could have its
+    first common token, and the qualifying pairs of groups with one member of each (a, b)."""
+    members = stage(
+        posted.join(groups, "rep", "left").withColumn("multi", F.col("g").isNotNull()).withColumn("g", F.coalesce("g", "rep")), "ngram_members")
+
+    def side(rows: DataFrame, p: str, pick) -> DataFrame:
+        return rows.groupBy("token", "g", "multi").agg(
+            F.min("n").alias(f"{p}_least"), F.max("n").alias(f"{p}_most"), F.max("rest").alias(f"{p}_rest"),
+            pick(F.struct("n", "rep")).alias(f"{p}_m"),
+        ).withColumnsRenamed({"g": f"{p}_g", "multi": f"{p}_multi"})
+
+    # the smaller set holds the token in its index prefix, the larger anywhere in its prefix
+    cells = side(_index_rows(members), "i", F.min).join(side(members, "p", F.max), "token").filter(
+        (F.col("i_g") != F.col("p_g")) & (F.col("i_least") <= F.col("p_most")) & (4 * F.col("i_most") >= 3 * F.col("p_least"))
+        & (F.least("i_rest", "p_rest") >= _ceil(3 * (F.col("i_least") + F.col("p_least")), 7))
+    )
+    cells = stage(cells, "ngram_cells")
+    pairs = cells.groupBy(F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).agg(
+        F.max(F.struct(F.least("i_rest", "p_rest").alias("rest"), F.col("i_m.rep").alias("x"), F.col("p_m.rep").alias("y"))).alias("top"),
+        F.max(F.col("i_multi") | F.col("p_multi")).alias("multi"), F.max(F.greatest("i_most", "p_most")).alias("most"),
+        F.min(F.least("i_least", "p_least")).alias("least"),
+    ).select("a_g", "b_g", "multi", "most", "least", *_pair(F.col("top.x"), F.col("top.y")))
+    return members, cells, stage(pairs, "ngram_pairs")
+
+
+def _opened(members: DataFrame, cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs of members of groups that are still apart: first the groups' common tokens are counted
+    (from the side with fewer), and only pairs of groups that can reach a link are opened."""
+    rows = members.select("token", "g").distinct()
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("t"))
+    named = lambda p: sizes.select(F.col("g").alias(f"{p}_g"), F.col("t").alias(f"{p}_t"))
+    sized = pairs.select("a_g", "b_g", "most", "least").join(named("a"), "a_g").join(named("b"), "b_g")
+    few = F.when(F.col("a_t") <= F.col("b_t"), F.col("a_g")).otherwise(F.col("b_g"))
+    many = F.when(F.col("a_t") <= F.col("b_t"), F.col("b_g")).otherwise(F.col("a_g"))
+    shared = (
+        sized.select("a_g", "b_g", "most", "least", few.alias("few"), many.alias("many"))
+        .join(rows.withColumnRenamed("g", "few"), "few").join(rows.withColumnRenamed("g", "many"), ["token", "many"])
+        .groupBy("a_g", "b_g", "most", "least").agg(F.count(F.lit(1)).alias("c"))
+    )
+    open_pairs = stage(shared.filter(_reachable(F.col("c"), "most", "most", "least", "least")).select("a_g", "b_g"), "ngram_open")
+    at = cells.select("token", "i_g", "p_g", F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).join(
+        open_pairs, ["a_g", "b_g"], "left_semi").select("token", "i_g", "p_g")
+    x = _index_rows(members).select("token", F.col("g").alias("i_g"), F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("rest").alias("xr"))
+    y = members.select("token", F.col("g").alias("p_g"), F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("rest").alias("yr"))
+    return at.join(x, ["token", "i_g"]).join(y, ["token", "p_g"]).filter(
         (F.col("xn") <= F.col("yn")) & (4 * F.col("xn") >= 3 * F.col("yn"))
         & (F.least("xr", "yr") >= _ceil(3 * (F.col("xn") + F.col("yn")), 7))
-    ).select(*_pair(F.col("x"), F.col("y"))).distinct()
+    ).select(*_pair(F.col("x"), F.col("y")))
 
 
 def _labelled(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
