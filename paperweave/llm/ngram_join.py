@@ -9,8 +9,8 @@ between different sets are found or implied by a path of verified links - none i
    (any fixed choice of these is exact, it only decides how long lists get), then by hash. Linked
    sets share a token among the first n - ceil(3n/4) + 1 of each, so only these prefixes are
    shuffled, and only tokens that occur in two sets are kept.
-3. Grouping: every set is compared with the few sets that lead most of its token lists (the
-   smallest, and one by each of three hashes); verified links give the first groups.
+3. Grouping: every set is compared with the few sets that lead most of its token lists (one
+   by each of three hashes); verified links give the first groups.
 4. Token-group matrix: per (token, group) the least and greatest size and the most tokens that any
    member has from there on. The smaller set of a link holds its first common token among its first
    n - ceil(6n/7) + 1, so cells pair those rows with all others, and a pair of groups qualifies
@@ -46,7 +46,7 @@ from ..session import drop_staged, stage
 from .common import salted_join, workers_import
 
 SHINGLE = 5
-LEADERS = 3  # sets by hash, besides the smallest, that lead a token list
+LEADERS = 3  # sets, by hash, that lead a token list
 FREQUENT = 16  # documents, counted where a batch holds two or more of them
 FREQUENT_LIMIT = 2_000_000  # most frequent tokens broadcast (8 bytes each); others are ordered by hash
 BROADCAST_REPS = 1_000_000  # sets to fetch whose numbers (8 bytes each) are broadcast; more are joined by a shuffle
@@ -221,7 +221,7 @@ def link_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     posted = stage(shared.join(to_rep, "row").select("token", "rep", "n", "pos").distinct().withColumn("rest", n - pos), "ngram_posted")
     drop_staged(spark, shared)
 
-    # grouping: every set against the sets that lead most of its lists (the smallest, and some by hash)
+    # grouping: every set against the sets that lead most of its lists
     tried = stage(_star_pairs(posted), "ngram_tried")
     links = _verified(tried, packed)
     if not posted.isEmpty():
@@ -242,12 +242,12 @@ def _index_rows(posted: DataFrame) -> DataFrame:
 
 
 def _star_pairs(posted: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a set with the leaders that most of its lists share: per list the smallest set and
-    one set by each of ``LEADERS`` hashes. At most LEADERS + 1 pairs a set; they only form groups."""
+    """Pairs (a, b) of a set with the leaders that most of its lists share: per list one set by each of
+    ``LEADERS`` hashes. At most LEADERS pairs a set; they only form groups."""
     def by(order: Column) -> Column:
         return F.min(F.struct(order.alias("o"), "n", "rep"))
 
-    orders = [F.col("n")] + [F.xxhash64("rep", F.lit(r)) for r in range(LEADERS)]
+    orders = [F.xxhash64("rep", F.lit(r)) for r in range(LEADERS)]
     leaders = posted.groupBy("token").agg(*[by(o).alias(f"l{r}") for r, o in enumerate(orders)])
     listed = leaders.select("token", F.posexplode(F.array(*[
         F.struct(F.col(f"l{r}.n").alias("n"), F.col(f"l{r}.rep").alias("rep")) for r in range(len(orders))])).alias("kind", "l"))
@@ -318,11 +318,17 @@ def _opened(members: DataFrame, cells: DataFrame, pairs: DataFrame) -> DataFrame
         .groupBy("a_g", "b_g", "most", "least").agg(F.count(F.lit(1)).alias("c"))
     )
     open_pairs = stage(shared.filter(_reachable(F.col("c"), "most", "most", "least", "least")).select("a_g", "b_g"), "ngram_open")
-    at = cells.select("token", "i_g", "p_g", F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).join(
-        open_pairs, ["a_g", "b_g"], "left_semi").select("token", "i_g", "p_g")
+    bounds = ["p_least", "p_most", "p_rest"]
+    at = cells.select("token", "i_g", "p_g", *bounds, F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).join(
+        open_pairs, ["a_g", "b_g"], "left_semi").select("token", "i_g", "p_g", *bounds)
     x = _index_rows(members).select("token", F.col("g").alias("i_g"), F.col("rep").alias("x"), F.col("n").alias("xn"), F.col("rest").alias("xr"))
     y = members.select("token", F.col("g").alias("p_g"), F.col("rep").alias("y"), F.col("n").alias("yn"), F.col("rest").alias("yr"))
-    return at.join(x, ["token", "i_g"]).join(y, ["token", "p_g"]).filter(
+    # a member must fit some set of the other group before it meets any of them
+    fitting = at.join(x, ["token", "i_g"]).filter(
+        (F.col("xn") <= F.col("p_most")) & (4 * F.col("xn") >= 3 * F.col("p_least"))
+        & (F.least("xr", "p_rest") >= _ceil(3 * (F.col("xn") + F.greatest("xn", "p_least")), 7))
+    ).drop(*bounds)
+    return fitting.join(y, ["token", "p_g"]).filter(
         (F.col("xn") <= F.col("yn")) & (4 * F.col("xn") >= 3 * F.col("yn"))
         & (F.least("xr", "yr") >= _ceil(3 * (F.col("xn") + F.col("yn")), 7))
     ).select(*_pair(F.col("x"), F.col("y")))
