@@ -17,7 +17,8 @@ between different sets are found or implied by a path of verified links - none i
    only if min(rest, rest) reaches the overlap that their smallest sets need. A qualifying pair is
    first tried with one member of each; single sets are settled by that, others merge if it links.
 5. Groups of several sets that are still apart are bounded once more by the number of tokens they
-   share; pairs that can reach a link are opened, and their members verified exactly. Before any
+   share; pairs that can reach a link are opened: a share of a large group is compared first, then,
+   where that gives no link, all members. Every pair is verified exactly. Before any
    verification the common prefix tokens, plus all that lies past a prefix, must reach the
    overlap. Pairs inside a group are never formed.
 
@@ -46,6 +47,7 @@ from ..session import drop_staged, stage
 from .common import salted_join, workers_import
 
 SHINGLE = 5
+FIRST_SHARE = 16  # of a large group, the share of members that is compared before all are
 LEADERS = 3  # sets, by hash, that lead a token list
 FREQUENT = 16  # documents, counted where a batch holds two or more of them
 FREQUENT_LIMIT = 2_000_000  # most frequent tokens broadcast (8 bytes each); others are ordered by hash
@@ -225,15 +227,19 @@ def link_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     tried = stage(_star_pairs(posted), "ngram_tried")
     links = _verified(tried, packed)
     if not posted.isEmpty():
-        for last in (False, True):
-            members, cells, pairs = _matrix(posted, _groups(links))
-            if last:
-                chosen = _opened(members, cells, pairs.filter("multi"))
-            else:
-                chosen = pairs.select("a", "b")
+        def attempt(chosen: DataFrame) -> DataFrame:
+            nonlocal links, tried
             fresh = stage(_countable(chosen.distinct().join(tried, ["a", "b"], "left_anti"), posted), "ngram_fresh")
-            links = stage(links.unionByName(_verified(fresh, packed)), "ngram_links")
-            tried = tried.unionByName(fresh)
+            found = _verified(fresh, packed)
+            links, tried = stage(links.unionByName(found), "ngram_links"), tried.unionByName(fresh)
+            return found
+
+        attempt(_matrix(posted, _groups(links))[2].select("a", "b"))
+        members, cells, pairs = _matrix(posted, _groups(links))
+        apart = _openable(members, pairs.filter("multi"))
+        # a few members of a large group usually show the link; only pairs still apart are opened in full
+        apart = _still_apart(apart, members, attempt(_opened(members, cells, apart, FIRST_SHARE)))
+        attempt(_opened(members, cells, apart, 1))
     return _labelled(rows, classes, _groups(links))
 
 
@@ -303,9 +309,20 @@ def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame,
     return members, cells, stage(pairs, "ngram_pairs")
 
 
-def _opened(members: DataFrame, cells: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs of members of groups that are still apart: first the groups' common tokens are counted
-    (from the side with fewer), and only pairs of groups that can reach a link are opened."""
+def _still_apart(pairs: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs (a_g, b_g) of groups that the found links have not brought together."""
+    of = members.select("rep", "g").distinct()
+    merged = found.join(of.select(F.col("rep").alias("a"), F.col("g").alias("ga")), "a").join(
+        of.select(F.col("rep").alias("b"), F.col("g").alias("gb")), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    root = stage(_groups(stage(merged, "ngram_merged")), "ngram_roots")
+    named = lambda p: root.select(F.col("rep").alias(f"{p}_g"), F.col("g").alias(f"{p}_root"))
+    joined = pairs.join(named("a"), "a_g", "left").join(named("b"), "b_g", "left")
+    return stage(joined.filter(F.coalesce("a_root", "a_g") != F.coalesce("b_root", "b_g")).select("a_g", "b_g"), "ngram_apart")
+
+
+def _openable(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs (a_g, b_g) of groups that can reach a link by the number of tokens that they share, counted
+    from the side with fewer."""
     rows = members.select("token", "g").distinct()
     sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("t"))
     named = lambda p: sizes.select(F.col("g").alias(f"{p}_g"), F.col("t").alias(f"{p}_t"))
@@ -317,7 +334,14 @@ def _opened(members: DataFrame, cells: DataFrame, pairs: DataFrame) -> DataFrame
         .join(rows.withColumnRenamed("g", "few"), "few").join(rows.withColumnRenamed("g", "many"), ["token", "many"])
         .groupBy("a_g", "b_g", "most", "least").agg(F.count(F.lit(1)).alias("c"))
     )
-    open_pairs = stage(shared.filter(_reachable(F.col("c"), "most", "most", "least", "least")).select("a_g", "b_g"), "ngram_open")
+    return stage(shared.filter(_reachable(F.col("c"), "most", "most", "least", "least")).select("a_g", "b_g"), "ngram_open")
+
+
+def _opened(members: DataFrame, cells: DataFrame, open_pairs: DataFrame, share: int) -> DataFrame:
+    """Pairs of members of the given pairs of groups that share a token's list, within the size and position
+    bounds. ``share`` > 1 takes that part of the members of groups of several sets, by hash."""
+    if share > 1:
+        members = members.filter(~F.col("multi") | (F.pmod(F.xxhash64("rep"), F.lit(share)) == 0))
     bounds = ["p_least", "p_most", "p_rest"]
     at = cells.select("token", "i_g", "p_g", *bounds, F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).join(
         open_pairs, ["a_g", "b_g"], "left_semi").select("token", "i_g", "p_g", *bounds)
