@@ -18,6 +18,8 @@ Defined results
   code points in the original text stays, then the smallest identifier (null last), then, for
   rows that agree in all of that, the first in the scan.
 * one row is returned per input row, dropped ones too. An empty table gives an empty result.
+* ``docs`` is one source (a table as read; a joined frame is written first), since the locator is the
+  file of the row.
 * extra columns are ignored; a group with a third of all rows is combined before the shuffle
   and salted in the joins.
 """

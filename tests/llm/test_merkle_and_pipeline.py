@@ -12,6 +12,8 @@ from paperweave.llm import merkle_audit as ma
 from paperweave.llm import oracle, quality_rules
 from paperweave.llm.queries import QUERIES
 
+from paperweave.session import stage
+
 from ..test_oracle import _digest
 
 
@@ -88,14 +90,14 @@ def _stage_inputs(spark, sf_dir, docs):
     """Every stage applied, with what went in and what came out."""
     out = []
     for name, step in corpus_pipeline.STAGES:
-        result = step(spark, docs, sf_dir).cache()
+        result = stage(step(spark, docs, sf_dir), name)  # written and read again, as run() does
         out.append((name, docs, result))
         docs = result
     return out
 
 
 def test_pipeline_stages(spark, sf_small):
-    docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(120).cache()
+    docs = stage(spark.read.parquet(f"{sf_small}/documents.parquet").limit(100), "docs")
     runs = {n: (a, b) for n, a, b in _stage_inputs(spark, sf_small, docs)}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "exact_dedup", "ngram_jaccard", "mixing", "packing"]
     for name in list(runs)[:-1]:
