@@ -1,34 +1,39 @@
 """Personal data: fixed patterns, then information-theoretic sanitisation of what gives them away.
 
 Pattern pass: e-mail addresses, IP addresses, card and phone numbers, leftmost without overlap per
-kind. Every find is a protected entity (its normalised value). The words around it are its contexts.
+kind. Every find is a protected entity (its normalised value). Terms are the words outside finds.
 
-Disclosure: over the whole corpus, a term t reveals an entity e when P(e | t) = documents in which t
-stands near e / documents that hold t, is at least ``posterior``, and the pointwise information
-log2 P(e | t) / P(e) at least ``bits``. Only evidence from ``support`` different contexts counts:
-copies of one passage are one context, however often they occur. Terms above the threshold are
-spans of kind ``term`` next to their entity. ``sanitise`` replaces pattern finds by their kind and
-telling terms by ``[TERM]`` (capitalised ones are generalised to ``[NAME]``).
+Disclosure: over the whole corpus, a term t reveals an entity e when P(e | t) = texts that hold both /
+texts that hold t, is at least ``posterior``, the pointwise information log2 P(e | t) / P(e) at least
+``bits``, and the co-occurrence significant: the Chernoff bound of its hypergeometric tail, times the
+number of (entity, term) pairs, is at most ``alpha``. Texts count once however often they are copied
+(equal words outside the finds, so the rows of a form letter are one text). Every occurrence of a
+telling term, in every document, is a span of kind ``term``. ``sanitise`` replaces pattern finds by
+their kind and telling terms by ``[TERM]`` (capitalised ones are generalised to ``[NAME]``).
+
+The texts are read three times: entities and terms of documents with finds; how many texts hold each
+candidate term; spans. Pairs are counted only where they can be significant: no count below the least
+one that could be, no term held by more texts than its entity could explain.
 
 Defined results
 * null text counts as empty: no finds. Whole texts are read, whatever their length; patterns run in
   linear time (possessive repeats, no restart inside a run).
 * a find that fails its check (parts over 255, Luhn, number of digits) is dropped without a retry.
 * terms never overlap a pattern find; terms that several entities make telling are reported once.
+* the telling terms are held by every worker as one set.
 * repeated rows are searched alike; null ids are carried through; an empty table gives an empty
   result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,12 +52,12 @@ _TERM = re.compile(r"[^\W\d_]{3,}")
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``near``: words to each side of an entity; ``broadcast_terms``: candidate terms that a task may hold."""
+    """``alpha``: chance that chance alone makes any term telling; ``broadcast_terms``: rows that a task may hold
+    of candidate terms, protected entities or copied texts."""
 
-    near: int = 4
-    support: int = 5
     posterior: float = 0.5
     bits: float = 3.0
+    alpha: float = 0.01
     broadcast_terms: int = 1_000_000
 
 
@@ -103,98 +108,177 @@ def pattern_spans(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(out)
 
 
-def contexts(text: str, spans: list[tuple[int, int, str, str]], near: int) -> list[tuple]:
-    """(entity, term, start, end, context) of the words next to every find; words inside finds do not count."""
-    out = []
-    for start, kind, end, value in spans:
-        left = [m for m in _TERM.finditer(text, max(0, start - 40 * near), start)][-near:]
-        right = []
-        for m in _TERM.finditer(text, end, min(len(text), end + 40 * near)):
-            right.append(m)
-            if len(right) == near:
-                break
-        around = [m for m in left + right if not any(s < m.end() and m.start() < e for s, _, e, _ in spans)]
-        words = [m[0].lower() for m in around]
-        context = xxhash.xxh3_64_intdigest(" ".join(words)) - 2**63
-        entity = xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{value}") - 2**63
-        out += [(entity, w, m.start(), m.end(), context) for w, m in zip(words, around)]
-    return out
-
-
-_CONTEXT = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.int64())])
-_SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
-FOUND = ("row long, doc_id long, base array<struct<start int, kind int, end int>>, "
-         "near array<struct<entity long, term string, start int, end int, context long>>")
+def free_words(text: str, spans: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of every word that no pattern find touches. ``spans`` are in order of start."""
+    finds = iter(spans)
+    find = next(finds, None)
+    for m in _TERM.finditer(text):
+        while find and find[2] <= m.start():
+            find = next(finds, None)
+        if not find or find[0] >= m.end():
+            yield m.start(), m.end()
+
+
+def lowered(text: str, spans: list[tuple[int, int, str, str]]) -> str:
+    """The terms of a text in order, one space between; what makes two rows copies of one text."""
+    return " ".join([text[s:e] for s, e in free_words(text, spans)] if spans else _TERM.findall(text)).lower()
+
+
+def _entity(kind: int, value: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{value}") - 2**63
+
 
+FOUND = "digest binary, entities array<long>, terms array<string>"
+
+
+def _found(docs: DataFrame) -> DataFrame:
+    """Per row: digest of its terms; where it has finds, their distinct entities and its distinct terms."""
 
-def _found(docs: DataFrame, cfg: Disclosure) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            base, near = [], []
-            for t in batch.column(1):
+            digest, entities, terms = [], [], []
+            for t in batch.column(0):
                 text = t.as_py() or ""
                 spans = pattern_spans(text)
-                base.append([{"start": s, "kind": k, "end": e} for s, k, e, _ in spans])
-                near.append([dict(zip(("entity", "term", "start", "end", "context"), c)) for c in contexts(text, spans, cfg.near)] if spans else [])
+                words = lowered(text, spans)
+                digest.append(xxhash.xxh3_128_digest(words))
+                entities.append(sorted({_entity(k, v) for _, k, _, v in spans}))
+                terms.append(sorted(set(words.split())) if spans else [])
             yield pa.RecordBatch.from_arrays([
-                pa.array(range(row, row + len(base)), pa.int64()), batch.column(0),
-                pa.array(base, pa.list_(_SPAN)), pa.array(near, pa.list_(_CONTEXT)),
-            ], ["row", "doc_id", "base", "near"])
-            row += len(base)
+                pa.array(digest, pa.binary()), pa.array(entities, pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.string())),
+            ], ["digest", "entities", "terms"])
 
-    return docs.mapInArrow(run, FOUND)
+    return docs.select("text").mapInArrow(run, FOUND)
 
 
-def _holders(docs: DataFrame, terms: DataFrame, cfg: Disclosure) -> DataFrame:
-    """(term, documents): how many documents of the corpus hold each of the candidate terms."""
-    few = terms.count() <= cfg.broadcast_terms
-    held = docs.sparkSession.sparkContext.broadcast({r[0] for r in terms.collect()}) if few else None
+def _held(rows: DataFrame, limit: int):
+    """Broadcast set of a one-column table, or None when it has more than ``limit`` rows."""
+    few = rows.limit(limit + 1).count() <= limit
+    if not few:
+        return None
+    return rows.sparkSession.sparkContext.broadcast(frozenset(bytes(r[0]) if isinstance(r[0], bytearray) else r[0] for r in rows.collect()))
+
+
+def _holders(docs: DataFrame, terms: DataFrame, copied: DataFrame, cfg: Disclosure) -> DataFrame:
+    """(term, n_term): how many texts hold each of the candidate terms. Texts whose digest is in ``copied``
+    stand in several rows; their terms go out with the digest, so that they count once."""
+    held, again = _held(terms, cfg.broadcast_terms), _held(copied, cfg.broadcast_terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = held.value if held else None
+        wanted, twice = held.value if held else None, again.value if again else None
+        done: set[bytes] = set()
         for batch in batches:
             count: dict[str, int] = {}
+            out: list[tuple] = []
             for t in batch.column(0):
-                own = {w.lower() for w in _TERM.findall(t.as_py() or "")}
-                for w in own & wanted if wanted is not None else own:
-                    count[w] = count.get(w, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
-
-    return docs.select("text").mapInArrow(run, "term string, n long").join(terms, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n_term"))
-
-
-def disclosures(found: DataFrame, docs: DataFrame, cfg: Disclosure) -> DataFrame:
-    """(entity, term, posterior, bits) of the terms that reveal an entity beyond the thresholds."""
-    near = found.select("row", F.inline("near"))
-    pairs = stage(near.groupBy("entity", "term").agg(
-        F.countDistinct("context").alias("contexts"), F.countDistinct("row").alias("n_both")
-    ).filter(F.col("contexts") >= cfg.support), "pii_pairs")
-    if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("posterior"), F.lit(0.0).alias("bits"))
-    terms = stage(pairs.select("term").distinct(), "pii_terms")
-    known = stage(_holders(docs, terms, cfg), "pii_holders")
-    entities = near.join(pairs.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(F.countDistinct("row").alias("n_entity"))
-    total = found.agg(F.count(F.lit(1)).alias("n_all"))
-    posterior = F.least(F.col("n_both") / F.col("n_term"), F.lit(1.0))
-    return pairs.join(known, "term").join(entities, "entity").crossJoin(F.broadcast(total)).select(
-        "entity", "term", posterior.alias("posterior"), F.log2(posterior * F.col("n_all") / F.col("n_entity")).alias("bits"),
-    ).filter((F.col("posterior") >= cfg.posterior) & (F.col("bits") >= cfg.bits))
+                text = t.as_py() or ""
+                words = lowered(text, pattern_spans(text))
+                digest = xxhash.xxh3_128_digest(words)
+                own = set(words.split())
+                if wanted is not None:
+                    own &= wanted
+                if twice is not None and digest not in twice:
+                    for w in own:
+                        count[w] = count.get(w, 0) + 1
+                elif digest not in done:
+                    done.add(digest)
+                    out += [(w, 1, digest) for w in own]
+            out += [(w, n, None) for w, n in count.items()]
+            columns = list(zip(*out)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()))], ["term", "n", "digest"])
+
+    counted = docs.select("text").mapInArrow(run, "term string, n long, digest binary")
+    if not held:
+        counted = counted.join(terms, "term", "left_semi")
+    texts = counted.groupBy("term", "digest").agg(F.when(F.col("digest").isNull(), F.sum("n")).otherwise(F.lit(1)).alias("n"))
+    return texts.groupBy("term").agg(F.sum("n").alias("n_term"))
+
+
+def least_support(texts: int, tests: int, alpha: float) -> int | None:
+    """The smallest number of texts that an entity and a term must share to be significant at all."""
+    return next((k for k in range(1, int(texts / math.e) + 1) if math.log(tests) + k * math.log(k / texts) <= math.log(alpha)), None)
+
+
+def _sized(df: DataFrame, limit: int) -> DataFrame:
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def disclosures(docs: DataFrame, cfg: Disclosure) -> DataFrame | None:
+    """(entity, term, posterior, bits) of the terms that reveal an entity beyond the thresholds; None when no pair can."""
+    found = stage(_found(docs).withColumn("row", F.monotonically_increasing_id()), "pii_found")
+    with_finds = found.filter(F.size("entities") > 0)
+    evidence = stage(with_finds.select("digest", "row", F.explode("entities").alias("entity")).groupBy("entity", "digest").agg(
+        F.min("row").alias("row")), "pii_evidence")
+    per_entity = stage(evidence.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")), "pii_entities")
+    # copies hold the same terms, so one row speaks for all rows of its digest
+    texts = with_finds.groupBy("digest").agg(F.min("row").alias("row"))
+    per_term = stage(with_finds.select("row", "terms").join(texts.select("row"), "row", "left_semi").select(
+        F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_seen")), "pii_terms")
+    total = found.agg(F.countDistinct("digest")).first()[0]
+    tests = per_entity.count() * per_term.count()
+    least = least_support(total, tests, cfg.alpha) if tests else None
+    if least is None:
+        return None
+    entities = stage(per_entity.filter(F.col("n_entity") >= least), "pii_known")
+    terms = stage(per_term.filter(F.col("n_seen") >= least).select("term"), "pii_candidates")
+    if entities.isEmpty() or terms.isEmpty():
+        return None
+    copied = stage(found.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest"), "pii_copied")
+    known = stage(_holders(docs, terms, copied, cfg), "pii_holders")
+    own = evidence.join(_sized(entities, cfg.broadcast_terms), "entity").select("entity", "n_entity", "row")
+    both = (
+        own.join(found.select("row", "terms"), "row").select("entity", "n_entity", F.explode("terms").alias("term"))
+        .join(_sized(known, cfg.broadcast_terms), "term").filter(F.col("n_term") * cfg.posterior <= F.col("n_entity"))
+        .groupBy("entity", "term", "n_entity", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
+    )
+    q, p = F.col("n_both") / F.col("n_term"), F.col("n_entity") / F.lit(total)
+    # n_term times the relative entropy of q to p bounds the tail (Hoeffding); a share of 0 adds nothing
+    rest = F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - p))).otherwise(0.0)
+    log_tail = -F.col("n_term") * (q * F.log(q / p) + rest)
+    return both.filter((q >= cfg.posterior) & (F.log2(q / p) >= cfg.bits) & (log_tail + math.log(tests) <= math.log(cfg.alpha))).select(
+        "entity", "term", q.alias("posterior"), F.log2(q / p).alias("bits"))
+
+
+def telling_terms(docs: DataFrame, cfg: Disclosure):
+    """Broadcast set of the terms that reveal any entity."""
+    told = disclosures(docs, cfg)
+    terms = frozenset() if told is None else frozenset(r[0] for r in told.select("term").distinct().collect())
+    return docs.sparkSession.sparkContext.broadcast(terms)
+
+
+def term_spans(text: str, spans: list[tuple[int, int, str, str]], telling: frozenset[str]) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of every occurrence of a telling term outside the finds."""
+    if not telling:
+        return []
+    return [(s, len(KINDS), e) for s, e in free_words(text, spans) if text[s:e].lower() in telling]
+
+
+_SPAN = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
+SPANS = "doc_id long, base array<struct<start int, kind int, end int>>, spans array<struct<start int, kind int, end int>>"
 
 
 def find_spans(docs: DataFrame, cfg: Disclosure = Disclosure(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: row, doc_id, base and spans (arrays of start, kind, end; kind 4 is a telling term)."""
+    """One row per document: doc_id, base and spans (arrays of start, kind, end; kind 4 is a telling term)."""
     docs = workers_import(docs).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = stage(_found(docs, cfg), "pii_found")
-    telling = stage(disclosures(found, docs, cfg).select("entity", "term").distinct(), "pii_telling")
-    added = (
-        found.select("row", F.inline("near")).join(telling, ["entity", "term"], "left_semi")
-        .groupBy("row").agg(F.collect_set(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("terms"))
-    )
-    return found.select("row", "doc_id", "base").join(added, "row", "left").select(
-        "row", "doc_id", "base",
-        F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "terms"))).alias("spans"),
-    )
+    telling = telling_terms(docs, cfg)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def listed(spans):
+            return [{"start": s, "kind": k, "end": e} for s, k, e in spans]
+
+        for batch in batches:
+            base, spans = [], []
+            for t in batch.column(1):
+                value = t.as_py() or ""
+                finds = pattern_spans(value)
+                plain = [f[:3] for f in finds]
+                base.append(listed(plain))
+                spans.append(listed(sorted(plain + term_spans(value, finds, telling.value))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(base, pa.list_(_SPAN)), pa.array(spans, pa.list_(_SPAN))], ["doc_id", "base", "spans"])
+
+    return docs.mapInArrow(run, SPANS)
 
 
 def _written(spans):

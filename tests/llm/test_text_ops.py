@@ -316,6 +316,20 @@ def test_telling_terms_need_independent_evidence(documents):
     assert "Zebulon" in clean[100] and clean[200] == rows[38][1]
 
 
+def test_telling_terms_are_marked_wherever_they_stand(documents):
+    rnd = random.Random(18)
+    other = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(3)) for _ in range(n))
+    rows = [(i, f"Quillon {other(30)} q@mail.example.com {other(20)} quillon") for i in range(8)]  # far from the find
+    rows += [(100, f"{other(20)} Quillon {other(5)}"), (101, None), (None, f"quillon {other(9)}")]  # without the entity
+    rows += [(200 + i, f"Zebulon {other(1)} letter to z{i}@mail.example.com") for i in range(2)]  # too little evidence
+    rows += [(300 + i, "Form Yardley sends from y@mail.example.com to all") for i in range(40)]  # one text
+    rows += [(400 + i, other(30)) for i in range(200)]
+    got = {r["doc_id"]: r for r in sanitise.span_report(documents(rows)).collect()}
+    for i, text in rows:
+        places = [m.span() for m in re.finditer("quillon", text or "", re.I)]
+        assert [x for x in got[i]["spans"].split(",") if x.startswith("term:")] == [f"term:{s}:{e}" for s, e in places], i
+
+
 def _toxic_rows(n, seed):
     rnd = random.Random(seed)
     rows, labels = [], []
