@@ -286,7 +286,9 @@ def _compare(cut: DataFrame) -> DataFrame:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
-def _removed(first: DataFrame, windows: DataFrame) -> DataFrame:
+def _removed(first: DataFrame, windows: DataFrame, every: bool) -> tuple[DataFrame, DataFrame]:
+    """Result rows of the touched documents (of every one on request), and the rows of ``windows``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -308,8 +310,9 @@ def _removed(first: DataFrame, windows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], [c.split()[0] for c in RESULT.split(", ")])
 
     per_row = windows.groupBy("row").agg(F.collect_list(F.struct("start", "length")).alias("ranges"))
-    touched = first.select("row", "doc_id", "packed", "done_start", "done_length").join(per_row, "row", "left").filter(
-        F.col("ranges").isNotNull() | (F.size("done_start") > 0))
+    touched = first.select("row", "doc_id", "packed", "done_start", "done_length").join(per_row, "row", "left")
+    if not every:
+        touched = touched.filter(F.col("ranges").isNotNull() | (F.size("done_start") > 0))
     return touched.select("doc_id", "packed", "done_start", "done_length", "ranges").mapInArrow(run, RESULT), per_row
 
 
@@ -322,10 +325,10 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     windows = stage(
         runs.filter("repeat AND more = 0").select("row", "start", "length")
         .unionByName(cut.filter("known").select("row", "start", "length")).unionByName(_compare(cut)), "repeat_windows")
-    removed, per_row = _removed(first, windows)
+    removed, per_row = _removed(first, windows, with_text)
+    if with_text:
+        return removed
     whole = first.join(per_row.select("row"), "row", "left_anti").filter(F.size("done_start") == 0).select(
         "doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"))
     columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    if with_text:
-        return removed
     return removed.select(columns).unionByName(whole)

@@ -151,6 +151,20 @@ def test_anchors_and_names(batches):
         assert strings.setdefault(int(g), bytes(data[p:p + 50])) == bytes(data[p:p + 50])
 
 
+def test_remaining_texts_of_all_documents(documents):
+    rnd = random.Random(12)
+    twice = _prose(rnd, 120)
+    rows = [(1, "head " + twice), (2, twice + " tail"), (3, _prose(rnd, 200)), (4, "short é"), (5, ""), (6, None), (None, "no id")]
+    df = documents(rows)
+    got = suffix_dedup.remove_repeats(df, with_text=True).collect()
+    assert len(got) == len(rows)
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in got}
+    assert all(kept[i] == (t or "").encode() for i, t in rows[2:])
+    assert len(kept[1]) < 30 and len(kept[2]) < 30
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert Counter(tuple(r[c] for c in columns) for r in got) == Counter(map(tuple, suffix_dedup.remove_repeats(df).select(columns).collect()))
+
+
 def test_empty_tables(documents):
     empty = documents([])
     assert ngram_join.link_components(empty).count() == 0
