@@ -312,17 +312,20 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
-def sanitise(docs: DataFrame, cfg: Disclosure = Disclosure(), *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the text column sanitised, all other columns as they came. Rows are matched by
-    identifier and text digest, so repeated identifiers are safe."""
-    spans = find_spans(docs, cfg, key=key, text=text).filter(F.size("spans") > 0)
-    listed = spans.select(F.col("doc_id").alias("__id"), F.transform("spans", lambda s: F.struct(
-        s.getField("start").alias("start"), s.getField("kind").alias("kind"), s.getField("end").alias("end"))).alias("__spans")).distinct()
+def sanitise(docs: DataFrame, cfg: Disclosure = Disclosure(), *, text: str = "text") -> DataFrame:
+    """``docs`` with the text column sanitised, all other columns as they came. Every row's spans come from
+    its own text, so repeated and null identifiers are safe."""
+    docs = workers_import(docs)
+    telling = telling_terms(docs.select(F.col(text).alias("text")), cfg)
+
+    def clean(value: str | None) -> str | None:
+        if value is None:
+            return None
+        finds = pattern_spans(value)
+        return redacted(value, [f[:3] for f in finds] + term_spans(value, finds, telling.value))
 
     @F.pandas_udf("string")
-    def replace(texts, lists):  # type: ignore[no-untyped-def]
-        return texts.combine(lists, lambda t, s: t if t is None or s is None else redacted(t, [(x["start"], x["kind"], x["end"]) for x in s]))
+    def replace(texts):  # type: ignore[no-untyped-def]
+        return texts.map(clean)
 
-    once = listed.groupBy("__id").agg(F.count(F.lit(1)).alias("__n"), F.first("__spans").alias("__spans")).filter("__n = 1").drop("__n")
-    joined = workers_import(docs).join(once, docs[key].eqNullSafe(once["__id"]), "left")
-    return joined.withColumn(text, replace(F.col(text), F.col("__spans"))).select(docs.columns)
+    return docs.withColumn(text, replace(F.col(text)))

@@ -344,6 +344,14 @@ def test_telling_terms_are_marked_wherever_they_stand(documents):
         assert [x for x in got[i]["spans"].split(",") if x.startswith("term:")] == [f"term:{s}:{e}" for s, e in places], i
 
 
+def test_rows_that_share_an_identifier_are_sanitised_apart(documents):
+    rows = [(1, "one a@b.cc end"), (1, "other text c@d.ee"), (1, "nothing to find in this row"), (None, "x@y.zz"), (None, "no find at all"),
+            (None, "card 4111 1111 1111 1111"), (2, None)]
+    got = Counter((r["doc_id"], r["text"]) for r in sanitise.sanitise(documents(rows)).collect())
+    assert got == Counter([(1, "one [EMAIL] end"), (1, "other text [EMAIL]"), (1, rows[2][1]), (None, "[EMAIL]"), (None, "no find at all"),
+                           (None, "card [CARD]"), (2, None)])
+
+
 def _toxic_rows(n, seed):
     rnd = random.Random(seed)
     rows, labels = [], []
