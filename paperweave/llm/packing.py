@@ -26,6 +26,7 @@ Defined results
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -43,6 +44,10 @@ from .common import workers_import
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END_ID = 1
 
+# white space that the words' memo does not know: two in a row, or anything but space and line break
+DOUBLE = ("  ", "\n\n", " \n", "\n ")
+OTHER_SPACE = re.compile("[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n") + "]")
+
 WINDOW = 2048
 OPEN_WINDOWS = 16
 FAN = 16
@@ -110,7 +115,7 @@ class Encoder:
         if any(s in text for s in self.specials):
             return self.pack(self.reference.encode(text, add_special_tokens=False).ids)
         # every white-space character a single space or line break between words?
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        if text[0] in " \n" or text[-1] in " \n" or any(gap in text for gap in DOUBLE) or OTHER_SPACE.search(text):
             return self.plain(text)
         lines = []
         for line in text.split("\n"):

@@ -225,6 +225,13 @@ def test_packing(documents, clashing, parts, open_windows):
     assert Counter(again) == Counter(got)
 
 
+@pytest.mark.parametrize("text", [
+    "a\tb\tc\n\n", "a\tb\tc\n\n\nd", "a\tb \t c", "prix\u00a0: 3\n\nfin", "x\r\ny  z\tw", "a\u2009b\n\nc", "a\x1cb\n\nc", "a b\nc d", "a \nb", "a\n b", "a\u3000b\n\n",
+])
+def test_ids_of_any_white_space(text):
+    assert list(struct.unpack(f"<{len(_ids(text)) - 1}I", packing.encoder(tokenizer_path()).encode(text))) == _ids(text)[:-1]
+
+
 def _target_model(sizes):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     weight = {s: float(i % 3 + 1) for i, s in enumerate(order)}
