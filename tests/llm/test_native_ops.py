@@ -1,6 +1,7 @@
 """Quality rules, streaming dedup, host reputation."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -58,6 +59,26 @@ def test_outliers_are_rejected_per_group(documents):
     assert again == {i: r["distance2"] for i, r in got.items()}  # exact sums: any partitioning, same bits
 
 
+def test_bulk_outliers_are_rejected(documents):
+    def clean(i):
+        return " ".join(f"w{(i * 31 + 7 * j) % 9973:x}bcdef"[: 4 + (i + j) % 5] for j in range(40 + (i * 31) % 160))
+
+    rows = [(i, clean(i), "en", "a") for i in range(160)]
+    junk = re.sub(" ", " ### ", clean(3))
+    rows += [(1000 + i, junk, "en", "a") for i in range(80)]  # a third of the group, one text
+    rows.append((2000, re.sub(" ", " #### ", clean(5)), "en", "a"))  # alone in the same direction
+    got = {r["doc_id"]: r["kept"] for r in qr.quality_verdicts(documents(rows)).collect()}
+    assert not any(got[i] for i in got if i >= 1000)
+    assert sum(got[i] for i in range(160)) >= 158
+
+
+def test_every_statistic_can_reach_the_cutoff():
+    most = {"x_symbols": math.log1p(100), "x_dup_lines": math.log1p(100), "x_repeats": math.log1p(qr.MAX_REPEAT_PERCENT)}
+    floors = dict(qr.FEATURES)
+    for name, value in most.items():
+        assert (value / floors[name]) ** 2 > qr.cutoff(qr.Mcd()), name
+
+
 def test_chi_square():
     # table values
     assert abs(qr.chi2_quantile(0.95, 1) - 3.8415) < 1e-3
