@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import hot_key_rows
+from ..session import stage
 
 # fixed values: the word rule of the operators
 SPACE = " \t\n\x0b\x0c\r"
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number per row (``__row``), on which decisions are joined back."""
+    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
 def workers_import(df: DataFrame) -> DataFrame:
     """``df``, once Python workers also look for this package where the driver found it
     (a checkout that is not installed; with an installed package or --py-files it changes nothing)."""

@@ -28,12 +28,12 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ids import dense_id
 from ..session import stage
-from .common import words
+from .common import numbered, words
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -84,8 +84,14 @@ def dual_multipliers(targets: DataFrame, steps: int = NEWTON_STEPS) -> DataFrame
 def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, key: str = "doc_id", text: str = "text",
         source: str = "source") -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, rate, copies, taken."""
-    counted = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("bigint").alias("size"))
-    sized = stage(counted.withColumn("row", F.monotonically_increasing_id()), "mix_sizes")
+    return _mixed(docs, F.monotonically_increasing_id(), weights, cap, key, text, source).drop("row")
+
+
+def _mixed(docs: DataFrame, row: Column, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, key: str = "doc_id", text: str = "text",
+           source: str = "source") -> DataFrame:
+    counted = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("bigint").alias("size"),
+                          row.alias("row"))
+    sized = stage(counted, "mix_sizes")
     sources = stage(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")), "mix_sources")
     plan = stage(dual_multipliers(source_targets(sources.drop("docs"), weights, cap)), "mix_plan")
 
@@ -94,7 +100,7 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     ranked = dense_id(sized, [F.col("source"), "size", "doc_id", "row"], "rank", name="mix_rank")
     first = ranked.groupBy("source").agg(F.min("rank").alias("first"))
     plan = stage(plan.join(first, plan["source"].eqNullSafe(first["source"])).drop(first["source"]), "mix_plan")
-    near = _with_source(ranked.drop("row"), plan)
+    near = _with_source(ranked, plan)
     i = F.col("rank") - F.col("first")
     near = near.withColumn("copies", (F.floor((i + 1) * F.col("rate") + 0.5) - F.floor(i * F.col("rate") + 0.5)).cast("bigint"))
     near = near.withColumn("copies", F.least(F.when(F.col("size") > 0, F.col("copies")).otherwise(0), F.lit(cap).cast("bigint")))
@@ -102,7 +108,7 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     for _ in range(CORRECTIONS):
         rounded = stage(_corrected(rounded, cap), "mix_corrected")
     return rounded.select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), "rank",
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"), "rank", "row",
     )
 
 
@@ -134,11 +140,6 @@ def _corrected(rounded: DataFrame, cap: int) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, all columns as they came."""
-    key = options.get("key", "doc_id")
-    taken = mix(docs, **options).groupBy("doc_id").agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    # rows that share an identifier share their copies evenly, the first ones take the rest
-    joined = docs.join(taken, docs[key].eqNullSafe(taken["doc_id"])).drop(taken["doc_id"]) if key == "doc_id" else docs.join(
-        taken.withColumnRenamed("doc_id", "__id"), docs[key].eqNullSafe(F.col("__id"))).drop("__id")
-    return joined.filter("__copies > 0").withColumn(
-        "__copies", F.ceil(F.col("__copies") / F.col("__rows")).cast("int")
-    ).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    rows = numbered(docs)
+    taken = _mixed(rows, F.col("__row"), **options).filter("copies > 0").select(F.col("row").alias("__row"), F.col("copies").cast("int").alias("__copies"))
+    return rows.join(taken, "__row").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)

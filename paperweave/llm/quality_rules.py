@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import SPACE, bound, without_space, words
+from .common import SPACE, bound, numbered, without_space, words
 
 # fixed values: the base rule
 MIN_WORDS = 10
@@ -314,6 +314,6 @@ def quality_verdicts(docs: DataFrame, cfg: Mcd = Mcd(), *, lang: str = "lang", s
 
 def keep_good(docs: DataFrame, cfg: Mcd = Mcd(), **columns: str) -> DataFrame:
     """The documents that the rules keep, all columns as they came."""
-    key = columns.get("key", "doc_id")
-    kept = quality_verdicts(docs, cfg, **columns).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(F.col("__id")), "left_semi").select(docs.columns)
+    rows = numbered(docs)
+    kept = quality_verdicts(rows, cfg, **{**columns, "key": "__row"}).filter("kept").select(F.col("doc_id").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(docs.columns)

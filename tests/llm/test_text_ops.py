@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperweave.llm import mixing, ngram_join, packing, sanitise, suffix_dedup, toxicity
+from paperweave.llm import mixing, ngram_join, packing, quality_rules, sanitise, suffix_dedup, toxicity
 from paperweave.llm.queries import tokenizer_path
 
 
@@ -279,6 +279,22 @@ def test_mixing(documents, clashing):
         {r["doc_id"]: r["copies"] for r in got if r["copies"] and r["doc_id"] is not None and r["doc_id"] < i})
 
 
+def test_stages_decide_by_row(documents):
+    rnd = random.Random(16)
+    text = _prose(rnd, 60)
+    rows = [(None, text, "en", "a"), (None, text + " end", "en", "a"), (7, "too short", "en", "a"), (7, _prose(rnd, 40), "en", "b"), (None, "short", "en", "b")]
+    rows += [(None, _prose(rnd, 30), "en", "c") for _ in range(20)]
+    df = documents(rows)
+    assert Counter(r["text"] for r in ngram_join.keep_one(df).collect()) == Counter([text] + [r[1] for r in rows[2:]])
+    assert Counter(r["text"] for r in quality_rules.keep_good(df).collect()) == Counter(r[1] for r in rows if len(r[1].split()) >= 10)
+    planned, taken = Counter(), Counter()
+    for r in mixing.mix(df).collect():
+        planned[r["source"]] += r["taken"]
+    for r in mixing.mixed_documents(df).collect():
+        taken[r["source"]] += len(r["text"].split())
+    assert taken == +planned
+
+
 def test_newton_solves_the_dual(spark):
     df = spark.createDataFrame([("a", 100.0, 300.0), ("b", 1e9, 3.0), ("c", 50.0, 0.0), ("d", 0.0, 0.0)], "source string, source_size double, target double")
     rate = {r["source"]: r["rate"] for r in mixing.dual_multipliers(df).collect()}
