@@ -7,9 +7,9 @@ solved in closed form over the source table).
 Rates: among all document rates r the mix takes those closest, in relative entropy weighted by
 words, to taking everything once, subject to the token constraint of every source. The convex
 dual has one multiplier per constraint and its solution tilts documents exponentially,
-r = exp(lambda' x). Newton's iterations for the dual are distributed: the gradient and Hessian are
-aggregates of the tilted words per constraint cell. With one token constraint per source the
-Hessian is diagonal, so all sources iterate at once as columns of the source table.
+r = exp(lambda' x). Only token constraints per source are taken. The Hessian is then diagonal, and the
+solution has the closed form rate = target / source size; it replaces distributed iterations. Newton's
+steps run as a scalar recurrence per row of the source table; no tilted words are summed over documents.
 
 Copies: rates are rounded to whole copies that keep every source's words: within a source the
 documents are ranked by size, document i takes floor((i+1) r) - floor(i r) copies, which spreads
