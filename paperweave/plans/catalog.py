@@ -188,7 +188,8 @@ def q_explode_references(spark, sf):
 
 def q_explode_authorships(spark, sf):
     a = context(spark, sf).build.authorships
-    return a.select("paper_id", F.col("first.pos").alias("position"), "oa_author_id", "name", "orcid")
+    place = F.col("first").bitwiseAND(F.lit((1 << schemas.PLACE_BITS) - 1)).cast("int")
+    return a.select("paper_id", place.alias("position"), "oa_author_id", "name", "orcid")
 
 
 def q_explode_topics(spark, sf):
