@@ -36,7 +36,7 @@ from .common import ascii_lower, salted_join
 RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
-    ("allow", "example.org/en/1"),
+    ("block", "example.org/en/1"),
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )

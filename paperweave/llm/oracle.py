@@ -20,7 +20,7 @@ WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)
 """
 
 _RULES = (
-    ("example.org/en/1", "allow"), ("example.org/es/", "block"), ("com/de/", "block"), ("com/fr/", "allow"), ("org/", "allow"),
+    ("example.org/en/1", "block"), ("example.org/es/", "block"), ("com/de/", "block"), ("com/fr/", "allow"), ("org/", "allow"),
 )
 
 

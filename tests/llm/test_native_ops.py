@@ -153,7 +153,7 @@ def test_hot_group_is_salted(spark, documents):
 
 URLS = [
     (1, "https://WWW.Example.org/es/x?q#f", "www.example.org", "/es/x", "example.org/es/", "block"),
-    (2, "http://example.org/en/1234", "example.org", "/en/1234", "example.org/en/1", "allow"),
+    (2, "http://example.org/en/1234", "example.org", "/en/1234", "example.org/en/1", "block"),
     (3, "http://example.org/en/2", "example.org", "/en/2", "org/", "allow"),
     (4, "http://org", "org", "", None, "allow"),
     (5, "http://notexample.org/es/", "notexample.org", "/es/", "org/", "allow"),
