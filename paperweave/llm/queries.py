@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, merkle_audit, mixing, ngram_join, packing, quality_rules, sanitise, stream_dedup, suffix_dedup, toxicity
+from . import host_reputation, merkle_audit, mixing, ngram_join, packing, periodic_runs, quality_rules, sanitise, stream_dedup
+from . import suffix_dedup, toxicity
 from .common import table
 
 
@@ -63,6 +64,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.planted(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -74,4 +79,5 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_host_reputation": op10_host_reputation,
+    "op11_periodic_runs": op11_periodic_runs,
 }
