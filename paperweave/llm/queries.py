@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, merkle_audit, mixing, ngram_join, packing, periodic_runs, quality_rules, sanitise, stream_dedup
-from . import suffix_dedup, toxicity
+from . import host_reputation, merkle_audit, minhash_dedup, mixing, ngram_join, packing, periodic_runs, quality_rules, sanitise
+from . import stream_dedup, suffix_dedup, toxicity, whitening
 from .common import table
 
 
@@ -68,6 +68,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.planted(table(spark, sf_dir, "documents")))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -80,4 +88,6 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_host_reputation": op10_host_reputation,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_minhash_dedup": op12_minhash_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
