@@ -11,13 +11,15 @@ A document's set holds its distinct 3-word shingles (64-bit hashes). Two documen
    link only to equal ones.
 3. Star edges: the members of a bucket are paired with its first member, the centre, only, so a
    bucket of m sets gives m - 1 pairs. They are verified on the full sets.
-4. What the stars leave open: let D(x) be the tokens in which x differs from the centre. When x and y
-   link and one of them does not link to the centre, D(x) and D(y) share a token, since otherwise
-   they would differ in |D(x)| + |D(y)| tokens, which is more than a link allows. They differ in at
-   most 3n/17 tokens, so a shared one is among the first 3n/17 + 1 of both and, for one of
-   the two, among the first 3n/34 + 1. Members of a star that is still in several components
-   meet again in cells (centre, token) with such a member; a small cell is compared pair by pair, a large one is a new
-   star. Every cell's centre comes after its star's, so this ends. Nothing is capped.
+4. What the stars leave open: members of a star that is still in several components. Their differences
+   from the centre give the star's consensus (the tokens that most members hold), and D(x), the
+   tokens in which x differs from it. Sets x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| tokens.
+   If |D(x)| + |D(y)| is no more than a link allows, both link to the member closest to the consensus: one
+   more star. Else D(x) and D(y) share a token. Linked sets differ in at most 3n/17 tokens, so
+   a shared one is among the first 3n/17 + 1 of both and, for one of the two, among the first 3n/34 + 1.
+   Cells (centre, token) with such a member and several components go on: a small cell is
+   compared pair by pair, a large one is a new star. A cell's centre comes after its star's, so this ends.
+   Nothing is capped.
 
 Only tokens of sets that meet in a bucket are looked at again, their texts travel compressed.
 
@@ -95,19 +97,15 @@ def band_keys(tokens: np.ndarray) -> np.ndarray:
     return _mixed(by_band.sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
-def differences(x: np.ndarray, centre: np.ndarray) -> tuple[bool, np.ndarray, int]:
-    """Whether the sets link; the first tokens in which x differs from the centre, x's own ones first
-    (those of the centre are shared by many members), as many as any link's partner may need; how many
-    of them count as the short list."""
+def differences(x: np.ndarray, centre: np.ndarray) -> tuple[bool, np.ndarray]:
+    """Whether the sets link, and the tokens that only one of them holds (int64)."""
     at = np.minimum(np.searchsorted(centre, x), len(centre) - 1)
     common = centre[at] == x
     both = int(common.sum())
     lacking = np.ones(len(centre), bool)
     lacking[at[common]] = False
     apart = np.concatenate([x[~common], centre[lacking]])
-    allowed = 3 * len(x) // 17
-    linked = 100 * both >= 85 * (len(x) + len(centre) - both)
-    return linked, apart[:allowed + 1].view(np.int64), min(len(apart), allowed // 2 + 1)
+    return 100 * both >= 85 * (len(x) + len(centre) - both), apart.view(np.int64)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -152,7 +150,7 @@ def _bucket_stars(rows: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(c, x, linked, apart, short) for every pair, from the full sets. A centre may be that of very many pairs."""
+    """(c, x, n, linked, apart) for every pair, from the full sets. A centre may be that of very many pairs."""
     texts = rows.filter("packed IS NOT NULL").select("row", "packed")
     centres = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("uses")).join(
         texts.select(F.col("row").alias("c"), F.col("packed").alias("centre")), "c")
@@ -163,29 +161,78 @@ def _compared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         last, base = None, None
         for batch in batches:
-            linked, apart, short = [], [], []
+            sizes, linked, apart = [], [], []
             for c, centre, packed in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
                 if c != last:
                     last, base = c, shingle_set(unpack(centre.as_py()).decode())
-                link, tokens, k = differences(shingle_set(unpack(packed.as_py()).decode()), base)
+                x = shingle_set(unpack(packed.as_py()).decode())
+                link, tokens = differences(x, base)
+                sizes.append(len(x))
                 linked.append(link)
                 apart.append(tokens)
-                short.append(k)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), _lists(apart), pa.array(short, pa.int64()),
-            ], ["c", "x", "linked", "apart", "short"])
+                batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), _lists(apart),
+            ], ["c", "x", "n", "linked", "apart"])
 
-    return sides.mapInArrow(run, "c long, x long, linked boolean, apart array<long>, short long")
+    return sides.mapInArrow(run, "c long, x long, n long, linked boolean, apart array<long>")
 
 
-def _open_cells(compared: DataFrame, roots: DataFrame) -> DataFrame:
-    """(cell, x, root) of all cells (centre, token) that hold several components and a member with the token in its short list."""
-    named = compared.join(roots.withColumnRenamed("member", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))
+def _links_of(compared: DataFrame) -> DataFrame:
+    return stage(compared.filter("linked").select(F.col("c").alias("src"), F.col("x").alias("dst")), "minhash_links")
+
+
+def _split_stars(compared: DataFrame, forest: DataFrame) -> DataFrame:
+    """(c, x, root, n, apart, members) of the stars whose members belong to several components."""
+    named = compared.select("c", "x", "n").join(forest.select(F.col("member").alias("x"), "root"), "x", "left")
+    named = named.withColumn("root", F.coalesce("root", "x"))
     split = named.groupBy("c").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("members"))
-    split = split.filter("least <> most").select("c", "members")  # two members of different components
-    rows = salted_join(named, split, "c", "members", F.col("x"), "inner").select(
-        "c", "x", "root", "short", F.posexplode("apart").alias("at", "token"))
-    held = stage(rows.select(F.xxhash64("c", "token").alias("cell"), "x", "root", (F.col("at") < F.col("short")).alias("early")), "minhash_cells")
+    split = split.filter("least <> most").select("c", "members", F.col("members").alias("size"))
+    inside = salted_join(named, split, "c", "size", F.col("x"), "inner").select("c", "x", "root", "members")
+    return inside.join(compared.select("c", "x", "n", "apart"), ["c", "x"])
+
+
+def _from_consensus(stars: DataFrame) -> DataFrame:
+    """(c, x, root, excess, tokens, short): |D(x)| over the share that n may differ (37 |D| - 3 n), the first tokens
+    of D(x) and how many of them are its short list. A star's consensus differs from its centre in at most twice the tokens
+    that a member differs on average."""
+    flips = stars.select("c", "members", F.explode("apart").alias("token")).groupBy("c", "token").agg(
+        F.count(F.lit(1)).alias("holders"), F.first("members").alias("members"))
+    flips = flips.filter("2 * holders > members").groupBy("c").agg(F.collect_list("token").alias("flipped"), F.first("members").alias("size"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = np.empty(0, np.int64)
+        for batch in batches:
+            excess, lists, short = [], [], []
+            for n, apart, flipped in zip(batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+                f = flipped.values.to_numpy() if flipped.is_valid else nothing
+                d = np.setxor1d(apart.values.to_numpy() if apart.is_valid else nothing, f, assume_unique=True)
+                allowed = 3 * n // 17
+                excess.append(37 * len(d) - 3 * n)
+                lists.append(d[:allowed + 1])
+                short.append(allowed // 2 + 1)
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns[:3], pa.array(excess, pa.int64()), _lists(lists), pa.array(short, pa.int64()),
+            ], ["c", "x", "root", "excess", "tokens", "short"])
+
+    return salted_join(stars, flips, "c", "size", F.col("x"), "left").select("c", "x", "root", "n", "apart", "flipped").mapInArrow(
+        run, "c long, x long, root long, excess long, tokens array<long>, short long")
+
+
+def _around_consensus(trimmed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Certain links (src, dst) of each star's member closest to the consensus, and the members with the
+    component that these links give them."""
+    closest = trimmed.groupBy("c").agg(
+        F.min(F.struct("excess", "x", "root")).alias("best"), F.count(F.lit(1)).alias("members")).select(
+        "c", "members", F.col("best.excess").alias("least"), F.col("best.x").alias("src"), F.col("best.root").alias("src_root"))
+    rows = salted_join(trimmed, closest, "c", "members", F.col("x"), "inner").withColumn("near", F.col("excess") + F.col("least") <= 0)
+    links = rows.filter("near AND x <> src").select("src", F.col("x").alias("dst")).distinct()
+    return links, rows.withColumn("root", F.when(F.col("near"), F.col("src_root")).otherwise(F.col("root"))).select(*trimmed.columns)
+
+
+def _open_cells(trimmed: DataFrame) -> DataFrame:
+    """(cell, x, root, size, c) of the cells (centre, token) with several components and a member that has the token in its short list."""
+    posted = trimmed.select("c", "x", "root", "short", F.posexplode("tokens").alias("at", "token"))
+    held = stage(posted.select(F.xxhash64("c", "token").alias("cell"), "x", "root", (F.col("at") < F.col("short")).alias("early")), "minhash_cells")
     cells = held.groupBy("cell").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.max("early").alias("early"), F.count(F.lit(1)).alias("members"),
         F.min("x").alias("c"))
@@ -204,44 +251,39 @@ def _cell_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, stars
 
 
-def _links(spark: SparkSession, rows: DataFrame, reps: DataFrame) -> DataFrame | None:
-    """Forest (root, member) of the classes' representatives; None where nothing links."""
+def _components(spark: SparkSession, rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """Forest (root, member) of the classes' representatives."""
     stars = stage(_bucket_stars(rows, reps), "minhash_stars")
-    found, forest = [], None
+    forest = spark.createDataFrame([], "root long, member long")
     while not stars.isEmpty():
         compared = stage(_compared(stars, rows), "minhash_compared")
         drop_staged(spark, stars)
-        found.append(stage(compared.filter("linked").select(F.col("c").alias("src"), F.col("x").alias("dst")), "minhash_links"))
-        forest = _forest(found)
-        members = _open_cells(compared, forest)
+        forest = star_forest(forest.toDF("src", "dst").unionByName(_links_of(compared)))
+        if compared.filter("NOT linked").isEmpty():
+            break
+        split = stage(_split_stars(compared, forest), "minhash_split")
         drop_staged(spark, compared)
-        pairs, stars = _cell_pairs(members)
-        pairs, stars = stage(pairs, "minhash_pairs"), stage(stars, "minhash_stars")
-        drop_staged(spark, members)
-        if not pairs.isEmpty():
-            found.append(stage(_compared(pairs, rows).filter("linked").select(F.col("c").alias("src"), F.col("x").alias("dst")), "minhash_links"))
-            forest = _forest(found)
+        trimmed = stage(_from_consensus(split), "minhash_trimmed")
+        drop_staged(spark, split)
+        certain, members = _around_consensus(trimmed)
+        open_cells = _open_cells(members)
+        pairs, stars = (stage(x, "minhash_pairs") for x in _cell_pairs(open_cells))
+        drop_staged(spark, open_cells)
+        more = stage(certain.unionByName(_links_of(_compared(pairs, rows))), "minhash_links")
+        drop_staged(spark, trimmed)
+        if not more.isEmpty():
+            forest = star_forest(forest.toDF("src", "dst").unionByName(more))
     return forest
 
 
-def _forest(found: list[DataFrame]) -> DataFrame:
-    links = found[0]
-    for more in found[1:]:
-        links = links.unionByName(more)
-    return star_forest(links)
-
-
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     spark = docs.sparkSession
     rows = stage(_signed(workers_import(docs).select(F.col(key).cast("long"), F.col(text))), "minhash_rows")
     classes = stage(rows.filter("n > 0").groupBy("sig").agg(
         F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")), "minhash_classes")
-    forest = _links(spark, rows, classes.select(F.col("rep").alias("row")))
-    if forest is None:
-        named = classes.withColumn("root", F.col("rep"))
-    else:
-        named = classes.join(forest.withColumnRenamed("member", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    forest = _components(spark, rows, classes.select(F.col("rep").alias("row")))
+    named = classes.join(forest.withColumnRenamed("member", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     named = stage(named, "minhash_named")
     per_root = named.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("classes"))
     label = salted_join(named, per_root, "root", "classes", F.col("rep"), "inner").select("sig", "component_id", "copies")
