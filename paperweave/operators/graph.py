@@ -112,11 +112,11 @@ def _small_star(e: DataFrame, n_rows: int, min_rows: int | None) -> tuple[DataFr
     if n_rows >= threshold:
         # the per-vertex counts k are the hot-key counts of the join below
         mins = stage(mins, "cc_mins")
-        hot = stage_nonempty(mins.filter(F.col("k") >= threshold).select(F.col("u").alias("hi")), "hot_keys")
+        hot = stage_nonempty(mins.filter(F.col("k") >= threshold).select(F.col("u").alias("hi"), F.col("k").alias("rows")), "hot_keys")
     changed = Observation("small_star")
     rows = Observation("small_star_rows")
     leaves = (
-        skew_join(e, mins.select("u", "m"), "hi", "u", "inner", hot=hot)
+        skew_join(e, mins.select("u", "m"), "hi", "u", "inner", hot=hot, min_rows=min_rows)
         .filter(F.col("lo") != F.col("m"))
         .select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
     )

@@ -104,7 +104,7 @@ def dedupe_latest(df: DataFrame, key: str, order: str) -> DataFrame:
     from .skew import hot_key_rows, skew_join, stage_nonempty
 
     threshold = hot_key_rows(df.sparkSession)
-    hot = stage_nonempty(dups.filter(F.col("__c") >= threshold).select(key), "hot_keys")
+    hot = stage_nonempty(dups.filter(F.col("__c") >= threshold).select(key, F.col("__c").alias("rows")), "hot_keys")
     losers = (
         skew_join(keys, dups.select(F.col(key).alias("__dk"), "__keep"), key, "__dk", "inner", hot=hot)
         .filter(F.col(order) != F.col("__keep"))

@@ -1,25 +1,24 @@
 """Restriction of an unfiltered dataset to its flagged component, with new ids.
 
-Paper and author maps (old id -> new id, order kept) are computed once and
-equi-joined with every table: the inner join filters and renumbers in one
-step. Category and source ids are kept as they are; only unused entries are
-dropped.
+The kept papers, and the authors with a kept paper, are rank bitmaps (``operators.rank``): one lookup of a
+small row filters a table and renumbers it at once, order kept, with no map table, no sort and, within the
+byte limit of the broadcast, no shuffle. Category and source ids are kept as they are; only unused entries
+are dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import induce
 from .ids import dense_id
+from .rank import RankBitmap, rank_bitmap, rank_lookup
 from .skew import skew_join
 
 
-def paper_map(papers: DataFrame) -> DataFrame:
-    """``(old_id, new_id)`` for papers flagged ``is_connected = 1``, order kept."""
-    kept = papers.filter(F.col("is_connected") == 1).select(F.col("paper_id").alias("old_id"))
-    return dense_id(kept, "old_id", "new_id", name="lcc_paper_map")
+def kept_papers(papers: DataFrame) -> RankBitmap:
+    """The papers flagged ``is_connected = 1``."""
+    return rank_bitmap(papers.filter(F.col("is_connected") == 1).select("paper_id"), "paper_id", name="lcc_papers")
 
 
 def remap_ids(df: DataFrame, id_map: DataFrame, col: str, *, hot: DataFrame | None | str = None,
@@ -35,33 +34,33 @@ def remap_ids(df: DataFrame, id_map: DataFrame, col: str, *, hot: DataFrame | No
     return skew_join(df, m, col, "__old", "inner", hot=hot, total_rows=total_rows).select(*cols)
 
 
-def lcc_papers(papers: DataFrame, pmap: DataFrame, keep_flag: bool = False) -> DataFrame:
+def lcc_papers(papers: DataFrame, kept: RankBitmap, keep_flag: bool = False) -> DataFrame:
     """Kept papers renumbered; the flag column is dropped unless ``keep_flag``."""
-    out = remap_ids(papers, pmap, "paper_id")
+    out = rank_lookup(papers, kept, "paper_id")
     return out if keep_flag else out.drop("is_connected")
 
 
-def lcc_citation_net(edges: DataFrame, pmap: DataFrame, total_rows: int | None = None) -> DataFrame:
-    return induce(edges, pmap, total_rows=total_rows)
+def lcc_citation_net(edges: DataFrame, kept: RankBitmap, total_rows: int | None = None) -> DataFrame:
+    """Edges with both ends kept, renumbered."""
+    return rank_lookup(rank_lookup(edges, kept, "src", total_rows=total_rows), kept, "dst", total_rows=total_rows)
 
 
-def lcc_paper_author_net(pa_net: DataFrame, pmap: DataFrame) -> DataFrame:
+def lcc_paper_author_net(pa_net: DataFrame, kept: RankBitmap) -> DataFrame:
     """Rows of kept papers, paper ids renumbered, author ids still old."""
-    return remap_ids(pa_net, pmap, "paper_id")
+    return rank_lookup(pa_net, kept, "paper_id")
 
 
-def author_map(lcc_pa_old_authors: DataFrame) -> DataFrame:
-    """``(old_id, new_id)`` for authors with at least one kept paper, order kept."""
-    used = lcc_pa_old_authors.select(F.col("author_id").alias("old_id")).distinct()
-    return dense_id(used, "old_id", "new_id", name="lcc_author_map")
+def kept_authors(lcc_pa_old_authors: DataFrame) -> RankBitmap:
+    """The authors with at least one kept paper (``bit_or`` needs no distinct)."""
+    return rank_bitmap(lcc_pa_old_authors, "author_id", name="lcc_authors")
 
 
-def lcc_author_table(authors: DataFrame, amap: DataFrame) -> DataFrame:
-    return remap_ids(authors, amap, "author_id")
+def lcc_author_table(authors: DataFrame, kept: RankBitmap) -> DataFrame:
+    return rank_lookup(authors, kept, "author_id")
 
 
-def lcc_paper_category(pcat: DataFrame, pmap: DataFrame) -> DataFrame:
-    return remap_ids(pcat, pmap, "paper_id")
+def lcc_paper_category(pcat: DataFrame, kept: RankBitmap) -> DataFrame:
+    return rank_lookup(pcat, kept, "paper_id")
 
 
 def lcc_category_table(categories: DataFrame, lcc_pcat: DataFrame) -> DataFrame:
@@ -75,8 +74,8 @@ def lcc_category_table(categories: DataFrame, lcc_pcat: DataFrame) -> DataFrame:
     return categories.join(used, "class_id", "left_semi")
 
 
-def lcc_abstracts(abstracts: DataFrame, pmap: DataFrame) -> DataFrame:
-    return remap_ids(abstracts, pmap, "paper_id")
+def lcc_abstracts(abstracts: DataFrame, kept: RankBitmap) -> DataFrame:
+    return rank_lookup(abstracts, kept, "paper_id")
 
 
 def lcc_source_table(sources: DataFrame, lcc_paper_rows: DataFrame) -> DataFrame:
@@ -110,6 +109,15 @@ def registry_meta(papers: DataFrame, authors: DataFrame, sync_date: str | None =
     )
 
 
+def registry_counts(spark: SparkSession, n_papers: int, n_authors: int, sync_date: str | None = None) -> DataFrame:
+    """``registry_meta`` from counts that are already known."""
+    from ..functions.dates import run_date
+
+    return spark.range(1).select(
+        F.lit(n_papers).cast("bigint").alias("n_papers"), F.lit(n_authors).cast("bigint").alias("n_authors"),
+        run_date(sync_date).alias("sync_date"))
+
+
 def category_map(lcc_categories: DataFrame) -> DataFrame:
     """``(old_id, new_id)`` for the categories in use, order kept (optional renumbering)."""
     return dense_id(lcc_categories.select(F.col("class_id").alias("old_id")), "old_id", "new_id",

@@ -53,7 +53,8 @@ def hot_from_counts(table: DataFrame, key: str, as_name: str, min_rows: int | No
     threshold = hot_key_rows(table.sparkSession, min_rows)
     if (table.agg(F.max("occurrences")).first()[0] or 0) < threshold:
         return None
-    return stage_nonempty(table.filter(F.col("occurrences") >= threshold).select(F.col(key).alias(as_name)), "hot_keys")
+    found = table.filter(F.col("occurrences") >= threshold)
+    return stage_nonempty(found.select(F.col(key).alias(as_name), F.col("occurrences").alias("rows")), "hot_keys")
 
 
 def paper_author_net(authorships: DataFrame, authors: DataFrame, *, hot: DataFrame | None | str = "auto") -> DataFrame:

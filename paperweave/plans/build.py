@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import extract, graph, lcc, tables, validate
+from ..operators.rank import RankBitmap, rank_lookup
 from ..session import stage
 
 
@@ -245,40 +246,47 @@ class LccBuild:
         self.renumber_categories = renumber_categories
         self.flags = flags
 
+    @cached_property
+    def kept_papers(self) -> RankBitmap:
+        return lcc.kept_papers(self.flags if self.flags is not None else self.t["paper_table"])
+
     @cached_property
     def paper_map(self) -> DataFrame:
-        return lcc.paper_map(self.flags if self.flags is not None else self.t["paper_table"])
+        """``(old_id, new_id)`` of the kept papers."""
+        return self.kept_papers.members()
 
     @cached_property
     def papers(self) -> DataFrame:
-        # read by the paper, source and registry outputs: staged once
-        return stage(lcc.lcc_papers(self.t["paper_table"], self.paper_map, keep_flag=self.keep_flag), "lcc_papers")
+        return lcc.lcc_papers(self.t["paper_table"], self.kept_papers, keep_flag=self.keep_flag)
 
     @cached_property
     def citation_net(self) -> DataFrame:
-        edges = self.t["citation_net"]
-        return lcc.lcc_citation_net(edges, self.paper_map, total_rows=edges.count())
+        return lcc.lcc_citation_net(self.t["citation_net"], self.kept_papers)
 
     @cached_property
     def _pa_old_authors(self) -> DataFrame:
-        return stage(lcc.lcc_paper_author_net(self.t["paper_author_net"], self.paper_map), "lcc_pa")
+        return lcc.lcc_paper_author_net(self.t["paper_author_net"], self.kept_papers)
+
+    @cached_property
+    def kept_authors(self) -> RankBitmap:
+        return lcc.kept_authors(self._pa_old_authors)
 
     @cached_property
     def author_map(self) -> DataFrame:
-        return lcc.author_map(self._pa_old_authors)
+        """``(old_id, new_id)`` of the kept authors."""
+        return self.kept_authors.members()
 
     @cached_property
     def paper_author_net(self) -> DataFrame:
-        pa = self._pa_old_authors
-        return lcc.remap_ids(pa, self.author_map, "author_id", hot="auto", total_rows=pa.count())
+        return rank_lookup(self._pa_old_authors, self.kept_authors, "author_id")
 
     @cached_property
     def author_table(self) -> DataFrame:
-        return lcc.lcc_author_table(self.t["author_table"], self.author_map)
+        return lcc.lcc_author_table(self.t["author_table"], self.kept_authors)
 
     @cached_property
     def _pcat_old_classes(self) -> DataFrame:
-        return stage(lcc.lcc_paper_category(self.t["paper_category_table"], self.paper_map), "lcc_pcat")
+        return lcc.lcc_paper_category(self.t["paper_category_table"], self.kept_papers)
 
     @cached_property
     def _categories_old_ids(self) -> DataFrame:
@@ -299,7 +307,7 @@ class LccBuild:
 
     @cached_property
     def abstracts(self) -> DataFrame:
-        return lcc.lcc_abstracts(self.t["abstracts"], self.paper_map)
+        return lcc.lcc_abstracts(self.t["abstracts"], self.kept_papers)
 
     @cached_property
     def source_table(self) -> DataFrame:
@@ -312,7 +320,7 @@ class LccBuild:
         return lcc.registry_authors(self.author_table)
 
     def registry_meta(self) -> DataFrame:
-        return lcc.registry_meta(self.papers, self.author_map, self.sync_date)
+        return lcc.registry_counts(self.papers.sparkSession, self.kept_papers.n, self.kept_authors.n, self.sync_date)
 
     def outputs(self) -> dict[str, DataFrame]:
         return {

@@ -147,8 +147,7 @@ def build_lcc(spark: SparkSession, out: str, *, sync_date: str | None = None,
     lb = LccBuild(tables or read_unfiltered(spark, out), sync_date=sync_date, keep_flag=keep_flag,
                   renumber_categories=renumber_categories, flags=flags)
     with timer.step("maps"):
-        n_papers = lb.paper_map.count()
-        n_authors = lb.author_map.count()
+        n_papers, n_authors = lb.kept_papers.n, lb.kept_authors.n
     with timer.step("plan_outputs"):
         outputs = lb.outputs()
     write_dataset(spark, outputs, out, n_papers, n_authors, global_abstract_sort=True, timer=timer)

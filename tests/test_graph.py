@@ -186,6 +186,45 @@ def test_skew_join_matches_plain_join(spark):
         assert split == plain
 
 
+def test_rows_without_a_key_are_spread(spark):
+    """Nine rows of ten have no venue; past the broadcast limit no task of the left join gets more than its share."""
+    from pyspark.sql import functions as F
+
+    from paperweave.operators.skew import skew_join
+
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    kept = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(20_000).select(F.col("id").alias("a"), F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
+        right = spark.range(0, 20_000, 20).select(F.col("id").alias("rk"), F.lit("v").alias("val"))
+        for hot in (None, "auto"):
+            out = skew_join(left, right, "k", "rk", "left", hot=hot, min_rows=1)
+            per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(per_task) == 20_000 and max(per_task) < 2 * sum(per_task) / len(per_task)
+            assert out.filter("val IS NOT NULL").count() == 1000
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_salted_join_reads_the_left_side_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from paperweave.operators.skew import hot_keys, skew_join
+
+    left = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    left.write.parquet(str(tmp_path / "left"))
+    left = spark.read.parquet(str(tmp_path / "left"))
+    right = spark.range(900).select(F.col("id").alias("rk"), (F.col("id") * 2).alias("val"))
+    out = skew_join(left, right, "k", "rk", "inner", hot=hot_keys(left, "k", 50), min_rows=50)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("k#") and sum("[k#" in line and "Relation" in line for line in plan.splitlines()) == 2  # rows once, hot keys once
+    assert "Union" not in plan
+    assert out.count() == 900 and out.filter("val <> 2 * k").isEmpty()
+
+
 def test_is_star_forest(spark):
     mk = lambda rows: spark.createDataFrame(rows, "lo bigint, hi bigint")
     assert graph.is_star_forest(mk([(0, 1), (0, 2), (5, 7)]))
