@@ -15,11 +15,12 @@ A document's set holds its distinct 3-word shingles (64-bit hashes). Two documen
    from the centre give the star's consensus (the tokens that most members hold), and D(x), the
    tokens in which x differs from it. Sets x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| tokens.
    If |D(x)| + |D(y)| is no more than a link allows, both link to the member closest to the consensus: one
-   more star. Else D(x) and D(y) share a token. Linked sets differ in at most 3n/17 tokens, so
-   a shared one is among the first 3n/17 + 1 of both and, for one of the two, among the first 3n/34 + 1.
-   Cells (centre, token) with such a member and several components go on: a small cell is
-   compared pair by pair, a large one is a new star. A cell's centre comes after its star's, so this ends.
-   Nothing is capped.
+   more star. Else D(x) and D(y) share a token. In each star tokens are ordered by the number of members
+   that differ in them. Linked sets differ in at most 3n/17 tokens, so a shared one is among the
+   first 3n/17 + 1 of both and, for one of the two, among the first 3n/34 + 1; a member with more tokens of its own alone
+   than that is done. Cells (centre, token) with such a member and several components go on: a small
+   cell is compared pair by pair (sizes within 17 : 20), a large one is a new star. A cell's centre comes after its
+   star's, so this ends. Nothing is capped.
 
 Only tokens of sets that meet in a bucket are looked at again, their texts travel compressed.
 
@@ -40,7 +41,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import star_forest
@@ -192,9 +193,8 @@ def _split_stars(compared: DataFrame, forest: DataFrame) -> DataFrame:
 
 
 def _from_consensus(stars: DataFrame) -> DataFrame:
-    """(c, x, root, excess, tokens, short): |D(x)| over the share that n may differ (37 |D| - 3 n), the first tokens
-    of D(x) and how many of them are its short list. A star's consensus differs from its centre in at most twice the tokens
-    that a member differs on average."""
+    """(c, x, root, n, excess, tokens): |D(x)| over the share that n may differ (37 |D| - 3 n), and D(x). A star's consensus
+    differs from its centre in at most twice the tokens that a member differs on average."""
     flips = stars.select("c", "members", F.explode("apart").alias("token")).groupBy("c", "token").agg(
         F.count(F.lit(1)).alias("holders"), F.first("members").alias("members"))
     flips = flips.filter("2 * holders > members").groupBy("c").agg(F.collect_list("token").alias("flipped"), F.first("members").alias("size"))
@@ -202,20 +202,17 @@ def _from_consensus(stars: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = np.empty(0, np.int64)
         for batch in batches:
-            excess, lists, short = [], [], []
+            excess, lists = [], []
             for n, apart, flipped in zip(batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
                 f = flipped.values.to_numpy() if flipped.is_valid else nothing
                 d = np.setxor1d(apart.values.to_numpy() if apart.is_valid else nothing, f, assume_unique=True)
-                allowed = 3 * n // 17
                 excess.append(37 * len(d) - 3 * n)
-                lists.append(d[:allowed + 1])
-                short.append(allowed // 2 + 1)
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns[:3], pa.array(excess, pa.int64()), _lists(lists), pa.array(short, pa.int64()),
-            ], ["c", "x", "root", "excess", "tokens", "short"])
+                lists.append(d)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], pa.array(excess, pa.int64()), _lists(lists)], ["c", "x", "root", "n", "excess", "tokens"])
 
     return salted_join(stars, flips, "c", "size", F.col("x"), "left").select("c", "x", "root", "n", "apart", "flipped").mapInArrow(
-        run, "c long, x long, root long, excess long, tokens array<long>, short long")
+        run, "c long, x long, root long, n long, excess long, tokens array<long>")
 
 
 def _around_consensus(trimmed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -229,10 +226,19 @@ def _around_consensus(trimmed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return links, rows.withColumn("root", F.when(F.col("near"), F.col("src_root")).otherwise(F.col("root"))).select(*trimmed.columns)
 
 
-def _open_cells(trimmed: DataFrame) -> DataFrame:
-    """(cell, x, root, size, c) of the cells (centre, token) with several components and a member that has the token in its short list."""
-    posted = trimmed.select("c", "x", "root", "short", F.posexplode("tokens").alias("at", "token"))
-    held = stage(posted.select(F.xxhash64("c", "token").alias("cell"), "x", "root", (F.col("at") < F.col("short")).alias("early")), "minhash_cells")
+def _open_cells(members: DataFrame) -> DataFrame:
+    """(cell, x, root, n, size, c) of the cells (centre, token) with several components and a member that has the token in its short list."""
+    posted = stage(members.select("c", "x", "root", "n", F.size("tokens").alias("d"), F.explode("tokens").alias("token")), "minhash_differences")
+    shared = posted.groupBy("c", "token").agg(
+        F.count(F.lit(1)).alias("holders"), F.min("root").alias("least"), F.max("root").alias("most")).filter("holders > 1")
+    met = posted.join(shared, ["c", "token"])
+    own = Window.partitionBy("c", "x")  # one member's tokens
+    place = F.col("d") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("holders", "token")) - 1
+    allowed = F.floor(3 * F.col("n") / 17)
+    listed = met.withColumn("place", place).filter((F.col("place") <= allowed) & (F.col("least") != F.col("most")))
+    held = stage(listed.select(
+        F.xxhash64("c", "token").alias("cell"), "x", "root", "n", (F.col("place") <= F.floor(allowed / 2)).alias("early")), "minhash_cells")
+    drop_staged(members.sparkSession, posted)
     cells = held.groupBy("cell").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.max("early").alias("early"), F.count(F.lit(1)).alias("members"),
         F.min("x").alias("c"))
@@ -245,8 +251,9 @@ def _open_cells(trimmed: DataFrame) -> DataFrame:
 def _cell_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct (c, x): all pairs of small cells between components; the stars of large ones."""
     small = members.filter(F.col("size") <= SMALL_CELL)
-    a = small.select("cell", F.col("x").alias("c"), F.col("root").alias("c_root"))
-    pairs = a.join(small.select("cell", "x", "root"), "cell").filter("c < x AND c_root <> root").select("c", "x").distinct()
+    a = small.select("cell", F.col("x").alias("c"), F.col("root").alias("c_root"), F.col("n").alias("c_n"))
+    met = a.join(small.select("cell", "x", "root", "n"), "cell").filter("c < x AND c_root <> root")
+    pairs = met.filter("17 * n <= 20 * c_n AND 17 * c_n <= 20 * n").select("c", "x").distinct()
     stars = members.filter((F.col("size") > SMALL_CELL) & (F.col("c") < F.col("x"))).select("c", "x").distinct()
     return pairs, stars
 
