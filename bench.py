@@ -47,7 +47,7 @@ def main() -> None:
         works = require_nonempty(stage(scan_works(spark, raw), "works_scanned"), raw)
     b = build_unfiltered(works, out, timer=timer)
     lcc_timer = Timer()
-    build_lcc(spark, out, timer=lcc_timer, flags=b.flags, tables=b.outputs())
+    build_lcc(spark, out, timer=lcc_timer, kept=b.connected, tables=b.outputs())
     total = time.perf_counter() - t0
 
     queries = {k: round(v, 3) for k, v in timer.steps.items()}

@@ -15,7 +15,7 @@ from paperweave.session import local_session  # noqa: E402
 PLANS = {
     "paper_index": lambda b: b.index,
     "metadata": lambda b: b.metadata,
-    "citation_net": lambda b: graph.citation_net(b.references, b.index),
+    "citation_net": lambda b: graph.resolved_references(b.references, b.paper_index),
     "author_table": lambda b: b.author_table,
     "paper_author_net": lambda b: b.paper_author_net,
     "abstracts": lambda b: b.abstracts,

@@ -15,7 +15,8 @@ from ..functions.dates import frac_year
 from ..functions.ids import is_bad_id, parse_oa_id, valid_id
 from ..functions.nulls import blank_to_null
 from ..functions.text import abstract_text, index_entries, index_postings
-from .ids import dedupe_latest, dense_id
+from ..session import stage
+from .ids import PaperIndex, dedupe_latest
 from .skew import skew_join
 
 
@@ -36,22 +37,20 @@ def clean_works(works: DataFrame, *, on_bad: str = "null", keep_types=schemas.KE
     return dedupe_latest(w, "oa_id", "order_no")
 
 
-def build_paper_index(clean: DataFrame, *, num_partitions: int | None = None) -> DataFrame:
-    """``(oa_id, paper_id)``: paper_id = position of oa_id in ascending order (0-based).
-
-    Only the key column is sorted: range bounds are sampled from it and the
-    sort shuffles 8 bytes per work, never the wide records.
-    """
-    return dense_id(clean.select("oa_id"), "oa_id", "paper_id", num_partitions=num_partitions, name="paper_index")
+def build_paper_index(clean: DataFrame, *, num_partitions: int | None = None) -> PaperIndex:
+    """paper_id = position of oa_id in ascending order (0-based), from the key column alone."""
+    return PaperIndex(clean.select("oa_id"), "oa_id", "paper_id", num_partitions=num_partitions)
 
 
-def index_works(clean: DataFrame, index: DataFrame) -> DataFrame:
-    """Records with their ``paper_id``, as a lazy equi-join on the unique oa_id.
+def index_works(clean: DataFrame, index: PaperIndex) -> DataFrame:
+    """Records with their ``paper_id``.
 
-    Every consumer selects a few columns, and column pruning reaches the scan,
-    so each derived table shuffles only its own columns once.
+    While the index can be broadcast this is a lazy lookup inside the scan: every consumer selects a few
+    columns, column pruning reaches the scan, and no record is shuffled. Else the records meet the
+    index once and are staged, and every consumer reads its columns from there.
     """
-    return clean.join(index, "oa_id")
+    out = index.attach(clean, "oa_id", "paper_id")
+    return stage(out, "indexed_works") if index.shuffles else out
 
 
 def explode_references(indexed: DataFrame, *, on_bad: str = "null") -> DataFrame:
@@ -125,15 +124,14 @@ def bad_id_counts(works: DataFrame, clean: DataFrame, keep_types=schemas.KEEP_TY
         bad = F.size(F.filter(array, lambda x: F.coalesce(is_bad_id(id_of(x)), F.lit(False))))
         return F.coalesce(F.sum(F.when(F.col(array).isNotNull(), bad)), F.lit(0)).cast("bigint")
 
-    counts = clean.agg(
+    work = type_filter(works, keep_types).agg(F.count(F.when(is_bad_id("id"), 1)))
+    return clean.agg(
         inside("referenced_works", lambda x: x).alias("n_bad_references"),
         inside("authorships", lambda x: x["author"]["id"]).alias("n_bad_authors"),
         inside("topics", lambda x: x["field"]["id"]).alias("n_bad_fields"),
         inside("topics", lambda x: x["subfield"]["id"]).alias("n_bad_subfields"),
         F.count(F.when(is_bad_id("primary_location.source.id"), 1)).alias("n_bad_sources"),
-    )
-    work = type_filter(works, keep_types).agg(F.count(F.when(is_bad_id("id"), 1)).alias("n_bad_works"))
-    return counts.crossJoin(work)  # one row each
+    ).withColumn("n_bad_works", work.scalar())
 
 
 def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map: bool = False,
@@ -170,11 +168,8 @@ def paper_metadata(indexed: DataFrame, source_map: DataFrame, *, broadcast_map:
     )
 
 
-def abstracts(clean: DataFrame, index: DataFrame) -> DataFrame:
-    """``(paper_id, abstract)`` for works whose rebuilt abstract is not empty.
-
-    The text is rebuilt where the record is scanned; only ids and texts, which
-    are smaller than the index maps, are shuffled to meet their ``paper_id``.
+def abstracts(indexed: DataFrame) -> DataFrame:
+    """``(paper_id, abstract)`` for works whose rebuilt abstract is not empty, rebuilt where the record is scanned.
 
     A text of two or more slots always holds a space, so only single-slot
     indexes need the rebuilt text to decide; the filter never rebuilds the
@@ -183,13 +178,12 @@ def abstracts(clean: DataFrame, index: DataFrame) -> DataFrame:
     m = F.col("abstract_inverted_index")
     max_pos = F.array_max(F.flatten(F.transform(index_entries(m), lambda e: e["v"])))
     nonempty = F.when(max_pos >= 1, F.lit(True)).otherwise(F.length(abstract_text(m)) > 0)
-    texts = (
-        clean.select("oa_id", "abstract_inverted_index")
+    return (
+        indexed.select("paper_id", "abstract_inverted_index")
         .filter(m.isNotNull() & (F.size(m) > 0))
         .filter(nonempty)
-        .select("oa_id", abstract_text(m).alias("abstract"))
+        .select("paper_id", abstract_text(m).alias("abstract"))
     )
-    return texts.join(index, "oa_id").select("paper_id", "abstract")
 
 
 def inverted_index_postings(indexed: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_staged, stage
-from .ids import dense_id, offsets_literal, partition_offsets
+from .ids import PaperIndex, dense_id, offsets_literal, partition_offsets
 from .skew import hot_key_rows, skew_join, stage_nonempty
 
 # Safety net only: the star rounds need O(log^2 n) rounds; hitting this
@@ -36,20 +36,20 @@ MAX_ROUNDS = 500
 # ---------------------------------------------------------------------------
 
 
-def citation_net(references: DataFrame, index: DataFrame, *, min_rows: int | None = None,
-                 total_rows: int | None = None) -> DataFrame:
-    """Resolved, loop-free, distinct citation edges ``(src, dst)``: src cites dst.
+def resolved_references(references: DataFrame, index: PaperIndex, *, total_rows: int | None = None) -> DataFrame:
+    """``(src, dst, n)``: citing and cited paper, and how often the reference is listed (self-references included).
 
-    ``references`` holds ``(paper_id, ref_oa_id)``; ``index`` ``(oa_id, paper_id)``.
-    References outside the index drop out (inner join). A paper cited by a
-    large share of all references is a hot key: see ``operators.skew``
-    (``total_rows``, an upper bound on the references, skips the hot-key
-    count when no key can reach the threshold).
+    ``references`` holds ``(paper_id, ref_oa_id)``; references outside the index drop out. The index is
+    looked up, not joined row by row (``operators.ids.PaperIndex``), and a paper cited by a large share
+    of all references costs no more than any other: partial counts meet before the shuffle.
     """
-    refs = references.select(F.col("paper_id").alias("src"), "ref_oa_id")
-    idx = index.select(F.col("oa_id").alias("__ext"), F.col("paper_id").alias("dst"))
-    resolved = skew_join(refs, idx, "ref_oa_id", "__ext", "inner", min_rows=min_rows, total_rows=total_rows)
-    return resolved.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
+    pairs = index.attach(references.select(F.col("paper_id").alias("src"), "ref_oa_id"), "ref_oa_id", "dst", total_rows=total_rows)
+    return pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+
+
+def citation_net(resolved: DataFrame) -> DataFrame:
+    """Loop-free, distinct citation edges ``(src, dst)``: src cites dst."""
+    return resolved.filter(F.col("src") != F.col("dst")).select("src", "dst")
 
 
 def canonical(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

@@ -110,6 +110,7 @@ def dedupe_latest(df: DataFrame, key: str, order: str) -> DataFrame:
         .filter(F.col(order) != F.col("__keep"))
         .select(key, order)
     )
+    losers = stage(losers, "losers")  # read by everything that is derived from the result
     if extra <= BROADCAST_ROWS:
         losers = F.broadcast(losers)
     return df.join(losers, [key, order], "left_anti")
@@ -124,14 +125,65 @@ def lookup_ids(
     index_id: str = "paper_id",
     out: str = "paper_id",
     keep_missing: bool = False,
+    min_rows: int | None = None,
+    total_rows: int | None = None,
 ) -> DataFrame:
-    """Map external ids in ``ext_col`` to internal ids through ``index``.
+    """Map external ids in ``ext_col`` to internal ids through any ``index`` table.
 
     Inner join by default (unknown ids drop out); ``keep_missing=True`` keeps
-    them with id -1. Join strategy is left to AQE, which broadcasts the index
-    only when its measured size allows.
+    them with id -1. An id that many rows ask for is salted (``operators.skew``). An index whose ids are
+    ranks is better looked up in its ``PaperIndex``, without a join of the index.
     """
+    from .skew import skew_join
+
     idx = index.select(F.col(index_ext).alias("__ext"), F.col(index_id).alias("__id"))
-    how = "left" if keep_missing else "inner"
-    joined = df.join(idx, df[ext_col] == idx["__ext"], how)
+    joined = skew_join(df, idx, ext_col, "__ext", "left" if keep_missing else "inner", min_rows=min_rows, total_rows=total_rows)
     return joined.withColumn(out, F.coalesce(F.col("__id"), F.lit(-1).cast("bigint"))).drop("__ext", "__id")
+
+
+class PaperIndex:
+    """External id -> paper_id, the position of the external id in ascending order.
+
+    ``table`` is the index as rows ``(oa_id, paper_id)``. ``attach`` maps a column through it. Where the ids
+    are dense enough (``MOST_BYTES`` a member), the index is a rank bitmap: membership and position
+    come from one small row per 32,768 ids, so mapping a table (the works themselves, or every
+    reference of every work) neither sorts nor shuffles it while the bitmap can be broadcast, and
+    shuffles it once, salted, beyond that. Sparse ids are numbered by a range sort and joined.
+    """
+
+    MOST_BYTES = 64
+
+    def __init__(self, keys: DataFrame, key: str = "oa_id", out: str = "paper_id", *, num_partitions: int | None = None):
+        from .rank import ROW_BITS, ROW_BYTES, rank_bitmap
+
+        self.key, self.out = key, out
+        spread = keys.groupBy(F.shiftright(key, ROW_BITS).alias("b")).agg(F.count(F.lit(1)).alias("rows")).agg(
+            F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+        self.bitmap = None
+        if spread["blocks"] * ROW_BYTES <= max(self.MOST_BYTES * spread["rows"], 1 << 20):
+            self.bitmap = rank_bitmap(keys, key, name="paper_index")
+            self.n = self.bitmap.n
+            self.table = stage(self.bitmap.members(key, out), "paper_index_rows")
+        else:
+            self.table = dense_id(keys.select(key), key, out, num_partitions=num_partitions, name="paper_index")
+            self.n = int(spread["rows"])
+
+    @property
+    def shuffles(self) -> bool:
+        """Whether ``attach`` has to shuffle the table that it maps."""
+        from .rank import broadcastable
+
+        return self.bitmap is None or not broadcastable(self.bitmap, self.table.sparkSession)
+
+    def attach(self, df: DataFrame, col: str, out: str, *, missing: int | None = None, total_rows: int | None = None,
+               min_rows: int | None = None) -> DataFrame:
+        """``df`` with the id of ``col`` as ``out``; unknown ids drop out, or get ``missing``."""
+        from .rank import rank_lookup
+        from .skew import skew_join
+
+        if self.bitmap is not None:
+            return rank_lookup(df, self.bitmap, col, out, missing=missing, total_rows=total_rows, min_rows=min_rows)
+        idx = self.table.select(F.col(self.key).alias("__ext"), F.col(self.out).alias("__id"))
+        met = skew_join(df, idx, col, "__ext", "inner" if missing is None else "left", total_rows=total_rows, min_rows=min_rows)
+        value = F.col("__id") if missing is None else F.coalesce("__id", F.lit(missing).cast("bigint"))
+        return met.select(*[c for c in df.columns if c != out], value.alias(out))

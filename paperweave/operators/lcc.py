@@ -21,6 +21,12 @@ def kept_papers(papers: DataFrame) -> RankBitmap:
     return rank_bitmap(papers.filter(F.col("is_connected") == 1).select("paper_id"), "paper_id", name="lcc_papers")
 
 
+def flagged(papers: DataFrame, connected: RankBitmap, out: str = "is_connected") -> DataFrame:
+    """``papers`` with ``out``: 1 for members of the component, else 0."""
+    placed = rank_lookup(papers, connected, "paper_id", "__place", missing=-1)
+    return placed.withColumn(out, (F.col("__place") >= 0).cast("int")).drop("__place")
+
+
 def remap_ids(df: DataFrame, id_map: DataFrame, col: str, *, hot: DataFrame | None | str = None,
               total_rows: int | None = None) -> DataFrame:
     """Keep rows whose ``col`` is in ``id_map`` and replace it by the new id.
@@ -97,22 +103,10 @@ def registry_authors(authors: DataFrame) -> DataFrame:
     )
 
 
-def registry_meta(papers: DataFrame, authors: DataFrame, sync_date: str | None = None) -> DataFrame:
+def registry_meta(spark: SparkSession, n_papers: int, n_authors: int, sync_date: str | None = None) -> DataFrame:
     """One row ``(n_papers, n_authors, sync_date)``."""
     from ..functions.dates import run_date
 
-    n_p = papers.agg(F.count(F.lit(1)).cast("bigint").alias("n_papers"))
-    n_a = authors.agg(F.count(F.lit(1)).cast("bigint").alias("n_authors"))
-    # two one-row aggregates side by side, joined on a constant key
-    return n_p.withColumn("__k", F.lit(1)).join(n_a.withColumn("__k", F.lit(1)), "__k").select(
-        "n_papers", "n_authors", run_date(sync_date).alias("sync_date")
-    )
-
-
-def registry_counts(spark: SparkSession, n_papers: int, n_authors: int, sync_date: str | None = None) -> DataFrame:
-    """``registry_meta`` from counts that are already known."""
-    from ..functions.dates import run_date
-
     return spark.range(1).select(
         F.lit(n_papers).cast("bigint").alias("n_papers"), F.lit(n_authors).cast("bigint").alias("n_authors"),
         run_date(sync_date).alias("sync_date"))

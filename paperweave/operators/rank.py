@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -102,8 +102,13 @@ def _rank(id_: Column) -> tuple[Column, Column]:
     return member, (F.col("__offset") + F.element_at("__ranks", at) + _below(word, bit)).cast("bigint")
 
 
+def broadcastable(bitmap: RankBitmap, spark: SparkSession) -> bool:
+    """Whether the bitmap's counted bytes are within the session's limit."""
+    return bitmap.bytes <= int(spark.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
+
+
 def rank_lookup(df: DataFrame, bitmap: RankBitmap, col: str, out: str | None = None, *, missing: int | None = None,
-                total_rows: int | None = None) -> DataFrame:
+                total_rows: int | None = None, min_rows: int | None = None) -> DataFrame:
     """``df`` with the position of ``col`` in ``bitmap`` as ``out`` (default: in place of ``col``).
 
     Rows whose id is no member are dropped, or get ``missing``. The bitmap is broadcast up to the
@@ -115,11 +120,10 @@ def rank_lookup(df: DataFrame, bitmap: RankBitmap, col: str, out: str | None = N
     keyed = df.withColumn("__block", F.shiftright(id_, ROW_BITS))
     rows = bitmap.table.select(
         F.col("block").alias("__b"), F.col("offset").alias("__offset"), F.col("words").alias("__words"), F.col("ranks").alias("__ranks"))
-    limit = int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
-    if bitmap.bytes <= limit:
+    if broadcastable(bitmap, df.sparkSession):
         met = keyed.join(F.broadcast(rows), keyed["__block"] == rows["__b"], how)
     else:
-        met = skew_join(keyed, rows, "__block", "__b", how, total_rows=total_rows)
+        met = skew_join(keyed, rows, "__block", "__b", how, total_rows=total_rows, min_rows=min_rows)
     member, position = _rank(id_)
     columns = [c for c in df.columns if c != out]
     if missing is None:

@@ -39,12 +39,8 @@ def venue_validation(papers: DataFrame, sources: DataFrame, n: int = schemas.VAL
         F.count(F.lit(1)).cast("bigint").alias("n_top"),
         F.coalesce(F.sum("is_connected"), F.lit(0)).cast("bigint").alias("n_in_lcc"),
     )
-    flag = has_venue.agg(F.count(F.lit(1)).alias("__has"))
-    return agg.withColumn("__k", F.lit(1)).join(flag.withColumn("__k", F.lit(1)), "__k").select(
-        "n_top",
-        "n_in_lcc",
-        F.when(F.col("__has") > 0, F.col("n_in_lcc") < warn_below).alias("warn"),
-    )
+    flag = has_venue.agg(F.count(F.lit(1)))
+    return agg.select("n_top", "n_in_lcc", F.when(flag.scalar() > 0, F.col("n_in_lcc") < warn_below).alias("warn"))
 
 
 def log_venue_validation(row) -> None:
@@ -58,15 +54,15 @@ def log_venue_validation(row) -> None:
 
 def completeness(metadata: DataFrame, index: DataFrame) -> DataFrame:
     """One row ``(n_metadata, n_index)``."""
-    a = metadata.agg(F.count(F.lit(1)).cast("bigint").alias("n_metadata")).withColumn("__k", F.lit(1))
-    b = index.agg(F.count(F.lit(1)).cast("bigint").alias("n_index")).withColumn("__k", F.lit(1))
-    return a.join(b, "__k").select("n_metadata", "n_index")
-
-
-def dataset_counts(parts: dict[str, DataFrame]) -> DataFrame:
-    """One row with the row count of each named frame, one column per name."""
-    rows = None
-    for name, df in parts.items():
-        c = df.agg(F.count(F.lit(1)).cast("bigint").alias(name)).withColumn("__k", F.lit(1))
-        rows = c if rows is None else rows.join(c, "__k")
-    return rows.drop("__k")
+    return dataset_counts({"n_metadata": metadata, "n_index": index})
+
+
+def dataset_counts(parts: dict[str, DataFrame | int]) -> DataFrame:
+    """One row with the row count of each named frame (or a count that is already known), one column per
+    name: scalar subqueries side by side, no join."""
+    spark = next(df for df in parts.values() if isinstance(df, DataFrame)).sparkSession
+
+    def count(part: DataFrame | int):
+        return part.agg(F.count(F.lit(1))).scalar() if isinstance(part, DataFrame) else F.lit(part)
+
+    return spark.range(1).select(*[count(part).cast("bigint").alias(name) for name, part in parts.items()])

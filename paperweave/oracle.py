@@ -253,6 +253,8 @@ _TAILS = {
     "reconstruct_abstract": "SELECT doc_id, COALESCE(array_to_string(list_filter(regexp_split_to_array(text, "
     "'[ \\t\\r\\n]+'), lambda x: x <> ''), ' '), '') AS abstract FROM documents",
     "abstracts": "SELECT paper_id, abstract FROM abst",
+    "abstract_lookup": "SELECT paper_id, abstract FROM abst WHERE paper_id IN "
+    "(SELECT paper_id FROM ptab ORDER BY cited_by_count DESC NULLS LAST, paper_id LIMIT 1000)",
     "abstract_length": "SELECT paper_id, CAST(len(t) - 1 AS BIGINT) AS max_position, "
     "CAST(len(t) AS BIGINT) AS n_positions FROM toks WHERE len(t) > 0",
     "resolve_citations": "SELECT src, dst FROM resolved",

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import extract, graph, lcc, tables, validate
+from ..operators.ids import PaperIndex
 from ..operators.rank import RankBitmap, rank_lookup
 from ..session import stage
 
@@ -56,19 +57,26 @@ class UnfilteredBuild:
         return extract.clean_works(self.works, on_bad=self.on_bad)
 
     @cached_property
+    def paper_index(self) -> PaperIndex:
+        return extract.build_paper_index(self.clean, num_partitions=self.num_partitions)
+
+    @property
+    def n_papers(self) -> int:
+        return self.paper_index.n
+
+    @property
     def index(self) -> DataFrame:
         """``(oa_id, paper_id)`` for the kept works, staged."""
-        return extract.build_paper_index(self.clean, num_partitions=self.num_partitions)
+        return self.paper_index.table
 
     @cached_property
     def indexed(self) -> DataFrame:
-        """Kept works with ``paper_id`` (lazy join; consumers prune the columns)."""
-        return extract.index_works(self.clean, self.index)
+        """Kept works with ``paper_id``; consumers prune the columns, none shuffles the records."""
+        return extract.index_works(self.clean, self.paper_index)
 
     @cached_property
     def references(self) -> DataFrame:
-        """Two bigints per reference, staged: read by the resolution and its hot-key count."""
-        return stage(extract.explode_references(self.indexed, on_bad=self.on_bad), "references")
+        return extract.explode_references(self.indexed, on_bad=self.on_bad)
 
     @cached_property
     def authorships(self) -> DataFrame:
@@ -124,17 +132,22 @@ class UnfilteredBuild:
 
     @cached_property
     def abstracts(self) -> DataFrame:
-        return extract.abstracts(self.clean, self.index)
+        return extract.abstracts(self.indexed)
 
     # -- graph -----------------------------------------------------------
     @cached_property
-    def citation_net(self) -> DataFrame:
-        refs = self.references
-        return stage(graph.citation_net(refs, self.index, total_rows=refs.count()), "citation_net")
+    def resolved(self) -> DataFrame:
+        """``(src, dst, n)``: every resolved reference pair with its multiplicity, staged."""
+        return stage(graph.resolved_references(self.references, self.paper_index), "resolved_references")
 
     @cached_property
+    def citation_net(self) -> DataFrame:
+        return graph.citation_net(self.resolved)
+
+    @property
     def vertices(self) -> DataFrame:
-        return self.index.select("paper_id")
+        """Every paper: ids are dense, so nothing is read."""
+        return self.spark.range(self.n_papers).withColumnRenamed("id", "paper_id")
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -165,12 +178,14 @@ class UnfilteredBuild:
     def flags(self) -> DataFrame:
         return graph.flag_members(self.labels, self.chosen_component)
 
+    @cached_property
+    def connected(self) -> RankBitmap:
+        """The papers of the chosen component: the flag of the paper table, and the component dataset's paper ids."""
+        return lcc.kept_papers(self.flags)
+
     def paper_table_plan(self) -> DataFrame:
-        """Metadata plus ``is_connected``. The flag joins the narrow index first,
-        so the wide records meet paper_id and flag in their one join."""
-        flagged = self.index.join(self.flags, "paper_id", "left")
-        rows = extract.index_works(self.clean, flagged)
-        return tables.paper_table(self._metadata(rows, carry=("is_connected",)))
+        """Metadata plus ``is_connected``, a bit of the component's bitmap: the records meet no table of flags."""
+        return tables.paper_table(lcc.flagged(self.metadata, self.connected))
 
     @cached_property
     def paper_table(self) -> DataFrame:
@@ -191,19 +206,16 @@ class UnfilteredBuild:
         return lcc.registry_authors(self.author_table)
 
     def registry_meta(self) -> DataFrame:
-        return lcc.registry_meta(self.index, self.author_table, self.sync_date)
+        return lcc.registry_meta(self.spark, self.n_papers, self.author_table.count(), self.sync_date)
 
     def counters(self) -> DataFrame:
         """Job counters: kept papers, resolved citation links, authorship links,
         authors, sources, topic rows, abstracts, and the ids that were dropped
-        because they are no number."""
-        resolved = self.references.join(
-            self.index.select(F.col("oa_id").alias("ref_oa_id")), "ref_oa_id", "left_semi"
-        )
-        return validate.dataset_counts(
+        because they are no number. Links and sizes are counted from what the outputs are made of, so that
+        nothing is resolved, exploded or (once the texts are written) rebuilt again."""
+        counts = validate.dataset_counts(
             {
-                "n_papers": self.index,
-                "n_citation_links": resolved,
+                "n_papers": self.n_papers,
                 "n_authorship_links": self.authorships,
                 "n_authors": self.author_table,
                 "n_sources": self.source_table,
@@ -212,7 +224,11 @@ class UnfilteredBuild:
                 "n_citation_edges": self.citation_net,
                 "n_paper_author_edges": self.paper_author_net,
             }
-        ).crossJoin(extract.bad_id_counts(self.works, self.clean))  # one row each
+        )
+        links = self.resolved.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar()
+        bad = extract.bad_id_counts(self.works, self.clean)
+        return bad.select(
+            *[counts.select(c).scalar().alias(c) for c in counts.columns], links.alias("n_citation_links"), *bad.columns)
 
     def outputs(self) -> dict[str, DataFrame]:
         """The unfiltered dataset: table name -> DataFrame."""
@@ -235,19 +251,22 @@ class LccBuild:
     """Restriction of unfiltered tables to papers with ``is_connected = 1``."""
 
     def __init__(self, t: dict[str, DataFrame], *, sync_date: str | None = None, keep_flag: bool = False,
-                 renumber_categories: bool = False, flags: DataFrame | None = None):
+                 renumber_categories: bool = False, flags: DataFrame | None = None, kept: RankBitmap | None = None):
         """``keep_flag`` keeps ``is_connected`` on the papers; ``renumber_categories``
         makes class ids contiguous (the reference code keeps the old ids).
-        ``flags`` ``(paper_id, is_connected)``, when the unfiltered build is at
-        hand, spares reading the flag back from the written paper table."""
+        ``kept`` (the kept papers) or ``flags`` ``(paper_id, is_connected)``, when the
+        unfiltered build is at hand, spares reading the flag back from the written paper table."""
         self.t = t
         self.sync_date = sync_date
         self.keep_flag = keep_flag
         self.renumber_categories = renumber_categories
         self.flags = flags
+        self.kept = kept
 
     @cached_property
     def kept_papers(self) -> RankBitmap:
+        if self.kept is not None:
+            return self.kept
         return lcc.kept_papers(self.flags if self.flags is not None else self.t["paper_table"])
 
     @cached_property
@@ -320,7 +339,7 @@ class LccBuild:
         return lcc.registry_authors(self.author_table)
 
     def registry_meta(self) -> DataFrame:
-        return lcc.registry_counts(self.papers.sparkSession, self.kept_papers.n, self.kept_authors.n, self.sync_date)
+        return lcc.registry_meta(self.papers.sparkSession, self.kept_papers.n, self.kept_authors.n, self.sync_date)
 
     def outputs(self) -> dict[str, DataFrame]:
         return {

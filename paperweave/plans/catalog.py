@@ -52,7 +52,7 @@ class FixtureContext:
     @property
     def lcc(self) -> LccBuild:
         if self._lcc is None:
-            self._lcc = LccBuild(self.build.outputs())
+            self._lcc = LccBuild(self.build.outputs(), kept=self.build.connected)
         return self._lcc
 
     def written(self) -> str:
@@ -60,7 +60,7 @@ class FixtureContext:
         if self._written is None:
             out = staging_path(self.spark, "job") + "/dataset"
             b = build_unfiltered(self.works, out, sync_date=JOB_SYNC_DATE)
-            build_lcc(self.spark, out, sync_date=JOB_SYNC_DATE, flags=b.flags, tables=b.outputs())
+            build_lcc(self.spark, out, sync_date=JOB_SYNC_DATE, kept=b.connected, tables=b.outputs())
             self._written = out
         return self._written
 
@@ -222,7 +222,7 @@ def q_abstract_length(spark, sf):
 def q_resolve_citations(spark, sf):
     b = context(spark, sf).build
     refs = b.references.select(F.col("paper_id").alias("src"), "ref_oa_id")
-    return lookup_ids(refs, b.index, "ref_oa_id", out="dst").select("src", "dst")
+    return b.paper_index.attach(refs, "ref_oa_id", "dst").select("src", "dst")
 
 
 def q_lookup_ids(spark, sf):
@@ -238,8 +238,7 @@ def q_citation_net(spark, sf):
 
 def q_graph_shape(spark, sf):
     b = context(spark, sf).build
-    n = b.index.count()
-    return graph.graph_shape(b.citation_net, n, n)
+    return graph.graph_shape(b.citation_net, b.n_papers, b.n_papers)
 
 
 def q_symmetrize(spark, sf):
@@ -387,6 +386,13 @@ def q_abstracts_sink(spark, sf):
     return io.read_table(spark, path, "abstracts", "parquet")
 
 
+def q_abstract_lookup(spark, sf):
+    """The abstracts of the 1000 most cited papers, by a point lookup in the written files."""
+    top = context(spark, sf).build.paper_table.orderBy(F.desc_nulls_last("cited_by_count"), "paper_id").limit(1000)
+    path = io.table_path(context(spark, sf).written() + "_unfiltered", "abstracts", "parquet")
+    return io.lookup_abstracts(spark, path, top.select("paper_id"))
+
+
 # -- component-restricted dataset ----------------------------------------------------
 
 

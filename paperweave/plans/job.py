@@ -23,6 +23,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import validate
+from ..operators.rank import RankBitmap
 from ..session import cleanup_staging, get_session, stage
 from ..sources import tables as io
 from ..sources.works import require_nonempty, scan_works, works_dir
@@ -55,26 +56,28 @@ def write_dataset(spark: SparkSession, outputs: dict[str, DataFrame], out: str,
                   *, global_abstract_sort: bool, timer: Timer | None = None) -> None:
     """Write the nine outputs of one dataset side."""
     timer = timer or Timer()
+    papers, authors = ("paper_id", n_papers), ("author_id", n_authors)
     csv_tables = {
-        "paper_table": ["paper_id"],
-        "author_table": ["author_id"],
-        "category_table": ["class_id"],
-        "paper_category_table": ["paper_id", "sequence"],
-        "source_table": ["source_id"],
+        "paper_table": (["paper_id"], papers),
+        "author_table": (["author_id"], authors),
+        "category_table": (["class_id"], None),
+        "paper_category_table": (["paper_id", "sequence"], papers),
+        "source_table": (["source_id"], None),
     }
-    for name, order in csv_tables.items():
+    for name, (order, dense) in csv_tables.items():
         with timer.step(name):
-            io.write_table(outputs[name], io.table_path(out, name, "csv"), "csv", sort_by=order)
+            io.write_table(outputs[name], io.table_path(out, name, "csv"), "csv", sort_by=order, dense=dense)
     with timer.step("citation_net"):
         io.write_graph(outputs["citation_net"], f"{out}/citation_net", n_papers)
     with timer.step("paper_author_net"):
         io.write_graph(outputs["paper_author_net"], f"{out}/paper_author_net", n_papers, n_authors)
     with timer.step("abstracts"):
         io.write_abstracts(outputs["abstracts"], io.table_path(out, "abstracts", "parquet"),
-                           global_sort=global_abstract_sort)
+                           global_sort=global_abstract_sort, n_papers=n_papers)
     with timer.step("registry"):
-        io.write_table(outputs["registry_papers"], f"{out}/registry/papers", "parquet", sort_by=["openalex_id"])
-        io.write_table(outputs["registry_authors"], f"{out}/registry/authors", "parquet", sort_by=["author_id"])
+        # paper ids follow openalex_id, so both orders have the same bounds
+        io.write_table(outputs["registry_papers"], f"{out}/registry/papers", "parquet", sort_by=["openalex_id"], dense=papers)
+        io.write_table(outputs["registry_authors"], f"{out}/registry/authors", "parquet", sort_by=["author_id"], dense=authors)
         io.write_table(outputs["registry_meta"], f"{out}/registry/meta", "parquet")
 
 
@@ -92,7 +95,7 @@ def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact
     spark = works.sparkSession
     b = UnfilteredBuild(works, component_rule=component_rule, sync_date=sync_date, on_bad=on_bad)
     with timer.step("index"):
-        n_papers = b.index.count()
+        n_papers = b.n_papers
         if n_papers == 0:
             raise RuntimeError("no work record is left after the id and type filters" + (f" in {source}" if source else ""))
     with timer.step("citation_graph"):
@@ -113,6 +116,8 @@ def build_unfiltered(works: DataFrame, out: str, *, component_rule: str = "exact
     with timer.step("plan_outputs"):
         outputs = b.outputs()
     write_dataset(spark, outputs, unfiltered_dir(out), n_papers, n_authors, global_abstract_sort=False, timer=timer)
+    # rebuilt once: the component dataset and the counters read the written texts
+    b.abstracts = io.read_table(spark, io.table_path(unfiltered_dir(out), "abstracts", "parquet"), "abstracts", "parquet")
     with timer.step("validation"):
         validate.log_venue_validation(b.venue_validation().first())
         log.info("completeness: %s", b.completeness().first().asDict())
@@ -136,16 +141,16 @@ def read_unfiltered(spark: SparkSession, out: str) -> dict[str, DataFrame]:
 def build_lcc(spark: SparkSession, out: str, *, sync_date: str | None = None,
               timer: Timer | None = None, keep_flag: bool = False,
               renumber_categories: bool = False, flags: DataFrame | None = None,
-              tables: dict[str, DataFrame] | None = None) -> LccBuild:
+              tables: dict[str, DataFrame] | None = None, kept: RankBitmap | None = None) -> LccBuild:
     """Restrict the written unfiltered dataset to the flagged component; write to ``out``.
 
-    In one application ``flags`` and ``tables`` are the unfiltered build's staged
+    In one application ``kept`` (or ``flags``) and ``tables`` are the unfiltered build's staged
     Parquet frames, so no written CSV (multi-line, not splittable) is parsed
     again; without them the written dataset is read.
     """
     timer = timer or Timer()
     lb = LccBuild(tables or read_unfiltered(spark, out), sync_date=sync_date, keep_flag=keep_flag,
-                  renumber_categories=renumber_categories, flags=flags)
+                  renumber_categories=renumber_categories, flags=flags, kept=kept)
     with timer.step("maps"):
         n_papers, n_authors = lb.kept_papers.n, lb.kept_authors.n
     with timer.step("plan_outputs"):
@@ -197,7 +202,7 @@ def main(argv=None) -> None:
         b = build_unfiltered(works, args.out, component_rule=args.component_rule, sync_date=args.sync_date,
                              timer=timer, log_counters=args.counters, on_bad=args.on_bad, source=args.raw)
         build_lcc(spark, args.out, sync_date=args.sync_date, timer=timer, keep_flag=args.keep_flag,
-                  renumber_categories=args.renumber_categories, flags=b.flags, tables=b.outputs())
+                  renumber_categories=args.renumber_categories, kept=b.connected, tables=b.outputs())
     finally:
         cleanup_staging(spark)
     print(json.dumps({k: round(v, 3) for k, v in timer.steps.items()}))

@@ -18,11 +18,26 @@ _CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "tru
                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+# ids of a written range partition: many for a large table, fewer to keep all cores busy, but no tiny files
+MOST_ROWS, LEAST_ROWS = 500_000, 10_000
+
+# ids that a point lookup sends to the scan as a predicate; more are joined
+POINT_IDS = 2000
+_IN_IDS = 10  # values that the Parquet reader keeps as single values
+
+
 def table_path(out_dir: str, name: str, fmt: str) -> str:
     ext = {"csv": ".csv", "parquet": ".parquet"}[fmt]
     return f"{out_dir.rstrip('/')}/{name}{ext}"
 
 
+def by_dense_id(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``df`` in range partitions of a dense id 0..n-1: equal stretches of the range, one after the other."""
+    wide_enough = max(-(-n // MOST_ROWS), min(df.sparkSession.sparkContext.defaultParallelism, 64))
+    parts = max(1, min(wide_enough, -(-n // LEAST_ROWS)))
+    return df.repartitionById(parts, F.floor(F.col(key) * parts / F.lit(max(n, 1))).cast("int"))
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -32,15 +47,21 @@ def write_table(
     sort_by: list[str] | None = None,
     within_partitions: bool = False,
     max_records_per_file: int | None = None,
+    dense: tuple[str, int] | None = None,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Write ``df`` to ``path`` (overwrite).
 
     ``sort_by`` sorts the output globally (range-partitioned sort) or, with
-    ``within_partitions``, only inside each written file.
+    ``within_partitions``, only inside each written file. ``dense`` names a column that holds ids 0..n-1 (or
+    some of them) in the order of ``sort_by``, and n: the range bounds are then known, and the
+    plan is run once, without the sampling pass of a sort.
     """
-    if sort_by:
+    if sort_by and dense and not within_partitions:
+        df = by_dense_id(df, *dense).sortWithinPartitions(*sort_by)
+    elif sort_by:
         df = df.sortWithinPartitions(*sort_by) if within_partitions else df.orderBy(*sort_by)
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").options(**(options or {}))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if fmt == "csv":
@@ -70,8 +91,16 @@ def read_table(spark: SparkSession, path: str, name: str | None = None, fmt: str
 
 
 def write_abstracts(df: DataFrame, path: str, *, global_sort: bool = False,
-                    rows_per_file: int = schemas.ABSTRACT_ROWS_PER_FILE) -> None:
-    """Parquet abstracts: sorted by paper_id inside each file, or globally."""
+                    rows_per_file: int = schemas.ABSTRACT_ROWS_PER_FILE, n_papers: int | None = None,
+                    row_group_bytes: int | None = None) -> None:
+    """Parquet abstracts: sorted by paper_id inside each file, or globally (``n_papers``: without a sampling pass).
+
+    A Bloom filter on paper_id is written for every row group, so that ``lookup_abstracts`` skips those
+    without a wanted id even where their ranges overlap.
+    """
+    options = {"parquet.bloom.filter.enabled#paper_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    if row_group_bytes:
+        options["parquet.block.size"] = str(row_group_bytes)
     write_table(
         df.select("paper_id", "abstract"),
         path,
@@ -79,9 +108,31 @@ def write_abstracts(df: DataFrame, path: str, *, global_sort: bool = False,
         sort_by=["paper_id"],
         within_partitions=not global_sort,
         max_records_per_file=rows_per_file,
+        dense=("paper_id", n_papers) if n_papers else None,
+        options=options,
     )
 
 
+def lookup_abstracts(spark: SparkSession, path: str, wanted: DataFrame, *, point_ids: int = POINT_IDS) -> DataFrame:
+    """``(paper_id, abstract)`` of the wanted papers (first column of ``wanted``) from written abstracts.
+
+    Up to ``point_ids`` ids become a predicate of single values, which the Parquet reader checks against
+    the statistics, Bloom filter and page index of every row group: only pages that can hold a wanted id
+    are read. More ids are joined (a scan of the ids' range).
+    """
+    table = read_table(spark, path, "abstracts", "parquet")
+    key = wanted.columns[0]
+    ids = wanted.select(F.col(key).cast("bigint").alias("paper_id")).filter(F.col("paper_id").isNotNull()).distinct()
+    head = sorted(r[0] for r in ids.limit(point_ids + 1).collect())  # bounded by point_ids
+    if len(head) <= point_ids:
+        found = F.lit(False)
+        for at in range(0, len(head), _IN_IDS):
+            found = found | F.col("paper_id").isin(head[at:at + _IN_IDS])
+        return table.filter(found) if head else table.limit(0)
+    ends = ids.agg(F.min("paper_id").alias("lo"), F.max("paper_id").alias("hi")).first()
+    return table.filter(F.col("paper_id").between(ends["lo"], ends["hi"])).join(ids, "paper_id", "left_semi")
+
+
 def write_graph(edges: DataFrame, path: str, n_rows: int, n_cols: int | None = None) -> None:
     """Edge list as Parquet plus a one-row shape table next to it, counted from the written edges."""
     edges.write.mode("overwrite").parquet(f"{path}/edges")

@@ -96,3 +96,42 @@ def test_csv_keeps_quotes_commas_newlines_and_white_space(spark):
     back = io.read_table(spark, path, fmt="csv", schema=T.StructType.fromDDL("paper_id bigint, title string, doi string"))
     rows = sorted(tuple(r) for r in back.collect())
     assert rows == [(1, 'a, "b"\nc', None), (2, None, "x"), *edge]
+
+
+def _scanned_rows(df):
+    """Rows that the scans of an executed frame handed on."""
+    df.collect()
+    total, queue = 0, [df._jdf.queryExecution().executedPlan()]
+    while queue:
+        node = queue.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            queue.append(node.executedPlan())
+            continue
+        if "FileSourceScan" in node.getClass().getSimpleName():
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        queue += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_abstract_lookup_reads_few_row_groups(spark, tmp_path):
+    path = str(tmp_path / "abstracts")
+    texts = spark.range(40_000).select((F.col("id") * 3).alias("paper_id"), F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 512)).alias("abstract"))
+    io.write_abstracts(texts.repartition(5), path, global_sort=True, n_papers=120_000, row_group_bytes=64 << 10)
+    wanted = [3, 4, 5, 30_000, 119_997, 119_998, 500_000, None]
+    ids = spark.createDataFrame([(i,) for i in wanted + wanted], "p bigint")
+    found = io.lookup_abstracts(spark, path, ids)
+    assert sorted(r["paper_id"] for r in found.collect()) == [3, 30_000, 119_997]
+    assert 0 < _scanned_rows(found) < 20_000
+    joined = io.lookup_abstracts(spark, path, ids, point_ids=2)
+    assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, found.collect()))
+    assert io.lookup_abstracts(spark, path, ids.limit(0)).count() == 0
+
+
+def test_dense_ranges_follow_the_ids(spark, monkeypatch):
+    monkeypatch.setattr(io, "LEAST_ROWS", 10)
+    df = spark.range(1000).select((999 - F.col("id")).alias("paper_id")).filter("paper_id % 3 <> 0").repartition(7)
+    parts = io.by_dense_id(df, "paper_id", 1000).sortWithinPartitions("paper_id").select("paper_id", F.spark_partition_id().alias("p")).collect()
+    rows = [r["paper_id"] for r in sorted(parts, key=lambda r: r["p"])]
+    assert rows == sorted(rows) and len(rows) == 666 and len({r["p"] for r in parts}) > 1
+    assert io.by_dense_id(df.limit(0), "paper_id", 0).count() == 0

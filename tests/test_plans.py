@@ -25,8 +25,62 @@ def test_derived_tables_read_only_their_columns(spark, sf_small):
     assert "id,type,abstract_inverted_index" in _scans(_plan(b.abstracts))
     assert "id,type,authorships" in _scans(_plan(extract.explode_authorships(b.indexed).select("paper_id", "oa_author_id")))
     assert "id,type,referenced_works" in _scans(_plan(extract.explode_references(b.indexed)))
-    # the paper index is read as key + frozen position only
-    assert "oa_id,__mid" in _scans(_plan(b.index))
+    # the paper index is read as its two numbers only
+    assert _scans(_plan(b.index)) == ["oa_id,paper_id"]
+
+
+def _shuffles(plan):
+    return [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line and "ReusedExchange" not in line]
+
+
+def test_no_exchange_of_works(spark, sf_small):
+    """Works meet their paper_id in the scan: no record is shuffled for references, authorships, topics, metadata, abstracts."""
+    b = context(spark, sf_small).build
+    for df in (extract.explode_references(b.indexed), extract.explode_authorships(b.indexed), extract.explode_topics(b.indexed),
+               b.metadata, b.abstracts, b.paper_table_plan()):
+        assert not _shuffles(_plan(df)), _plan(df)
+
+
+def test_works_are_staged_where_the_index_is_too_large(spark, sf_small):
+    """Beyond the byte limit of the broadcast, the works meet the index once; what is derived reads the staged records."""
+    from paperweave.operators.rank import BROADCAST_BYTES_CONF
+    from paperweave.plans.build import UnfilteredBuild
+
+    small = context(spark, sf_small).build
+    spark.conf.set(BROADCAST_BYTES_CONF, "0")
+    try:
+        b = UnfilteredBuild(context(spark, sf_small).works)
+        assert "paper_id,referenced_works" in ",".join(sorted(_scans(_plan(b.references))[0].split(",")))
+        for df in (b.references, explode_a := extract.explode_authorships(b.indexed), extract.explode_topics(b.indexed), b.abstracts):
+            assert not _shuffles(_plan(df))
+        assert b.citation_net.exceptAll(small.citation_net).isEmpty() and b.citation_net.count() == small.citation_net.count()
+        assert explode_a.exceptAll(extract.explode_authorships(small.indexed)).isEmpty()
+        assert b.paper_table.exceptAll(small.paper_table).isEmpty()
+    finally:
+        spark.conf.unset(BROADCAST_BYTES_CONF)
+
+
+def test_component_tables_meet_no_map(spark, sf_small):
+    """Filter and renumbering are a lookup: no sort-merge join in the component's tables, no map sorted."""
+    lb = context(spark, sf_small).lcc
+    for df in (lb.papers, lb.citation_net, lb.paper_author_net, lb.author_table, lb.paper_category_table, lb.abstracts):
+        assert "SortMergeJoin" not in _plan(df) and not _shuffles(_plan(df)), _plan(df)
+
+
+def test_counters_need_no_nested_loop(spark, sf_small):
+    b = context(spark, sf_small).build
+    plan = _plan(b.counters())
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert "referenced_works" not in _plan(b.citation_net)
+
+
+def test_sorted_sinks_need_no_sampling(spark, sf_small):
+    """Dense ids give the range bounds: the written order comes from one exchange by id, not from a sampled range."""
+    from paperweave.sources.tables import by_dense_id
+
+    b = context(spark, sf_small).build
+    plan = _plan(by_dense_id(b.paper_table, "paper_id", b.n_papers).sortWithinPartitions("paper_id"))
+    assert "rangepartitioning" not in plan and len(_shuffles(plan)) == 1
 
 
 def test_no_single_task_window(spark, sf_small):
