@@ -19,8 +19,8 @@ A document's set holds its distinct 3-word shingles (64-bit hashes). Two documen
    that differ in them. Linked sets differ in at most 3n/17 tokens, so a shared one is among the
    first 3n/17 + 1 of both and, for one of the two, among the first 3n/34 + 1; a member with more tokens of its own alone
    than that is done. Cells (centre, token) with such a member and several components go on: a small
-   cell is compared pair by pair (sizes within 17 : 20), a large one is a new star. A cell's centre comes after its
-   star's, so this ends. Nothing is capped.
+   cell is compared pair by pair (D(x) and D(y) give the exact similarity), a large one is a new star. A cell's
+   centre comes after its star's, so this ends. Nothing is capped.
 
 Only tokens of sets that meet in a bucket are looked at again, their texts travel compressed.
 
@@ -53,7 +53,7 @@ SHINGLE = 3
 BANDS, ROWS = 25, 5
 BINS = BANDS * ROWS
 LEAST_SET = 6  # smaller sets link only to equal ones
-SMALL_CELL = 16  # members of a cell that is compared pair by pair: at most 7.5 pairs a member
+SMALL_CELL = 64  # members of a cell that is compared pair by pair: at most 31.5 pairs a member
 
 _MULTIPLIERS = np.array([(int.from_bytes(xxhash.xxh3_128_digest(b"place %d" % i)[:8], "little") | 1) for i in range(max(SHINGLE, ROWS))], np.uint64)
 
@@ -227,17 +227,18 @@ def _around_consensus(trimmed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _open_cells(members: DataFrame) -> DataFrame:
-    """(cell, x, root, n, size, c) of the cells (centre, token) with several components and a member that has the token in its short list."""
-    posted = stage(members.select("c", "x", "root", "n", F.size("tokens").alias("d"), F.explode("tokens").alias("token")), "minhash_differences")
-    shared = posted.groupBy("c", "token").agg(
+    """(cell, star, x, root, n, size, c) of the cells (star, token) with several components and a member that has the token in its short list."""
+    posted = stage(members.select(
+        F.col("c").alias("star"), "x", "root", "n", F.size("tokens").alias("d"), F.explode("tokens").alias("token")), "minhash_differences")
+    shared = posted.groupBy("star", "token").agg(
         F.count(F.lit(1)).alias("holders"), F.min("root").alias("least"), F.max("root").alias("most")).filter("holders > 1")
-    met = posted.join(shared, ["c", "token"])
-    own = Window.partitionBy("c", "x")  # one member's tokens
+    met = posted.join(shared, ["star", "token"])
+    own = Window.partitionBy("star", "x")  # one member's tokens
     place = F.col("d") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("holders", "token")) - 1
     allowed = F.floor(3 * F.col("n") / 17)
     listed = met.withColumn("place", place).filter((F.col("place") <= allowed) & (F.col("least") != F.col("most")))
     held = stage(listed.select(
-        F.xxhash64("c", "token").alias("cell"), "x", "root", "n", (F.col("place") <= F.floor(allowed / 2)).alias("early")), "minhash_cells")
+        F.xxhash64("star", "token").alias("cell"), "star", "x", "root", "n", (F.col("place") <= F.floor(allowed / 2)).alias("early")), "minhash_cells")
     drop_staged(members.sparkSession, posted)
     cells = held.groupBy("cell").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.max("early").alias("early"), F.count(F.lit(1)).alias("members"),
@@ -248,14 +249,23 @@ def _open_cells(members: DataFrame) -> DataFrame:
     return out
 
 
-def _cell_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct (c, x): all pairs of small cells between components; the stars of large ones."""
+def _large_cells(members: DataFrame) -> DataFrame:
+    """Distinct (c, x): the stars of large cells."""
+    return members.filter((F.col("size") > SMALL_CELL) & (F.col("c") < F.col("x"))).select("c", "x").distinct()
+
+
+def _small_cells(members: DataFrame, trimmed: DataFrame) -> DataFrame:
+    """(src, dst): the links between components of small cells. Two sets of a star differ in the tokens that only
+    one of D(x) and D(y) holds."""
     small = members.filter(F.col("size") <= SMALL_CELL)
-    a = small.select("cell", F.col("x").alias("c"), F.col("root").alias("c_root"), F.col("n").alias("c_n"))
-    met = a.join(small.select("cell", "x", "root", "n"), "cell").filter("c < x AND c_root <> root")
-    pairs = met.filter("17 * n <= 20 * c_n AND 17 * c_n <= 20 * n").select("c", "x").distinct()
-    stars = members.filter((F.col("size") > SMALL_CELL) & (F.col("c") < F.col("x"))).select("c", "x").distinct()
-    return pairs, stars
+    a = small.select("cell", F.col("x").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
+    b = small.select("cell", "star", F.col("x").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"))
+    met = a.join(b, "cell").filter("a < b AND a_root <> b_root AND 17 * a_n <= 20 * b_n AND 17 * b_n <= 20 * a_n")
+    pairs = met.select("star", "a", "a_n", "b", "b_n").distinct()
+    d = trimmed.select(F.col("c").alias("star"), "x", "tokens")
+    sides = pairs.join(d.toDF("star", "a", "a_tokens"), ["star", "a"]).join(d.toDF("star", "b", "b_tokens"), ["star", "b"])
+    apart = F.size("a_tokens") + F.size("b_tokens") - 2 * F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return sides.filter(37 * apart <= 3 * (F.col("a_n") + F.col("b_n"))).select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct()
 
 
 def _components(spark: SparkSession, rows: DataFrame, reps: DataFrame) -> DataFrame:
@@ -274,9 +284,9 @@ def _components(spark: SparkSession, rows: DataFrame, reps: DataFrame) -> DataFr
         drop_staged(spark, split)
         certain, members = _around_consensus(trimmed)
         open_cells = _open_cells(members)
-        pairs, stars = (stage(x, "minhash_pairs") for x in _cell_pairs(open_cells))
+        stars = stage(_large_cells(open_cells), "minhash_stars")
+        more = stage(certain.unionByName(_small_cells(open_cells, trimmed)), "minhash_links")
         drop_staged(spark, open_cells)
-        more = stage(certain.unionByName(_links_of(_compared(pairs, rows))), "minhash_links")
         drop_staged(spark, trimmed)
         if not more.isEmpty():
             forest = star_forest(forest.toDF("src", "dst").unionByName(more))
