@@ -13,14 +13,13 @@ A document's set holds its distinct 3-word shingles (64-bit hashes). Two documen
    bucket of m sets gives m - 1 pairs. They are verified on the full sets.
 4. What the stars leave open: members of a star that is still in several components. Their differences
    from the centre give the star's consensus (the tokens that most members hold), and D(x), the
-   tokens in which x differs from it. Sets x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| tokens.
-   If |D(x)| + |D(y)| is no more than a link allows, both link to the member closest to the consensus: one
+   tokens in which x differs from it. Sets x and y differ in |D(x)| + |D(y)| - 2 |D(x) & D(y)| tokens, at most 3/37 of both
+   sizes if they link. If |D(x)| + |D(y)| is no more than that, both link to the member closest to the consensus: one
    more star. Else D(x) and D(y) share a token. In each star tokens are ordered by the number of members
-   that differ in them. Linked sets differ in at most 3n/17 tokens, so a shared one is among the
-   first 3n/17 + 1 of both and, for one of the two, among the first 3n/34 + 1; a member with more tokens of its own alone
-   than that is done. Cells (centre, token) with such a member and several components go on: a small
-   cell is compared pair by pair (D(x) and D(y) give the exact similarity), a large one is a new star. A cell's
-   centre comes after its star's, so this ends. Nothing is capped.
+   that differ in them, rarest first; the tokens before the first shared one belong to one set only, so its places in the
+   two lists add up to 3/37 of both sizes at most. Cells (star, token) with two members that can meet this go
+   on: a small cell is compared pair by pair (D(x) and D(y) give the exact similarity), a large one is a new star.
+   A cell's centre comes after its star's, so this ends. Nothing is capped.
 
 Only tokens of sets that meet in a bucket are looked at again, their texts travel compressed.
 
@@ -182,10 +181,16 @@ def _links_of(compared: DataFrame) -> DataFrame:
     return stage(compared.filter("linked").select(F.col("c").alias("src"), F.col("x").alias("dst")), "minhash_links")
 
 
-def _split_stars(compared: DataFrame, forest: DataFrame) -> DataFrame:
-    """(c, x, root, n, apart, members) of the stars whose members belong to several components."""
-    named = compared.select("c", "x", "n").join(forest.select(F.col("member").alias("x"), "root"), "x", "left")
-    named = named.withColumn("root", F.coalesce("root", "x"))
+def _near_roots(links: DataFrame) -> DataFrame:
+    """(x, root): labels that only connected sets share, two steps along the links to smaller sets."""
+    first = stage(links.groupBy(F.col("dst").alias("x")).agg(F.min("src").alias("root")), "minhash_first")
+    second = first.select(F.col("x").alias("root"), F.col("root").alias("further"))
+    return stage(first.join(second, "root", "left").select("x", F.coalesce("further", "root").alias("root")), "minhash_roots")
+
+
+def _split_stars(compared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(c, x, root, n, apart, members) of the stars whose members do not share a label."""
+    named = compared.select("c", "x").join(roots, "x", "left").withColumn("root", F.coalesce("root", "x"))
     split = named.groupBy("c").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("members"))
     split = split.filter("least <> most").select("c", "members", F.col("members").alias("size"))
     inside = salted_join(named, split, "c", "size", F.col("x"), "inner").select("c", "x", "root", "members")
@@ -227,7 +232,9 @@ def _around_consensus(trimmed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _open_cells(members: DataFrame) -> DataFrame:
-    """(cell, star, x, root, n, size, c) of the cells (star, token) with several components and a member that has the token in its short list."""
+    """(cell, star, x, root, n, place, size, c) of the cells (star, token) in which two members of different components can
+    have their first shared token; place: the token's place in the member's list."""
+    spark = members.sparkSession
     posted = stage(members.select(
         F.col("c").alias("star"), "x", "root", "n", F.size("tokens").alias("d"), F.explode("tokens").alias("token")), "minhash_differences")
     shared = posted.groupBy("star", "token").agg(
@@ -235,17 +242,21 @@ def _open_cells(members: DataFrame) -> DataFrame:
     met = posted.join(shared, ["star", "token"])
     own = Window.partitionBy("star", "x")  # one member's tokens
     place = F.col("d") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("holders", "token")) - 1
-    allowed = F.floor(3 * F.col("n") / 17)
-    listed = met.withColumn("place", place).filter((F.col("place") <= allowed) & (F.col("least") != F.col("most")))
-    held = stage(listed.select(
-        F.xxhash64("star", "token").alias("cell"), "star", "x", "root", "n", (F.col("place") <= F.floor(allowed / 2)).alias("early")), "minhash_cells")
-    drop_staged(members.sparkSession, posted)
-    cells = held.groupBy("cell").agg(
-        F.min("root").alias("least"), F.max("root").alias("most"), F.max("early").alias("early"), F.count(F.lit(1)).alias("members"),
-        F.min("x").alias("c"))
-    cells = stage(cells.filter("least <> most AND early").select("cell", "members", "c"), "minhash_open")
-    out = stage(salted_join(held, cells.withColumn("size", F.col("members")), "cell", "members", F.col("x"), "inner"), "minhash_members")
-    drop_staged(held.sparkSession, held)
+    listed = met.withColumn("place", place).filter((F.col("place") <= F.floor(3 * F.col("n") / 17)) & (F.col("least") != F.col("most")))
+    held = stage(listed.select(F.xxhash64("star", "token").alias("cell"), "star", "x", "root", "n", "place"), "minhash_cells")
+    drop_staged(spark, posted)
+    firsts = held.groupBy("cell").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.min("place").alias("first"), F.max("n").alias("longest"),
+        F.count(F.lit(1)).alias("rows")).filter("least <> most AND 37 * first <= 3 * longest").select("cell", "first", "longest", "rows")
+    able = salted_join(held, stage(firsts, "minhash_firsts"), "cell", "rows", F.col("x"), "inner").filter(
+        37 * (F.col("place") + F.col("first")) <= 3 * (F.col("n") + F.col("longest")))
+    able = stage(able.drop("first", "longest"), "minhash_able")
+    drop_staged(spark, held)
+    cells = able.groupBy("cell").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("size"), F.min("x").alias("c"))
+    cells = cells.filter("least <> most").select("cell", "size", F.col("size").alias("rows"), "c")
+    out = stage(salted_join(able, cells, "cell", "rows", F.col("x"), "inner"), "minhash_members")
+    drop_staged(spark, able)
     return out
 
 
@@ -258,9 +269,10 @@ def _small_cells(members: DataFrame, trimmed: DataFrame) -> DataFrame:
     """(src, dst): the links between components of small cells. Two sets of a star differ in the tokens that only
     one of D(x) and D(y) holds."""
     small = members.filter(F.col("size") <= SMALL_CELL)
-    a = small.select("cell", F.col("x").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"))
-    b = small.select("cell", "star", F.col("x").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"))
-    met = a.join(b, "cell").filter("a < b AND a_root <> b_root AND 17 * a_n <= 20 * b_n AND 17 * b_n <= 20 * a_n")
+    a = small.select("cell", F.col("x").alias("a"), F.col("root").alias("a_root"), F.col("n").alias("a_n"), F.col("place").alias("a_place"))
+    b = small.select("cell", "star", F.col("x").alias("b"), F.col("root").alias("b_root"), F.col("n").alias("b_n"), F.col("place").alias("b_place"))
+    met = a.join(b, "cell").filter("a < b AND a_root <> b_root AND 37 * (a_place + b_place) <= 3 * (a_n + b_n)")
+    met = met.filter("17 * a_n <= 20 * b_n AND 17 * b_n <= 20 * a_n")
     pairs = met.select("star", "a", "a_n", "b", "b_n").distinct()
     d = trimmed.select(F.col("c").alias("star"), "x", "tokens")
     sides = pairs.join(d.toDF("star", "a", "a_tokens"), ["star", "a"]).join(d.toDF("star", "b", "b_tokens"), ["star", "b"])
@@ -271,26 +283,24 @@ def _small_cells(members: DataFrame, trimmed: DataFrame) -> DataFrame:
 def _components(spark: SparkSession, rows: DataFrame, reps: DataFrame) -> DataFrame:
     """Forest (root, member) of the classes' representatives."""
     stars = stage(_bucket_stars(rows, reps), "minhash_stars")
-    forest = spark.createDataFrame([], "root long, member long")
+    links = spark.createDataFrame([], "src long, dst long")
     while not stars.isEmpty():
         compared = stage(_compared(stars, rows), "minhash_compared")
         drop_staged(spark, stars)
-        forest = star_forest(forest.toDF("src", "dst").unionByName(_links_of(compared)))
+        links = links.unionByName(_links_of(compared))
         if compared.filter("NOT linked").isEmpty():
             break
-        split = stage(_split_stars(compared, forest), "minhash_split")
+        split = stage(_split_stars(compared, _near_roots(links)), "minhash_split")
         drop_staged(spark, compared)
         trimmed = stage(_from_consensus(split), "minhash_trimmed")
         drop_staged(spark, split)
         certain, members = _around_consensus(trimmed)
         open_cells = _open_cells(members)
         stars = stage(_large_cells(open_cells), "minhash_stars")
-        more = stage(certain.unionByName(_small_cells(open_cells, trimmed)), "minhash_links")
+        links = links.unionByName(stage(certain.unionByName(_small_cells(open_cells, trimmed)), "minhash_links"))
         drop_staged(spark, open_cells)
         drop_staged(spark, trimmed)
-        if not more.isEmpty():
-            forest = star_forest(forest.toDF("src", "dst").unionByName(more))
-    return forest
+    return star_forest(links)
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
