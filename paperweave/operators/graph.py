@@ -30,6 +30,13 @@ from .skew import hot_key_rows, skew_join, stage_nonempty
 # bound raises instead of returning a partial answer.
 MAX_ROUNDS = 500
 
+# Edges from which a graph is contracted before the star rounds.
+CONTRACT_ROWS_CONF = "spark.paperweave.contractRows"
+DEFAULT_CONTRACT_ROWS = 1_000_000
+
+# Levels that a breadth-first expansion keeps as files of their own.
+OPEN_LEVELS = 32
+
 
 # ---------------------------------------------------------------------------
 # Edge tables
@@ -127,17 +134,52 @@ def _small_star(e: DataFrame, n_rows: int, min_rows: int | None) -> tuple[DataFr
     return out, changed, rows
 
 
-def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst", *, min_rows: int | None = None) -> DataFrame:
+def star_forest(edges: DataFrame, src: str = "src", dst: str = "dst", *, min_rows: int | None = None,
+                contract_rows: int | None = None) -> DataFrame:
     """Rewire an undirected graph into stars: ``(root, member)`` per non-root vertex.
 
     The root is the smallest vertex of the member's component. Vertices
     without edges do not appear. ``min_rows`` sets the hot-key threshold of
-    the joins (default: session setting, see ``operators.skew``).
+    the joins (default: session setting, see ``operators.skew``). Graphs of ``contract_rows`` edges or
+    more (default: session setting) are contracted before the rounds; the result is the same.
     """
     e = stage(canonical(edges, src, dst), "cc_edges")
     n_rows = e.count()
     if n_rows == 0:
         return e.select(F.col("lo").alias("root"), F.col("hi").alias("member"))
+    limit = int(e.sparkSession.conf.get(CONTRACT_ROWS_CONF, str(DEFAULT_CONTRACT_ROWS))) if contract_rows is None else contract_rows
+    if n_rows >= limit:
+        return _contracted(e, n_rows, min_rows, limit)
+    return _star_rounds(e, n_rows, min_rows)
+
+
+def _contracted(e: DataFrame, n_rows: int, min_rows: int | None, limit: int) -> DataFrame:
+    """Sampled contraction: the rounds run on one edge of each vertex (to its least smaller neighbour, found
+    by a partial aggregate), at most one row a vertex. That finds most of a giant component. All edges
+    are then rewritten to the roots of their ends once, edges inside a tree vanish, and only what
+    leads from one tree to another goes on. Exact: a root is the least vertex of its tree, and trees are joined
+    by the remaining edges as their vertices were."""
+    spark = e.sparkSession
+    least = stage(e.groupBy("hi").agg(F.min("lo").alias("lo")).select("lo", "hi"), "cc_least")
+    trees = _star_rounds(least, least.count(), min_rows)
+    hot = skew_join(e, trees.select(F.col("member").alias("__m"), F.col("root").alias("__lo")), "lo", "__m", "left",
+                    min_rows=min_rows, total_rows=n_rows).select(F.coalesce("__lo", "lo").alias("lo"), "hi")
+    both = skew_join(hot, trees.select(F.col("member").alias("__m"), F.col("root").alias("__hi")), "hi", "__m", "left",
+                     min_rows=min_rows, total_rows=n_rows).select("lo", F.coalesce("__hi", "hi").alias("hi"))
+    rest = stage(canonical(both, "lo", "hi"), "cc_rest")
+    drop_staged(spark, e)
+    n_rest = rest.count()
+    if n_rest == 0:
+        return trees
+    joined = _contracted(rest, n_rest, min_rows, limit) if limit <= n_rest < n_rows else _star_rounds(rest, n_rest, min_rows)
+    upper = joined.select(F.col("member").alias("__tree"), F.col("root").alias("__root"))
+    # a root of very many members is a hot key
+    moved = skew_join(trees, upper, "root", "__tree", "left", min_rows=min_rows).select(F.coalesce("__root", "root").alias("root"), "member")
+    return stage(moved.unionByName(joined.select("root", "member")), "cc_forest")
+
+
+def _star_rounds(e: DataFrame, n_rows: int, min_rows: int | None) -> DataFrame:
+    """Alternating star rounds on staged canonical edges, until they form stars."""
     for _ in range(MAX_ROUNDS):
         # small-star reads the large-star result twice (minimum and join):
         # staging it makes that two file scans rather than two recomputations
@@ -187,17 +229,26 @@ def connected_components(
     )
 
 
+# a degree and a vertex in one bigint: degrees below 2^31, vertices below 2^32
+_VERTEX_BITS = 32
+
+
 def component_summary(labels: DataFrame, degrees: DataFrame, vertex: str = "paper_id") -> DataFrame:
-    """Per component: size, highest degree and its lowest-id holder (the seed)."""
-    joined = labels.join(degrees, vertex)
-    return joined.groupBy("component").agg(
-        F.count(F.lit(1)).cast("bigint").alias("size"),
-        F.max(F.struct(F.col("degree"), (-F.col(vertex)).alias("neg"))).alias("__best"),
-    ).select(
+    """Per component: size, highest degree and its lowest-id holder (the seed).
+
+    Degree and vertex are packed into one bigint (degree first, then the vertex counted downwards), so that the
+    pair that wins is a plain ``max``: a hash aggregate with partial sums, whatever a component's size.
+    """
+    top = (1 << _VERTEX_BITS) - 1
+    fits = (F.col("degree") < (1 << 31)) & (F.col(vertex) <= top) & (F.col(vertex) >= 0)
+    packed = F.when(fits, F.shiftleft(F.col("degree").cast("bigint"), _VERTEX_BITS) + (F.lit(top) - F.col(vertex))).otherwise(
+        F.raise_error(F.lit("a degree or vertex is too large to be packed")).cast("bigint"))
+    joined = labels.join(degrees, vertex).select("component", packed.alias("__best"))
+    return joined.groupBy("component").agg(F.count(F.lit(1)).cast("bigint").alias("size"), F.max("__best").alias("__best")).select(
         "component",
         "size",
-        F.col("__best.degree").alias("max_degree"),
-        (-F.col("__best.neg")).alias("seed"),
+        F.shiftright("__best", _VERTEX_BITS).alias("max_degree"),
+        (F.lit(top) - F.col("__best").bitwiseAND(F.lit(top))).cast("bigint").alias("seed"),
     )
 
 
@@ -247,44 +298,71 @@ def reachable(labels: DataFrame, seeds: DataFrame, vertex: str = "paper_id") ->
     return labels.join(seed_comps, labels["component"] == seed_comps["__c"], "left_semi").select(vertex)
 
 
+def split_adjacency(edges: DataFrame, *, min_rows: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Undirected adjacency ``(src, part, dst)``, staged, and the parts ``(v, parts)`` of its hubs (None without hubs).
+
+    A vertex with at least ``min_rows`` neighbours (default: the session's hot-key threshold) is a hub: its
+    neighbours are dealt over parts of that size. There are at most edges / min_rows hubs.
+    """
+    limit = hot_key_rows(edges.sparkSession, min_rows)
+    sym = stage(symmetrize(edges), "bfs_edges")
+    degrees = sym.groupBy("src").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= limit)
+    hubs = stage_nonempty(degrees.select(F.col("src").alias("v"), F.ceil(F.col("n") / limit).cast("int").alias("parts")), "bfs_hubs")
+    if hubs is None:
+        return sym.withColumn("part", F.lit(0)).select("src", "part", "dst"), None
+    marked = sym.join(F.broadcast(hubs.withColumnRenamed("v", "src")), "src", "left")
+    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int"))
+    return stage(marked.select("src", part.alias("part"), "dst"), "bfs_split"), hubs
+
+
 def expand(edges: DataFrame, seeds: DataFrame, vertex: str = "paper_id", max_iter: int | None = None,
-           compact_every: int = 8) -> DataFrame:
+           *, hop: str | None = None, min_rows: int | None = None) -> DataFrame:
     """Breadth-first frontier expansion over undirected edges until nothing is new.
 
-    ``max_iter`` bounds the number of hops (a k-hop neighbourhood); None runs
-    to the fixpoint. One hop is a join of the frontier with the edges, a
-    distinct and an anti-join with the visited set; only the new frontier is
-    written (its size is observed during the write). The visited set is the
-    union of the staged frontiers, compacted every ``compact_every`` hops.
+    ``max_iter`` bounds the number of hops (a k-hop neighbourhood); None runs to the fixpoint. ``hop`` names a
+    column for a vertex's distance from the seeds. A hop joins the frontier with its own adjacency (a
+    hub's in parts, ``split_adjacency``) and drops what the last two frontiers hold: a neighbour of
+    a vertex at distance d is at distance d - 1, d or d + 1, so older levels never come back, and a hop handles
+    rows in proportion to its frontier's edges, not to all that was visited. Each frontier is written once,
+    its size counted during the write and confirmed on the written rows.
     """
-    sym = stage(symmetrize(edges), "bfs_edges")
-    frontier = stage(seeds.select(F.col(vertex).alias("v")).distinct(), "bfs_frontier")
-    parts = [frontier]
-    hops = 0
-    while max_iter is None or hops < max_iter:
-        visited = parts[0]
-        for p in parts[1:]:
-            visited = visited.unionByName(p)
+    adjacency, hubs = split_adjacency(edges, min_rows=min_rows)
+    frontier = stage(seeds.select(F.col(vertex).cast("bigint").alias("v")).filter(F.col("v").isNotNull()).distinct(), "bfs_frontier")
+    levels, older, folded = [frontier], [], 0
+    while max_iter is None or len(levels) <= max_iter:
+        asked = frontier.withColumn("p", F.lit(0))
+        if hubs is not None:
+            marked = frontier.join(F.broadcast(hubs), "v", "left")
+            asked = marked.select("v", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("p"))
+        last = frontier if len(levels) == 1 else frontier.unionByName(levels[-2])
         obs = Observation("bfs")
         nxt = (
-            frontier.join(sym, frontier["v"] == sym["src"])
+            adjacency.join(asked, (adjacency["src"] == asked["v"]) & (adjacency["part"] == asked["p"]))
             .select(F.col("dst").alias("v"))
             .distinct()
-            .join(visited, "v", "left_anti")
+            .join(last, "v", "left_anti")
             .observe(obs, F.count(F.lit(1)).alias("n"))
         )
         nxt = stage(nxt, "bfs_frontier")
         if (obs.get.get("n") or 0) == 0 and nxt.isEmpty():
             break
-        parts.append(nxt)
-        if len(parts) > compact_every:
-            parts = [stage(visited.unionByName(nxt), "bfs_visited")]
+        levels.append(nxt)
         frontier = nxt
-        hops += 1
-    visited = parts[0]
-    for p in parts[1:]:
-        visited = visited.unionByName(p)
-    return visited.select(F.col("v").alias(vertex))
+        if len(levels) - folded > OPEN_LEVELS:
+            older.append(stage(_with_hops(levels, folded, len(levels) - 2), "bfs_levels"))
+            folded = len(levels) - 2
+    found = _with_hops(levels, folded, len(levels))
+    for part in older:
+        found = found.unionByName(part)
+    return found.select(F.col("v").alias(vertex), *([F.col("__hop").alias(hop)] if hop else []))
+
+
+def _with_hops(levels: list[DataFrame], first: int, end: int) -> DataFrame:
+    """The levels first..end-1 in one frame; they share no vertex, so their union needs no distinct."""
+    out = levels[first].withColumn("__hop", F.lit(first))
+    for i in range(first + 1, end):
+        out = out.unionByName(levels[i].withColumn("__hop", F.lit(i)))
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -218,6 +218,12 @@ _TAILS = {
     "WHERE updated_date IN (DATE '2024-01-01', DATE '2024-03-01')",
     "scan_file_cap": "SELECT id, CAST(updated_date AS VARCHAR) AS updated_date FROM scan_files "
     f"WHERE rn_in_partition <= {SCAN_ROWS_PER_FILE}",
+    "empty_guard": f"SELECT CAST(updated_date AS VARCHAR) AS updated_date, SUM(CASE WHEN type IN ({_KEEP}) THEN 1 ELSE 0 END)::BIGINT AS n_works, "
+    f"SUM(CASE WHEN type IN ({_KEEP}) THEN 1 ELSE 0 END) = 0 AS stopped FROM fx_work_all GROUP BY updated_date "
+    "UNION ALL VALUES ('1999-01-01', 0::BIGINT, true), ('2999-12-31', 0::BIGINT, true)",
+    "standalone_lcc_papers": "SELECT * FROM lcc_ptab",
+    "standalone_lcc_author_table": "SELECT m.new_id AS author_id, a.openalex_author_id, a.name, a.orcid FROM authors a "
+    "JOIN amap m ON m.old_id = a.author_id",
     "snapshot_author_table": "SELECT * FROM authors",
     "snapshot_source_table": "SELECT * FROM sources",
     "snapshot_paper_table": "SELECT * FROM ptab",

@@ -23,7 +23,7 @@ from ..sources import tables as io
 from ..sources.fixture import works_fixture
 from ..sources.works import order_number, require_nonempty, scan_works, write_works
 from .build import LccBuild, UnfilteredBuild
-from .job import build_lcc, build_unfiltered
+from .job import build_lcc, build_unfiltered, read_unfiltered
 
 JOB_SYNC_DATE = "2024-05-01"
 
@@ -59,7 +59,7 @@ class FixtureContext:
         """Both datasets written once by the job's own functions; returns the component dataset's folder."""
         if self._written is None:
             out = staging_path(self.spark, "job") + "/dataset"
-            b = build_unfiltered(self.works, out, sync_date=JOB_SYNC_DATE)
+            b = build_unfiltered(self.works, out, sync_date=JOB_SYNC_DATE, typed=True)
             build_lcc(self.spark, out, sync_date=JOB_SYNC_DATE, kept=b.connected, tables=b.outputs())
             self._written = out
         return self._written
@@ -117,6 +117,31 @@ def q_scan_file_cap(spark, sf):
     return w.select("id", F.col("updated_date").cast("string").alias("updated_date"))
 
 
+def q_empty_guard(spark, sf):
+    """Every partition of the snapshot, and two that are not there: usable works, and whether the guard stops the job."""
+    root = context(spark, sf).snapshot()
+    dates = [r[0] for r in scan_works(spark, root).select(F.col("updated_date").cast("string")).distinct().collect()]
+    rows = None
+    for date in [*sorted(dates), "1999-01-01", "2999-12-31"]:
+        works = scan_works(spark, root, partitions=[f"updated_date={date}"])
+        try:
+            guarded = require_nonempty(extract.type_filter(works), root).agg(F.count(F.lit(1)).alias("n_works"), F.lit(False).alias("stopped"))
+        except RuntimeError:
+            guarded = spark.range(1).select(F.lit(0).cast("bigint").alias("n_works"), F.lit(True).alias("stopped"))
+        guarded = guarded.select(F.lit(date).alias("updated_date"), "n_works", "stopped")
+        rows = guarded if rows is None else rows.unionByName(guarded)
+    return rows
+
+
+def q_standalone_lcc_papers(spark, sf):
+    """The component's papers as a second application finds them: from the published dataset's typed copies."""
+    return LccBuild(read_unfiltered(spark, context(spark, sf).written())).papers
+
+
+def q_standalone_lcc_author_table(spark, sf):
+    return LccBuild(read_unfiltered(spark, context(spark, sf).written())).author_table
+
+
 def q_snapshot_author_table(spark, sf):
     return context(spark, sf).from_snapshot.author_table
 

@@ -7,8 +7,9 @@ null.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.graph import graph_shape
@@ -49,18 +50,22 @@ def write_table(
     max_records_per_file: int | None = None,
     dense: tuple[str, int] | None = None,
     options: dict[str, str] | None = None,
+    watch: Observation | None = None,
 ) -> None:
     """Write ``df`` to ``path`` (overwrite).
 
     ``sort_by`` sorts the output globally (range-partitioned sort) or, with
     ``within_partitions``, only inside each written file. ``dense`` names a column that holds ids 0..n-1 (or
     some of them) in the order of ``sort_by``, and n: the range bounds are then known, and the
-    plan is run once, without the sampling pass of a sort.
+    plan is run once, without the sampling pass of a sort. ``watch`` gets the number of written rows and their
+    combined hash.
     """
     if sort_by and dense and not within_partitions:
         df = by_dense_id(df, *dense).sortWithinPartitions(*sort_by)
     elif sort_by:
         df = df.sortWithinPartitions(*sort_by) if within_partitions else df.orderBy(*sort_by)
+    if watch:
+        df = df.observe(watch, F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*_cells(df))).alias("hash"))
     w = df.write.mode("overwrite").options(**(options or {}))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -77,6 +82,24 @@ def write_table(
         raise ValueError(f"unknown format {fmt!r}")
 
 
+def _cells(df: DataFrame) -> list[Column]:
+    """The columns as they come back from CSV: an empty string and a null are the same cell, read as null."""
+    return [F.when(F.col(f.name) != "", F.col(f.name)) if f.dataType == T.StringType() else F.col(f.name) for f in df.schema.fields]
+
+
+def write_twice(df: DataFrame, csv_path: str, typed_path: str, *, sort_by: list[str] | None = None,
+                dense: tuple[str, int] | None = None) -> bool:
+    """Write ``df`` as CSV and, with its types, as Parquet; whether both writes saw the same rows.
+
+    Rows are counted and their hashes combined (order plays no part) while each is written. A task that is repeated
+    may be counted twice; then the two do not agree, and the typed copy is not used.
+    """
+    typed, csv = Observation("typed"), Observation("csv")
+    write_table(df.select(*[c.alias(f.name) for c, f in zip(_cells(df), df.schema.fields)]), typed_path, "parquet", watch=typed)
+    write_table(df, csv_path, "csv", sort_by=sort_by, dense=dense, watch=csv)
+    return typed.get == csv.get
+
+
 def read_table(spark: SparkSession, path: str, name: str | None = None, fmt: str = "csv", schema=None) -> DataFrame:
     """Read a table written by ``write_table`` with its fixed schema; a cell that does not fit fails the read."""
     schema = schema or (schemas.TABLES[name] if name else None)

@@ -120,6 +120,46 @@ def test_expand_equals_reachable(spark):
     assert one_hop == direct
 
 
+def test_expand_levels_around_a_hub(spark):
+    """A hub with 100,000 leaves, split into parts; a path behind one leaf. Distances by hand, and no hop
+    reads more than its frontier's edges: the path's hops find one vertex each."""
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    leaves = spark.range(1, n + 1).select(F.lit(0).cast("bigint").alias("src"), F.col("id").alias("dst"))
+    path = spark.createDataFrame([(n + i, n + i + 1) for i in range(4)] + [(n + 1, n + 1)], "src bigint, dst bigint")
+    edges = leaves.unionByName(path)
+    adjacency, hubs = graph.split_adjacency(edges, min_rows=1000)
+    assert [tuple(r) for r in hubs.collect()] == [(0, 100)]
+    per_part = [r["count"] for r in adjacency.filter("src = 0").groupBy("part").count().collect()]
+    assert len(per_part) == 100 and max(per_part) < 1500
+    seeds = spark.createDataFrame([(n + 2,), (n + 2,), (None,)], "paper_id bigint")
+    out = graph.expand(edges, seeds, hop="hop", min_rows=1000)
+    by_hop = {r["hop"]: r["count"] for r in out.groupBy("hop").count().collect()}
+    # n+2 -> n+1, n+3 -> n, n+4 -> the hub -> all other leaves
+    assert by_hop == {0: 1, 1: 2, 2: 2, 3: 1, 4: n - 1}
+    assert out.select("paper_id").distinct().count() == n + 5
+    assert graph.expand(edges, seeds, max_iter=2, min_rows=1000).count() == 5
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_expand_distances_by_brute_force(spark, seed):
+    edges = _random_graph(seed, 60, 70)
+    v, e = _frames(spark, 60, edges)
+    near = {i: set() for i in range(60)}
+    for a, b in edges:
+        near[a].add(b)
+        near[b].add(a)
+    dist, layer = {3: 0, 40: 0}, {3, 40}
+    while layer:
+        step = {y for x in layer for y in near[x]} - dist.keys()
+        dist |= dict.fromkeys(step, max(dist.values()) + 1)
+        layer = step
+    seeds = spark.createDataFrame([(3,), (40,)], "paper_id bigint")
+    got = {r["paper_id"]: r["hop"] for r in graph.expand(e, seeds, hop="hop", min_rows=4).collect()}
+    assert got == dist
+
+
 def test_adjacency_offsets_and_entries(spark):
     edges = [(0, 2), (0, 1), (2, 0), (4, 1), (4, 3), (4, 0)]
     v, e = _frames(spark, 6, edges)
@@ -142,6 +182,42 @@ def test_induce(spark):
     assert sorted(tuple(r) for r in graph.induce(e, m).collect()) == [(0, 1), (1, 2)]
 
 
+@pytest.mark.parametrize("seed,n,m", [(1, 60, 40), (2, 200, 150), (3, 300, 900), (7, 400, 400)])
+def test_contraction_gives_the_same_components(spark, seed, n, m):
+    edges = _random_graph(seed, n, m) + [(n // 2, i) for i in range(0, n, 5)]
+    v, e = _frames(spark, n, edges)
+    stars = graph.star_forest(e, contract_rows=1, min_rows=30)
+    roots = {i: i for i in range(n)} | {r["member"]: r["root"] for r in stars.collect()}
+    assert roots == _components_brute(n, edges)
+
+
+def test_contraction_stages_fewer_rows(spark, monkeypatch):
+    """Edge rows written on a giant component, with and without contraction; a shuffled long path costs no more than a fifth extra."""
+    rows = []
+    plain_stage = graph.stage
+
+    def counted(df, name, **options):
+        out = plain_stage(df, name, **options)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "stage", counted)
+    rnd = random.Random(11)
+    giant = [(rnd.randrange(2000), rnd.randrange(2000)) for _ in range(16_000)]
+    order = list(range(1500))
+    rnd.shuffle(order)
+    path = list(zip(order, order[1:]))
+    for edges, most in ((giant, 0.8), (path, 1.2)):
+        _, e = _frames(spark, 2000, edges)
+        written = []
+        for contract in (10**9, 1):
+            rows.clear()
+            found = sorted(map(tuple, graph.star_forest(e, contract_rows=contract).collect()))
+            written.append((sum(rows), found))
+        assert written[0][1] == written[1][1]
+        assert written[1][0] <= most * written[0][0], (written[0][0], written[1][0])
+
+
 def test_seeded_and_exact_rules_differ_at_sf01(spark):
     """The fixture's point: at sf0.1 the 5-seed search misses the giant component."""
     import os

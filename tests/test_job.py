@@ -135,3 +135,77 @@ def test_dense_ranges_follow_the_ids(spark, monkeypatch):
     rows = [r["paper_id"] for r in sorted(parts, key=lambda r: r["p"])]
     assert rows == sorted(rows) and len(rows) == 666 and len({r["p"] for r in parts}) > 1
     assert io.by_dense_id(df.limit(0), "paper_id", 0).count() == 0
+
+
+def _published(spark, out):
+    from paperweave.sources import publish
+
+    return publish.published(spark, out)
+
+
+def test_failed_run_leaves_the_old_dataset(spark, tmp_path, monkeypatch):
+    """A run that fails while it writes, or between the renames, leaves the old dataset whole and readable."""
+    from paperweave.plans import job
+    from paperweave.sources import publish
+
+    out = str(tmp_path / "ds")
+    frames = {
+        "paper_table": "paper_id bigint, title string", "author_table": "author_id bigint, name string",
+        "category_table": "class_id bigint, title string", "paper_category_table": "paper_id bigint, sequence bigint",
+        "source_table": "source_id bigint, type string", "citation_net": "src bigint, dst bigint",
+        "paper_author_net": "paper_id bigint, author_id bigint", "abstracts": "paper_id bigint, abstract string",
+        "registry_papers": "paper_id bigint, openalex_id bigint", "registry_authors": "author_id bigint, openalex_author_id bigint",
+        "registry_meta": "n_papers bigint",
+    }
+
+    def outputs(value):
+        return {n: spark.createDataFrame([tuple(0 if "bigint" in c else value for c in s.split(", "))], s) for n, s in frames.items()}
+
+    def titles():
+        return [r[0] for r in spark.read.option("header", "true").csv(f"{out}/paper_table.csv").select("title").collect()]
+
+    with pytest.raises(RuntimeError, match="no published dataset"):
+        _published(spark, out)
+    job.write_dataset(spark, outputs("old"), out, 1, 1, global_abstract_sort=True)
+    assert titles() == ["old"] and len(_published(spark, out)["tables"]) == len(job.TABLES)
+
+    broken = outputs("new")
+    broken["abstracts"] = broken["abstracts"].withColumn("abstract", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        job.write_dataset(spark, broken, out, 1, 1, global_abstract_sort=True)
+    assert titles() == ["old"] and _published(spark, out)
+
+    plain, calls = publish._rename, []
+
+    def failing(spark_, old, new):
+        calls.append(old)
+        if len(calls) == 2:
+            raise OSError("the driver went away")
+        plain(spark_, old, new)
+
+    monkeypatch.setattr(publish, "_rename", failing)
+    with pytest.raises(OSError, match="went away"):
+        job.write_dataset(spark, outputs("new"), out, 1, 1, global_abstract_sort=True)
+    monkeypatch.setattr(publish, "_rename", plain)
+    assert _published(spark, out) and titles() == ["old"]  # put back by the reader
+    job.write_dataset(spark, outputs("new"), out, 1, 1, global_abstract_sort=True)
+    assert titles() == ["new"] and not list(tmp_path.glob("ds.replaced-*"))
+
+    (tmp_path / "ds" / "registry" / "meta").rename(tmp_path / "meta")
+    with pytest.raises(RuntimeError, match="lacks registry/meta"):
+        _published(spark, out)
+
+
+def test_typed_copies_are_used_while_they_agree(spark, sf_small):
+    out = staging_path(spark, "test_typed") + "/ds"
+    b = build_unfiltered(works_fixture(spark, sf_small), out, sync_date="2024-05-01", typed=True)
+    tables = read_unfiltered(spark, out)
+    csv = {n: io.read_table(spark, f"{out}_unfiltered/{n}.csv", n) for n in ("paper_table", "author_table", "source_table")}
+    for name, expected in csv.items():
+        plan = tables[name]._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "csv" not in plan.lower().replace(".csv", "")
+        assert tables[name].exceptAll(expected).isEmpty() and expected.exceptAll(tables[name]).isEmpty()
+    assert b.paper_table.count() == csv["paper_table"].count()
+    # a CSV that somebody changed afterwards is read itself
+    io.write_table(csv["author_table"].limit(3), f"{out}_unfiltered/author_table.csv", "csv")
+    assert read_unfiltered(spark, out)["author_table"].count() == 3
