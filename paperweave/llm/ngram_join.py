@@ -299,6 +299,7 @@ def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame,
     cells = side(_index_rows(members), "i", F.min).join(side(members, "p", F.max), "token").filter(
         (F.col("i_g") != F.col("p_g")) & (F.col("i_least") <= F.col("p_most")) & (4 * F.col("i_most") >= 3 * F.col("p_least"))
         & (F.least("i_rest", "p_rest") >= _ceil(3 * (F.col("i_least") + F.col("p_least")), 7))
+        & (7 * (F.col("i_least") - F.col("i_rest") + F.col("p_least") - F.col("p_rest")) <= F.col("i_most") + F.col("p_most"))
     )
     cells = stage(cells, "ngram_cells")
     pairs = cells.groupBy(F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).agg(
@@ -355,6 +356,8 @@ def _opened(members: DataFrame, cells: DataFrame, open_pairs: DataFrame, share:
     return fitting.join(y, ["token", "p_g"]).filter(
         (F.col("xn") <= F.col("yn")) & (4 * F.col("xn") >= 3 * F.col("yn"))
         & (F.least("xr", "yr") >= _ceil(3 * (F.col("xn") + F.col("yn")), 7))
+        # what stands before the first common token is in one set only: a seventh of both sizes at most
+        & (7 * (F.col("xn") - F.col("xr") + F.col("yn") - F.col("yr")) <= F.col("xn") + F.col("yn"))
     ).select(*_pair(F.col("x"), F.col("y")))
 
 
