@@ -5,7 +5,7 @@ A document's set holds its distinct 5-word shingles (64-bit hashes). Two documen
 between different sets are found or implied by a path of verified links - none is estimated:
 
 1. Sets are computed in one pass. Equal sets form a class with one representative.
-2. All tokens have one global order: tokens seen in several documents of a batch come last
+2. All tokens have one global order: tokens seen in several documents of a batch of a hash sample come last
    (any fixed choice of these is exact, it only decides how long lists get), then by hash. Linked
    sets share a token among the first n - ceil(3n/4) + 1 of each, so only these prefixes are
    shuffled, and only tokens that occur in two sets are kept.
@@ -49,7 +49,8 @@ from .common import numbered, salted_join, workers_import
 SHINGLE = 5
 FIRST_SHARE = 16  # of a large group, the share of members that is compared before all are
 LEADERS = 3  # sets, by hash, that lead a token list
-FREQUENT = 16  # documents, counted where a batch holds two or more of them
+ORDER_SAMPLE = 8  # one text in so many is counted for the order of tokens, which decides nothing else
+FREQUENT = 4  # sampled documents, counted where a batch holds two or more of them
 FREQUENT_LIMIT = 2_000_000  # most frequent tokens broadcast (8 bytes each); others are ordered by hash
 BROADCAST_REPS = 1_000_000  # sets to fetch whose numbers (8 bytes each) are broadcast; more are joined by a shuffle
 MEMO = 500_000  # words remembered per worker
@@ -97,8 +98,9 @@ def _signature(tokens: np.ndarray) -> bytes:
 
 
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Tokens that many documents hold, sorted: counted in every batch of the scan where two or more
-    different sets hold them, summed over all batches. Bounded by FREQUENT_LIMIT."""
+    """Tokens that many documents hold, sorted: counted on one text in ORDER_SAMPLE (by a hash of the text) in every
+    batch of the scan where two or more different sets hold them, summed over all batches. Bounded by
+    FREQUENT_LIMIT. They only decide the order of tokens: any order finds every link."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +114,8 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
             often = n > 1
             yield pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(n[often].astype(np.int64))], ["token", "n"])
 
-    seen = docs.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    sample = docs.filter(F.pmod(F.xxhash64(docs.columns[0]), F.lit(ORDER_SAMPLE)) == 0)
+    seen = sample.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = seen.filter(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "token").limit(FREQUENT_LIMIT)
     return np.sort(top.select("token").toPandas()["token"].to_numpy(np.int64))
 
