@@ -13,6 +13,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,6 +99,30 @@ def cleanup_staging(spark: SparkSession) -> None:
         fs.delete(path, True)
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """The folders that ``stage`` writes inside the block, so that a caller can ``discard`` them once they are spent."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str], reader: DataFrame | None = None) -> None:
+    """Delete staged folders, but for those that ``reader`` still reads."""
+    read = reader.inputFiles() if reader is not None and paths else []
+    for folder in paths:
+        if any(f"/{folder.rstrip('/').rsplit('/', 1)[1]}/" in f for f in read):
+            continue
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str, *, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to Parquet in the shared checkpoint folder and read it back.
 
@@ -105,6 +131,8 @@ def stage(df: DataFrame, name: str, *, partition_by: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
+    for paths in _recorders:
+        paths.append(path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -105,3 +105,18 @@ def test_first_occurrences_need_no_sort_aggregate(spark, sf_small):
     assert "SortAggregate" not in _plan(occurrences)
     assert "SortAggregate" not in _plan(tables.category_table(b.topics))
     assert dict(b.authorships.dtypes)["first"] == dict(b.topics.dtypes)["first"] == "bigint"
+
+
+def test_staged_folders_are_discarded_unless_read(spark):
+    import os
+
+    from paperweave.session import discard, stage, staged_paths
+
+    with staged_paths() as paths:
+        a, b = stage(spark.range(5), "spent"), stage(spark.range(7), "read")
+        result = b.filter("id > 1")
+    stage(spark.range(3), "outside")
+    assert len(paths) == 2 and a.count() == 5
+    discard(spark, paths, result)
+    local = [p.removeprefix("file:") for p in paths]
+    assert [os.path.exists(p) for p in local] == [False, True] and result.count() == 5
