@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from ..session import stage
 # fixed values: the word rule of the operators
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+ROW = "__row number of the table"  # a name that no table has
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,9 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` written with a number per row (``__row``), on which decisions are joined back."""
-    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+_ROW_BITS = 40  # rows of a file
+
+
+def numbered(docs: DataFrame, row: str = ROW) -> DataFrame:
+    """``docs`` with a number per row, on which decisions are joined back. The number is the row's file (of the scan's
+    files in order) and place in it, which every scan of the same files repeats; so nothing is written. What
+    is not a plain scan of Parquet files is written with its numbers first."""
+    try:
+        files = docs.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("at"))
+    except AnalysisException:
+        return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    paths = sorted(r[0] for r in files.select("path").distinct().collect())  # one per file of the scan
+    order = docs.sparkSession.createDataFrame([(p, i) for i, p in enumerate(paths)], "__path string, __file long")
+    placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__at"), F.col("_metadata.row_index").alias("__index"))
+    known = placed.join(F.broadcast(order), placed["__at"] == order["__path"], "left")
+    number = F.when(F.col("__file").isNull() | (F.col("__index") >= (1 << _ROW_BITS)), F.raise_error(F.lit("a row without a place")).cast("bigint"))
+    return known.withColumn(row, number.otherwise(F.shiftleft("__file", _ROW_BITS) + F.col("__index"))).select(*docs.columns, row)
 
 
 def workers_import(df: DataFrame) -> DataFrame:

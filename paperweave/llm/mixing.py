@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ids import dense_id
 from ..session import stage
-from .common import numbered, words
+from .common import ROW, numbered, words
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -141,5 +141,6 @@ def _corrected(rounded: DataFrame, cap: int) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, all columns as they came."""
     rows = numbered(docs)
-    taken = _mixed(rows, F.col("__row"), **options).filter("copies > 0").select(F.col("row").alias("__row"), F.col("copies").cast("int").alias("__copies"))
-    return rows.join(taken, "__row").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    copies = "__copies of the row"
+    taken = _mixed(rows, F.col(ROW), **options).filter("copies > 0").select(F.col("row").alias(ROW), F.col("copies").cast("int").alias(copies))
+    return rows.join(taken, ROW).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).select(docs.columns)

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import star_forest
 from ..session import drop_staged, stage
-from .common import numbered, salted_join, workers_import
+from .common import ROW, numbered, salted_join, workers_import
 
 SHINGLE = 5
 FIRST_SHARE = 16  # of a large group, the share of members that is compared before all are
@@ -382,7 +382,7 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Dat
     """One row of each component stays (the smallest identifier, null ones last), all columns as they came.
     Rows without words all stay."""
     rows = numbered(docs)
-    out = link_components(rows, key="__row", text=text).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__c"))
-    own = rows.select("__row", F.col(key).alias("__id")).join(out, "__row")
-    stays = own.groupBy("__c").agg(F.min(F.struct(F.col("__id").isNull(), F.col("__id"), "__row")).getField("__row").alias("__row"))
-    return rows.join(stage(stays.select("__row"), "ngram_stays"), "__row", "left_semi").select(docs.columns)
+    out = link_components(rows, key=ROW, text=text).select(F.col("doc_id").alias("row"), F.col("component_id").alias("c"))
+    own = rows.select(F.col(ROW).alias("row"), F.col(key).alias("id")).join(out, "row")
+    first = own.groupBy("c").agg(F.min(F.struct(F.col("id").isNull(), F.col("id"), "row")).getField("row").alias(ROW))
+    return rows.join(stage(first.select(ROW), "ngram_stays"), ROW, "left_semi").select(docs.columns)

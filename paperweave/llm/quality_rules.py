@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import SPACE, bound, numbered, without_space, words
+from .common import ROW, SPACE, bound, numbered, without_space, words
 
 # fixed values: the base rule
 MIN_WORDS = 10
@@ -315,5 +315,5 @@ def quality_verdicts(docs: DataFrame, cfg: Mcd = Mcd(), *, lang: str = "lang", s
 def keep_good(docs: DataFrame, cfg: Mcd = Mcd(), **columns: str) -> DataFrame:
     """The documents that the rules keep, all columns as they came."""
     rows = numbered(docs)
-    kept = quality_verdicts(rows, cfg, **{**columns, "key": "__row"}).filter("kept").select(F.col("doc_id").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    kept = quality_verdicts(rows, cfg, **{**columns, "key": ROW}).filter("kept").select(F.col("doc_id").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)

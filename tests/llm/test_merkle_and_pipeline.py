@@ -83,7 +83,7 @@ def test_query_matches_sql(spark, sf_small, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def _stage_inputs(spark, sf_dir, docs):
@@ -130,6 +130,35 @@ def test_pipeline_stages(spark, sf_small):
     assert Counter({r["doc_id"]: r["sum(length)"] // r["max(doc_tokens)"] for r in after.groupBy("doc_id").agg(F.sum("length"), F.max("doc_tokens")).collect()}) == ids(before)
 
 
+def test_pipeline_on_odd_tables(spark, documents, clashing):
+    """Nulls, repeated rows and identifiers, clashing names and an empty table through all stages."""
+    prose = " ".join(f"word{i} and other{i % 7} things" for i in range(60))
+    rows = [(1, prose), (1, prose), (1, prose + " more"), (None, prose + " else"), (2, None), (3, ""), (None, None), (4, "short"),
+            (5, " ".join(f"only{i} one{i % 11} here" for i in range(80)), None, None), (6, "x " * 50_000)]
+    names = (*clashing, "__row", "__sha", "__chars", "__r", "__copies", "copies", "id", "c", "path", "_metadata")
+    for table in (rows, []):
+        for docs in (documents(table, names), stage(documents(table, names), "docs")):
+            columns = docs.columns
+            for name, step in corpus_pipeline.STAGES:
+                out = stage(step(spark, docs, ""), name)
+                if name != "packing":
+                    assert out.columns == columns, name
+                    assert all(r[c] == "clash" for r in out.collect() for c in names), name
+                if name == "ngram_jaccard":
+                    assert len({r["doc_id"] for r in out.collect()}) == out.count() == (2 if table else 0)
+                docs = out
+            assert (docs.count() > 0) == bool(table)
+
+
+def test_rows_are_numbered_by_their_place(spark, documents):
+    from paperweave.llm.common import ROW, numbered
+
+    table = stage(documents([(i, f"text {i}") for i in range(40)]).repartition(5), "docs")
+    one, two = ({r["doc_id"]: r[ROW] for r in numbered(d).collect()} for d in (table, table.select("doc_id", "text")))
+    assert one == two and len(set(one.values())) == 40
+    assert numbered(documents([(1, "a")])).columns[-1] == ROW
+
+
 def test_subpackage_is_optional():
     """Nothing outside the subpackage and its entry guard imports it."""
     import os
