@@ -34,11 +34,13 @@ def numbered(docs: DataFrame, row: str = ROW) -> DataFrame:
     except AnalysisException:
         return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     paths = sorted(r[0] for r in files.select("path").distinct().collect())  # one per file of the scan
-    order = docs.sparkSession.createDataFrame([(p, i) for i, p in enumerate(paths)], "__path string, __file long")
-    placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__at"), F.col("_metadata.row_index").alias("__index"))
-    known = placed.join(F.broadcast(order), placed["__at"] == order["__path"], "left")
-    number = F.when(F.col("__file").isNull() | (F.col("__index") >= (1 << _ROW_BITS)), F.raise_error(F.lit("a row without a place")).cast("bigint"))
-    return known.withColumn(row, number.otherwise(F.shiftleft("__file", _ROW_BITS) + F.col("__index"))).select(*docs.columns, row)
+    path, number, at, index = (f"{row}: {x}" for x in ("path", "file", "at", "index"))
+    order = docs.sparkSession.createDataFrame([(p, i) for i, p in enumerate(paths)], f"`{path}` string, `{number}` long")
+    placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias(at), F.col("_metadata.row_index").alias(index))
+    known = placed.join(F.broadcast(order), placed[at] == order[path], "left")
+    lost = F.col(number).isNull() | (F.col(index) >= (1 << _ROW_BITS))
+    value = F.when(lost, F.raise_error(F.lit("a row without a place")).cast("bigint")).otherwise(F.shiftleft(number, _ROW_BITS) + F.col(index))
+    return known.withColumn(row, value).select(*docs.columns, row)
 
 
 def workers_import(df: DataFrame) -> DataFrame:

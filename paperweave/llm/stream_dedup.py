@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stage, staging_path
-from .common import salted_join, without_space
+from .common import ROW, salted_join, without_space
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
@@ -146,14 +146,15 @@ def drop_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
         F.count(F.lit(1)).alias("__n")
     ), "dedup_kept")
     norm = without_space(F.col(text))
-    keyed = docs.withColumn("__sha", _sha256(norm)).withColumn("__chars", F.char_length(F.coalesce(text, F.lit(""))))
+    sha, chars, place = (f"{ROW}: {x}" for x in ("sha", "chars", "place"))
+    keyed = docs.withColumn(sha, _sha256(norm)).withColumn(chars, F.char_length(F.coalesce(text, F.lit(""))))
     k = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__s"), F.col("n_chars").alias("__c"))
     out = keyed.join(
-        k, keyed[key].eqNullSafe(k["__id"]) & (keyed["__sha"] == k["__s"]) & (keyed["__chars"] == k["__c"]), "left_semi"
+        k, keyed[key].eqNullSafe(k["__id"]) & (keyed[sha] == k["__s"]) & (keyed[chars] == k["__c"]), "left_semi"
     )
     # rows that agree in identifier, text and length are repeats of one row: one stays
-    repeats = keyed.groupBy(key, "__sha", "__chars").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeats = keyed.groupBy(key, sha, chars).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not repeats.isEmpty():
-        w = Window.partitionBy(key, "__sha", "__chars").orderBy(F.monotonically_increasing_id())
-        out = out.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+        w = Window.partitionBy(key, sha, chars).orderBy(F.monotonically_increasing_id())
+        out = out.withColumn(place, F.row_number().over(w)).filter(F.col(place) == 1)
     return out.select(docs.columns)
