@@ -52,6 +52,8 @@ SHINGLE = 3
 BANDS, ROWS = 25, 5
 BINS = BANDS * ROWS
 LEAST_SET = 6  # smaller sets link only to equal ones
+BROADCAST_REPS = 1_000_000  # sets to fetch whose numbers (8 bytes each) are broadcast; more are joined by a shuffle
+PIECE = 1024  # rows that a Python worker holds at a time
 SMALL_CELL = 64  # members of a cell that is compared pair by pair: at most 31.5 pairs a member
 
 _MULTIPLIERS = np.array([(int.from_bytes(xxhash.xxh3_128_digest(b"place %d" % i)[:8], "little") | 1) for i in range(max(SHINGLE, ROWS))], np.uint64)
@@ -113,6 +115,12 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, np.concatenate(arrays) if arrays else np.empty(0, np.int64))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, PIECE):
+            yield batch.slice(at, PIECE)
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     """(row, doc_id, n, sig, packed, bands) per document; text and bands only for the first of equal sets in a batch."""
 
@@ -120,7 +128,7 @@ def _signed(docs: DataFrame) -> DataFrame:
         row = TaskContext.get().partitionId() << 33
         pack = zstandard.ZstdCompressor(level=1).compress
         nothing = np.empty(0, np.int64)
-        for batch in batches:
+        for batch in _pieces(batches):
             sizes, sigs, texts, bands, known = [], [], [], [], set()
             for value in batch.column(1):
                 text = value.as_py() or ""
@@ -151,7 +159,10 @@ def _bucket_stars(rows: DataFrame, reps: DataFrame) -> DataFrame:
 
 def _compared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """(c, x, n, linked, apart) for every pair, from the full sets. A centre may be that of very many pairs."""
-    texts = rows.filter("packed IS NOT NULL").select("row", "packed")
+    wanted = stage(pairs.select(F.col("c").alias("row")).unionByName(pairs.select(F.col("x").alias("row"))).distinct(), "minhash_wanted")
+    if wanted.count() <= BROADCAST_REPS:
+        wanted = F.broadcast(wanted)
+    texts = rows.filter("packed IS NOT NULL").select("row", "packed").join(wanted, "row", "left_semi")
     centres = pairs.groupBy("c").agg(F.count(F.lit(1)).alias("uses")).join(
         texts.select(F.col("row").alias("c"), F.col("packed").alias("centre")), "c")
     sides = salted_join(
@@ -160,7 +171,7 @@ def _compared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         last, base = None, None
-        for batch in batches:
+        for batch in _pieces(batches):
             sizes, linked, apart = [], [], []
             for c, centre, packed in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
                 if c != last:
@@ -206,7 +217,7 @@ def _from_consensus(stars: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nothing = np.empty(0, np.int64)
-        for batch in batches:
+        for batch in _pieces(batches):
             excess, lists = [], []
             for n, apart, flipped in zip(batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
                 f = flipped.values.to_numpy() if flipped.is_valid else nothing
