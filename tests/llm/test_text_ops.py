@@ -1,6 +1,7 @@
 """N-gram join, repeated substrings, packing, mixing, sanitisation, toxicity: against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import struct
@@ -375,6 +376,66 @@ def test_rows_that_share_an_identifier_are_sanitised_apart(documents):
                            (None, "card [CARD]"), (2, None)])
 
 
+def _disclosure_model(texts, cfg):
+    """Every (entity, term) pair beyond the thresholds, all pairs counted over the distinct texts."""
+    held, entity, both, seen = Counter(), Counter(), Counter(), {}
+    for text in texts:
+        spans = sanitise.pattern_spans(text or "")
+        known, terms = seen.setdefault(sanitise.lowered(text or "", spans), (set(), set()))
+        known.update(x for _, k, _, v in spans for x in sanitise.entities_of(k, v))
+        terms.update(sanitise.lowered(text or "", spans).split())
+    for known, terms in seen.values():
+        held.update(terms)
+        entity.update(known)
+        both.update((e, t) for e in known for t in terms)
+    tests, out = len(entity) * len({t for _, t in both}), set()
+    for (e, t), n in both.items():
+        q, p = n / held[t], entity[e] / len(seen)
+        tail = held[t] * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0))
+        if q >= cfg.posterior and math.log2(q / p) >= cfg.bits and math.log(tests) - tail <= math.log(cfg.alpha):
+            out.add((e, t, round(q, 9), round(math.log2(q / p), 9)))
+    return out
+
+
+def _disclosing_rows():
+    rnd = random.Random(28)
+    other = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(3)) for _ in range(n))
+    rows = [(i, f"{other(9)} Quillon {other(9)} q@mail.example.com") for i in range(8)]  # reveals an address
+    rows += [(50 + i, f"Orgalon {other(12)} w{i}@orga.example.com {other(3)}") for i in range(9)]  # reveals a domain, no address
+    rows += [(70 + i, f"{other(7)} Serveron at 10.20.30.{i}") for i in range(7)]  # a network
+    rows += [(80 + i, f"{other(7)} Callaron +1 (212) 555-01{i:02d}, {other(2)}") for i in range(7)]  # an area
+    rows += [(90, f"Orgalon and quillon {other(4)}"), (91, None), (92, ""), (None, f"serveron {other(5)}"), (90, f"callaron {other(6)}")]
+    rows += [(100 + i, rows[0][1]) for i in range(25)] + [(200 + i, other(25)) for i in range(250)]
+    return rows
+
+
+@pytest.mark.parametrize("held", [32 << 20, 0])
+def test_disclosed_terms_are_those_of_all_pairs_counted(documents, clashing, held):
+    cfg, rows = sanitise.Disclosure(broadcast_bytes=held), _disclosing_rows()
+    df = documents(rows, clashing)
+    told = sanitise.disclosures(df.select("text"), cfg).collect()
+    expected = _disclosure_model([t for _, t in rows], cfg)
+    assert len(told) == len(expected) and {(r["entity"], r["term"], round(r["posterior"], 9), round(r["bits"], 9)) for r in told} == expected
+    kinds: dict[str, int] = {}
+    for e, t, *_ in expected:
+        kinds[t] = min(kinds.get(t, 99), e % 16)
+    assert {"quillon": 4, "orgalon": 5, "serveron": 6, "callaron": 8}.items() <= kinds.items()
+
+    def model(text):
+        finds = sanitise.pattern_spans(text or "")
+        return ",".join(f"{(*sanitise.KINDS, 'term')[min(k, 4)]}:{s}:{e}" for s, k, e in sorted(
+            [f[:3] for f in finds] + [(s, kinds[text[s:e].lower()], e) for s, e in sanitise.free_words(text or "", finds) if text[s:e].lower() in kinds]))
+
+    got = Counter((r["doc_id"], r["spans"]) for r in sanitise.span_report(df, cfg).collect())
+    assert got == Counter((i, model(t)) for i, t in rows)
+    out = sanitise.sanitise(df, cfg)
+    assert out.columns == df.columns
+    clean = Counter(r["text"] for r in out.filter("doc_id < 100 or doc_id is null").collect())
+    texts = " ".join(t or "" for t in clean)
+    assert clean[None] == 1 and clean[""] == 1 and not any(w in texts.lower() for w in ("quillon", "orgalon", "serveron", "callaron", "@"))
+    assert all(f"[{w}]" in texts for w in ("NAME", "TERM", "ORGANISATION", "NETWORK", "REGION", "EMAIL", "IP", "PHONE"))
+
+
 def _toxic_rows(n, seed):
     rnd = random.Random(seed)
     rows, labels = [], []
