@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_ROW_BITS = 40  # rows of a file
+ROW_BITS = 40  # rows of a file
 
 
 def numbered(docs: DataFrame, row: str = ROW) -> DataFrame:
@@ -38,8 +38,8 @@ def numbered(docs: DataFrame, row: str = ROW) -> DataFrame:
     order = docs.sparkSession.createDataFrame([(p, i) for i, p in enumerate(paths)], f"`{path}` string, `{number}` long")
     placed = docs.select(*docs.columns, F.col("_metadata.file_path").alias(at), F.col("_metadata.row_index").alias(index))
     known = placed.join(F.broadcast(order), placed[at] == order[path], "left")
-    lost = F.col(number).isNull() | (F.col(index) >= (1 << _ROW_BITS))
-    value = F.when(lost, F.raise_error(F.lit("a row without a place")).cast("bigint")).otherwise(F.shiftleft(number, _ROW_BITS) + F.col(index))
+    lost = F.col(number).isNull() | (F.col(index) >= (1 << ROW_BITS))
+    value = F.when(lost, F.raise_error(F.lit("a row without a place")).cast("bigint")).otherwise(F.shiftleft(number, ROW_BITS) + F.col(index))
     return known.withColumn(row, value).select(*docs.columns, row)
 
 

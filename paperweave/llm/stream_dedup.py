@@ -26,11 +26,11 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage, staging_path
-from .common import ROW, salted_join, without_space
+from .common import ROW, ROW_BITS, numbered, salted_join, without_space
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
@@ -85,16 +85,17 @@ def digest_state(keyed: DataFrame, files_per_trigger: int | None = None) -> Data
 
 
 def dedup_verdicts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", digest=_sha256,
-                   files_per_trigger: int | None = None) -> DataFrame:
+                   files_per_trigger: int | None = None, place: str | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, row (position in the scan).
 
+    ``place`` names a column with the rows' numbers (``common.numbered``), which then are ``row``.
     ``digest`` may be weakened in tests to force collisions."""
     spark = docs.sparkSession
     norm = without_space(F.col("text"))
-    base = docs.select(
-        F.col(key).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"),
-        F.xxhash64(F.input_file_name()).alias("locator"),
-    )
+    row = F.col(place) if place else F.monotonically_increasing_id()
+    # a row's number begins with its file
+    locator = F.shiftright(place, ROW_BITS) if place else F.xxhash64(F.input_file_name())
+    base = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), row.alias("row"), locator.alias("locator"))
     keyed = stage(base.select(
         "doc_id", "row", "locator", digest(norm).alias("digest"),
         F.char_length(F.coalesce("text", F.lit(""))).alias("n_chars"), _sha256(norm).alias("text_sha256"),
@@ -141,20 +142,7 @@ def _result(rows: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, all columns as they came."""
-    kept = stage(dedup_verdicts(docs, key=key, text=text).filter("kept").groupBy("doc_id", "text_sha256", "n_chars").agg(
-        F.count(F.lit(1)).alias("__n")
-    ), "dedup_kept")
-    norm = without_space(F.col(text))
-    sha, chars, place = (f"{ROW}: {x}" for x in ("sha", "chars", "place"))
-    keyed = docs.withColumn(sha, _sha256(norm)).withColumn(chars, F.char_length(F.coalesce(text, F.lit(""))))
-    k = kept.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__s"), F.col("n_chars").alias("__c"))
-    out = keyed.join(
-        k, keyed[key].eqNullSafe(k["__id"]) & (keyed[sha] == k["__s"]) & (keyed[chars] == k["__c"]), "left_semi"
-    )
-    # rows that agree in identifier, text and length are repeats of one row: one stays
-    repeats = keyed.groupBy(key, sha, chars).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    if not repeats.isEmpty():
-        w = Window.partitionBy(key, sha, chars).orderBy(F.monotonically_increasing_id())
-        out = out.withColumn(place, F.row_number().over(w)).filter(F.col(place) == 1)
-    return out.select(docs.columns)
+    """The documents that stay, all columns as they came; of rows that agree in everything, the first of the scan."""
+    rows = numbered(docs)
+    kept = dedup_verdicts(rows, key=key, text=text, place=ROW).filter("kept").select(F.col("row").alias(ROW))
+    return rows.join(stage(kept, "dedup_kept"), ROW, "left_semi").select(docs.columns)

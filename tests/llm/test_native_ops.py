@@ -140,6 +140,22 @@ def test_drop_copies_keeps_one_row_each(documents, clashing):
     assert got == sorted(kept)
 
 
+def test_repeated_rows_keep_the_first_of_the_scan(spark, documents, tmp_path):
+    rows = [(7, "same text here"), (7, "same text here"), (None, "no id"), (None, "no id"), (7, "sametexthere"), (8, "own")] + [(9, "hot row")] * 40
+    df = documents(rows).coalesce(1).withColumn("at", F.monotonically_increasing_id())
+    df.write.parquet(str(tmp_path / "rows"))
+    scan = spark.read.parquet(str(tmp_path / "rows"))
+    spark.conf.set("spark.paperweave.hotKeyRows", "5")
+    try:
+        out = sd.drop_copies(scan)
+        got = sorted((r["at"], r["doc_id"], r["text"]) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.paperweave.hotKeyRows")
+    assert got == [(0, 7, "same text here"), (2, None, "no id"), (5, 8, "own"), (6, 9, "hot row")]
+    assert "Window" not in plan and out.columns == df.columns
+
+
 def test_hot_group_is_salted(spark, documents):
     spark.conf.set("spark.paperweave.hotKeyRows", "5")
     try:
