@@ -129,3 +129,15 @@ def test_abstract_matches_model(spark, entries):
         F.map_from_entries(F.transform("e", lambda x: F.struct(x["w"], x["ps"]))).alias("m")
     )
     assert df.select(abstract_text("m")).first()[0] == _model_text(entries)
+
+
+def test_one_leading_letter_of_any_alphabet_is_dropped(spark):
+    from paperweave.functions.ids import parse_oa_id
+
+    urls = {"x/W12": 12, "x/w7": 7, "x/5": 5, "x/\u00c412": 12, "x/\u043612": 12, "x/\U0001d40012": 12, "x/WW3": None, "x/": None, "x/W": None,
+            "": None, "x/_4": None, "x/W 8": 8, "x/@4": None, "x/[4": None, "x/`4": None, "x/{4": None, "x/\u06614": None, "x/W-3": -3}
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert {r["u"]: r["i"] for r in df.select("u", parse_oa_id("u").alias("i")).collect()} == urls
+    # the same as the pattern alone
+    alone = F.regexp_replace(F.substring_index("u", "/", -1), r"^\p{L}", "").try_cast("bigint")
+    assert df.filter(~parse_oa_id("u").eqNullSafe(alone)).count() == 0
