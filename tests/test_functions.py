@@ -141,3 +141,19 @@ def test_one_leading_letter_of_any_alphabet_is_dropped(spark):
     # the same as the pattern alone
     alone = F.regexp_replace(F.substring_index("u", "/", -1), r"^\p{L}", "").try_cast("bigint")
     assert df.filter(~parse_oa_id("u").eqNullSafe(alone)).count() == 0
+
+
+def test_ids_without_digits_and_single_characters(spark):
+    urls = ["https://x/W", "https://x/", "", "7", "https://x/W7", "https://x/Ж9", "https://x/Ж", "W-5", "https://x/1A", None]
+    got = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").select("i", parse_oa_id("u").alias("x"))
+    assert [r["x"] for r in got.orderBy("i").collect()] == [None, None, None, 7, 7, 9, None, -5, None, -1]
+
+
+def test_computed_column_is_not_copied_into_filters(spark):
+    from paperweave.functions.rows import with_computed
+
+    rows = with_computed(spark.createDataFrame([("https://x/W7",), ("https://x/W",)], "u string"), "x", parse_oa_id("u"))
+    kept = rows.filter((F.col("x") >= 0) & (F.col("x") < 100)).select("x", (F.col("x") * 2).alias("y"))
+    assert [tuple(r) for r in kept.collect()] == [(7, 14)]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring_index") == plan.count("Generate explode") * plan.split("Generate explode")[1].split("\n")[0].count("substring_index")
