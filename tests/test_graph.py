@@ -306,3 +306,18 @@ def test_is_star_forest(spark):
     assert graph.is_star_forest(mk([(0, 1), (0, 2), (5, 7)]))
     assert not graph.is_star_forest(mk([(0, 1), (1, 2)]))  # 1 is both leaf and centre
     assert not graph.is_star_forest(mk([(0, 2), (1, 2)]))  # 2 has two parents
+
+
+def test_roots_of_a_forest_in_halving_rounds(spark, monkeypatch):
+    """A path of 600 vertices and a tree beside it: every vertex finds its root, in log2(depth) + 1 rounds of one write each."""
+    from paperweave.operators import graph as g
+    from paperweave.session import stage
+
+    path = [(i, i + 1) for i in range(600)]
+    tree = [(1000 + (i - 1) // 2, 1000 + i) for i in range(1, 100)]
+    forest = stage(spark.createDataFrame(path + tree, "lo long, hi long"), "forest")
+    written = []
+    monkeypatch.setattr(g, "stage", lambda df, name: written.append(name) or stage(df, name))
+    got = {r["member"]: r["root"] for r in g._roots(forest, len(path) + len(tree), 50).collect()}
+    assert got == {hi: 0 if hi < 1000 else 1000 for _, hi in path + tree}
+    assert written.count("cc_roots") <= 11
