@@ -15,7 +15,8 @@ between different sets are found or implied by a path of verified links - none i
    member has from there on. The smaller set of a link holds its first common token among its first
    n - ceil(6n/7) + 1, so cells pair those rows with all others, and a pair of groups qualifies
    only if min(rest, rest) reaches the overlap that their smallest sets need. A qualifying pair is
-   first tried with one member of each; single sets are settled by that, others merge if it links.
+   first tried with one member of each, the one with the most tokens from there on: single sets are settled by
+   that, others merge if it links.
 5. Groups of several sets that are still apart are bounded once more by the number of tokens they
    share; pairs that can reach a link are opened: a share of a large group is compared first, then,
    where that gives no link, all members. Every pair is verified exactly. Before any
@@ -292,14 +293,16 @@ def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame,
     members = stage(
         posted.join(groups, "rep", "left").withColumn("multi", F.col("g").isNotNull()).withColumn("g", F.coalesce("g", "rep")), "ngram_members")
 
-    def side(rows: DataFrame, p: str, pick) -> DataFrame:
+    # the member shown for a group holds the fewest tokens of its own before the cell's: it is nearest to what the
+    # group shares, so a set that links with any member most likely links with this one
+    def side(rows: DataFrame, p: str, first: int) -> DataFrame:
         return rows.groupBy("token", "g", "multi").agg(
             F.min("n").alias(f"{p}_least"), F.max("n").alias(f"{p}_most"), F.max("rest").alias(f"{p}_rest"),
-            pick(F.struct("n", "rep")).alias(f"{p}_m"),
+            F.max(F.struct("rest", (first * F.col("n")).alias("size"), "rep")).alias(f"{p}_m"),
         ).withColumnsRenamed({"g": f"{p}_g", "multi": f"{p}_multi"})
 
     # the smaller set holds the token in its index prefix, the larger anywhere in its prefix
-    cells = side(_index_rows(members), "i", F.min).join(side(members, "p", F.max), "token").filter(
+    cells = side(_index_rows(members), "i", -1).join(side(members, "p", 1), "token").filter(
         (F.col("i_g") != F.col("p_g")) & (F.col("i_least") <= F.col("p_most")) & (4 * F.col("i_most") >= 3 * F.col("p_least"))
         & (F.least("i_rest", "p_rest") >= _ceil(3 * (F.col("i_least") + F.col("p_least")), 7))
         & (7 * (F.col("i_least") - F.col("i_rest") + F.col("p_least") - F.col("p_rest")) <= F.col("i_most") + F.col("p_most"))

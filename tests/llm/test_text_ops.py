@@ -93,6 +93,30 @@ def test_ngram_join(spark, documents, clashing, monkeypatch, frequent, batch):
     assert Counter(tuple(r) for r in got) == _join_model(rows)
 
 
+def test_ngram_join_meets_the_nearest_member_first(documents, monkeypatch):
+    """Far copies of a text that link with one member of a large group only: they are not compared with all of it."""
+    rng = random.Random(5)
+    base = [f"base{i}" for i in range(150)]
+
+    def copy(k, edits):
+        words = list(base)
+        for slot in rng.sample(range(20), edits):
+            words[5 + 7 * slot] = f"own{k}x{slot}"
+        return " ".join(words)
+
+    rows = [(k, copy(k, 1 if k == 77 else 2 if k < 150 else 3)) for k in range(200)]
+    candidates, countable = [], ngram_join._countable
+
+    def counted(pairs, posted):
+        candidates.append(pairs.count())
+        return countable(pairs, posted)
+
+    monkeypatch.setattr(ngram_join, "_countable", counted)
+    got = ngram_join.link_components(documents(rows)).collect()
+    assert Counter(tuple(r) for r in got) == _join_model(rows)
+    assert sum(candidates) <= 10 * len(rows), candidates
+
+
 def test_ngram_join_keeps_one(documents, clashing):
     rows = _family_rows(2)
     df = documents(rows, clashing)
