@@ -5,7 +5,7 @@ A document's set holds its distinct 5-word shingles (64-bit hashes). Two documen
 between different sets are found or implied by a path of verified links - none is estimated:
 
 1. Sets are computed in one pass. Equal sets form a class with one representative.
-2. All tokens have one global order: tokens seen in several documents of a batch of a hash sample come last
+2. All tokens have one global order: tokens seen in several documents of a hash sample come last
    (any fixed choice of these is exact, it only decides how long lists get), then by hash. Linked
    sets share a token among the first n - ceil(3n/4) + 1 of each, so only these prefixes are
    shuffled, and only tokens that occur in two sets are kept.
@@ -16,7 +16,8 @@ between different sets are found or implied by a path of verified links - none i
    n - ceil(6n/7) + 1, so cells pair those rows with all others, and a pair of groups qualifies
    only if min(rest, rest) reaches the overlap that their smallest sets need. A qualifying pair is
    first tried with one member of each, the one with the most tokens from there on: single sets are settled by
-   that, others merge if it links.
+   that, others merge if it links. Pairs with a group of several sets, and one pair of each single set, go first;
+   the matrix is then made again from the groups that these form, and all its pairs are tried.
 5. Groups of several sets that are still apart are bounded once more by the number of tokens they
    share; pairs that can reach a link are opened: a share of a large group is compared first, then,
    where that gives no link, all members. Every pair is verified exactly. Before any
@@ -50,8 +51,8 @@ from .common import ROW, numbered, salted_join, workers_import
 SHINGLE = 5
 FIRST_SHARE = 16  # of a large group, the share of members that is compared before all are
 LEADERS = 3  # sets, by hash, that lead a token list
-ORDER_SAMPLE = 8  # one text in so many is counted for the order of tokens, which decides nothing else
-FREQUENT = 4  # sampled documents, counted where a batch holds two or more of them
+ORDER_SAMPLE = 16  # one text in so many is counted for the order of tokens, which decides nothing else
+FREQUENT = 3  # sampled documents
 FREQUENT_LIMIT = 2_000_000  # most frequent tokens broadcast (8 bytes each); others are ordered by hash
 BROADCAST_REPS = 1_000_000  # sets to fetch whose numbers (8 bytes each) are broadcast; more are joined by a shuffle
 MEMO = 500_000  # words remembered per worker
@@ -99,8 +100,8 @@ def _signature(tokens: np.ndarray) -> bytes:
 
 
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Tokens that many documents hold, sorted: counted on one text in ORDER_SAMPLE (by a hash of the text) in every
-    batch of the scan where two or more different sets hold them, summed over all batches. Bounded by
+    """Tokens that many documents hold, sorted: counted on one text in ORDER_SAMPLE (by a hash of the text), however
+    the texts are dealt over files and tasks; equal sets of a batch count once. Bounded by
     FREQUENT_LIMIT. They only decide the order of tokens: any order finds every link."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,8 +113,7 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
             if not sets:
                 continue
             tokens, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-            often = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(n[often].astype(np.int64))], ["token", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(n.astype(np.int64))], ["token", "n"])
 
     sample = docs.filter(F.pmod(F.xxhash64(docs.columns[0]), F.lit(ORDER_SAMPLE)) == 0)
     seen = sample.mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
@@ -231,22 +231,37 @@ def link_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text")
     tried = stage(_star_pairs(posted), "ngram_tried")
     links = _verified(tried, packed)
     if not posted.isEmpty():
+        lists = stage(posted.groupBy("rep").agg(F.collect_list("token").alias("t"), F.first("n").alias("n")), "ngram_lists")
+
         def attempt(chosen: DataFrame) -> DataFrame:
             nonlocal links, tried
-            fresh = stage(_countable(chosen.distinct().join(tried, ["a", "b"], "left_anti"), posted), "ngram_fresh")
+            # staged, so that few pairs are broadcast to the lists, which then are not shuffled
+            untried = stage(chosen.distinct().join(tried, ["a", "b"], "left_anti"), "ngram_untried")
+            fresh = stage(_countable(untried, lists), "ngram_fresh")
             found = _verified(fresh, packed)
             links, tried = stage(links.unionByName(found), "ngram_links"), tried.unionByName(fresh)
             return found
 
-        attempt(_matrix(posted, _groups(links))[2].select("a", "b"))
+        attempt(_first_picks(_matrix(posted, _groups(links))[2]))
         members, cells, pairs = _matrix(posted, _groups(links))
-        apart = _openable(members, pairs.filter("multi"))
+        apart = _still_apart(_openable(members, pairs.filter("multi")), members, attempt(pairs.select("a", "b")))
         # a few members of a large group usually show the link; only pairs still apart are opened in full
         apart = _still_apart(apart, members, attempt(_opened(members, cells, apart, FIRST_SHARE)))
         attempt(_opened(members, cells, apart, 1))
     return _labelled(rows, classes, _groups(links))
 
 
+def _first_picks(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) that are tried before all others: those of groups of several sets, and for each set without a
+    link the one set that shares most cells with it. Near copies that no leader has brought together
+    so form groups in a number of tries in proportion to theirs, before the rest of their pairs is formed."""
+    alone = pairs.filter(~F.col("multi"))
+    ends = alone.select(F.col("a").alias("one"), F.col("b").alias("other"), "shared").unionByName(
+        alone.select(F.col("b").alias("one"), F.col("a").alias("other"), "shared"))
+    best = ends.groupBy("one").agg(F.max(F.struct("shared", (-F.col("other")).alias("o"))).alias("best"))
+    return pairs.filter("multi").select("a", "b").unionByName(best.select(*_pair(F.col("one"), -F.col("best.o"))))
+
+
 def _index_rows(posted: DataFrame) -> DataFrame:
     return posted.filter(F.col("pos") <= F.col("n") - _ceil(6 * F.col("n"), 7))
 
@@ -254,13 +269,11 @@ def _index_rows(posted: DataFrame) -> DataFrame:
 def _star_pairs(posted: DataFrame) -> DataFrame:
     """Pairs (a, b) of a set with the leaders that most of its lists share: per list one set by each of
     ``LEADERS`` hashes. At most LEADERS pairs a set; they only form groups."""
-    def by(order: Column) -> Column:
-        return F.min(F.struct(order.alias("o"), "n", "rep"))
-
+    # min_by of plain longs: a hash aggregate; the least struct would be sorted for
     orders = [F.xxhash64("rep", F.lit(r)) for r in range(LEADERS)]
-    leaders = posted.groupBy("token").agg(*[by(o).alias(f"l{r}") for r, o in enumerate(orders)])
+    leaders = posted.groupBy("token").agg(*[F.min_by(c, o).alias(f"{c}{r}") for r, o in enumerate(orders) for c in ("n", "rep")])
     listed = leaders.select("token", F.posexplode(F.array(*[
-        F.struct(F.col(f"l{r}.n").alias("n"), F.col(f"l{r}.rep").alias("rep")) for r in range(len(orders))])).alias("kind", "l"))
+        F.struct(F.col(f"n{r}").alias("n"), F.col(f"rep{r}").alias("rep")) for r in range(len(orders))])).alias("kind", "l"))
     met = posted.join(listed, "token").filter(F.col("rep") != F.col("l.rep")).groupBy(
         "rep", "n", "kind", F.col("l.rep").alias("l_rep"), F.col("l.n").alias("l_n")
     ).agg(F.count(F.lit(1)).alias("c"))
@@ -277,9 +290,8 @@ def _reachable(c: Column, a_most: str, b_most: str, a_least: str, b_least: str)
     return c + past >= _ceil(3 * (F.col(a_least) + F.col(b_least)), 7)
 
 
-def _countable(pairs: DataFrame, posted: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets whose common prefix tokens are enough for a link."""
-    lists = posted.groupBy("rep").agg(F.collect_list("token").alias("t"), F.first("n").alias("n"))
+def _countable(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets whose common prefix tokens are enough for a link. ``lists`` holds (rep, t, n)."""
     side = lambda p: lists.select(F.col("rep").alias(p), F.col("t").alias(f"{p}_t"), F.col("n").alias(f"{p}_n"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
     fits = (4 * F.col("a_n") >= 3 * F.col("b_n")) & (4 * F.col("b_n") >= 3 * F.col("a_n"))
@@ -294,11 +306,12 @@ def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame,
         posted.join(groups, "rep", "left").withColumn("multi", F.col("g").isNotNull()).withColumn("g", F.coalesce("g", "rep")), "ngram_members")
 
     # the member shown for a group holds the fewest tokens of its own before the cell's: it is nearest to what the
-    # group shares, so a set that links with any member most likely links with this one
+    # group shares, so a set that links with any member most likely links with this one (rest, then size, in one long: both are
+    # below 2^31)
     def side(rows: DataFrame, p: str, first: int) -> DataFrame:
         return rows.groupBy("token", "g", "multi").agg(
             F.min("n").alias(f"{p}_least"), F.max("n").alias(f"{p}_most"), F.max("rest").alias(f"{p}_rest"),
-            F.max(F.struct("rest", (first * F.col("n")).alias("size"), "rep")).alias(f"{p}_m"),
+            F.max_by("rep", F.shiftleft("rest", 32) + first * F.col("n")).alias(f"{p}_m"),
         ).withColumnsRenamed({"g": f"{p}_g", "multi": f"{p}_multi"})
 
     # the smaller set holds the token in its index prefix, the larger anywhere in its prefix
@@ -309,10 +322,10 @@ def _matrix(posted: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame,
     )
     cells = stage(cells, "ngram_cells")
     pairs = cells.groupBy(F.least("i_g", "p_g").alias("a_g"), F.greatest("i_g", "p_g").alias("b_g")).agg(
-        F.max(F.struct(F.least("i_rest", "p_rest").alias("rest"), F.col("i_m.rep").alias("x"), F.col("p_m.rep").alias("y"))).alias("top"),
+        F.max(F.struct(F.least("i_rest", "p_rest").alias("rest"), F.col("i_m").alias("x"), F.col("p_m").alias("y"))).alias("top"),
         F.max(F.col("i_multi") | F.col("p_multi")).alias("multi"), F.max(F.greatest("i_most", "p_most")).alias("most"),
-        F.min(F.least("i_least", "p_least")).alias("least"),
-    ).select("a_g", "b_g", "multi", "most", "least", *_pair(F.col("top.x"), F.col("top.y")))
+        F.min(F.least("i_least", "p_least")).alias("least"), F.count(F.lit(1)).alias("shared"),
+    ).select("a_g", "b_g", "multi", "most", "least", "shared", *_pair(F.col("top.x"), F.col("top.y")))
     return members, cells, stage(pairs, "ngram_pairs")
 
 

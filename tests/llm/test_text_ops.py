@@ -117,6 +117,16 @@ def test_ngram_join_meets_the_nearest_member_first(documents, monkeypatch):
     assert sum(candidates) <= 10 * len(rows), candidates
 
 
+def test_ngram_order_counts_tokens_over_all_tasks(documents, monkeypatch):
+    """A passage of many texts is frequent however the texts are dealt: here no task holds two of them."""
+    monkeypatch.setattr(ngram_join, "ORDER_SAMPLE", 1)
+    rows = [(k, f"own{k} words{k} six common words stand in here own{k} more{k}") for k in range(24)]
+    docs = ngram_join.workers_import(documents(rows)).repartitionByRange(24, "doc_id").select("text")
+    held = ngram_join.frequent_tokens(docs)
+    every = [set(ngram_join.shingle_set(t).tolist()) for _, t in rows]
+    assert set(held.tolist()) == set.intersection(*every) and len(held) == 2
+
+
 def test_ngram_join_keeps_one(documents, clashing):
     rows = _family_rows(2)
     df = documents(rows, clashing)
