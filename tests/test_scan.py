@@ -210,3 +210,35 @@ def test_equal_order_keys_and_a_snapshot_without_records(spark, root):
     assert sorted(i for f in _written(root) for i in f[2]) == sorted([*range(50)] * 2)
     write_works(some.limit(0), root)
     assert _written(root) == []
+
+
+def test_only_keys_are_ranked_and_jobs_share_the_tasks(spark, root):
+    from paperweave.session import staged_paths
+
+    with staged_paths() as paths:
+        write_works(_records(spark, 1000, ["2024-01-01", "2024-02-01"]), root, rows_per_file=30, rows_per_task=100, rows_per_job=150)
+    kept = {c for p in paths for c in spark.read.parquet(p).columns}
+    assert kept == {"updated_date", "order_key", "__mid"}  # no record lies on disk a second time
+    files = _written(root)
+    for date, rest in (("2024-01-01", 0), ("2024-02-01", 1)):
+        mine = [f for f in files if f[0] == date]
+        assert [i for f in mine for i in f[2]] == [i for i in range(1000) if i % 2 == rest]
+        assert [len(f[2]) for f in mine] == [30] * 16 + [20]
+    assert len({f[1].split("-", 2)[2].split(".")[0] for f in files}) > 1  # written by several jobs
+
+
+def test_files_stay_whole_where_a_stretch_begins_with_an_equal_key(spark, root):
+    some = _records(spark, 50, ["2024-01-01"])
+    write_works(some.unionByName(some), root, rows_per_file=7, rows_per_task=7, rows_per_job=20)
+    files = _written(root)
+    assert [len(f[2]) for f in files] == [7] * 14 + [2]
+    assert [i for f in files for i in f[2]] == [i // 2 for i in range(100)]
+
+
+def test_a_record_finds_its_task_among_many(spark, root):
+    from paperweave.sources.works import _last_at_most
+
+    keys = spark.range(0, 300, 3).select(F.lit(None).cast("string").alias("a"), F.struct(F.col("id").alias("n"), F.lit('"').alias("t")).alias("b"))
+    rows = spark.range(300).select("id", F.lit(None).cast("string").alias("a"), F.struct(F.col("id").alias("n"), F.lit('"').alias("t")).alias("b"))
+    found = rows.select("id", _last_at_most(keys, F.struct("a", "b")).alias("at")).collect()
+    assert all(r["at"] == r["id"] // 3 for r in found) and len(found) == 300
