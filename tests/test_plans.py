@@ -120,3 +120,50 @@ def test_staged_folders_are_discarded_unless_read(spark):
     discard(spark, paths, result)
     local = [p.removeprefix("file:") for p in paths]
     assert [os.path.exists(p) for p in local] == [False, True] and result.count() == 5
+
+
+def test_staging_and_sinks_leave_no_shuffle_files(spark, tmp_path):
+    import time
+
+    from paperweave.session import SPENT_SHUFFLES_CONF, stage
+    from paperweave.sources.tables import write_table
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = disk.getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    before, rows = shuffles(), spark.range(1000).repartition(3, "id")
+    stage(rows, "spent")
+    write_table(rows, str(tmp_path / "t"), "csv", sort_by=["id"])
+    for _ in range(50):
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(SPENT_SHUFFLES_CONF) == "false"
+
+
+def test_orders_and_lines_travel_with_plain_columns(spark, sf_small):
+    from paperweave.session import SORTED_GROUPS_CONF, switched_on
+    from paperweave.sources.fixture import works_fixture
+
+    with switched_on(spark, SORTED_GROUPS_CONF):
+        plan = _plan(works_fixture(spark, sf_small))
+    assert "l_extendedprice" not in plan and "l_shipdate" not in plan
+    # the lines of an order are grouped as they come, once
+    assert plan.count("collect_list(line") == 1 and "ObjectHashAggregate(keys=[k" not in plan
+    # the texts of an order are made above the joins with its text and lines
+    assert plan.count("Work, ") == 1 and plan.index("Work, ") < plan.index("Join [k")
+
+
+def test_first_rows_are_fetched_without_a_shuffle_while_they_are_few(spark):
+    from paperweave.operators.tables import fetch_firsts
+
+    rows = spark.range(1000).select(F.col("id").alias("first"), (F.col("id") % 7).alias("key"))
+    firsts = rows.groupBy("key").agg(F.min("first").alias("first")).select("first")
+    expected = {(i, i) for i in range(7)}
+    for most in (7, 6):
+        assert {(r["first"], r["key"]) for r in fetch_firsts(rows, firsts, "few", most).collect()} == expected
