@@ -41,6 +41,7 @@ class FixtureContext:
         self._snapshot: str | None = None
         self._scanned: UnfilteredBuild | None = None
         self._written: str | None = None
+        self.written_build: UnfilteredBuild | None = None  # what ``written`` wrote, with its staged tables
 
     @property
     def from_snapshot(self) -> UnfilteredBuild:
@@ -60,7 +61,7 @@ class FixtureContext:
         """Both datasets written once by the job's own functions; returns the component dataset's folder."""
         if self._written is None:
             out = staging_path(self.spark, "job") + "/dataset"
-            b = build_unfiltered(self.works, out, sync_date=JOB_SYNC_DATE, typed=True)
+            b = self.written_build = build_unfiltered(self.works, out, sync_date=JOB_SYNC_DATE, typed=True)
             build_lcc(self.spark, out, sync_date=JOB_SYNC_DATE, kept=b.connected, tables=b.outputs())
             self._written = out
         return self._written
@@ -414,8 +415,9 @@ def q_abstracts_sink(spark, sf):
 
 def q_abstract_lookup(spark, sf):
     """The abstracts of the 1000 most cited papers, by a point lookup in the written files."""
-    top = context(spark, sf).build.paper_table.orderBy(F.desc_nulls_last("cited_by_count"), "paper_id").limit(1000)
     path = io.table_path(context(spark, sf).written() + "_unfiltered", "abstracts", "parquet")
+    # the build that wrote the files: another one would search the components of the same graph again
+    top = context(spark, sf).written_build.paper_table.orderBy(F.desc_nulls_last("cited_by_count"), "paper_id").limit(1000)
     return io.lookup_abstracts(spark, path, top.select("paper_id"))
 
 

@@ -167,3 +167,13 @@ def test_first_rows_are_fetched_without_a_shuffle_while_they_are_few(spark):
     expected = {(i, i) for i in range(7)}
     for most in (7, 6):
         assert {(r["first"], r["key"]) for r in fetch_firsts(rows, firsts, "few", most).collect()} == expected
+
+
+def test_abstract_lookup_searches_the_components_once(spark, sf_small):
+    from paperweave.plans.catalog import QUERIES
+    from paperweave.session import staged_paths
+
+    with staged_paths() as paths:
+        found = QUERIES["abstract_lookup"](spark, f"{sf_small}/../sf0.001")  # a context of its own
+    assert sum("/components-" in p for p in paths) == 1 and sum("/paper_table-" in p for p in paths) == 1
+    assert found.columns == ["paper_id", "abstract"]
